@@ -131,7 +131,7 @@ def pivot_agg(df: DataFrame, by, pivot_col: str, values: Sequence, measures: dic
 def pivot_count(df: DataFrame, by, col: str, values: Sequence, prefix: str | None = None,
                 fill: int = 0) -> DataFrame:
     """Count rows per (by, value of col) as one column per value."""
-    pre = f"{prefix if prefix is not None else col}_"
+    pre = "" if prefix == "" else f"{prefix if prefix is not None else col}_"
     return pivot_agg(df, by, col, values,
                      {"n": lambda m: F.count_if(m)}, name=pre + "{value}").na.fill(fill)
 
