@@ -70,9 +70,10 @@ def running_sum(df: DataFrame, by, order: Sequence, value: str, alias: str = "ru
     if share:
         tot = df.groupBy(*by).agg(F.sum(value).alias("_tot")) if by else None
         if tot is not None:
-            out = out.join(tot, by).withColumn(alias + "_share", F.col(alias) / F.col("_tot")).drop("_tot")
+            out = out.join(tot, by).withColumn(
+                alias + "_share", F.col(alias).cast("double") / F.col("_tot").cast("double")).drop("_tot")
         else:
-            out = out.withColumn(alias + "_share", F.col(alias) / df.agg(F.sum(value)).scalar())
+            out = out.withColumn(alias + "_share", F.col(alias).cast("double") / df.agg(F.sum(value)).scalar().cast("double"))
     return out
 
 
@@ -146,6 +147,20 @@ def lookback_features(df: DataFrame, key: str, ts: str, value: str, row_id: str,
         top("_h", 24).alias("hours_top"), top("_d", 7, letters).alias("weekdays_top"))
 
 
+def lookback_agg(df: DataFrame, key: str, ts: str, value: str, row_id: str, days: int) -> DataFrame:
+    """Count / sum / mean of the key's values in ``[ts - days, ts)`` per row
+    (same bucketed range frame as ``lookback_features``)."""
+    W = days * DAY_US
+    base = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"), epoch_micros(ts).alias("_us"),
+                     F.col(value).cast("double").alias("_v")).withColumn("_b", F.floor(F.col("_us") / W))
+    u = base.withColumn("_anchor", F.lit(True)).unionByName(
+        base.withColumn("_b", F.col("_b") + 1).withColumn("_anchor", F.lit(False)))
+    w = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(-W, -1)
+    return u.select("_anchor", F.col("_id").alias(row_id), F.count(F.lit(1)).over(w).alias("n_prev"),
+                    F.sum("_v").over(w).alias("sum_prev"), F.avg("_v").over(w).alias("mean_prev")) \
+        .filter("_anchor").drop("_anchor")
+
+
 # E8 ------------------------------------------------------------------------
 def year_ago_mean(df: DataFrame, key: str, ts: str, value: str, row_id: str,
                   days: int = 30, years: int = 1, alias: str = "value_mean_year_ago") -> DataFrame:
@@ -175,9 +190,9 @@ def anchor_windows(df: DataFrame, key: str, period: str, subs: Sequence[int]) ->
     A row of period m belongs to anchors m .. m + sub - 1 for each sub-window
     length, so one ``groupBy(key, anchor, sub)`` computes all windows at once.
     """
-    arr = F.flatten(F.array(*[
-        F.transform(F.sequence(F.col(period), F.col(period) + s - 1), lambda a, s=s: F.struct(a.alias("anchor"), F.lit(s).alias("sub")))
-        for s in subs]))
+    def tag(s):
+        return lambda a: F.struct(a.alias("anchor"), F.lit(s).alias("sub"))
+    arr = F.flatten(F.array(*[F.transform(F.sequence(F.col(period), F.col(period) + s - 1), tag(s)) for s in subs]))
     return df.withColumn("_w", F.explode(arr)).select("*", "_w.anchor", "_w.sub").drop("_w")
 
 
