@@ -156,14 +156,14 @@ def balanced_sample(df: DataFrame, label: str, n: int, seed: int, key: Sequence[
     sizes = x.groupBy(label).agg(F.count(F.lit(1)).alias("_nk"))
     margin = n + 10 * math.sqrt(n) + 10
     thr = sizes.withColumn("_t", F.least(F.lit(1.0), F.lit(margin) / F.col("_nk")))
-    cand = x.join(F.broadcast(thr), label).filter(F.col("_u") <= F.col("_t"))
+    cand = x.join(thr, label).filter(F.col("_u") <= F.col("_t"))  # AQE broadcasts per class count
     short = (cand.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
              .join(thr, label).filter(F.col("_c") < F.least(F.col("_nk"), F.lit(n)))
              .select(label))
     if short.limit(1).count() > 0:  # exact fallback for the rare short class
         thr = thr.join(short.withColumn("_full", F.lit(True)), label, "left").withColumn(
             "_t", F.when(F.col("_full"), F.lit(1.0)).otherwise(F.col("_t"))).drop("_full")
-        cand = x.join(F.broadcast(thr), label).filter(F.col("_u") <= F.col("_t"))
+        cand = x.join(thr, label).filter(F.col("_u") <= F.col("_t"))  # AQE broadcasts per class count
     w = Window.partitionBy(label).orderBy("_u", *key)
     return cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_u", "_t", "_nk", "_r")
 
@@ -231,3 +231,30 @@ def difference(a: DataFrame, b: DataFrame, keep_dups: bool = False) -> DataFrame
 def split_apply_union(df: DataFrame, cond: Column, fn_true, fn_false) -> DataFrame:
     """Treat the two sides of a predicate differently and re-append."""
     return fn_true(df.filter(cond)).unionByName(fn_false(df.filter(~cond | cond.isNull())))
+
+
+# Running sums over a global order, without one-task windows ------------------
+def cumulative_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str],
+                   suffix: str = "_cum", checkpoint: bool = True) -> DataFrame:
+    """Running sums of ``values`` per ``by`` group in ``order`` (ties: row order).
+
+    1. range-partition on (by, order) and sort inside partitions (a large
+       group is cut across several range partitions);
+    2. local running sums per (partition, group);
+    3. per (partition, group) totals -> offsets from earlier partitions of
+       the same group (a group has at most #partitions such rows);
+    4. running sum = local + offset.
+    """
+    by, order, values = list(by), list(order), list(values)
+    x = df.repartitionByRange(*by, *order).withColumn("_pid", F.spark_partition_id())
+    if checkpoint:
+        x = cut_lineage(x)
+    wl = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = x.withColumns({f"_l_{v}": F.sum(v).over(wl) for v in values})
+    tot = x.groupBy("_pid", *by).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    wo = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offs = tot.select("_pid", *by, *[F.coalesce(F.sum(f"_t_{v}").over(wo), F.lit(0)).alias(f"_o_{v}") for v in values])
+    out = local.join(offs, ["_pid", *by])
+    return out.withColumns({f"{v}{suffix}": F.col(f"_l_{v}") + F.col(f"_o_{v}") for v in values}).drop(
+        "_pid", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values])

@@ -197,7 +197,7 @@ def anchor_windows(df: DataFrame, key: str, period: str, subs: Sequence[int]) ->
 
 
 def anchor_features(df: DataFrame, key: str, period: str, value: str, subs: Sequence[int] = (3, 6, 9, 12),
-                    max_period: int | None = None, flags: Sequence[str] = ()) -> DataFrame:
+                    max_period: int | None = None, flags: Sequence[str] = (), mean_fn=F.avg) -> DataFrame:
     """min/max/mean/median/std of ``value`` (+ mean of flags) per
     (key, anchor period) for every sub-window, pivoted by sub-window length."""
     x = anchor_windows(df, key, period, subs)
@@ -208,7 +208,7 @@ def anchor_features(df: DataFrame, key: str, period: str, value: str, subs: Sequ
         m = F.col("sub") == s
         v = F.when(m, F.col(value))
         aggs += [F.min(v).alias(f"{value}_min_{s}"), F.max(v).alias(f"{value}_max_{s}"),
-                 F.avg(v).alias(f"{value}_mean_{s}"), F.median(v).alias(f"{value}_median_{s}"),
+                 mean_fn(v).alias(f"{value}_mean_{s}"), F.median(v).alias(f"{value}_median_{s}"),
                  F.stddev_samp(v).alias(f"{value}_std_{s}")]
         aggs += [F.avg(F.when(m, F.col(f))).alias(f"{f}_mean_{s}") for f in flags]
     return x.groupBy(key, "anchor").agg(*aggs)

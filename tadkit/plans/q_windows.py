@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tadkit.functions.numeric import money_sum
 from tadkit.operators import windows as wn
 from tadkit.operators.joins import with_month_id
 from tadkit.plans.registry import query
@@ -149,17 +150,19 @@ g AS (SELECT x.stock, a.id_month AS anchor, s.sub, x.close FROM x, cal a, (VALUE
       WHERE x.id_month BETWEEN a.id_month - s.sub + 1 AND a.id_month)
 SELECT stock, CAST(anchor AS INTEGER) AS anchor, """ + ", ".join(
     f"min(close) FILTER (WHERE sub = {s}) AS close_min_{s}, max(close) FILTER (WHERE sub = {s}) AS close_max_{s}, "
-    f"round(avg(close) FILTER (WHERE sub = {s}), 4) AS close_mean_{s}, "
-    f"round(median(close) FILTER (WHERE sub = {s}), 4) AS close_median_{s}, "
-    f"round(stddev_samp(close) FILTER (WHERE sub = {s}), 4) AS close_std_{s}" for s in _SUBS)
+    f"CAST(sum(CAST(close AS DECIMAL(18,2))) FILTER (WHERE sub = {s}) AS DOUBLE) / count(close) FILTER (WHERE sub = {s}) AS close_mean_{s}, "
+    f"round(median(close) FILTER (WHERE sub = {s}), 6) AS close_median_{s}, "
+    f"round(stddev_samp(close) FILTER (WHERE sub = {s}), 6) AS close_std_{s}" for s in _SUBS)
     + " FROM g GROUP BY stock, anchor")
 def e10_anchor(spark, d):
     x = _daily_series(spark, d)
     max_id = x.agg(F.max("id_month")).scalar()
-    f = wn.anchor_features(x.withColumn("id_month", F.col("id_month").cast("int")), "stock", "id_month", "close", _SUBS)
+    exact_mean = lambda v: money_sum(v, 2) / F.count(v)  # noqa: E731  (order-independent mean)
+    f = wn.anchor_features(x.withColumn("id_month", F.col("id_month").cast("int")), "stock", "id_month", "close", _SUBS,
+                           mean_fn=exact_mean)
     f = f.filter(F.col("anchor") <= max_id)
     return f.select("stock", F.col("anchor").cast("int").alias("anchor"),
-                    *[F.round(c, 4).alias(c) if any(k in c for k in ("mean", "median", "std")) else c
+                    *[F.round(c, 6).alias(c) if any(k in c for k in ("median", "std")) else c
                       for c in f.columns if c not in ("stock", "anchor")])
 
 
