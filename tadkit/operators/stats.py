@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tadkit.operators.aggregate import melt
 from tadkit.operators.frame import cumulative_sum
@@ -107,7 +108,7 @@ def studentized_range_sf(q: float, k: int, df: float) -> float:
 
 
 def _udf_double(fn):
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def apply(*cols: pd.Series) -> pd.Series:
         return pd.Series([fn(*vals) for vals in zip(*cols)], dtype="float64")
     return apply
@@ -121,12 +122,20 @@ tukey_sf_col = _udf_double(lambda q, k, d: studentized_range_sf(float(q), int(k)
 # ---------------------------------------------------------------------------
 # K16 / K17 / K15 : binning
 def quantile_edges(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
-    """One row; per column the distinct exact quantile edges at i / bins."""
+    """One row; per column the distinct exact quantile edges at i / bins.
+
+    (``exact`` interpolated quantiles like ``pd.qcut``; for very large inputs
+    ``percentile_approx`` gives bounded-memory edges with the same shape.)"""
     probs = [i / bins for i in range(bins + 1)]
     return df.agg(*[F.array_distinct(F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])))
                     .alias(c) for c in cols])
 
 
+def edges_literal(df: DataFrame, col: str, bins: int) -> Column:
+    """Quantile edges of one column as a literal array (one small job)."""
+    return F.array(*[F.lit(float(v)) for v in quantile_edges(df, [col], bins).first()[col]])
+
+
 def bin_by_edges(x, edges: Column) -> Column:
     """Right-closed bins (e0, e1], (e1, e2], ... with the lowest edge included;
     returns the 1-based bin number (``pd.cut/qcut`` with include_lowest)."""
@@ -178,15 +187,16 @@ def woe_table(df: DataFrame, target: str, cols: Sequence[str], bins: int = 20, b
                or dtypes[c].startswith("decimal")]
     nd = df.agg(*[F.count_distinct(c).alias(c) for c in numeric]).first() if numeric else {}
     binned = [c for c in numeric if nd[c] > max_levels]
+    # Bin edges are tiny (<= bins + 1 values per variable): like Spark's
+    # QuantileDiscretizer splits they are fetched once and inlined as literals.
     if binned and binning == "quantile":
-        edges = quantile_edges(df, binned, bins)
-        edge_cols = {c: edges.select(c).scalar() for c in binned}
+        row = quantile_edges(df, binned, bins).first()
+        edge_cols = {c: F.array(*[F.lit(float(v)) for v in row[c]]) for c in binned}
     elif binned:
-        mm = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c) for c in binned])
-        edge_cols = {}
-        for c in binned:
-            s = mm.select(c).scalar()
-            edge_cols[c] = F.array(*[s["lo"] + F.lit(i) * (s["hi"] - s["lo"]) / F.lit(bins) for i in range(bins + 1)])
+        row = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
+                       for c in binned]).first()
+        edge_cols = {c: F.array(*[F.lit(row[c]["lo"]) + F.lit(float(i)) * (F.lit(row[c]["hi"]) - F.lit(row[c]["lo"]))
+                                  / F.lit(float(bins)) for i in range(bins + 1)]) for c in binned}
     else:
         edge_cols = {}
     keyed = {}
