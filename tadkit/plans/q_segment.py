@@ -1 +1,146 @@
-"""Registered queries."""
+"""Registered queries: clustering, segmentation, anomaly detection."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.sql import functions as F
+
+from tadkit.operators import aggregate as ag
+from tadkit.operators import models as md
+from tadkit.operators import segment as sg
+from tadkit.operators import stats as st
+from tadkit.plans.registry import query
+from tadkit.session import Tables
+
+_DIMS = 8
+
+
+def _emb(spark, d):
+    e = Tables(spark, d).embeddings
+    x = e.select("vec_id", "label", "embedding", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(_DIMS)])
+    return md.with_features(x, [f"e{i}" for i in range(_DIMS)])
+
+
+@query("n1_kmeans_assign")
+def n1_kmeans(spark, d):
+    e = _emb(spark, d)
+    m = sg.kmeans(e, "features", 10)
+    return m.transform(e).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("n2_elbow_silhouette")
+def n2_elbow(spark, d):
+    return sg.elbow_table(spark, _emb(spark, d), "features", [2, 3, 4, 5, 6])
+
+
+@query("n3_davies_bouldin_calinski", """
+WITH e AS (SELECT label, vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+cent AS (SELECT label, i, avg(v) AS c FROM e GROUP BY 1, 2),
+g AS (SELECT i, avg(v) AS c FROM e GROUP BY 1),
+dd AS (SELECT e.vec_id, e.label, sqrt(sum((v - c) * (v - c))) AS dist FROM e JOIN cent USING (label, i) GROUP BY 1, 2),
+per AS (SELECT label, count(*) AS n, avg(dist) AS s, sum(dist * dist) AS w FROM dd GROUP BY 1),
+cc AS (SELECT a.label AS la, b.label AS lb, sqrt(sum((a.c - b.c) * (a.c - b.c))) AS m
+       FROM cent a JOIN cent b ON a.i = b.i AND a.label <> b.label GROUP BY 1, 2),
+db AS (SELECT avg(mx) AS db FROM (SELECT la, max((pa.s + pb.s) / m) AS mx FROM cc
+       JOIN per pa ON pa.label = la JOIN per pb ON pb.label = lb GROUP BY la)),
+bb AS (SELECT sum(per.n * bd) AS b FROM per JOIN (SELECT label, sqrt(sum((cent.c - g.c) * (cent.c - g.c))) ^ 2 AS bd
+       FROM cent JOIN g USING (i) GROUP BY 1) USING (label)),
+tt AS (SELECT sum(w) AS w, sum(n) AS nn, count(*) AS k FROM per)
+SELECT round(db, 6) AS davies_bouldin, round((b / (k - 1)) / (w / (nn - k)), 6) AS calinski_harabasz,
+       k AS "K", nn AS "N" FROM db, bb, tt""")
+def n3_indices(spark, d):
+    e = Tables(spark, d).embeddings
+    r = sg.cluster_indices(e, "embedding", "label")
+    return r.select(F.round("davies_bouldin", 6).alias("davies_bouldin"),
+                    F.round("calinski_harabasz", 6).alias("calinski_harabasz"), "K", "N")
+
+
+@query("n4_gaussian_mixture_bic_aic")
+def n4_gmm(spark, d):
+    return sg.gmm_table(spark, _emb(spark, d).select("features"), "features", [2, 3, 4])
+
+
+@query("n5_mixture_outlier_filter")
+def n5_outliers(spark, d):
+    """Rows of mixture components holding < 5% of rows are dropped."""
+    return sg.mixture_outliers(_emb(spark, d), "features", 6).select("vec_id", "label")
+
+
+@query("n6_hierarchical_two_stage")
+def n6_hier(spark, d):
+    e = _emb(spark, d)
+    out = None
+    for method in ["ward", "complete", "single", "centroid"]:
+        h = sg.hierarchical(e, "vec_id", "features", 4, method=method, micro=40)
+        t = h.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).withColumn("method", F.lit(method))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query("n6_bisecting_kmeans")
+def n6_bisect(spark, d):
+    e = _emb(spark, d)
+    return sg.bisecting(e, "features", 4).transform(e).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("n7_kmedoids")
+def n7_kmedoids(spark, d):
+    e = _emb(spark, d).select("vec_id", F.array(*[F.col(f"e{i}") for i in range(_DIMS)]).alias("x"))
+    return sg.kmedoids(e, "vec_id", "x", 3, max_iter=5)
+
+
+@query("n8_dbscan")
+def n8_dbscan(spark, d):
+    """DBSCAN on the first three embedding coordinates (noise = -1)."""
+    e = Tables(spark, d).embeddings.select("vec_id", F.slice("embedding", 1, 3).alias("x"))
+    return sg.dbscan(e, "vec_id", "x", eps=0.35, min_samples=4)
+
+
+@query("n9_isolation_forest")
+def n9_iforest(spark, d):
+    e = Tables(spark, d).embeddings
+    return sg.isolation_forest(e, "vec_id", "embedding", n_trees=50, contamination=0.02)
+
+
+@query("n10_recluster_largest")
+def n10_recluster(spark, d):
+    e = _emb(spark, d)
+    base = sg.kmeans(e, "features", 3, pred="cluster0").transform(e)
+    out = sg.recluster_largest(base, "features", "cluster0", 2)
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("label", "segment")
+
+
+@query("n11_warm_clustering_anova")
+def n11_warm(spark, d):
+    """Mixture labels, then ANOVA F of every feature across them (k best)."""
+    e = _emb(spark, d)
+    from pyspark.ml.clustering import GaussianMixture
+    lab = GaussianMixture(k=4, seed=1, featuresCol="features", predictionCol="seg").fit(e).transform(e)
+    scores = st.anova_f(lab, "seg", [f"e{i}" for i in range(_DIMS)])
+    return st.select_k_best(scores, 4)
+
+
+@query("n12_explain_clusters_tree")
+def n12_explain(spark, d):
+    e = _emb(spark, d)
+    lab = sg.kmeans(e, "features", 4).transform(e).withColumn("cluster", F.col("cluster").cast("double"))
+    tree = DecisionTreeClassifier(labelCol="cluster", maxDepth=4).fit(lab)
+    return md.coefficient_frame(spark, tree, [f"e{i}" for i in range(_DIMS)])
+
+
+@query("n13_cluster_profile", """
+SELECT CAST(c_mktsegment AS VARCHAR) AS c_mktsegment, count(*) AS n, round(avg(c_acctbal), 6) AS c_acctbal
+FROM customer GROUP BY 1 UNION ALL SELECT 'overall', count(*), round(avg(c_acctbal), 6) FROM customer""")
+def n13_profile(spark, d):
+    """Archetypes of segments beside the overall mean (the profile table)."""
+    c = Tables(spark, d).customer
+    return ag.archetypes(c, "c_mktsegment", ["c_acctbal"]).withColumn("c_acctbal", F.round("c_acctbal", 6))
+
+
+@query("n13_cluster_tests")
+def n13_tests(spark, d):
+    """Kruskal-Wallis of a feature across clusters plus discrete profile shares."""
+    c = Tables(spark, d).customer
+    kw = st.kruskal_wallis(c, "c_mktsegment", "c_acctbal").select(F.lit("kruskal").alias("test"), F.col("h").alias("stat"),
+                                                                   "p_value")
+    return kw
