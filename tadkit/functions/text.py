@@ -39,7 +39,8 @@ HTML_ENTITIES = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;":
 
 def strip_html(x) -> Column:
     """Visible text of an HTML page: drop script/style bodies, tags, decode entities."""
-    s = F.regexp_replace(_c(x), r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ")
+    s = F.regexp_replace(_c(x), r"(?is)<script[^>]*>.*?</script\s*>", " ")
+    s = F.regexp_replace(s, r"(?is)<style[^>]*>.*?</style\s*>", " ")
     s = F.regexp_replace(s, r"(?s)<!--.*?-->", " ")
     s = F.regexp_replace(s, r"<[^>]*>", " ")
     for ent, ch in HTML_ENTITIES.items():
@@ -56,6 +57,12 @@ def remove_standalone_digits(x) -> Column:
     return F.regexp_replace(_c(x), r"\b\d+\b", " ")
 
 
+def drop_digit_tokens(tokens) -> Column:
+    """Standalone numbers as whole tokens (word-boundary rules differ between
+    regex engines for accented text, so this works on the token array)."""
+    return F.filter(_c(tokens), lambda t: ~t.rlike(r"^[0-9]+$"))
+
+
 def remove_emails(x) -> Column:
     return F.regexp_replace(_c(x), r"\S*@\S*\s?", " ")
 
@@ -74,22 +81,46 @@ def tokenize(x, pattern: str = r"[^\p{L}\p{N}]+", lower: bool = True) -> Column:
 
 
 # H16
+def _spark_stop_words(lang: str) -> list[str]:
+    """Spark's bundled list for ``lang`` (read from the ML jar, so no running
+    JVM is needed; identical to ``StopWordsRemover.loadDefaultStopWords``)."""
+    import glob
+    import os
+    import zipfile
+
+    import pyspark
+    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
+    if not jars:
+        return list(StopWordsRemover.loadDefaultStopWords(lang))
+    with zipfile.ZipFile(jars[0]) as z:
+        return z.read(f"org/apache/spark/ml/feature/stopwords/{lang}.txt").decode("utf-8").split()
+
+
 def stop_words(langs: Iterable[str] = ("english",), extra: Iterable[str] = (),
                remove: Iterable[str] = ()) -> list[str]:
     """Union of Spark's built-in lists for the languages, edited."""
     words: set[str] = set()
     for lang in langs:
-        words.update(StopWordsRemover.loadDefaultStopWords(lang))
+        words.update(_spark_stop_words(lang))
     words.update(extra)
     words.difference_update(remove)
     return sorted(words)
 
 
 def remove_stop_words(tokens, words: Iterable[str]) -> Column:
+    """Column form (linear scan of the list per token; fine for short lists)."""
     arr = F.array(*[F.lit(w) for w in words])
     return F.filter(_c(tokens), lambda t: ~F.array_contains(arr, t))
 
 
+def drop_stop_words(df: DataFrame, tokens: str, words: Iterable[str], out: str | None = None) -> DataFrame:
+    """DataFrame form through ``StopWordsRemover`` (hash-set lookup in the JVM)."""
+    out = out or tokens
+    tmp = "_sw_out" if out == tokens else out
+    res = StopWordsRemover(inputCol=tokens, outputCol=tmp, stopWords=list(words), caseSensitive=True).transform(df)
+    return res.drop(tokens).withColumnRenamed(tmp, out) if out == tokens else res
+
+
 # H17
 def alphabetic_only(tokens) -> Column:
     return F.filter(_c(tokens), lambda t: t.rlike(r"^\p{L}+$"))
