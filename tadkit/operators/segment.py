@@ -45,6 +45,33 @@ def distance(a, b, p: float = 2.0) -> Column:
     return F.pow(s, F.lit(1.0 / p))
 
 
+def _np_distance(p: float):
+    @F.pandas_udf("double")
+    def dist(a: pd.Series, b: pd.Series) -> pd.Series:
+        if len(a) == 0:
+            return pd.Series([], dtype="float64")
+        A = np.stack(a.to_numpy())
+        B = np.stack(b.to_numpy())
+        D = np.abs(A - B)
+        if p == 2:
+            return pd.Series(np.sqrt(np.einsum("ij,ij->i", D, D)))
+        if p == 1:
+            return pd.Series(D.sum(axis=1))
+        return pd.Series(np.power(np.power(D, p).sum(axis=1), 1.0 / p))
+    return dist
+
+
+def fast_distance(a, b, p: float = 2.0) -> Column:
+    """Minkowski distance of two array<double> columns, Arrow-batched numpy.
+
+    Higher-order array functions are evaluated per element outside code
+    generation; for long vectors and many pairs the vectorised form is far
+    cheaper."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    return _np_distance(p)(a, b)
+
+
 def mean_vector(df: DataFrame, vec: str, by: Sequence[str] = (), out: str = "centroid") -> DataFrame:
     """Element-wise mean of an array column per group (partial-aggregated)."""
     by = list(by)
@@ -245,8 +272,8 @@ def _project(df: DataFrame, vec: str, dims: int, p: float, ref: DataFrame | None
     return cols
 
 
-def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, dims: int = 2,
-        per_cell: int = 32, exclude_self: bool = False, max_rounds: int = 40) -> DataFrame:
+def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, dims: int = 3,
+        per_cell: int = 64, exclude_self: bool = False, max_rounds: int = 40, growth: int = 4) -> DataFrame:
     """Exact k nearest references of every query: (query_id, ref_id, dist, rank).
 
     Round r uses grid cells of side h * 2^r over a distance-contracting
@@ -255,21 +282,23 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
     projection, hence in full space), so a query whose k-th candidate
     distance is within that radius is final; the others go to the next,
     coarser round.  No query is ever paired with the whole reference table
-    unless the grid has become a single cell.
+    unless the grid has become a single cell.  Rounds are deterministic, so
+    their intermediates are persisted (recomputed from lineage if an
+    executor is lost) rather than written out each round.
     """
     proj_r = _project(refs, vec, dims, p)
     proj_q = _project(queries, vec, dims, p, ref=refs)
     r = refs.select(F.col(key).alias("ref_id"), to_array(vec).alias("_rx"), *[c.alias(f"_z{i}") for i, c in enumerate(proj_r)])
     q = queries.select(F.col(key).alias("query_id"), to_array(vec).alias("_qx"),
                        *[c.alias(f"_w{i}") for i, c in enumerate(proj_q)])
-    r, q = cut_lineage(r), cut_lineage(q)
+    r, q = r.persist(), q.persist()
     st = r.agg(F.count(F.lit(1)).alias("n"), *[F.min(f"_z{i}").alias(f"lo{i}") for i in range(dims)],
                *[F.max(f"_z{i}").alias(f"hi{i}") for i in range(dims)]).first()
     span = [max(st[f"hi{i}"] - st[f"lo{i}"], 1e-12) for i in range(dims)]
     h0 = max(math.prod(span) / max(1.0, st["n"] / per_cell), 1e-300) ** (1.0 / dims)
     pending, done = q, None
     for rnd in range(max_rounds):
-        h = h0 * (2 ** rnd)
+        h = h0 * (growth ** rnd)
         rc = r.select("ref_id", "_rx", *[F.floor(F.col(f"_z{i}") / h).cast("long").alias(f"_c{i}") for i in range(dims)])
         ex = pending
         for i in range(dims):
@@ -278,9 +307,9 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
         cand = ex.join(rc, [f"_c{i}" for i in range(dims)])
         if exclude_self:
             cand = cand.filter(F.col("query_id") != F.col("ref_id"))
-        cand = cand.select("query_id", "ref_id", distance("_qx", "_rx", p).alias("dist"))
+        cand = cand.select("query_id", "ref_id", fast_distance("_qx", "_rx", p).alias("dist"))
         w = Window.partitionBy("query_id").orderBy("dist", "ref_id")
-        top = cut_lineage(cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
+        top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).persist()
         final = h > 2 * max(span)          # 3^dims cells now cover every reference
         if final:
             res = top
@@ -288,7 +317,7 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
             stat = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_kd"))
             ok = stat.filter((F.col("_n") >= k) & (F.col("_kd") <= h)).select("query_id")
             res = top.join(ok, "query_id", "left_semi")
-            pending = cut_lineage(pending.join(ok, "query_id", "left_anti"))
+            pending = pending.join(ok, "query_id", "left_anti").persist()
         done = res if done is None else done.unionByName(res)
         if final or pending.limit(1).count() == 0:
             break

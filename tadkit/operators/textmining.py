@@ -55,9 +55,20 @@ def ngrams(tokens, n_min: int = 1, n_max: int = 1) -> Column:
 _ngrams_safe = ngrams
 
 
-def term_counts(df: DataFrame, doc: str, tokens: str) -> DataFrame:
-    """(doc, term, tf) for every term of every document."""
-    return df.select(doc, F.explode(tokens).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+def term_counts(df: DataFrame, doc: str, tokens: str, by_doc: bool = True) -> DataFrame:
+    """(doc, term, tf) for every term of every document.
+
+    With ``by_doc`` the documents are hash-partitioned by id *before*
+    exploding, so the (doc, term) aggregation and any later per-document step
+    (normalisation windows) reuse that partitioning instead of shuffling the
+    exploded rows.  ``explode_outer`` + a null filter keeps Catalyst from
+    inferring a size() filter that would re-run the tokenizer below the
+    exchange."""
+    src = df.select(doc, tokens)
+    if by_doc:
+        src = src.repartition(doc)
+    ex = src.select(doc, F.explode_outer(tokens).alias("term")).filter(F.col("term").isNotNull())
+    return ex.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 # O1 ------------------------------------------------------------------------
@@ -89,16 +100,21 @@ def tfidf(df: DataFrame, doc: str, tokens: str, n_min: int = 1, n_max: int = 1,
           max_features: int | None = None, smooth: bool = True, norm: bool = True) -> DataFrame:
     """scikit-learn TF-IDF as DataFrame ops: idf = ln((1 + n) / (1 + df)) + 1
     (smooth), weight = tf * idf, l2-normalised per document.  Long output
-    (doc, term, weight) — the sparse matrix without a driver-side vocabulary."""
-    grams = df.select(doc, _ngrams_safe(tokens, n_min, n_max).alias("_g"))
+    (doc, term, weight) — the sparse matrix without a driver-side vocabulary.
+
+    Shuffles: documents by id once (term counts and norms stay local to it),
+    partial vocabulary counts by term once; the vocabulary (<= max_features
+    rows) is broadcast."""
+    grams = df.select(doc, ngrams(tokens, n_min, n_max).alias("_g"))
     tc = term_counts(grams, doc, "_g")
     n = df.agg(F.count_distinct(doc)).scalar()
     v = vocabulary(tc, doc, max_features, min_df)
     idf = (F.log((1 + n) / (1 + F.col("df"))) + 1) if smooth else (F.log(n / F.col("df")) + 1)
-    w = tc.join(v.select("term", idf.alias("idf")), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    vb = v.select("term", idf.alias("idf"))
+    vb = F.broadcast(vb) if max_features else vb           # bounded by max_features
+    w = tc.join(vb, "term").withColumn("w", F.col("tf") * F.col("idf"))
     if norm:
-        nrm = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
-        w = w.join(nrm, doc).withColumn("w", F.col("w") / F.col("_n")).drop("_n")
+        w = w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc))))
     return w.select(doc, "term", F.col("w").alias("weight"))
 
 

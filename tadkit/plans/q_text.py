@@ -14,7 +14,7 @@ from tadkit.functions import text as tx
 from tadkit.operators import textmining as tm
 from tadkit.operators.segment import kmeans
 from tadkit.plans.registry import query
-from tadkit.session import Tables, scratch_path
+from tadkit.session import Tables, scratch_path, spread
 
 _TOK_SQL = "list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: length(t) > 0)"
 
@@ -308,7 +308,7 @@ def h27_clip(spark, d):
 
 # ---------------------------------------------------------------- O ------------
 def _docs_tok(spark, d):
-    return Tables(spark, d).documents.select("doc_id", tx.tokenize("text").alias("tokens"))
+    return spread(Tables(spark, d).documents).select("doc_id", tx.tokenize("text").alias("tokens"))
 
 
 @query("o1_bag_of_words_vocabulary", f"""

@@ -39,6 +39,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "12g"          # local mode: the driver JVM is the executor
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -93,3 +95,13 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         return table(self.spark, self.sf_dir, name)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when a scan yields fewer partitions than the
+    cluster's parallelism (few large row groups), before CPU-heavy per-row
+    work such as tokenising text.  A no-op when the input is already split
+    finely, as it is on a large table."""
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
