@@ -286,6 +286,7 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
     their intermediates are persisted (recomputed from lineage if an
     executor is lost) rather than written out each round.
     """
+    dims = max(1, min(dims, len(refs.select(vec).first()[0])))   # no more axes than coordinates
     proj_r = _project(refs, vec, dims, p)
     proj_q = _project(queries, vec, dims, p, ref=refs)
     r = refs.select(F.col(key).alias("ref_id"), to_array(vec).alias("_rx"), *[c.alias(f"_z{i}") for i, c in enumerate(proj_r)])
