@@ -449,3 +449,14 @@ def l11_sampling(spark, d):
 def l12_smote(spark, d):
     e = _emb(spark, d).withColumn("label", (F.col("label") == 0).cast("double"))
     return fe.smote(e, "vec_id", "label", 1.0, "embedding", k=5)
+
+
+@query("k18_feature_importance_table")
+def k18_importances(spark, d):
+    """Importances of a tree ensemble and coefficients of a linear model, named."""
+    x = md.with_features(_orders_xy(spark, d), _OX)
+    rf = md.forest(n_trees=10, maxDepth=4).fit(x)
+    lr = LogisticRegression(maxIter=20).fit(x)
+    rows = [("forest", f, v) for f, v in md.coefficient_table(rf, _OX)] + \
+           [("logistic", f, v) for f, v in md.coefficient_table(lr, _OX)]
+    return spark.createDataFrame(rows, "model string, feature string, value double")
