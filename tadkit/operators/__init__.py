@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators (joins, aggregation, windows, quality, statistics, models, clustering, text)."""

@@ -8,6 +8,7 @@ one window partition holding the whole group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -202,17 +203,87 @@ def freq_table(df: DataFrame, col: str, order: str = "value") -> DataFrame:
 DESCRIBE_PCTS = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+    """Exact linear-interpolated quantiles ``{(col, p): value}`` without a
+    single-task buffer.
+
+    Values are counted per distinct value (partial-aggregated), cumulative
+    counts run over a range-partitioned order, and only the two ranks
+    around (n - 1) p per (column, p) are picked (a bounded table of
+    cols x probs x 2 rows is broadcast for that).  Same definition as pandas
+    ``quantile`` / DuckDB ``quantile_cont``.
+    """
+    from pyspark.sql import Row
+    from tadkit.operators.frame import cumulative_sum
+
+    cols, probs = list(cols), list(probs)
+    long = melt(df.select(*cols), [], cols, "variable", "value", cast="double")
+    long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("c"))
+    ns = {r["variable"]: r["n"] for r in counts.groupBy("variable").agg(F.sum("c").alias("n")).collect()}
+    targets = []
+    for v, n in ns.items():
+        for p in probs:
+            h = (n - 1) * p
+            lo, hi = int(math.floor(h)), int(math.ceil(h))
+            targets += [Row(variable=v, p=float(p), which=0, rank=lo), Row(variable=v, p=float(p), which=1, rank=hi)]
+    out = {(c, float(p)): None for c in cols for p in probs}
+    if not targets:
+        return out
+    tdf = df.sparkSession.createDataFrame(targets, "variable string, p double, which int, rank long")
+    cum = cumulative_sum(counts, ["variable"], ["value"], ["c"])
+    hit = cum.join(F.broadcast(tdf), "variable").filter(
+        (F.col("rank") >= F.col("c_cum") - F.col("c")) & (F.col("rank") < F.col("c_cum")))
+    got = {(r["variable"], r["p"], r["which"]): r["value"] for r in hit.select("variable", "p", "which", "value").collect()}
+    for v, n in ns.items():
+        for p in probs:
+            h = (n - 1) * float(p)
+            lo = math.floor(h)
+            x0, x1 = got[(v, float(p), 0)], got[(v, float(p), 1)]
+            out[(v, float(p))] = x0 + (h - lo) * (x1 - x0)
+    return out
+
+
+# Distinct values under which Spark's exact ``percentile`` buffer (one map of
+# value -> count per group) is small enough to merge in one task.
+EXACT_BUFFER_MAX = 1_000_000
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    buffer_max: int = EXACT_BUFFER_MAX) -> dict:
+    """Exact interpolated quantiles ``{(col, p): value}``, method chosen per column
+    from a checked bound: ``approx_count_distinct`` (one pass) <= buffer_max ->
+    Spark ``percentile`` in one aggregate; otherwise ``exact_quantiles``."""
+    cols, probs = list(cols), [float(p) for p in probs]
+    nd = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
+    small = [c for c in cols if nd[c] <= buffer_max]
+    big = [c for c in cols if nd[c] > buffer_max]
+    out = {}
+    if small:
+        row = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c)
+                       for c in small]).first()
+        for c in small:
+            for i, p in enumerate(probs):
+                out[(c, p)] = None if row[c] is None else row[c][i]
+    if big:
+        out.update(exact_quantiles(df, big, probs))
+    return out
+
+
 def describe(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = DESCRIBE_PCTS,
              exact: bool = True, accuracy: int = 100000) -> DataFrame:
-    """pandas ``describe(percentiles=...)`` as a long table, one pass.
+    """pandas ``describe(percentiles=...)`` as a long table.
 
-    ``exact`` uses linear-interpolated ``percentile`` (pandas semantics);
-    ``exact=False`` uses the bounded-memory mergeable sketch for huge inputs.
+    Moments come from one aggregate; ``exact`` quantiles come from
+    ``quantile_values`` (bounded-buffer or distributed, linear interpolation
+    = pandas), while
+    ``exact=False`` uses the bounded-memory mergeable sketch.
     """
     exprs = []
+    qv = quantile_values(df, cols, percentiles) if exact else None
     for c in cols:
         x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(*[F.lit(p) for p in percentiles])) if exact
+        q = (F.array(*[F.lit(qv[(c, float(p))]).cast("double") for p in percentiles]) if exact
              else F.percentile_approx(x, list(percentiles), accuracy))
         exprs.append(F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"),
                               F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
@@ -350,8 +421,13 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 
 def box_stats(df: DataFrame, col: str, by=None) -> DataFrame:
+    """Min, quartiles, max (per group, or global through ``quantile_values``)."""
     by = _cols(by)
     x = F.col(col).cast("double")
+    if not by:
+        q = quantile_values(df, [col], [0.25, 0.5, 0.75])
+        return df.agg(F.min(x).alias("min"), F.lit(q[(col, 0.25)]).alias("q1"), F.lit(q[(col, 0.5)]).alias("median"),
+                      F.lit(q[(col, 0.75)]).alias("q3"), F.max(x).alias("max"))
     q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     exprs = [F.min(x).alias("min"), q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), F.max(x).alias("max")]
     return df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tadkit.operators.aggregate import quantile_values
 from tadkit.operators.joins import broadcast_if_small
 
 
@@ -124,11 +125,11 @@ def columns_to_drop(df: DataFrame, cols: Sequence[str] | None = None, max_missin
 def percentile_flags(df: DataFrame, cols: Sequence[str], low: float = 0.01, high: float = 0.99,
                      prefix: str = "per_", total: str = "outlier_count") -> DataFrame:
     """Flag values outside [q_low, q_high] per column; count flags per row."""
-    qs = df.agg(*[F.percentile(c, F.array(F.lit(low), F.lit(high))).alias(c) for c in cols])
+    qv = quantile_values(df, cols, [low, high])
     flags = {}
     for c in cols:
-        q = qs.select(c).scalar()
-        flags[prefix + c] = ((F.col(c) < q[0]) | (F.col(c) > q[1])).cast("int")
+        lo, hi = F.lit(qv[(c, float(low))]), F.lit(qv[(c, float(high))])
+        flags[prefix + c] = ((F.col(c) < lo) | (F.col(c) > hi)).cast("int")
     out = df.withColumns(flags)
     return out.withColumn(total, sum(F.coalesce(F.col(prefix + c), F.lit(0)) for c in cols))
 
@@ -139,22 +140,22 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], alpha: float = 1.0) -> DataFr
     that survived the previous variables (the source's semantics)."""
     out = df
     for c in cols:
-        q = out.agg(F.percentile(c, F.array(F.lit(0.25), F.lit(0.75)))).scalar()
-        iqr = q[1] - q[0]
-        out = out.filter((F.col(c) >= q[0] - alpha * iqr) & (F.col(c) <= q[1] + alpha * iqr))
+        qv = quantile_values(out, [c], [0.25, 0.75])
+        q1, q3 = qv[(c, 0.25)], qv[(c, 0.75)]
+        iqr = q3 - q1
+        out = out.filter((F.col(c) >= F.lit(q1 - alpha * iqr)) & (F.col(c) <= F.lit(q3 + alpha * iqr)))
     return out
 
 
 # J11 -----------------------------------------------------------------------
 def mean_iqr_filter(df: DataFrame, cols: Sequence[str], k: float = 3.0) -> DataFrame:
     """Drop rows with any value outside mean +- k * IQR (fences from one pass)."""
-    st = df.agg(*[F.struct(F.avg(c).alias("m"), F.percentile(c, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).alias(c)
-                  for c in cols])
+    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    qv = quantile_values(df, cols, [0.25, 0.75])
     cond = F.lit(True)
     for c in cols:
-        s = st.select(c).scalar()
-        iqr = s["q"][1] - s["q"][0]
-        cond = cond & (F.col(c) >= s["m"] - k * iqr) & (F.col(c) <= s["m"] + k * iqr)
+        iqr = qv[(c, 0.75)] - qv[(c, 0.25)]
+        cond = cond & (F.col(c) >= F.lit(means[c] - k * iqr)) & (F.col(c) <= F.lit(means[c] + k * iqr))
     return df.filter(cond)
 
 

@@ -462,8 +462,10 @@ def isolation_forest(df: DataFrame, key: str, vec: str, n_trees: int = 100, samp
             yield pd.DataFrame({"_id": pdf["_id"], "score": np.power(2.0, -h / cpsi)})
 
     scored = x.mapInPandas(score, f"_id {dict(x.dtypes)['_id']}, score double")
-    cut = scored.agg(F.percentile("score", F.lit(1 - contamination))).scalar()
-    return scored.select(F.col("_id").alias(key), "score", (F.col("score") > cut).alias("outlier"))
+    from tadkit.operators.aggregate import quantile_values
+    scored = scored.persist()
+    cut = quantile_values(scored, ["score"], [1 - contamination])[("score", float(1 - contamination))]
+    return scored.select(F.col("_id").alias(key), "score", (F.col("score") > F.lit(cut)).alias("outlier"))
 
 
 # N10 -----------------------------------------------------------------------

@@ -121,19 +121,26 @@ tukey_sf_col = _udf_double(lambda q, k, d: studentized_range_sf(float(q), int(k)
 
 # ---------------------------------------------------------------------------
 # K16 / K17 / K15 : binning
-def quantile_edges(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
-    """One row; per column the distinct exact quantile edges at i / bins.
-
-    (``exact`` interpolated quantiles like ``pd.qcut``; for very large inputs
-    ``percentile_approx`` gives bounded-memory edges with the same shape.)"""
+def quantile_edges(df: DataFrame, cols: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Per column the distinct exact quantile edges at i / bins (``pd.qcut``
+    with duplicates dropped); <= bins + 1 values per column."""
+    from tadkit.operators.aggregate import quantile_values
     probs = [i / bins for i in range(bins + 1)]
-    return df.agg(*[F.array_distinct(F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])))
-                    .alias(c) for c in cols])
+    qv = quantile_values(df, cols, probs)
+    out = {}
+    for c in cols:
+        vals = []
+        for p in probs:
+            v = qv[(c, float(p))]
+            if v is not None and v not in vals:
+                vals.append(float(v))
+        out[c] = vals
+    return out
 
 
 def edges_literal(df: DataFrame, col: str, bins: int) -> Column:
     """Quantile edges of one column as a literal array (one small job)."""
-    return F.array(*[F.lit(float(v)) for v in quantile_edges(df, [col], bins).first()[col]])
+    return F.array(*[F.lit(float(v)) for v in quantile_edges(df, [col], bins)[col]])
 
 
 def bin_by_edges(x, edges: Column) -> Column:
@@ -190,7 +197,7 @@ def woe_table(df: DataFrame, target: str, cols: Sequence[str], bins: int = 20, b
     # Bin edges are tiny (<= bins + 1 values per variable): like Spark's
     # QuantileDiscretizer splits they are fetched once and inlined as literals.
     if binned and binning == "quantile":
-        row = quantile_edges(df, binned, bins).first()
+        row = quantile_edges(df, binned, bins)
         edge_cols = {c: F.array(*[F.lit(float(v)) for v in row[c]]) for c in binned}
     elif binned:
         row = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)

@@ -1,0 +1 @@
+"""Composed jobs and the registry of checkable queries."""

@@ -1,0 +1 @@
+"""Sources and sinks: files, catalog tables, JDBC, persisted models."""

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analytical workload this library covers is batch only: it has no
+stream sources, watermarks, event-time windows or stateful operators, so
+nothing is defined here.  Every operator is a DataFrame -> DataFrame
+function and can be applied inside ``foreachBatch`` if a caller streams
+micro-batches through it.
+"""
