@@ -183,20 +183,28 @@ def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
     return counts.select(col, "n", (F.col("n") / total).alias("share"))
 
 
-def freq_table(df: DataFrame, col: str, order: str = "value") -> DataFrame:
+def freq_table(df: DataFrame, col: str, order: str = "value", window_max: int = 100_000) -> DataFrame:
     """Frequency table FA / FR / FAA / FRA in value order (or count order).
 
     The cumulative sums run over the *distinct values* (already reduced by a
-    partial aggregate), never over raw rows.
+    partial aggregate).  When that table is small (checked: at most
+    ``window_max`` rows) one ordered window is enough; otherwise the running
+    sums use the range-partitioned ``cumulative_sum``.
     """
     counts = value_counts(df, col, dropna=(order == "value"))
     if order == "value":
-        w = Window.orderBy(F.col(col).asc_nulls_last())
+        keys = [F.col(col).asc_nulls_last()]
     else:  # D14: descending frequency, nulls kept, value as tie-break
-        w = Window.orderBy(F.col("n").desc(), F.col(col).asc_nulls_first())
-    w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.select(col, F.col("n").alias("fa"), F.col("share").alias("fr"),
-                         F.sum("n").over(w).alias("faa"), F.sum("share").over(w).alias("fra"))
+        keys = [F.col("n").desc(), F.col(col).asc_nulls_first()]
+    if counts.limit(window_max + 1).count() <= window_max:
+        w = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return counts.select(col, F.col("n").alias("fa"), F.col("share").alias("fr"),
+                             F.sum("n").over(w).alias("faa"), F.sum("share").over(w).alias("fra"))
+    from tadkit.operators.frame import cumulative_sum
+    c = counts.withColumn("_k1", F.col(col) if order == "value" else -F.col("n"))
+    cum = cumulative_sum(c, [], ["_k1"] + ([] if order == "value" else [col]), ["n", "share"])
+    return cum.select(col, F.col("n").alias("fa"), F.col("share").alias("fr"), F.col("n_cum").alias("faa"),
+                      F.col("share_cum").alias("fra"))
 
 
 # D15 -----------------------------------------------------------------------
@@ -380,14 +388,15 @@ def ordered_basket(df: DataFrame, by: str, order: str, item: str, max_len: int =
                    alias: str = "items") -> DataFrame:
     """Items per entity in time order, in segments of at most ``max_len``.
 
-    A single entity never becomes one unbounded array: its history is cut in
-    consecutive segments (the same cut Spark's Word2Vec applies to long
-    sentences), keyed by (entity, seg).
+    Positions come from a range-partitioned running count (a heavy entity is
+    cut across range partitions, never sorted in one task), and an entity's
+    history is stored as consecutive segments (the same cut Spark's Word2Vec
+    applies to long sentences), keyed by (entity, seg).
     """
-    w = Window.partitionBy(by).orderBy(order, item)
-    pos = F.row_number().over(w) - 1
-    seg = df.select(by, order, item, pos.alias("_pos")).withColumn(
-        "seg", (F.col("_pos") / max_len).cast("long"))
+    from tadkit.operators.frame import cumulative_sum
+    x = df.select(by, order, item).withColumn("_one", F.lit(1))
+    pos = cumulative_sum(x, [by], [order, item], ["_one"]).withColumn("_pos", F.col("_one_cum") - 1)
+    seg = pos.withColumn("seg", (F.col("_pos") / max_len).cast("long"))
     return seg.groupBy(by, "seg").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_pos", item))), lambda s: s[item]).alias(alias))
 

@@ -113,7 +113,7 @@ def add_row_id(df: DataFrame, order_by: Sequence, alias: str = "row_id",
     counts = sorted_df.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
     return (sorted_df.withColumn("_pid", pid).withColumn("_loc", local)
-            .join(F.broadcast(offsets), "_pid")
+            .join(F.broadcast(offsets), "_pid")          # one row per partition
             .withColumn(alias, F.col("_off") + F.col("_loc") + 1)
             .drop("_mid", "_pid", "_loc", "_off"))
 
@@ -192,7 +192,8 @@ def last_periods_split(df: DataFrame, period: str, n_test: int) -> DataFrame:
     """F7 by periods: the last ``n_test`` distinct periods are test."""
     periods = df.select(period).distinct()
     cut = periods.withColumn("_r", F.dense_rank().over(Window.orderBy(F.col(period).desc())))
-    return df.join(F.broadcast(cut), period).withColumn(
+    from tadkit.operators.joins import broadcast_if_small
+    return df.join(broadcast_if_small(cut), period).withColumn(
         "sample", F.when(F.col("_r") <= n_test, F.lit("test")).otherwise(F.lit("train"))).drop("_r")
 
 

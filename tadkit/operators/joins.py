@@ -108,5 +108,6 @@ def calendar_dimension(df: DataFrame, date_col: str) -> DataFrame:
 
 def with_month_id(df: DataFrame, date_col: str) -> DataFrame:
     cal = calendar_dimension(df, date_col)
+    # one row per calendar month of the data's span: bounded by the calendar
     return df.withColumn("month", F.trunc(F.col(date_col).cast("date"), "month")).join(
         F.broadcast(cal), "month", "left")

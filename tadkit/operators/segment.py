@@ -365,7 +365,8 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5,
     border = pairs.join(lab.withColumnRenamed("_id", "_b"), "_b").join(core.withColumnRenamed("_id", "_a"), "_a", "left_anti") \
         .groupBy("_a").agg(F.min("_l").alias("_l")).withColumnRenamed("_a", "_id")
     all_l = lab.unionByName(border)
-    ids = all_l.select("_l").distinct().withColumn("cluster", F.dense_rank().over(Window.orderBy("_l")) - 1)
+    from tadkit.operators.frame import add_row_id
+    ids = add_row_id(all_l.select("_l").distinct(), ["_l"], alias="cluster").withColumn("cluster", F.col("cluster") - 1)
     out = x.select("_id").join(all_l, "_id", "left").join(ids, "_l", "left")
     return out.select(F.col("_id").alias(key), F.coalesce(F.col("cluster"), F.lit(-1)).cast("int").alias("cluster"))
 

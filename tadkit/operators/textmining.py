@@ -238,8 +238,8 @@ def most_similar(vectors: DataFrame, key: str, vec: str, queries: dict, top_n: i
     if exclude:
         for q, ids in exclude.items():
             scored = scored.filter(~((F.col("query") == str(q)) & F.col(key).isin(list(ids))))
-    w = Window.partitionBy("query").orderBy(F.col("similarity").desc(), key)
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
+    from tadkit.operators.windows import top_k
+    return top_k(scored, "query", [F.col("similarity").desc(), F.col(key)], top_n)
 
 
 def basket_mean_vector(baskets: DataFrame, key: str, items: str, vectors: DataFrame) -> DataFrame:
