@@ -26,9 +26,10 @@ def vectorized(fn: Callable[..., pd.Series], return_type: DataType | str) -> Cal
 def mean_of_lag_ratio(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, alias: str) -> DataFrame:
     """A custom group aggregate (mean of x_t / x_{t-1} - 1) expressed with
     built-ins, so it is partial-aggregated instead of gathering the group."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    r = F.try_divide(F.col(value), F.lag(value).over(w)) - 1
-    return df.select(*by, r.alias("_r")).groupBy(*by).agg(F.avg("_r").alias(alias))
+    from tadkit.operators.windows import lag_columns
+    x = lag_columns(df, list(by), list(order), value, [1], prefix="_lag")
+    r = F.try_divide(F.col(value), F.col("_lag1")) - 1
+    return x.select(*by, r.alias("_r")).groupBy(*by).agg(F.avg("_r").alias(alias))
 
 
 # I4 ------------------------------------------------------------------------

@@ -344,10 +344,11 @@ def missing_share(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 # D19 -----------------------------------------------------------------------
 def mean_period_change(df: DataFrame, by, order: str, value: str, alias: str = "mean_change") -> DataFrame:
     """Average of x_t / x_{t-1} - 1 per group (first period has no change)."""
+    from tadkit.operators.windows import lag_columns
     by = _cols(by)
-    w = Window.partitionBy(*by).orderBy(order)
-    chg = F.try_divide(F.col(value), F.lag(value).over(w)) - 1
-    return df.select(*by, chg.alias("_chg")).groupBy(*by).agg(F.avg("_chg").alias(alias))
+    x = lag_columns(df, by, order, value, [1], prefix="_lag")
+    chg = F.try_divide(F.col(value), F.col("_lag1")) - 1
+    return x.select(*by, chg.alias("_chg")).groupBy(*by).agg(F.avg("_chg").alias(alias))
 
 
 # D20 -----------------------------------------------------------------------

@@ -77,6 +77,43 @@ def running_sum(df: DataFrame, by, order: Sequence, value: str, alias: str = "ru
     return out
 
 
+# Lags with a hot-key guard ------------------------------------------------------
+# Largest group a window may sort in one task; above it lags come from a
+# positional self-join instead.
+WINDOW_GROUP_MAX = 5_000_000
+
+
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+
+
+def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence, value: str, lags: Sequence[int],
+                prefix: str = "lag", group_max: int = WINDOW_GROUP_MAX) -> DataFrame:
+    """Add ``{prefix}{i}`` = value i rows earlier in ``order`` within ``by``.
+
+    ``order`` must be a total order.  When the largest group (checked with
+    one aggregate) fits ``group_max`` this is a plain window; otherwise each
+    row gets its position from a range-partitioned running count (a hot key
+    is cut across partitions) and the lags come from one shuffle on
+    (key, position), which spreads a hot key over all reducers.
+    """
+    by, order = list(by), _cols(order)
+    if largest_group(df, by) <= group_max:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return df.withColumns({f"{prefix}{i}": F.lag(value, i).over(w) for i in lags})
+    from tadkit.operators.frame import cumulative_sum
+    ocols = [f"_o{i}" for i in range(len(order))]
+    x = df.select("*", *[o.alias(n) if isinstance(o, Column) else F.col(o).alias(n) for o, n in zip(order, ocols)])
+    pos = cumulative_sum(x.withColumn("_one", F.lit(1)), by, ocols, ["_one"]).withColumnRenamed("_one_cum", "_pos") \
+        .drop("_one", *ocols)
+    shifted = pos.select(*by, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), (F.col("_pos") + i).alias("_pos"))
+                                                   for i in lags])).alias("_s"), F.col(value).alias("_v")) \
+        .select(*by, "_s.i", "_s._pos", "_v")
+    wide = shifted.groupBy(*by, "_pos").agg(*[F.first(F.when(F.col("i") == i, F.col("_v")), ignorenulls=True)
+                                               .alias(f"{prefix}{i}") for i in lags])
+    return pos.join(wide, [*by, "_pos"], "left").drop("_pos")
+
+
 # E4 ------------------------------------------------------------------------
 def first_per_group(df: DataFrame, by, order: Sequence[str]) -> DataFrame:
     """First row per group in ``order`` (aggregate, not a window)."""
@@ -92,12 +129,12 @@ def period_changes(df: DataFrame, by, order: str, value: str) -> DataFrame:
     greater than the current one, ``dec`` when it is smaller.
     """
     by = _cols(by)
-    w = Window.partitionBy(*by).orderBy(order)
-    prev = F.lag(value).over(w)
-    return df.withColumns({
+    x = lag_columns(df, by, order, value, [1], prefix="_lag")
+    prev = F.col("_lag1")
+    return x.withColumns({
         "prev": prev,
         "chg": F.try_divide(F.col(value) - prev, prev),
-    }).withColumns({
+    }).drop("_lag1").withColumns({
         "inc": (F.col("prev") > F.col(value)).cast("int"),
         "dec": (F.col("prev") < F.col(value)).cast("int"),
     })
@@ -226,8 +263,7 @@ def forward_target(df: DataFrame, key: str, period: str, order: str, value: str,
 def lag_frame(df: DataFrame, by, order: str, value: str, lags: int, prefix: str = "lag") -> DataFrame:
     """(x_{t-L} .. x_{t-1}) -> x_t rows; rows without a full history dropped."""
     by = _cols(by)
-    w = Window.partitionBy(*by).orderBy(order)
-    out = df.withColumns({f"{prefix}{i}": F.lag(value, i).over(w) for i in range(1, lags + 1)})
+    out = lag_columns(df, by, order, value, list(range(1, lags + 1)), prefix=prefix)
     return out.filter(F.col(f"{prefix}{lags}").isNotNull())
 
 

@@ -193,3 +193,12 @@ def test_year_ago_calendar(spark):
     df = spark.createDataFrame(rows, "id long, u long, ts timestamp, v double")
     r = {x["id"]: x["value_mean_year_ago"] for x in wn.year_ago_mean(df, "u", "ts", "v", "id").collect()}
     assert r[1] == pytest.approx(6.0)          # 2023-02-28 and 2023-01-29 (30 days before), not 01-28
+
+
+def test_lag_columns_positional_path_matches_window(spark):
+    from tadkit.operators.windows import lag_columns
+    rows = [("hot", i, float(i * i % 13)) for i in range(400)] + [("cold", i, float(i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, t int, v double")
+    a = {(r["k"], r["t"]): (r["lag1"], r["lag2"]) for r in lag_columns(df, ["k"], ["t"], "v", [1, 2]).collect()}
+    b = {(r["k"], r["t"]): (r["lag1"], r["lag2"]) for r in lag_columns(df, ["k"], ["t"], "v", [1, 2], group_max=10).collect()}
+    assert a == b and a[("hot", 0)] == (None, None) and a[("hot", 2)] == (1.0, 0.0)
