@@ -269,9 +269,9 @@ def lag_regression_forecast(series: DataFrame, key: str, t: str, y: str, lags: i
     The normal equations (X'X, X'y) are partial-aggregated sums per series,
     so a long series is never gathered; each series' (lags+1)^2 system and
     its last ``lags`` values feed a small pandas UDF that rolls forward."""
-    w = Window.partitionBy(key).orderBy(t)
-    x = series.select(key, t, F.col(y).cast("double").alias("_y"),
-                      *[F.lag(y, i).over(w).cast("double").alias(f"_l{i}") for i in range(1, lags + 1)])
+    from tadkit.operators.windows import lag_columns
+    x = lag_columns(series.select(key, t, F.col(y).cast("double").alias("_y")), [key], [t], "_y",
+                    list(range(1, lags + 1)), prefix="_l")
     fit = x.filter(F.col(f"_l{lags}").isNotNull())
     feats = [F.lit(1.0)] + [F.col(f"_l{i}") for i in range(1, lags + 1)]
     p = lags + 1

@@ -64,9 +64,13 @@ def top_k_packed(df: DataFrame, by, item_cols: Sequence[str], order: Sequence[Co
 def running_sum(df: DataFrame, by, order: Sequence, value: str, alias: str = "running",
                 share: bool = False) -> DataFrame:
     by = _cols(by)
-    w = (Window.partitionBy(*by) if by else Window).orderBy(*_cols(order)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    out = df.withColumn(alias, F.sum(value).over(w))
+    order = _cols(order)
+    if by and largest_group(df, by) <= WINDOW_GROUP_MAX:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = df.withColumn(alias, F.sum(value).over(w))
+    else:                                   # global order or a hot group: range-partitioned running sum
+        from tadkit.operators.frame import cumulative_sum
+        out = cumulative_sum(df, by, order, [value], suffix="__cum").withColumnRenamed(f"{value}__cum", alias)
     if share:
         tot = df.groupBy(*by).agg(F.sum(value).alias("_tot")) if by else None
         if tot is not None:
@@ -269,18 +273,16 @@ def lag_frame(df: DataFrame, by, order: str, value: str, lags: int, prefix: str
 
 # E13 -----------------------------------------------------------------------
 def average_rank(df: DataFrame, value: str, alias: str = "avg_rank", by=None) -> DataFrame:
-    """Ranks 1..n with ties averaged (pandas ``rank()``), skew-safe.
+    """Ranks 1..n with ties averaged (pandas ``rank()``), per group or global.
 
-    Without groups the positions come from ``add_row_id`` (range sort), then
-    ties are averaged by a group-by on the value joined back.
+    Rows are counted per distinct (group, value) first; running counts over
+    a range-partitioned order give each value's last rank, and the average
+    rank of a tie block is ``cum - (count - 1) / 2``.  No window holds a
+    whole group, so a hot group costs the same as any other.
     """
+    from tadkit.operators.frame import cumulative_sum
     by = _cols(by)
-    if by:
-        w = Window.partitionBy(*by).orderBy(value)
-        cnt = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_t"))
-        return df.withColumn("_rk", F.rank().over(w)).join(cnt, [*by, value]).withColumn(
-            alias, F.col("_rk") + (F.col("_t") - 1) / 2.0).drop("_rk", "_t")
-    vals = df.filter(F.col(value).isNotNull()).select(value)
-    ided = add_row_id(vals, [value], alias="_pos")
-    span = ided.groupBy(value).agg(((F.min("_pos") + F.max("_pos")) / 2.0).alias(alias))
-    return df.join(span, value, "left")
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    cum = cumulative_sum(counts, by, [value], ["_c"])
+    ranks = cum.select(*by, value, (F.col("_c_cum") - (F.col("_c") - 1) / 2.0).alias(alias))
+    return df.join(ranks, [*by, value], "left")
