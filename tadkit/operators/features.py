@@ -92,7 +92,14 @@ def scale_constant(df: DataFrame, cols: Sequence[str], divisor: float = 255.0) -
 
 # L5 ------------------------------------------------------------------------
 def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> dict[str, list]:
-    """Sorted distinct levels per column (collected once; bounded by max_levels)."""
+    """Sorted distinct levels per column (collected once; bounded by max_levels).
+
+    The bound is checked with a one-pass distinct estimate before any level
+    list is gathered, so a high-cardinality column is refused, not collected."""
+    est = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
+    for c in cols:
+        if est[c] > 2 * max_levels:
+            raise ValueError(f"{c} has about {est[c]} levels > {max_levels}")
     row = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in cols]).first()
     out = {}
     for c in cols:

@@ -254,6 +254,8 @@ def kmedoids(df: DataFrame, key: str, vec: str, k: int, max_iter: int = 10, seed
     lits = F.array(*[F.array(*[F.lit(float(v)) for v in m]) for m in med])
     out = x.withColumn("_d", F.transform(lits, lambda m: distance("_x", m))).withColumn(
         "cluster", F.array_position("_d", F.array_min("_d")) - 1).select(key, F.col("cluster").cast("int"))
+    out = cut_lineage(out)
+    x.unpersist()
     return out
 
 
@@ -298,6 +300,7 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
     span = [max(st[f"hi{i}"] - st[f"lo{i}"], 1e-12) for i in range(dims)]
     h0 = max(math.prod(span) / max(1.0, st["n"] / per_cell), 1e-300) ** (1.0 / dims)
     pending, done = q, None
+    held = [r, q]
     for rnd in range(max_rounds):
         h = h0 * (growth ** rnd)
         rc = r.select("ref_id", "_rx", *[F.floor(F.col(f"_z{i}") / h).cast("long").alias(f"_c{i}") for i in range(dims)])
@@ -311,6 +314,7 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
         cand = cand.select("query_id", "ref_id", fast_distance("_qx", "_rx", p).alias("dist"))
         w = Window.partitionBy("query_id").orderBy("dist", "ref_id")
         top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).persist()
+        held.append(top)
         final = h > 2 * max(span)          # 3^dims cells now cover every reference
         if final:
             res = top
@@ -319,9 +323,13 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
             ok = stat.filter((F.col("_n") >= k) & (F.col("_kd") <= h)).select("query_id")
             res = top.join(ok, "query_id", "left_semi")
             pending = pending.join(ok, "query_id", "left_anti").persist()
+            held.append(pending)
         done = res if done is None else done.unionByName(res)
         if final or pending.limit(1).count() == 0:
             break
+    done = cut_lineage(done)                 # one reliable copy of the result ...
+    for h_df in held:                        # ... then release the per-round intermediates
+        h_df.unpersist()
     return done
 
 

@@ -26,7 +26,7 @@ def _orders_xy(spark, d):
     o = Tables(spark, d).orders
     return o.select("o_orderkey", (F.col("o_orderstatus") == "F").cast("double").alias("label"),
                     (F.col("o_totalprice") / 1000).alias("price"), F.month("o_orderdate").cast("double").alias("month"),
-                    F.year("o_orderdate").cast("double").alias("year"),
+                    (F.year("o_orderdate") - 1995).cast("double").alias("year"),
                     F.substring("o_orderpriority", 1, 1).cast("double").alias("prio"))
 
 
@@ -358,7 +358,7 @@ def m23_balance(spark, d):
 def m24_replay(spark, d):
     """Fit preprocessing + model, save to shared storage, load, score new rows."""
     x = _orders_xy(spark, d)
-    tr, new = x.filter(F.col("year") < 1999), x.filter(F.col("year") >= 1999)
+    tr, new = x.filter(F.col("year") < 4), x.filter(F.col("year") >= 4)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=_OX, outputCol="features"), LogisticRegression(maxIter=20)])
     path = scratch_path(spark, "pipeline")
     md.save_model(pipe.fit(tr), path)
