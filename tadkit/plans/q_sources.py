@@ -88,8 +88,8 @@ def a6_ingest(spark, d):
 def a7_parquet(spark, d):
     path = scratch_path(spark, "a7")
     o = Tables(spark, d).orders
-    fs.write_parquet(o.limit(10), path)                                  # overwritten below
-    fs.write_parquet(o.repartition(4), path)
+    fs.write_parquet(o, path)                                            # first write ...
+    fs.write_parquet(o.repartition(4), path)                             # ... replaced by the overwrite
     return fs.read_parquet(spark, path + "/*.parquet").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
