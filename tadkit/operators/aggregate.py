@@ -252,6 +252,40 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     return out
 
 
+def grouped_quantiles(df: DataFrame, by, value: str, probs: Sequence[float], alias: str | None = None) -> DataFrame:
+    """Exact interpolated quantiles per group as (by..., p, value), distributed.
+
+    No group's values are ever buffered in one task: rows are counted per
+    distinct (group, value), running counts come from the range-partitioned
+    ``cumulative_sum`` (a hot group spans several range partitions), and each
+    distinct value is matched with its group's target ranks (n - 1) p by a
+    join on the group key, which AQE's skew handling splits for a hot group.
+    Null group keys are dropped (pandas ``groupby``).
+    """
+    from tadkit.operators.frame import cumulative_sum
+    by = _cols(by)
+    alias = alias or value
+    if not by:                                   # one group: the targets are a handful of literals
+        q = exact_quantiles(df, [value], probs)
+        return df.sparkSession.createDataFrame([(float(p), q[(value, float(p))]) for p in probs], f"p double, `{alias}` double")
+    cond = F.col("_v").isNotNull() & ~F.isnan("_v")
+    for b in by:
+        cond = cond & F.col(b).isNotNull()
+    x = df.select(*by, F.col(value).cast("double").alias("_v")).filter(cond)
+    counts = x.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = cumulative_sum(counts, by, ["_v"], ["_c"])
+    n = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    tg = n.select(*by, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")) \
+        .withColumn("_h", (F.col("_n") - 1) * F.col("p")) \
+        .withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
+    j = cum.join(tg, by)
+    lo_in = (F.col("_lo") >= F.col("_c_cum") - F.col("_c")) & (F.col("_lo") < F.col("_c_cum"))
+    hi_in = (F.col("_hi") >= F.col("_c_cum") - F.col("_c")) & (F.col("_hi") < F.col("_c_cum"))
+    pick = j.filter(lo_in | hi_in).groupBy(*by, "p", "_h", "_lo").agg(
+        F.max(F.when(lo_in, F.col("_v"))).alias("_x0"), F.max(F.when(hi_in, F.col("_v"))).alias("_x1"))
+    return pick.select(*by, "p", (F.col("_x0") + (F.col("_h") - F.col("_lo")) * (F.col("_x1") - F.col("_x0"))).alias(alias))
+
+
 # Distinct values under which Spark's exact ``percentile`` buffer (one map of
 # value -> count per group) is small enough to merge in one task.
 EXACT_BUFFER_MAX = 1_000_000
@@ -404,10 +438,19 @@ def ordered_basket(df: DataFrame, by: str, order: str, item: str, max_len: int =
 
 # D26 -----------------------------------------------------------------------
 def shape_stats(df: DataFrame, col: str, by=None) -> DataFrame:
+    """Mode (ties -> smallest), median, kurtosis (Fisher, population), skewness.
+
+    Mode and median never buffer a group: the mode comes from value counts,
+    the median from ``grouped_quantiles``."""
     by = _cols(by)
-    exprs = [F.mode(col, deterministic=True).alias(f"{col}_mode"), F.median(col).alias(f"{col}_median"),
-             F.kurtosis(col).alias(f"{col}_kurtosis"), F.skewness(col).alias(f"{col}_skew")]
-    return df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
+    mom = [F.kurtosis(col).alias(f"{col}_kurtosis"), F.skewness(col).alias(f"{col}_skew")]
+    if not by:
+        q = quantile_values(df, [col], [0.5])[(col, 0.5)]
+        m = mode(df.withColumn("_one", F.lit(1)), "_one", col, alias=f"{col}_mode").first()
+        return df.agg(F.lit(m[f"{col}_mode"] if m else None).alias(f"{col}_mode"), F.lit(q).alias(f"{col}_median"), *mom)
+    med = grouped_quantiles(df, by, col, [0.5], alias=f"{col}_median").drop("p")
+    return df.groupBy(*by).agg(*mom).join(mode(df, by, col, alias=f"{col}_mode"), by, "left").join(med, by, "left") \
+        .select(*by, f"{col}_mode", f"{col}_median", f"{col}_kurtosis", f"{col}_skew")
 
 
 # D27 -----------------------------------------------------------------------
@@ -438,9 +481,11 @@ def box_stats(df: DataFrame, col: str, by=None) -> DataFrame:
         q = quantile_values(df, [col], [0.25, 0.5, 0.75])
         return df.agg(F.min(x).alias("min"), F.lit(q[(col, 0.25)]).alias("q1"), F.lit(q[(col, 0.5)]).alias("median"),
                       F.lit(q[(col, 0.75)]).alias("q3"), F.max(x).alias("max"))
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    exprs = [F.min(x).alias("min"), q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), F.max(x).alias("max")]
-    return df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
+    q = grouped_quantiles(df, by, col, [0.25, 0.5, 0.75], alias="_q")
+    wide = q.groupBy(*by).agg(*[F.max(F.when(F.col("p") == p, F.col("_q"))).alias(n)
+                                for p, n in [(0.25, "q1"), (0.5, "median"), (0.75, "q3")]])
+    mm = df.groupBy(*by).agg(F.min(x).alias("min"), F.max(x).alias("max"))
+    return mm.join(wide, by, "left").select(*by, "min", "q1", "median", "q3", "max")
 
 
 # D29 -----------------------------------------------------------------------

@@ -202,3 +202,14 @@ def test_lag_columns_positional_path_matches_window(spark):
     a = {(r["k"], r["t"]): (r["lag1"], r["lag2"]) for r in lag_columns(df, ["k"], ["t"], "v", [1, 2]).collect()}
     b = {(r["k"], r["t"]): (r["lag1"], r["lag2"]) for r in lag_columns(df, ["k"], ["t"], "v", [1, 2], group_max=10).collect()}
     assert a == b and a[("hot", 0)] == (None, None) and a[("hot", 2)] == (1.0, 0.0)
+
+
+def test_grouped_quantiles_match_percentile(spark):
+    rows = [("hot", float((i * 37) % 101)) for i in range(3000)] + [("cold", float(i)) for i in range(7)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r["g"], r["p"]): r["x"] for r in ag.grouped_quantiles(df, ["g"], "x", [0.1, 0.5, 0.99]).collect()}
+    ref = {r["g"]: r["q"] for r in df.groupBy("g").agg(
+        F.percentile("x", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.99))).alias("q")).collect()}
+    for g, qs in ref.items():
+        for i, p in enumerate([0.1, 0.5, 0.99]):
+            assert got[(g, p)] == pytest.approx(qs[i], abs=1e-12)
