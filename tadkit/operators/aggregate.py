@@ -65,10 +65,20 @@ def group_agg(df: DataFrame, by, spec: dict[str, Sequence[str]],
 # D3 ------------------------------------------------------------------------
 def agg_matrix(df: DataFrame, by, cols: Sequence[str], fns: Sequence[str],
                name: str = "{col}_{fn}") -> DataFrame:
-    """Cross product columns x functions, names from a template."""
-    exprs = [AGG_FNS[f](c).alias(name.format(col=c, fn=f)) for c in cols for f in fns]
+    """Cross product columns x functions, names from a template.
+
+    Grouped medians come from ``grouped_quantiles`` (no group is buffered);
+    every other function is a partial-aggregated built-in."""
     by = _cols(by)
-    return df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
+    plain = [f for f in fns if not (f == "median" and by)]
+    exprs = [AGG_FNS[f](c).alias(name.format(col=c, fn=f)) for c in cols for f in plain]
+    out = df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
+    if "median" in fns and by:
+        for c in cols:
+            med = grouped_quantiles(df, by, c, [0.5], alias=name.format(col=c, fn="median")).drop("p")
+            out = out.join(med, by, "left")
+        out = out.select(*by, *[name.format(col=c, fn=f) for c in cols for f in fns])
+    return out
 
 
 # D4 ------------------------------------------------------------------------

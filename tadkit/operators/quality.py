@@ -31,14 +31,23 @@ def fill(df: DataFrame, value, subset: Sequence[str] | None = None) -> DataFrame
 def fit_fill_values(train: DataFrame, cols: Sequence[str], strategy: str = "mean") -> DataFrame:
     """One-row table of fill values fitted on ``train`` (mean / median / mode)."""
     if strategy == "mean":
-        exprs = [F.avg(c).alias(c) for c in cols]
-    elif strategy == "median":
-        exprs = [F.median(c).alias(c) for c in cols]
+        return train.agg(*[F.avg(c).alias(c) for c in cols])
+    spark = train.sparkSession
+    if strategy == "median":
+        qv = quantile_values(train, cols, [0.5])
+        vals = [qv[(c, 0.5)] for c in cols]
     elif strategy == "mode":
-        exprs = [F.mode(c, deterministic=True).alias(c) for c in cols]
+        from tadkit.operators.aggregate import mode
+        one = train.withColumn("_one", F.lit(1))
+        vals = []
+        for c in cols:
+            r = mode(one, "_one", c, alias="m").first()
+            vals.append(r["m"] if r else None)
     else:
         raise ValueError(strategy)
-    return train.agg(*exprs)
+    types = dict(train.dtypes)
+    return spark.createDataFrame([tuple(vals)], ", ".join(
+        f"`{c}` {'double' if strategy == 'median' else types[c]}" for c in cols))
 
 
 def apply_fill_values(df: DataFrame, fitted: DataFrame, cast: bool = True) -> DataFrame:
