@@ -50,8 +50,8 @@ def _np_distance(p: float):
     def dist(a: pd.Series, b: pd.Series) -> pd.Series:
         if len(a) == 0:
             return pd.Series([], dtype="float64")
-        A = np.stack(a.to_numpy())
-        B = np.stack(b.to_numpy())
+        A = np.stack(a.to_numpy()).astype(np.float64)
+        B = np.stack(b.to_numpy()).astype(np.float64)
         D = np.abs(A - B)
         if p == 2:
             return pd.Series(np.sqrt(np.einsum("ij,ij->i", D, D)))
@@ -275,7 +275,7 @@ def _project(df: DataFrame, vec: str, dims: int, p: float, ref: DataFrame | None
 
 
 def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, dims: int = 3,
-        per_cell: int = 64, exclude_self: bool = False, max_rounds: int = 40, growth: int = 4) -> DataFrame:
+        per_cell: int = 128, exclude_self: bool = False, max_rounds: int = 40, growth: int = 4) -> DataFrame:
     """Exact k nearest references of every query: (query_id, ref_id, dist, rank).
 
     Round r uses grid cells of side h * 2^r over a distance-contracting
@@ -291,13 +291,16 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
     dims = max(1, min(dims, len(refs.select(vec).first()[0])))   # no more axes than coordinates
     proj_r = _project(refs, vec, dims, p)
     proj_q = _project(queries, vec, dims, p, ref=refs)
-    r = refs.select(F.col(key).alias("ref_id"), to_array(vec).alias("_rx"), *[c.alias(f"_z{i}") for i, c in enumerate(proj_r)])
-    q = queries.select(F.col(key).alias("query_id"), to_array(vec).alias("_qx"),
+    # vectors travel to the distance kernel in their stored element type
+    # (float32 embeddings stay float32; numpy widens them exactly)
+    r = refs.select(F.col(key).alias("ref_id"), F.col(vec).alias("_rx"), *[c.alias(f"_z{i}") for i, c in enumerate(proj_r)])
+    q = queries.select(F.col(key).alias("query_id"), F.col(vec).alias("_qx"),
                        *[c.alias(f"_w{i}") for i, c in enumerate(proj_q)])
     r, q = r.persist(), q.persist()
     st = r.agg(F.count(F.lit(1)).alias("n"), *[F.min(f"_z{i}").alias(f"lo{i}") for i in range(dims)],
                *[F.max(f"_z{i}").alias(f"hi{i}") for i in range(dims)]).first()
     span = [max(st[f"hi{i}"] - st[f"lo{i}"], 1e-12) for i in range(dims)]
+    n_refs = st["n"] - (1 if exclude_self else 0)
     h0 = max(math.prod(span) / max(1.0, st["n"] / per_cell), 1e-300) ** (1.0 / dims)
     pending, done = q, None
     held = [r, q]
@@ -313,15 +316,20 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
             cand = cand.filter(F.col("query_id") != F.col("ref_id"))
         cand = cand.select("query_id", "ref_id", fast_distance("_qx", "_rx", p).alias("dist"))
         w = Window.partitionBy("query_id").orderBy("dist", "ref_id")
-        top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).persist()
+        top = cand.withColumn("rank", F.row_number().over(w)) \
+            .withColumn("_nc", F.count(F.lit(1)).over(Window.partitionBy("query_id"))) \
+            .filter(F.col("rank") <= k).persist()
         held.append(top)
         final = h > 2 * max(span)          # 3^dims cells now cover every reference
         if final:
-            res = top
+            res = top.drop("_nc")
         else:
-            stat = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_kd"))
-            ok = stat.filter((F.col("_n") >= k) & (F.col("_kd") <= h)).select("query_id")
-            res = top.join(ok, "query_id", "left_semi")
+            stat = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_kd"),
+                                               F.max("_nc").alias("_nc"))
+            # exact when the k-th distance is inside the searched radius, or when
+            # every reference was a candidate
+            ok = stat.filter(((F.col("_n") >= k) & (F.col("_kd") <= h)) | (F.col("_nc") >= n_refs)).select("query_id")
+            res = top.join(ok, "query_id", "left_semi").drop("_nc")
             pending = pending.join(ok, "query_id", "left_anti").persist()
             held.append(pending)
         done = res if done is None else done.unionByName(res)
