@@ -50,6 +50,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k in ("spark.sql.session.timeZone",):
         spark.conf.set(k, conf[k])
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -105,3 +106,28 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     sc = df.sparkSession.sparkContext
     target = min_partitions or sc.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tadkit`` importable in executor Python workers (pandas UDFs,
+    ``applyInPandas``) by zipping the package and adding it with
+    ``addPyFile`` once per application."""
+    import zipfile
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(root)
+    path = os.path.join(tempfile.mkdtemp(prefix="tadkit-pkg-"), "tadkit.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
