@@ -365,7 +365,13 @@ def m24_replay(spark, d):
     return md.probability_of(md.load_model(path).transform(new)).select("o_orderkey", "prediction", "p1")
 
 
-@query("l1_l2_index_assemble")
+@query("l1_l2_index_assemble", """
+WITH p AS (SELECT o_orderpriority, CAST(row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS DOUBLE) AS i
+           FROM orders GROUP BY 1),
+s AS (SELECT o_orderstatus, CAST(row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1 AS DOUBLE) AS i
+      FROM orders GROUP BY 1)
+SELECT o_orderkey, p.i AS o_orderpriority_idx, s.i AS o_orderstatus_idx
+FROM orders JOIN p USING (o_orderpriority) JOIN s USING (o_orderstatus)""")
 def l1_l2(spark, d):
     o = Tables(spark, d).orders
     stages = fe.index_strings(["o_orderpriority", "o_orderstatus"]) + [
@@ -426,12 +432,16 @@ def l8_inverse(spark, d):
     return err.select("vec_id", sum(F.abs(F.col(c) - F.col(c + "_x")) for c in cols).alias("abs_error"))
 
 
-@query("l9_l10_feature_spaces")
+@query("l9_l10_feature_spaces", """
+WITH m AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, avg(c_acctbal) AS mu, stddev_pop(c_acctbal) AS sd FROM customer)
+SELECT 'raw' AS space, round(avg(c_acctbal), 6) + 0.0 AS mean_acctbal FROM customer
+UNION ALL SELECT 'minmax', round(avg((c_acctbal - lo) / (hi - lo)), 6) + 0.0 FROM customer, m
+UNION ALL SELECT 'standard', round(avg((c_acctbal - mu) / sd), 6) + 0.0 FROM customer, m""")
 def l10_spaces(spark, d):
     sp = fe.feature_spaces(Tables(spark, d).customer, "c_custkey", ["c_acctbal", "c_nationkey"])
     out = None
     for name, df in sp.items():
-        t = df.select(F.lit(name).alias("space"), F.avg("c_acctbal").alias("mean_acctbal"))
+        t = df.select(F.lit(name).alias("space"), (F.round(F.avg("c_acctbal"), 6) + F.lit(0.0)).alias("mean_acctbal"))
         out = t if out is None else out.unionByName(t)
     return out
 
