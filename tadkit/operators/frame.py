@@ -172,7 +172,7 @@ def hash_split(df: DataFrame, key: Sequence[str] | str, test_frac: float, seed:
                col: str = "sample") -> DataFrame:
     """Stable train/test label from a hash of the key (F5/F6): same key, same side."""
     key = _cols(key)
-    h = F.abs(F.xxhash64(*[F.col(k) for k in key], F.lit(seed))) % 10000
+    h = F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), F.lit(10000))
     return df.withColumn(col, F.when(h < int(round(test_frac * 10000)), F.lit("test")).otherwise(F.lit("train")))
 
 

@@ -41,7 +41,7 @@ def top_k(df: DataFrame, by, order: Sequence[Column], k: int, rank_col: str = "r
     """
     by = _cols(by)
     salt_src = [F.col(c) for c in (salt_cols or df.columns)]
-    salted = df.withColumn("_salt", F.abs(F.xxhash64(*salt_src)) % salt_buckets)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_src), F.lit(salt_buckets)))
     w1 = Window.partitionBy(*by, "_salt").orderBy(*order)
     pre = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_r1", "_salt")
     w2 = Window.partitionBy(*by).orderBy(*order)
