@@ -154,7 +154,7 @@ def d12_value_counts(spark, d):
 @query("d13_frequency_table", """
 WITH c AS (SELECT c_nationkey, count(*) AS fa FROM customer GROUP BY 1)
 SELECT c_nationkey, fa, round(fa / sum(fa) OVER (), 9) AS fr,
-       sum(fa) OVER (ORDER BY c_nationkey ROWS UNBOUNDED PRECEDING) AS faa,
+       CAST(sum(fa) OVER (ORDER BY c_nationkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS faa,
        round(sum(fa) OVER (ORDER BY c_nationkey ROWS UNBOUNDED PRECEDING) / sum(fa) OVER (), 9) AS fra FROM c""")
 def d13_freq(spark, d):
     ft = ag.freq_table(Tables(spark, d).customer, "c_nationkey")
@@ -164,7 +164,7 @@ def d13_freq(spark, d):
 @query("d14_category_description", """
 WITH c AS (SELECT c_mktsegment, count(*) AS fa FROM customer GROUP BY 1)
 SELECT c_mktsegment, fa, round(fa / sum(fa) OVER (), 9) AS fr,
-       sum(fa) OVER (ORDER BY fa DESC, c_mktsegment ROWS UNBOUNDED PRECEDING) AS faa,
+       CAST(sum(fa) OVER (ORDER BY fa DESC, c_mktsegment ROWS UNBOUNDED PRECEDING) AS BIGINT) AS faa,
        round(sum(fa) OVER (ORDER BY fa DESC, c_mktsegment ROWS UNBOUNDED PRECEDING) / sum(fa) OVER (), 9) AS fra FROM c""")
 def d14_category(spark, d):
     ft = ag.freq_table(Tables(spark, d).customer, "c_mktsegment", order="count")
@@ -227,7 +227,7 @@ def d17_missing_share(spark, d):
 
 
 @query("d18_olap_cube_grain", """
-SELECT l_returnflag, l_linestatus, o_orderstatus, o_orderpriority, year(o_orderdate) AS yr,
+SELECT l_returnflag, l_linestatus, o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS yr,
        count(l_orderkey) AS n_lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount,
        count(*) FILTER (WHERE l_returnflag = 'R') AS n_returned
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4, 5""")

@@ -265,7 +265,7 @@ def f5_split(spark, d):
 
 
 @query("f6_entity_split", """
-SELECT 0 AS n_both, count(DISTINCT o_custkey) AS n_customers FROM orders""")
+SELECT CAST(0 AS BIGINT) AS n_both, count(DISTINCT o_custkey) AS n_customers FROM orders""")
 def f6_entity(spark, d):
     """Split by customer: no customer lands on both sides."""
     o = fr.hash_split(Tables(spark, d).orders, "o_custkey", 0.1)

@@ -70,10 +70,10 @@ def c3_star(spark, d):
 
 
 @query("c4_outer_join_chain", """
-WITH a AS (SELECT o_custkey, year(o_orderdate) AS yr, count(*) AS n_orders FROM orders GROUP BY 1, 2),
-b AS (SELECT o_custkey, year(l_shipdate) AS yr, CAST(sum(l_quantity) AS BIGINT) AS qty
+WITH a AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS n_orders FROM orders GROUP BY 1, 2),
+b AS (SELECT o_custkey, CAST(year(l_shipdate) AS INTEGER) AS yr, CAST(sum(l_quantity) AS BIGINT) AS qty
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
-c AS (SELECT o_custkey, year(o_orderdate) AS yr, count(*) AS n_final FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)
+c AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS n_final FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)
 SELECT o_custkey, yr, n_orders, qty, n_final FROM a FULL OUTER JOIN b USING (o_custkey, yr)
 FULL OUTER JOIN c USING (o_custkey, yr)""")
 def c4_outer(spark, d):

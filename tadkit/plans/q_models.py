@@ -392,7 +392,7 @@ def l3_standard(spark, d):
 SELECT p_partkey, round((p_retailprice - min(p_retailprice) OVER ()) / (max(p_retailprice) OVER () - min(p_retailprice) OVER ()), 9) AS p_retailprice_s,
        round((p_retailprice - min(p_retailprice) OVER ()) / (max(p_retailprice) OVER () - min(p_retailprice) OVER ())
              * (max(p_retailprice) OVER () - min(p_retailprice) OVER ()) + min(p_retailprice) OVER (), 6) AS p_retailprice_orig,
-       0.0 AS one_s FROM part""")
+       CAST(0.0 AS DOUBLE) AS one_s FROM part""")
 def l4_minmax(spark, d):
     p = Tables(spark, d).part.select("p_partkey", "p_retailprice", F.lit(1.0).alias("one"))
     prm = fe.fit_minmax(p, ["p_retailprice", "one"])

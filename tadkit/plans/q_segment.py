@@ -47,7 +47,7 @@ bb AS (SELECT sum(per.n * bd) AS b FROM per JOIN (SELECT label, sqrt(sum((cent.c
        FROM cent JOIN g USING (i) GROUP BY 1) USING (label)),
 tt AS (SELECT sum(w) AS w, sum(n) AS nn, count(*) AS k FROM per)
 SELECT round(db, 6) AS davies_bouldin, round((b / (k - 1)) / (w / (nn - k)), 6) AS calinski_harabasz,
-       k AS "K", nn AS "N" FROM db, bb, tt""")
+       k AS "K", CAST(nn AS BIGINT) AS "N" FROM db, bb, tt""")
 def n3_indices(spark, d):
     e = Tables(spark, d).embeddings
     r = sg.cluster_indices(e, "embedding", "label")

@@ -224,7 +224,7 @@ t AS (SELECT variable, sum(n) AS nn, count(*) AS k, sum(sx) AS s, sum(ssx) AS ss
 
 @query("k10_anova_f_scores", _ANOVA_SQL + """
 SELECT variable, round(((b - s * s / nn) / (k - 1)) / ((ss - b) / (nn - k)), 6) AS f_score,
-       k - 1 AS df_between, nn - k AS df_within FROM t""")
+       k - 1 AS df_between, CAST(nn - k AS BIGINT) AS df_within FROM t""")
 def k10_anova(spark, d):
     a = st.anova_f(Tables(spark, d).customer, "c_mktsegment", ["c_acctbal", "c_nationkey"])
     return a.select("variable", F.round("f_score", 6).alias("f_score"), "df_between", "df_within")
@@ -233,7 +233,7 @@ def k10_anova(spark, d):
 @query("k10_anova_p_values", _ANOVA_SQL + """,
 f AS (SELECT variable, ((b - s * s / nn) / (k - 1)) / ((ss - b) / (nn - k)) AS f, k - 1 AS d1, nn - k AS d2 FROM t),
 x AS (SELECT *, d2 / (d2 + d1 * f) AS x FROM f)
-SELECT variable, round(f, 6) AS f_score, d1 AS df_between, d2 AS df_within,
+SELECT variable, round(f, 6) AS f_score, d1 AS df_between, CAST(d2 AS BIGINT) AS df_within,
        round(pow(x, d2 / 2.0) * (1 + (d2 / 2.0) * (1 - x)), 6) AS p_value FROM x""")
 def k10_anova_p(spark, d):
     """F tail through the regularised incomplete beta; the oracle uses the

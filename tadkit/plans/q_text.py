@@ -102,8 +102,8 @@ def h8_parse(spark, d):
 
 
 @query("h9_length_char_count", """
-SELECT doc_id, length(text) AS n_chars, length(text) - length(replace(text, ',', '')) AS n_commas,
-       length(text) - length(replace(text, chr(10), '')) AS n_lines FROM documents""")
+SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, CAST(length(text) - length(replace(text, ',', '')) AS INTEGER) AS n_commas,
+       CAST(length(text) - length(replace(text, chr(10), '')) AS INTEGER) AS n_lines FROM documents""")
 def h9_len(spark, d):
     docs = Tables(spark, d).documents
     return docs.select("doc_id", F.length("text").alias("n_chars"), sx.char_count("text", ",").alias("n_commas"),
@@ -111,11 +111,11 @@ def h9_len(spark, d):
 
 
 @query("h10_regex_entity_counts", f"""
-SELECT doc_id, len(regexp_extract_all(text, '{sx.URL_RE}')) AS n_urls,
-       len(regexp_extract_all(text, '{sx.EMAIL_RE}')) AS n_emails,
-       len(regexp_extract_all(text, '{sx.PHONE_RE}')) AS n_phones,
-       CASE WHEN length(lang) > 0 THEN (length(lower(text)) - length(replace(lower(text), lower(lang), ''))) // length(lang)
-            ELSE 0 END AS n_lang_code FROM documents""")
+SELECT doc_id, CAST(len(regexp_extract_all(text, '{sx.URL_RE}')) AS INTEGER) AS n_urls,
+       CAST(len(regexp_extract_all(text, '{sx.EMAIL_RE}')) AS INTEGER) AS n_emails,
+       CAST(len(regexp_extract_all(text, '{sx.PHONE_RE}')) AS INTEGER) AS n_phones,
+       CAST(CASE WHEN length(lang) > 0 THEN (length(lower(text)) - length(replace(lower(text), lower(lang), ''))) // length(lang)
+            ELSE 0 END AS INTEGER) AS n_lang_code FROM documents""")
 def h10_regex(spark, d):
     docs = Tables(spark, d).documents
     return docs.select("doc_id", sx.count_urls("text").alias("n_urls"), sx.count_emails("text").alias("n_emails"),
@@ -124,8 +124,8 @@ def h10_regex(spark, d):
 
 
 @query("h11_character_class_ratios", """
-SELECT doc_id, length(regexp_replace(text, '[^\\p{Ll}]', '', 'g')) AS n_lower,
-       length(regexp_replace(text, '[^\\p{Lu}]', '', 'g')) AS n_upper,
+SELECT doc_id, CAST(length(regexp_replace(text, '[^\\p{Ll}]', '', 'g')) AS INTEGER) AS n_lower,
+       CAST(length(regexp_replace(text, '[^\\p{Lu}]', '', 'g')) AS INTEGER) AS n_upper,
        round(coalesce(CASE WHEN length(regexp_replace(text, '[^\\p{L}]', '', 'g')) = 0 THEN NULL
              ELSE length(regexp_replace(text, '[^\\p{Lu}]', '', 'g')) / length(regexp_replace(text, '[^\\p{L}]', '', 'g')) END, 0.0), 9)
          AS upper_ratio FROM documents""")
@@ -137,7 +137,7 @@ def h11_classes(spark, d):
 
 
 @query("h12_emoji_count", f"""
-SELECT conv_id, turn, len(regexp_extract_all(text, '{sx.EMOJI_RE}')) AS n_emoji FROM conversations""")
+SELECT conv_id, turn, CAST(len(regexp_extract_all(text, '{sx.EMOJI_RE}')) AS INTEGER) AS n_emoji FROM conversations""")
 def h12_emoji(spark, d):
     c = Tables(spark, d).conversations
     return c.select("conv_id", "turn", sx.count_emoji("text").alias("n_emoji"))
@@ -182,8 +182,8 @@ def _sql_list(words) -> str:
 
 
 @query("h16_stop_word_removal", f"""
-SELECT doc_id, len({tok_sql('text')}) AS n_tokens,
-       len(list_filter({tok_sql('text')}, lambda t: NOT list_contains({_sql_list(_STOP)}, t))) AS n_kept FROM documents""")
+SELECT doc_id, CAST(len({tok_sql('text')}) AS INTEGER) AS n_tokens,
+       CAST(len(list_filter({tok_sql('text')}, lambda t: NOT list_contains({_sql_list(_STOP)}, t))) AS INTEGER) AS n_kept FROM documents""")
 def h16_stop(spark, d):
     docs = Tables(spark, d).documents.select("doc_id", tx.tokenize("text").alias("tok"))
     kept = tx.drop_stop_words(docs, "tok", _STOP, out="kept")
@@ -193,8 +193,8 @@ def h16_stop(spark, d):
 @query("h17_alphabetic_and_name_list", f"""
 WITH t AS (SELECT doc_id, {tok_sql('text')} AS tok FROM documents),
 names AS (SELECT list(DISTINCT lower(split_part(c_name, '#', 1))) AS nl FROM customer)
-SELECT doc_id, len(list_filter(tok, lambda x: regexp_full_match(x, '\\p{{L}}+'))) AS n_alpha,
-       len(list_filter(tok, lambda x: NOT list_contains(nl, x))) AS n_not_name FROM t, names""")
+SELECT doc_id, CAST(len(list_filter(tok, lambda x: regexp_full_match(x, '\\p{{L}}+'))) AS INTEGER) AS n_alpha,
+       CAST(len(list_filter(tok, lambda x: NOT list_contains(nl, x))) AS INTEGER) AS n_not_name FROM t, names""")
 def h17_alpha(spark, d):
     t = Tables(spark, d)
     docs = t.documents.select("doc_id", tx.tokenize("text").alias("tok"))
@@ -244,7 +244,7 @@ def h20_dates(spark, d):
 
 
 @query("h21_hour_month_weekday_letter", """
-SELECT event_id, hour(ts) AS hour, month(ts) AS month, isodow(ts) - 1 AS weekday,
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(month(ts) AS INTEGER) AS month, CAST(isodow(ts) - 1 AS INTEGER) AS weekday,
        substr('LMXJVSD', isodow(ts), 1) AS weekday_letter FROM events""")
 def h21_parts(spark, d):
     return Tables(spark, d).events.select("event_id", *dt.time_parts("ts"))
@@ -259,7 +259,7 @@ def h22_age(spark, d):
 
 @query("h23_month_name_number", """
 SELECT m, name, CAST(m AS INTEGER) AS back FROM (
-  SELECT DISTINCT month(o_orderdate) AS m, strftime(o_orderdate, '%B') AS name FROM orders)""")
+  SELECT DISTINCT CAST(month(o_orderdate) AS INTEGER) AS m, strftime(o_orderdate, '%B') AS name FROM orders)""")
 def h23_months(spark, d):
     o = Tables(spark, d).orders.select(F.month("o_orderdate").alias("m")).distinct()
     named = o.withColumn("name", dt.month_name("m"))
@@ -453,7 +453,7 @@ q AS (SELECT label AS query, arg_min(x, vec_id) AS qx, min(vec_id) AS qid FROM e
 
 
 @query("o10_similar_items_top_n", _SIM_SQL + """
-SELECT vec_id, CAST(query AS VARCHAR) AS query, round(similarity, 6) AS similarity, rank FROM (
+SELECT vec_id, CAST(query AS VARCHAR) AS query, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM (
   SELECT e.vec_id, q.query, list_cosine_similarity(e.x, q.qx) AS similarity,
          row_number() OVER (PARTITION BY q.query ORDER BY list_cosine_similarity(e.x, q.qx) DESC, e.vec_id) AS rank
   FROM e, q WHERE e.vec_id <> q.qid) WHERE rank <= 5""")

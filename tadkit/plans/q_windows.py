@@ -12,7 +12,7 @@ from tadkit.session import Tables
 
 
 @query("e1_top_k_per_group", """
-SELECT o_custkey, o_orderkey, o_totalprice, rank FROM (
+SELECT o_custkey, o_orderkey, o_totalprice, CAST(rank AS INTEGER) AS rank FROM (
   SELECT o_custkey, o_orderkey, o_totalprice,
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders)
 WHERE rank <= 3""")
@@ -22,7 +22,7 @@ def e1_top_k(spark, d):
 
 
 @query("e2_top_k_packed_padded", """
-WITH c AS (SELECT s_nationkey AS nation, year(l_shipdate) AS yr, l_partkey, count(*) AS n
+WITH c AS (SELECT s_nationkey AS nation, CAST(year(l_shipdate) AS INTEGER) AS yr, l_partkey, count(*) AS n
            FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3),
 r AS (SELECT *, row_number() OVER (PARTITION BY nation, yr ORDER BY n DESC, l_partkey) AS rk FROM c),
 t AS (SELECT nation, yr, list(l_partkey || ':' || n ORDER BY rk) AS items FROM r WHERE rk <= 3 GROUP BY 1, 2)

@@ -53,6 +53,28 @@ def rows_of(cols, rows, sig):
     return sorted(out, key=lambda r: repr(r))
 
 
+# Spark simple type -> DuckDB type name of the same width.
+TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+            "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT",
+            "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(sdf, rel) -> list:
+    """Columns whose Spark and DuckDB types differ (decimals compared by kind)."""
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for c, t in sdf.dtypes:
+        got = dt.get(c)
+        if got is None:
+            continue
+        if t.startswith("decimal"):
+            if not got.startswith("DECIMAL"):
+                out.append((c, t, got))
+        elif t in TYPE_MAP and TYPE_MAP[t] != got:
+            out.append((c, t, got))
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -61,10 +83,14 @@ def compare(spark, con, name, fn, sql, sf_dir):
     ts = time.time() - t0
     if not sql:
         return {"name": name, "status": "rows-only", "rows": len(srows), "spark_s": round(ts, 2)}
+    types = type_mismatches(sdf, con.sql(sql))
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     st = {"name": name, "rows": len(srows), "oracle_rows": len(drows), "spark_s": round(ts, 2)}
+    if types:
+        st["status"] = f"TYPES {types}"
+        return st
     if sorted(scols) != sorted(dcols):
         st["status"] = f"COLUMNS {sorted(scols)} vs {sorted(dcols)}"
         return st
