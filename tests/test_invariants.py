@@ -89,3 +89,30 @@ def test_cleaning_keeps_keys_unique(spark):
     o = Tables(spark, SF).orders
     kept = qu.drop_key_violations(o, "o_custkey", ["o_orderdate"])
     assert kept.groupBy("o_custkey", "o_orderdate").count().filter("count > 1").count() == 0
+
+
+def test_tad_two_formulations_agree(spark):
+    """The flagship TAD through the DataFrame operators and through Spark SQL
+    over temp views give the same table."""
+    from tadkit.plans.tad import MONTHS
+    t = Tables(spark, SF)
+    for n in ("lineitem", "supplier", "nation"):
+        getattr(t, n).createOrReplaceTempView(f"inv_{n}")
+    sql = """
+    WITH trips AS (SELECT l_suppkey AS taxi, l_returnflag AS payment,
+                          CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) AS total FROM inv_lineitem),
+    tc AS (SELECT s_suppkey AS taxi_id, n_name AS company FROM inv_supplier JOIN inv_nation ON s_nationkey = n_nationkey),
+    t AS (SELECT company, taxi, payment, total FROM trips JOIN tc ON trips.taxi = tc.taxi_id),
+    per_taxi AS (SELECT company, taxi, count(*) AS trips, sum(total) AS revenue FROM t GROUP BY company, taxi),
+    pay AS (SELECT company, min_by(payment, struct(-cnt, payment)) AS payment_mode
+            FROM (SELECT company, payment, count(*) AS cnt FROM t GROUP BY company, payment) GROUP BY company),
+    agg AS (SELECT company, count(*) AS n_taxis, max(trips) AS trips_max, CAST(sum(revenue) AS DOUBLE) AS total_year,
+                   min_by(taxi, struct(-revenue, taxi)) AS best_taxi FROM per_taxi GROUP BY company)
+    SELECT agg.*, pay.payment_mode FROM agg JOIN pay USING (company)"""
+    a = {r["company"]: r.asDict() for r in spark.sql(sql).collect()}
+    b = {r["company"]: r.asDict() for r in supplier_nation_tad(t.lineitem, t.supplier, t.nation).collect()}
+    assert a.keys() == b.keys()
+    for c in a:
+        for k in ("n_taxis", "trips_max", "total_year", "best_taxi", "payment_mode"):
+            assert a[c][k] == b[c][k], (c, k)
+    assert len(MONTHS) == 12
