@@ -67,13 +67,15 @@ def agg_matrix(df: DataFrame, by, cols: Sequence[str], fns: Sequence[str],
                name: str = "{col}_{fn}") -> DataFrame:
     """Cross product columns x functions, names from a template.
 
-    Grouped medians come from ``grouped_quantiles`` (no group is buffered);
+    Grouped medians use Spark's ``median`` when the largest group is checked
+    to fit the buffer bound, else ``grouped_quantiles`` (no group buffered);
     every other function is a partial-aggregated built-in."""
     by = _cols(by)
-    plain = [f for f in fns if not (f == "median" and by)]
+    distributed = "median" in fns and by and not groups_fit_buffer(df, by)
+    plain = [f for f in fns if not (f == "median" and distributed)]
     exprs = [AGG_FNS[f](c).alias(name.format(col=c, fn=f)) for c in cols for f in plain]
     out = df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
-    if "median" in fns and by:
+    if distributed:
         for c in cols:
             med = grouped_quantiles(df, by, c, [0.5], alias=name.format(col=c, fn="median")).drop("p")
             out = out.join(med, by, "left")
@@ -262,6 +264,15 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     return out
 
 
+def groups_fit_buffer(df: DataFrame, by, bound: int | None = None) -> bool:
+    """True when the largest group has at most ``bound`` rows (one aggregate),
+    i.e. Spark's per-group ``percentile`` buffer is provably small."""
+    by = _cols(by)
+    bound = EXACT_BUFFER_MAX if bound is None else bound
+    biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    return biggest <= bound
+
+
 def grouped_quantiles(df: DataFrame, by, value: str, probs: Sequence[float], alias: str | None = None) -> DataFrame:
     """Exact interpolated quantiles per group as (by..., p, value), distributed.
 
@@ -458,8 +469,12 @@ def shape_stats(df: DataFrame, col: str, by=None) -> DataFrame:
         q = quantile_values(df, [col], [0.5])[(col, 0.5)]
         m = mode(df.withColumn("_one", F.lit(1)), "_one", col, alias=f"{col}_mode").first()
         return df.agg(F.lit(m[f"{col}_mode"] if m else None).alias(f"{col}_mode"), F.lit(q).alias(f"{col}_median"), *mom)
-    med = grouped_quantiles(df, by, col, [0.5], alias=f"{col}_median").drop("p")
-    return df.groupBy(*by).agg(*mom).join(mode(df, by, col, alias=f"{col}_mode"), by, "left").join(med, by, "left") \
+    if groups_fit_buffer(df, by):
+        base = df.groupBy(*by).agg(F.median(col).alias(f"{col}_median"), *mom)
+    else:
+        med = grouped_quantiles(df, by, col, [0.5], alias=f"{col}_median").drop("p")
+        base = df.groupBy(*by).agg(*mom).join(med, by, "left")
+    return base.join(mode(df, by, col, alias=f"{col}_mode"), by, "left") \
         .select(*by, f"{col}_mode", f"{col}_median", f"{col}_kurtosis", f"{col}_skew")
 
 
@@ -491,6 +506,10 @@ def box_stats(df: DataFrame, col: str, by=None) -> DataFrame:
         q = quantile_values(df, [col], [0.25, 0.5, 0.75])
         return df.agg(F.min(x).alias("min"), F.lit(q[(col, 0.25)]).alias("q1"), F.lit(q[(col, 0.5)]).alias("median"),
                       F.lit(q[(col, 0.75)]).alias("q3"), F.max(x).alias("max"))
+    if groups_fit_buffer(df, by):
+        q3 = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        return df.groupBy(*by).agg(F.min(x).alias("min"), q3[0].alias("q1"), q3[1].alias("median"),
+                                   q3[2].alias("q3"), F.max(x).alias("max"))
     q = grouped_quantiles(df, by, col, [0.25, 0.5, 0.75], alias="_q")
     wide = q.groupBy(*by).agg(*[F.max(F.when(F.col("p") == p, F.col("_q"))).alias(n)
                                 for p, n in [(0.25, "q1"), (0.5, "median"), (0.75, "q3")]])

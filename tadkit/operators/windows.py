@@ -241,19 +241,25 @@ def anchor_features(df: DataFrame, key: str, period: str, value: str, subs: Sequ
                     max_period: int | None = None, flags: Sequence[str] = (), mean_fn=F.avg) -> DataFrame:
     """min/max/mean/median/std of ``value`` (+ mean of flags) per
     (key, anchor period) for every sub-window, pivoted by sub-window length."""
-    from tadkit.operators.aggregate import grouped_quantiles
+    from tadkit.operators.aggregate import groups_fit_buffer, grouped_quantiles
     x = anchor_windows(df, key, period, subs)
     if max_period is not None:
         x = x.filter(F.col("anchor") <= max_period)
+    # one window (key, anchor, sub) small enough for Spark's median buffer?
+    buffered = groups_fit_buffer(x, [key, "anchor", "sub"])
     aggs = []
     for s in subs:
         m = F.col("sub") == s
         v = F.when(m, F.col(value))
         aggs += [F.min(v).alias(f"{value}_min_{s}"), F.max(v).alias(f"{value}_max_{s}"),
                  mean_fn(v).alias(f"{value}_mean_{s}"), F.stddev_samp(v).alias(f"{value}_std_{s}")]
+        if buffered:
+            aggs.append(F.median(v).alias(f"{value}_median_{s}"))
         aggs += [F.avg(F.when(m, F.col(f))).alias(f"{f}_mean_{s}") for f in flags]
     out = x.groupBy(key, "anchor").agg(*aggs)
-    # medians without buffering a window's values in one task
+    if buffered:
+        return out
+    # otherwise medians without buffering any window's values in one task
     med = grouped_quantiles(x, [key, "anchor", "sub"], value, [0.5], alias="_med")
     medw = med.groupBy(key, "anchor").agg(*[F.max(F.when(F.col("sub") == s, F.col("_med"))).alias(f"{value}_median_{s}")
                                             for s in subs])

@@ -213,3 +213,19 @@ def test_grouped_quantiles_match_percentile(spark):
     for g, qs in ref.items():
         for i, p in enumerate([0.1, 0.5, 0.99]):
             assert got[(g, p)] == pytest.approx(qs[i], abs=1e-12)
+
+
+def test_grouped_median_paths_agree(spark, monkeypatch):
+    """Buffered (checked small groups) and distributed median paths give the same tables."""
+    rows = [("s", m, float((m * 7919 + i * 104729) % 1000)) for m in range(1, 13) for i in range(9)]
+    df = spark.createDataFrame(rows, "k string, period int, v double")
+    fast = {(r["k"], r["anchor"]): r for r in wn.anchor_features(df, "k", "period", "v", [3, 6]).collect()}
+    box_fast = ag.box_stats(df, "v", by="k").first()
+    monkeypatch.setattr(ag, "EXACT_BUFFER_MAX", 1)
+    slow = {(r["k"], r["anchor"]): r for r in wn.anchor_features(df, "k", "period", "v", [3, 6]).collect()}
+    box_slow = ag.box_stats(df, "v", by="k").first()
+    assert fast.keys() == slow.keys()
+    for key in fast:
+        for c in ("v_median_3", "v_median_6", "v_std_6"):
+            assert fast[key][c] == pytest.approx(slow[key][c], abs=1e-9)
+    assert all(box_fast[c] == pytest.approx(box_slow[c]) for c in ("min", "q1", "median", "q3", "max"))
