@@ -192,8 +192,13 @@ def woe_table(df: DataFrame, target: str, cols: Sequence[str], bins: int = 20, b
     dtypes = dict(df.dtypes)
     numeric = [c for c in cols if dtypes[c] in ("int", "bigint", "double", "float", "smallint")
                or dtypes[c].startswith("decimal")]
-    nd = df.agg(*[F.count_distinct(c).alias(c) for c in numeric]).first() if numeric else {}
-    binned = [c for c in numeric if nd[c] > max_levels]
+    # "more than max_levels distinct values?" -- a one-pass estimate settles
+    # clear cases; exact counts only for columns near the threshold (cheap,
+    # since their cardinality is small)
+    est = df.agg(*[F.approx_count_distinct(c).alias(c) for c in numeric]).first() if numeric else {}
+    near = [c for c in numeric if est[c] <= 2 * max_levels + 2]
+    exact = df.agg(*[F.count_distinct(c).alias(c) for c in near]).first() if near else {}
+    binned = [c for c in numeric if (exact[c] if c in near else est[c]) > max_levels]
     # Bin edges are tiny (<= bins + 1 values per variable): like Spark's
     # QuantileDiscretizer splits they are fetched once and inlined as literals.
     if binned and binning == "quantile":
