@@ -83,8 +83,13 @@ def proportional_impute(df: DataFrame, col: str, seed: int = 42) -> DataFrame:
     """
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counts.withColumn("_hi", F.sum("_n").over(w) / total).withColumn("_lo", F.col("_hi") - F.col("_n") / total)
+    if counts.limit(100_001).count() <= 100_000:     # checked: one ordered window over few categories
+        w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = counts.withColumn("_c", F.sum("_n").over(w))
+    else:                                            # many categories: range-partitioned running sum
+        from tadkit.operators.frame import cumulative_sum
+        cum = cumulative_sum(counts, [], [col], ["_n"], suffix="_cum").withColumnRenamed("_n_cum", "_c")
+    cum = cum.withColumn("_hi", F.col("_c") / total).withColumn("_lo", F.col("_hi") - F.col("_n") / total)
     cum = broadcast_if_small(cum.select(F.col(col).alias("_cat"), "_lo", "_hi"))
     x = df.withColumn("_u", F.rand(seed))
     nulls = x.filter(F.col(col).isNull())
