@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tadkit.functions.dates import WEEKDAY_LETTERS, epoch_micros
-from tadkit.operators.frame import add_row_id
 
 DAY_US = 86_400 * 1_000_000
 

@@ -1 +1 @@
-"""Registered queries."""
+"""Feature-transformer queries (L1-L12) are registered next to the model queries in ``q_models``."""

@@ -6,7 +6,6 @@ import struct
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tadkit.operators import segment as sg
 from tadkit.operators import stats as st
