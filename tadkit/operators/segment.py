@@ -108,6 +108,8 @@ def cluster_indices(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     per = j.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), F.avg(distance("_x", "_c")).alias("s"),
                                  F.sum(F.pow(distance("_x", "_c"), 2)).alias("w"))
     per = per.join(cen, cluster)
+    if per.limit(2_001).count() > 2_000:       # k^2 cluster pairs below: bounded, checked
+        raise ValueError("cluster indices over more than 2000 clusters")
     a = per.select(F.col(cluster).alias("i"), F.col("s").alias("si"), F.col("_c").alias("ci"))
     b = per.select(F.col(cluster).alias("j"), F.col("s").alias("sj"), F.col("_c").alias("cj"))
     # cluster pairs: k^2 rows for k clusters (bounded by the caller's k)

@@ -514,6 +514,9 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 # K14 -----------------------------------------------------------------------
+# Pairwise group statistics compare every pair of *groups* (k (k - 1) / 2
+# rows from the one-row-per-group summary); the group count is checked.
+MAX_PAIRED_GROUPS = 2_000
 def tukey_hsd(df: DataFrame, group: str, value: str) -> DataFrame:
     """Pairwise mean differences with the studentized-range statistic.
 
@@ -523,6 +526,8 @@ def tukey_hsd(df: DataFrame, group: str, value: str) -> DataFrame:
     t = g.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"),
               F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("ssw"))
     N, k, ssw = t.select("N").scalar(), t.select("k").scalar(), t.select("ssw").scalar()
+    if g.limit(MAX_PAIRED_GROUPS + 1).count() > MAX_PAIRED_GROUPS:
+        raise ValueError(f"Tukey HSD over more than {MAX_PAIRED_GROUPS} groups")
     mse = ssw / (N - k)
     a = g.select(*[F.col(c).alias(f"{c}_1") for c in (group, "n", "mean")])
     b = g.select(*[F.col(c).alias(f"{c}_2") for c in (group, "n", "mean")])
