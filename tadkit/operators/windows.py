@@ -144,8 +144,21 @@ def period_changes(df: DataFrame, by, order: str, value: str) -> DataFrame:
 
 
 # E7 / E9 -------------------------------------------------------------------
+def _bucketed_context(base: DataFrame, W: int, sub_buckets: int = 1) -> DataFrame:
+    """Rows keyed by time buckets of width ceil(W / s); each row also appears
+    as context in the next s buckets, so a frame [t - W, t) is complete
+    inside its own (key, bucket) partition.  s = 1 doubles the rows; a larger
+    s spreads one key's dense period over more partitions (s + 1 copies)."""
+    s = max(1, int(sub_buckets))
+    wb = -(-W // s)
+    x = base.withColumn("_b0", F.floor(F.col("_us") / wb))
+    x = x.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(s))))
+    return x.withColumn("_b", F.col("_b0") + F.col("_o")).withColumn("_anchor", F.col("_o") == 0).drop("_b0", "_o")
+
+
+
 def lookback_features(df: DataFrame, key: str, ts: str, value: str, row_id: str,
-                      days: int = 30, top_n: int = 3) -> DataFrame:
+                      days: int = 30, top_n: int = 3, sub_buckets: int = 1) -> DataFrame:
     """Per row: features of the same key's rows in ``[ts - days, ts)``.
 
     Output: row_id, num_op, value_mean, secs_since_last, value_last (max on
@@ -158,10 +171,7 @@ def lookback_features(df: DataFrame, key: str, ts: str, value: str, row_id: str,
         F.col(key).alias("_k"), F.col(row_id).alias("_id"), epoch_micros(ts).alias("_us"),
         F.col(value).cast("double").alias("_v"), F.hour(F.col(ts)).alias("_h"),
         F.weekday(F.col(ts)).alias("_d"))
-    base = base.withColumn("_b", F.floor(F.col("_us") / W))
-    anchors = base.withColumn("_anchor", F.lit(True))
-    context = base.withColumn("_b", F.col("_b") + 1).withColumn("_anchor", F.lit(False))
-    u = anchors.unionByName(context)
+    u = _bucketed_context(base, W, sub_buckets)
     w = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(-W, -1)
     last = F.max(F.struct("_us", "_v")).over(w)
     hour_cnt = [F.sum(F.when(F.col("_h") == h, 1).otherwise(0)).over(w).alias(f"_h{h}") for h in range(24)]
@@ -187,14 +197,14 @@ def lookback_features(df: DataFrame, key: str, ts: str, value: str, row_id: str,
         top("_h", 24).alias("hours_top"), top("_d", 7, letters).alias("weekdays_top"))
 
 
-def lookback_agg(df: DataFrame, key: str, ts: str, value: str, row_id: str, days: int) -> DataFrame:
+def lookback_agg(df: DataFrame, key: str, ts: str, value: str, row_id: str, days: int,
+                 sub_buckets: int = 1) -> DataFrame:
     """Count / sum / mean of the key's values in ``[ts - days, ts)`` per row
     (same bucketed range frame as ``lookback_features``)."""
     W = days * DAY_US
     base = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"), epoch_micros(ts).alias("_us"),
-                     F.col(value).cast("double").alias("_v")).withColumn("_b", F.floor(F.col("_us") / W))
-    u = base.withColumn("_anchor", F.lit(True)).unionByName(
-        base.withColumn("_b", F.col("_b") + 1).withColumn("_anchor", F.lit(False)))
+                     F.col(value).cast("double").alias("_v"))
+    u = _bucketed_context(base, W, sub_buckets)
     w = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(-W, -1)
     return u.select("_anchor", F.col("_id").alias(row_id), F.count(F.lit(1)).over(w).alias("n_prev"),
                     F.sum("_v").over(w).alias("sum_prev"), F.avg("_v").over(w).alias("mean_prev")) \

@@ -229,3 +229,17 @@ def test_grouped_median_paths_agree(spark, monkeypatch):
         for c in ("v_median_3", "v_median_6", "v_std_6"):
             assert fast[key][c] == pytest.approx(slow[key][c], abs=1e-9)
     assert all(box_fast[c] == pytest.approx(box_slow[c]) for c in ("min", "q1", "median", "q3", "max"))
+
+
+def test_lookback_sub_buckets_exact(spark):
+    """Finer time buckets (more context copies) give identical features."""
+    base = datetime(2024, 1, 1)
+    rows = [(i, 1 if i % 5 else 2, base + timedelta(hours=7 * i + (i * 13) % 5), float(i % 11)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, u long, ts timestamp, v double")
+    a = {r["id"]: r.asDict() for r in wn.lookback_features(df, "u", "ts", "v", "id", days=7).collect()}
+    b = {r["id"]: r.asDict() for r in wn.lookback_features(df, "u", "ts", "v", "id", days=7, sub_buckets=4).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for c in ("num_op", "secs_since_last", "value_last", "hours_top", "weekdays_top"):
+            assert a[k][c] == b[k][c], (k, c)
+        assert (a[k]["value_mean"] is None and b[k]["value_mean"] is None) or a[k]["value_mean"] == pytest.approx(b[k]["value_mean"])
