@@ -41,6 +41,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(BASE_CONF)
     if master and master.startswith("local"):
         conf["spark.driver.memory"] = "12g"          # local mode: the driver JVM is the executor
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="tadkit-warehouse-")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

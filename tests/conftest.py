@@ -15,7 +15,8 @@ def spark():
     from pyspark.sql import SparkSession
     from tadkit.session import BASE_CONF, checkpoint_dir
     b = SparkSession.builder.master("local[*]").appName("tadkit-tests") \
-        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g") \
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tadkit-test-warehouse-"))
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
