@@ -277,7 +277,8 @@ def _project(df: DataFrame, vec: str, dims: int, p: float, ref: DataFrame | None
 
 
 def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, dims: int = 3,
-        per_cell: int = 128, exclude_self: bool = False, max_rounds: int = 40, growth: int = 4) -> DataFrame:
+        per_cell: int = 128, exclude_self: bool = False, max_rounds: int = 40, growth: int = 4,
+        method: str = "auto") -> DataFrame:
     """Exact k nearest references of every query: (query_id, ref_id, dist, rank).
 
     Round r uses grid cells of side h * 2^r over a distance-contracting
@@ -290,7 +291,10 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
     their intermediates are persisted (recomputed from lineage if an
     executor is lost) rather than written out each round.
     """
-    dims = max(1, min(dims, len(refs.select(vec).first()[0])))   # no more axes than coordinates
+    d_full = len(refs.select(vec).first()[0])
+    if method == "clusters" or (method == "auto" and p == 2 and d_full > 8):   # a 3-D grid prunes little here
+        return knn_clusters(queries, refs, key, vec, k, exclude_self=exclude_self)
+    dims = max(1, min(dims, d_full))   # no more axes than coordinates
     proj_r = _project(refs, vec, dims, p)
     proj_q = _project(queries, vec, dims, p, ref=refs)
     # vectors travel to the distance kernel in their stored element type
@@ -343,6 +347,63 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
     return done
 
 
+def knn_clusters(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, per_cell: int = 64,
+                 exclude_self: bool = False, seed: int = 42) -> DataFrame:
+    """Exact kNN for high-dimensional vectors by cluster pruning (Euclidean).
+
+    References are grouped into ~n / per_cell k-means cells (centres and
+    radii form a bounded table).  Each query first scores the cells nearest
+    to it until they hold k references; every other cell whose lower bound
+    d(q, centre) - radius is below the query's k-th distance is then searched
+    too, so the answer is exact.  Pairs are formed only with candidate cells.
+    """
+    spark = refs.sparkSession
+    r = refs.select(F.col(key).alias("ref_id"), F.col(vec).alias("_rx"))
+    n = r.count()
+    if n < 2:                                   # nothing to cluster: plain grid search
+        return knn(queries, refs, key, vec, k, exclude_self=exclude_self, method="grid")
+    C = max(2, min(n, int(math.ceil(n / per_cell))))
+    km = KMeans(k=C, seed=seed, featuresCol="_v", predictionCol="cell").fit(
+        r.select(array_to_vector(F.col("_rx").cast("array<double>")).alias("_v")))
+    centres = [list(map(float, c)) for c in km.clusterCenters()]            # C x d, bounded by C
+    cen = F.array(*[F.array(*[F.lit(v) for v in c]) for c in centres])
+    rc = km.transform(r.withColumn("_v", array_to_vector(F.col("_rx").cast("array<double>")))).drop("_v")
+    rc = rc.withColumn("_dc", fast_distance("_rx", F.element_at(cen, F.col("cell") + 1))).persist()
+    cells = rc.groupBy("cell").agg(F.count(F.lit(1)).alias("_size"), F.max("_dc").alias("_rad"))
+    cells = F.broadcast(cells)                                                # one row per cell: bounded
+    q = queries.select(F.col(key).alias("query_id"), F.col(vec).alias("_qx")).persist()
+    # distance of every query to every centre (C numbers per query)
+    qc = q.select("query_id", F.posexplode(F.transform(cen, lambda c: c)).alias("cell", "_c")) \
+        .join(q, "query_id").withColumn("_dqc", fast_distance("_qx", "_c")).drop("_c", "_qx").join(cells, "cell")
+    qc = qc.persist()
+
+    def score(pairs: DataFrame) -> DataFrame:
+        cand = pairs.join(q, "query_id").join(rc.select("cell", "ref_id", "_rx"), "cell")
+        if exclude_self:
+            cand = cand.filter(F.col("query_id") != F.col("ref_id"))
+        return cand.select("query_id", "ref_id", fast_distance("_qx", "_rx").alias("dist"))
+
+    # round 1: nearest cells until they hold k (+1 when excluding self) references
+    need = k + (1 if exclude_self else 0)
+    w = Window.partitionBy("query_id").orderBy("_dqc", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    first = qc.withColumn("_before", F.coalesce(F.sum("_size").over(w), F.lit(0))).filter(F.col("_before") < need)
+    first = first.select("query_id", "cell").persist()
+    d1 = score(first)
+    wr = Window.partitionBy("query_id").orderBy("dist", "ref_id")
+    top1 = d1.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k).persist()
+    kth = top1.groupBy("query_id").agg(F.max("dist").alias("_kd"), F.count(F.lit(1)).alias("_n"))
+    # round 2: every unsearched cell that could still hold a closer reference
+    more = qc.join(kth, "query_id", "left").join(first, ["query_id", "cell"], "left_anti") \
+        .filter((F.col("_n").isNull()) | (F.col("_n") < k) | (F.col("_dqc") - F.col("_rad") < F.col("_kd"))) \
+        .select("query_id", "cell")
+    allc = top1.select("query_id", "ref_id", "dist").unionByName(score(more))
+    out = allc.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
+    out = cut_lineage(out)
+    for df_ in (rc, q, qc, first, top1):
+        df_.unpersist()
+    return out
+
+
 # N8 ------------------------------------------------------------------------
 def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, p: float = 2.0,
            dims: int = 3, max_iter: int = 100) -> DataFrame:

@@ -156,3 +156,18 @@ def test_small_results_and_models_roundtrip(spark, tmp_path):
     tb.save_fitted(m, str(tmp_path / "m"))
     back = tb.load_fitted(str(tmp_path / "m"))
     assert back.transform(df).count() == 4
+
+
+def test_knn_cluster_pruned_high_dim_exact(spark):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(0, 10, (4, 16))
+    pts = np.vstack([c + rng.normal(0, 0.5, (40, 16)) for c in centres])
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(pts)], "id long, x array<double>")
+    k = 5
+    got = {}
+    for r in sg.knn(df, df, "id", "x", k, exclude_self=True).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["ref_id"]))
+    D = np.linalg.norm(pts[:, None, :] - pts[None, :, :], axis=2)
+    np.fill_diagonal(D, np.inf)
+    for q in range(len(pts)):
+        assert [i for _, i in sorted(got[q])] == list(np.lexsort((np.arange(len(pts)), D[q]))[:k])
