@@ -4,10 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tadkit.llm.chat import format_chats, read_back
 from tadkit.llm.common import prepare, table
+from tadkit.llm.mixing import mix
 from tadkit.llm.neardup import near_duplicates
+from tadkit.llm.packing import pack
+from tadkit.llm.pii import pseudonymise
+
+PII_KEY = "tadkit-demo-key"          # a deployment passes its own secret
+
+
+def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    prepare(spark)
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each document when sources weigh 1, 2, 3, repeating."""
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, formatted and read back."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], c.schema)
+    return read_back(format_chats(c.unionByName(extra)))
+
+
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their personal data replaced by format-preserving pseudonyms."""
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY) \
+        .selectExpr("doc_id", "text", "cast(size(pii_found) as long) as n_replaced", "pii_found")
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +49,62 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pack_sequences": op1_pack_sequences,
+    "op2_mix_sources": op2_mix_sources,
+    "op4_format_chats": op4_format_chats,
+    "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+_OP2 = r"""
+with d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+         md5('7:' || coalesce(doc_id::varchar, 'null')) as draw
+  from documents),
+s as (select source, sum(size)::bigint as source_size, count(*) as docs from d group by source),
+w as (
+  select *, ([1, 2, 3])[((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::double as weight,
+         3.0 * source_size as cap, sum(source_size) over () as total
+  from s),
+l as (
+  select *, (total - coalesce(sum(cap) over o, 0)) / (sum(weight) over () - coalesce(sum(weight) over o, 0)) as level
+  from w window o as (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding)),
+t as (select *, least(cap, weight * max(level) over ()) as target from l),
+n as (select *, round(sum(target) over () / 64)::bigint as blocks, count(*) over () as m,
+             case when sum(target) over () > 0 then target / sum(target) over () else 0 end as share from t),
+seats as (
+  select source, target, blocks, unnest(generate_series(1, ceil(share * blocks + share * m / 2 + 1)::bigint + 1)) as k from n),
+q as (
+  select source, count(*) filter (where won and target > 0) as quota
+  from (select source, target, row_number() over (order by target / (2 * k - 1) desc, source nulls last) <= blocks as won from seats)
+  group by source),
+p as (
+  select d.doc_id, d.size, n.source_size, n.target, least(q.quota * 64, 3 * n.source_size) as want,
+         coalesce(sum(d.size) over (partition by d.source order by d.draw, d.doc_id, d.size
+                                    rows between unbounded preceding and 1 preceding), 0) as pos
+  from d join n on d.source is not distinct from n.source join q on d.source is not distinct from q.source)
+select doc_id, size, source_size, target,
+       (case when source_size > 0 then want // source_size else 0 end * size
+        + least(greatest(case when source_size > 0 then want % source_size else 0 end - pos, 0), size))::bigint as taken
+from p
+"""
+
+_OP4 = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (
+  select *, length(role) + (length(text) - length(replace(text, '### ', ''))) // 4
+            + (length(text) - length(replace(text, '</turn>', ''))) // 7 + length(text) + 15
+            + length(role) - length(replace(replace(replace(role, '\', ''), ':', ''), '<', '')) as n
+  from c)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(n)::bigint as formatted_chars
+from e group by conv_id
+"""
+
+ORACLE: dict[str, str] = {"op2_mix_sources": _OP2, "op4_format_chats": _OP4}
