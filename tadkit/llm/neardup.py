@@ -7,12 +7,13 @@ coordinates come from two permutations, the second shifted circularly.  The
 coordinates are cut into bands; documents that share a band are candidates,
 and every link is confirmed on the full sets of shingles.
 
-Copies (equal sets) are one class with one signature.  Candidates of a band
-are compared with a pivot, not with each other: what ends in the pivot's
-component needs no further test, and only bands that still hold several
-components are tried again with more pivots, until no band does.  So no link
-between components is lost, and a group of thousands of near copies costs
-about one comparison a member.
+Copies (equal sets) are one class with one signature.  The candidates of a band
+are first compared with its hub, the member that meets most others, not with
+each other.  What this links needs no further test.  In bands that still hold
+several components, the members of different components are compared by their
+whole signatures, in blocks, and the full sets of those that may be similar
+are compared after that.  So no link between components is lost, and a group
+of thousands of near copies costs about one comparison a member.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tadkit.llm.bytetext import mix, shingle_sets
@@ -30,6 +31,7 @@ from tadkit.llm.common import forget, prepare, written
 
 BINS = 1 << 20
 SPLIT = 256          # members compared in one slice of a pivot's group
+BLOCK = 1024         # members of a band in one block
 
 
 @lru_cache(maxsize=2)
@@ -71,20 +73,23 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def sketch(docs: DataFrame, width: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """doc_id, n (set size), d1 and d2 (128-bit digest of the set), keys (its bands)."""
+    """doc_id, n (set size), d1 and d2 (128-bit digest of the set), keys (its
+    bands), low (the low byte of each coordinate)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, d1, d2, keys = [], [], [], []
+            n, d1, d2, keys, low = [], [], [], [], []
             for s in shingle_sets(batch.column("text"), width):
                 n.append(len(s))
                 with np.errstate(over="ignore"):
                     d1.append(int(mix(s + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)))
                     d2.append(int(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)))
-                keys.append(band_keys(signature(s, bands * rows, seed), bands, rows) if len(s) else [])
+                sig = signature(s, bands * rows, seed) if len(s) else None
+                keys.append([] if sig is None else band_keys(sig, bands, rows))
+                low.append(None if sig is None else sig.astype(np.uint8).tobytes())
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
-                                   pa.array(d2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                                  names=["doc_id", "n", "d1", "d2", "keys"])
-    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, keys array<long>")
+                                   pa.array(d2, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                                   pa.array(low, pa.binary())], names=["doc_id", "n", "d1", "d2", "keys", "low"])
+    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, keys array<long>, low binary")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -174,41 +179,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     # One row for each band of each class; only bands of two classes or more matter.
     rep = sig.where("n > 0").join(classes.select(F.col("id").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"],
                                   "left_semi")
-    cells = rep.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), "n")
-    low = cells.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    live = written(cells.join(low.select("key", "pivot"), "key").select("key", "id", "n", "pivot").distinct(), "cells")
+    cells = rep.select(F.posexplode("keys").alias("band", "key"), F.col("doc_id").alias("id"), "n")
+    shared = cells.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    live = written(cells.join(shared, "key"), "cells")
     texts = written(docs.join(live.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
                     .select(F.col("doc_id").alias("id"), "text"), "texts")
 
-    # First round: each member against its band's least id.
-    size = live.where("id = pivot").groupBy("id").agg(F.first("n").alias("pivot_n")).withColumnRenamed("id", "pivot")
-    tries = live.where("id <> pivot").select("pivot", "id", "n").distinct().join(size, "pivot")
-    tested = written(_sized(tries, percent).select("pivot", "id"), "pairs")
-    links = written(_links(tested, texts, width, percent), "links")
-    open_cells = live.where("id <> pivot").select("key", "id", "n")
+    # Each member against its band's hub.
+    hubs = live.groupBy("id").agg(F.sum("size").alias("met"), F.max("n").alias("n"))
+    best = live.select("key", "id").join(hubs, "id").groupBy("key") \
+        .agg(F.max(F.struct("met", "id", F.col("n").alias("pivot_n"))).alias("hub")) \
+        .select("key", F.col("hub.id").alias("pivot"), F.col("hub.pivot_n").alias("pivot_n"))
+    cast = written(live.select("key", "band", "id", "n").join(best, "key"), "hubs")
+    tries = cast.where(f"id <> pivot and 100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n)")
+    star = written(_links(tries.select("pivot", "id").distinct(), texts, width, percent), "links")
+    comp = written(components(star), "comp")
+
+    # Members of different components that share a band.
+    cells = cast.select("key", "band", "id", "n", "pivot").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    mixed = cells.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi")
+    cells = cells.join(mixed.select("key", "size"), "key") \
+        .join(sig.where("n > 0").select(F.col("doc_id").alias("id"), "low").dropDuplicates(["id"]), "id")
+    rest = written(across(cells, bands, rows, percent), "pairs")
+    links = star.unionByName(_links(rest, texts, width, percent))
     comp = written(components(links), "comp")
-    pivots, garbage = 4, [live]
-    while True:
-        # Bands that still hold several components, without the pivots already compared.
-        now = open_cells.join(comp, "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
-        mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        now = written(now.join(mixed, "key", "left_semi"), "open")
-        if now.isEmpty():
-            break
-        ranked = now.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id"))) \
-            .where(F.col("rank") <= pivots)
-        lead = ranked.select("key", F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("comp").alias("pivot_comp"))
-        tries = now.join(lead, "key").where("pivot < id and comp <> pivot_comp") \
-            .select("pivot", "id", "n", "pivot_n").distinct()
-        fresh = _sized(tries, percent).select("pivot", "id").join(tested, ["pivot", "id"], "left_anti")
-        fresh = written(fresh, "pairs")
-        more = written(_links(fresh, texts, width, percent), "links")
-        links, tested = links.unionByName(more), tested.unionByName(fresh)
-        comp = written(components(links), "comp")
-        open_cells = now.join(ranked.select("key", "id"), ["key", "id"], "left_anti").select("key", "id", "n")
-        garbage.append(now)
-        pivots *= 2
-    for df in [*garbage, now, texts]:
+    for df in (live, cast, texts, star, rest):
         forget(df)
 
     joined = classes.join(comp, "id", "left").select("n", "d1", "d2", F.coalesce("comp", "id").alias("comp"))
@@ -218,9 +213,62 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _sized(tries: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes can reach the similarity."""
-    return tries.where(f"100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n)")
+def across(cells: DataFrame, bands: int, rows: int, percent: int) -> DataFrame:
+    """Pairs (pivot < id) of members of a band, of different components, whose
+    sizes and signatures allow the similarity.
+
+    ``cells`` has key, band, id, n, pivot (the band's hub, compared already), comp,
+    size (of the band) and low.  Bands of more than ``BLOCK`` members are cut
+    into blocks, and each pair of blocks is a group.  A pair is reported by the
+    first band it shares.  Signatures that agree in 4.5 standard deviations less
+    than the coordinates expected at the similarity are passed over (3e-6 of
+    those at the similarity, and fewer above it).
+    """
+    coords = bands * rows
+    p = percent / 100
+    least = int(coords * p - 4.5 * (coords * p * (1 - p)) ** 0.5)
+    many = F.expr(f"cast(1 + (size - 1) div {BLOCK} as int)")
+    c = cells.withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), many).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), many - 1))) \
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                (F.col("own") <= F.col("other")).alias("left"), "id", "n", "comp", "low", (F.col("id") == F.col("pivot")).alias("hub"), "band")
+    c = c.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+
+    def pairs(group: list[tuple], same: bool) -> Iterator[tuple[int, int]]:
+        group = [g for g in group if not g[8]]
+        a = [g for g in group if g[3]]
+        b = a if same else [g for g in group if not g[3]]
+        if len({g[6] for g in group}) < 2 or not a or not b:
+            return
+        band = slice(group[0][9] * rows, (group[0][9] + 1) * rows)
+        ids, ns, comps = (np.array([g[k] for g in b], np.int64) for k in (4, 5, 6))
+        low = np.frombuffer(b"".join(g[7] for g in b), np.uint8).reshape(len(b), coords)
+        for g in a:
+            ok = (comps != g[6]) & (100 * np.minimum(ns, g[5]) >= percent * np.maximum(ns, g[5]))
+            at = np.flatnonzero(ok & (ids > g[4]) if same else ok)
+            if not len(at):
+                continue
+            eq = low[at] == np.frombuffer(g[7], np.uint8)
+            earlier = eq[:, :band.start].reshape(len(at), -1, rows).all(axis=2).any(axis=1)
+            for x in at[(eq.sum(axis=1) >= least) & ~earlier].tolist():
+                yield min(g[4], int(ids[x])), max(g[4], int(ids[x]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group = None, []
+
+        def done() -> pa.RecordBatch:
+            found = list(pairs(group, at[1] == at[2])) if group else []
+            return pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["pivot", "id"])
+        for batch in batches:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(10))):
+                if row[:3] != at:
+                    if group:
+                        yield done()
+                    at, group = row[:3], []
+                group.append(row)
+        if group:
+            yield done()
+    return c.mapInArrow(run, "pivot long, id long")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
