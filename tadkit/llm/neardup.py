@@ -9,11 +9,12 @@ and every link is confirmed on the full sets of shingles.
 
 Copies (equal sets) are one class with one signature.  The candidates of a band
 are first compared with its hub, the member that meets most others, not with
-each other.  What this links needs no further test.  In bands that still hold
-several components, the members of different components are compared by their
-whole signatures, in blocks, and the full sets of those that may be similar
-are compared after that.  So no link between components is lost, and a group
-of thousands of near copies costs about one comparison a member.
+each other.  What this links needs no further test.  Where bands of a hub still
+hold several components, its members of different components are compared in
+blocks, first by their whole signatures, then by the full sets of those that
+may be similar, and only links are reported.  So no link between components is
+lost, and a group of thousands of near copies costs about one comparison a
+member, as far as they are similar to its hub.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from tadkit.llm.common import forget, prepare, written
 
 BINS = 1 << 20
 SPLIT = 256          # members compared in one slice of a pivot's group
-BLOCK = 1024         # members of a band in one block
+BLOCK = 512          # members of a hub in one block
 
 
 @lru_cache(maxsize=2)
@@ -179,7 +180,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     # One row for each band of each class; only bands of two classes or more matter.
     rep = sig.where("n > 0").join(classes.select(F.col("id").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"],
                                   "left_semi")
-    cells = rep.select(F.posexplode("keys").alias("band", "key"), F.col("doc_id").alias("id"), "n")
+    cells = rep.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), "n")
     shared = cells.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     live = written(cells.join(shared, "key"), "cells")
     texts = written(docs.join(live.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
@@ -190,18 +191,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     best = live.select("key", "id").join(hubs, "id").groupBy("key") \
         .agg(F.max(F.struct("met", "id", F.col("n").alias("pivot_n"))).alias("hub")) \
         .select("key", F.col("hub.id").alias("pivot"), F.col("hub.pivot_n").alias("pivot_n"))
-    cast = written(live.select("key", "band", "id", "n").join(best, "key"), "hubs")
+    cast = written(live.select("key", "id", "n").join(best, "key"), "hubs")
     tries = cast.where(f"id <> pivot and 100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n)")
     star = written(_links(tries.select("pivot", "id").distinct(), texts, width, percent), "links")
     comp = written(components(star), "comp")
 
-    # Members of different components that share a band.
-    cells = cast.select("key", "band", "id", "n", "pivot").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    mixed = cells.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi")
-    cells = cells.join(mixed.select("key", "size"), "key") \
-        .join(sig.where("n > 0").select(F.col("doc_id").alias("id"), "low").dropDuplicates(["id"]), "id")
-    rest = written(across(cells, bands, rows, percent), "pairs")
-    links = star.unionByName(_links(rest, texts, width, percent))
+    # Members of different components that share a band, by the band's hub.
+    cells = cast.select("key", "id", "n", "pivot").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    mixed = cells.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    left = cells.where("id <> pivot").join(mixed, "key", "left_semi").select(F.col("pivot").alias("hub"), "id", "n", "comp").distinct()
+    left = left.join(left.groupBy("hub").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                     .where("lo < hi").select("hub", "size"), "hub")
+    low = sig.where("n > 0").join(left.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi") \
+        .groupBy(F.col("doc_id").alias("id")).agg(F.min("low").alias("low"))
+    rest = written(across(left.join(low, "id").join(texts, "id"), width, bands * rows, percent), "links")
+    links = star.unionByName(rest)
     comp = written(components(links), "comp")
     for df in (live, cast, texts, star, rest):
         forget(df)
@@ -213,54 +217,56 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def across(cells: DataFrame, bands: int, rows: int, percent: int) -> DataFrame:
-    """Pairs (pivot < id) of members of a band, of different components, whose
-    sizes and signatures allow the similarity.
+def across(members: DataFrame, width: int, coords: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of a hub that are of different components.
 
-    ``cells`` has key, band, id, n, pivot (the band's hub, compared already), comp,
-    size (of the band) and low.  Bands of more than ``BLOCK`` members are cut
-    into blocks, and each pair of blocks is a group.  A pair is reported by the
-    first band it shares.  Signatures that agree in 4.5 standard deviations less
-    than the coordinates expected at the similarity are passed over (3e-6 of
-    those at the similarity, and fewer above it).
+    ``members`` has hub, id, n, comp, size (members of the hub), low and text.
+    A hub of more than ``BLOCK`` members is cut into blocks, and each pair of
+    blocks is a group, which a task holds.  Signatures that agree in 4.5 standard
+    deviations less than the coordinates expected at the similarity are passed
+    over (3e-6 of those at the similarity, and fewer above it).  What a link
+    joins within a group is one component from then on.
     """
-    coords = bands * rows
     p = percent / 100
     least = int(coords * p - 4.5 * (coords * p * (1 - p)) ** 0.5)
     many = F.expr(f"cast(1 + (size - 1) div {BLOCK} as int)")
-    c = cells.withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), many).cast("int")) \
+    m = members.withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), many).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), many - 1))) \
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                (F.col("own") <= F.col("other")).alias("left"), "id", "n", "comp", "low", (F.col("id") == F.col("pivot")).alias("hub"), "band")
-    c = c.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+        .select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                (F.col("own") <= F.col("other")).alias("left"), "id", "n", "comp", "low", "text")
+    m = m.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", "id")
 
-    def pairs(group: list[tuple], same: bool) -> Iterator[tuple[int, int]]:
-        group = [g for g in group if not g[8]]
+    def links(group: list[tuple], same: bool) -> Iterator[tuple[int, int]]:
         a = [g for g in group if g[3]]
         b = a if same else [g for g in group if not g[3]]
-        if len({g[6] for g in group}) < 2 or not a or not b:
+        if len({g[6] for g in group}) < 2 or not b:
             return
-        band = slice(group[0][9] * rows, (group[0][9] + 1) * rows)
         ids, ns, comps = (np.array([g[k] for g in b], np.int64) for k in (4, 5, 6))
         low = np.frombuffer(b"".join(g[7] for g in b), np.uint8).reshape(len(b), coords)
+        joined: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while c in joined:
+                c = joined[c]
+            return c
         for g in a:
             ok = (comps != g[6]) & (100 * np.minimum(ns, g[5]) >= percent * np.maximum(ns, g[5]))
             at = np.flatnonzero(ok & (ids > g[4]) if same else ok)
-            if not len(at):
-                continue
-            eq = low[at] == np.frombuffer(g[7], np.uint8)
-            earlier = eq[:, :band.start].reshape(len(at), -1, rows).all(axis=2).any(axis=1)
-            for x in at[(eq.sum(axis=1) >= least) & ~earlier].tolist():
-                yield min(g[4], int(ids[x])), max(g[4], int(ids[x]))
+            at = at[(low[at] == np.frombuffer(g[7], np.uint8)).sum(axis=1) >= least]
+            for x in at.tolist():
+                c, d = root(g[6]), root(b[x][6])
+                if c != d and jaccard_at_least(g[8], b[x][8], percent):
+                    joined[c] = d
+                    yield g[4], b[x][4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, group = None, []
 
         def done() -> pa.RecordBatch:
-            found = list(pairs(group, at[1] == at[2])) if group else []
-            return pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["pivot", "id"])
+            found = list(links(group, at[1] == at[2]))
+            return pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"])
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(10))):
+            for row in zip(*(batch.column(k).to_pylist() for k in range(8)), shingle_sets(batch.column("text"), width)):
                 if row[:3] != at:
                     if group:
                         yield done()
@@ -268,7 +274,7 @@ def across(cells: DataFrame, bands: int, rows: int, percent: int) -> DataFrame:
                 group.append(row)
         if group:
             yield done()
-    return c.mapInArrow(run, "pivot long, id long")
+    return m.mapInArrow(run, "a long, b long")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
