@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tadkit.llm.ann import nearest
 from tadkit.llm.chat import format_chats, read_back
 from tadkit.llm.common import prepare, table
+from tadkit.llm.fingerprint import compare_edits
 from tadkit.llm.mixing import mix
 from tadkit.llm.neardup import near_duplicates
 from tadkit.llm.packing import pack
 from tadkit.llm.pii import pseudonymise
+from tadkit.llm.quality import quality_scores
+from tadkit.llm.toxicity import toxicity
+from tadkit.llm.warc import archive_pages
 
 PII_KEY = "tadkit-demo-key"          # a deployment passes its own secret
 
@@ -28,6 +33,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives, normalised to one member a record, and read back."""
+    return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one full of control strings, formatted and read back."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -36,6 +46,21 @@ def op4_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(c.unionByName(extra)))
 
 
+def op5_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every 20th vector by inner product."""
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op6_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and of their edited texts, with likenesses."""
+    return compare_edits(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their personal data replaced by format-preserving pseudonyms."""
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY) \
@@ -48,13 +73,14 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_pack_sequences": op1_pack_sequences,
-    "op2_mix_sources": op2_mix_sources,
-    "op4_format_chats": op4_format_chats,
-    "op8_pii_pseudonyms": op8_pii_pseudonyms,
-    "op9_minhash_near_dedup": op9_minhash_near_dedup,
-}
+def op10_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of toxic language in all documents."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_pack_sequences, op2_mix_sources, op3_warc_normalise, op4_format_chats, op5_learned_partitions,
+    op6_multiset_fingerprints, op7_quality_mil, op8_pii_pseudonyms, op9_minhash_near_dedup, op10_toxicity_ordinal)}
 
 _OP2 = r"""
 with d as (
