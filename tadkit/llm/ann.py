@@ -76,7 +76,7 @@ class Router:
     def __init__(self, x: np.ndarray, part: np.ndarray, parts: int, seed: int, hidden: int = 128, epochs: int = 60):
         rng = np.random.default_rng(seed)
         d = x.shape[1]
-        self.scale = 1.0 / (np.abs(x).mean() + 1e-12)
+        self.scale = 1.0 / (np.abs(x).sum() / max(1, x.size) + 1e-12)
         p = [rng.standard_normal((d, hidden)) / np.sqrt(d), np.zeros(hidden), rng.standard_normal((hidden, parts)) / np.sqrt(hidden),
              np.zeros(parts)]
         m, v, t = [np.zeros_like(q) for q in p], [np.zeros_like(q) for q in p], 0

@@ -110,7 +110,8 @@ def with_next(docs: DataFrame, buckets: int) -> DataFrame:
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     d = d.withColumn("_at", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
-    cuts = sorted(set(d.where("doc_id is not null").approxQuantile("_at", [i / buckets for i in range(1, buckets)], 0.2 / buckets)))
+    at = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(d.where("doc_id is not null").approxQuantile("_at", at, 0.2 / buckets))) if at else []
     splits = [float("-inf"), *cuts, float("inf")]
     d = Bucketizer(splits=splits, inputCol="_at", outputCol="_bucket").transform(d) if cuts else d.withColumn("_bucket", F.lit(0.0))
     d = d.withColumn("bucket", F.col("_bucket").cast("int")).drop("_bucket", "_at")

@@ -152,7 +152,8 @@ def components(edges: DataFrame) -> DataFrame:
         now, old, mark = new, mark, state(new)
         if mark == old:
             break
-    return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("comp"))
+    return now.select(F.col("a").alias("id"), F.col("b").alias("comp")) \
+        .unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("comp"))).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 48, rows: int = 5,
@@ -283,6 +284,9 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
 
 
 def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the rows that are not kept: one document of each group stays."""
-    gone = near_duplicates(docs, **settings).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with one row of each component; rows without doc_id stay, and
+    of rows that repeat a doc_id one stays."""
+    gone = near_duplicates(docs, **settings).where("not kept").select("doc_id").distinct()
+    named = docs.where("doc_id is not null")
+    return named.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns) \
+        .unionByName(docs.where("doc_id is null"))
