@@ -6,7 +6,10 @@ token lists are Spark arrays, filtered with higher-order functions.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterable
+from html.entities import name2codepoint
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
@@ -17,13 +20,24 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# H13 -- fixed values: accented letter -> base letter (NFD then ASCII drop).
-ACCENTED = "áàâäãåāéèêëēíìîïīóòôöõōúùûüūýÿñçÁÀÂÄÃÅĀÉÈÊËĒÍÌÎÏĪÓÒÔÖÕŌÚÙÛÜŪÝŸÑÇ"
-BASE = "aaaaaaaeeeeeiiiiiooooooouuuuuyyncAAAAAAAEEEEEIIIIIOOOOOOUUUUUYYNC"
+def _accent_table() -> tuple[str, str]:
+    """Every letter whose canonical decomposition is an ASCII character and
+    combining marks, and that character."""
+    found = []
+    for code in range(0xA0, sys.maxunicode + 1):
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and parts[0].isascii() and all(unicodedata.combining(c) for c in parts[1:]):
+            found.append((chr(code), parts[0]))
+    return "".join(a for a, _ in found), "".join(b for _, b in found)
+
+
+_ACCENTED, _PLAIN = _accent_table()
 
 
 def strip_accents(x) -> Column:
-    return F.translate(_c(x), ACCENTED, BASE)
+    """Accented letters become their ASCII letter; what is not ASCII then goes
+    (NFD, then ASCII)."""
+    return F.regexp_replace(F.translate(_c(x), _ACCENTED, _PLAIN), r"[^\x00-\x7F]+", "")
 
 
 def clean_text(x) -> Column:
@@ -33,8 +47,25 @@ def clean_text(x) -> Column:
     return F.trim(F.lower(s))
 
 
-# H14 -- fixed values: the HTML entities decoded after tag removal.
-HTML_ENTITIES = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " "}
+# H14
+_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def decode_entities(x) -> Column:
+    """HTML's named and numeric character references, each decoded once, from
+    left to right; unknown ones stay."""
+    def decode(e: Column) -> Column:
+        name = F.substring(e, F.lit(2), F.length(e) - 2)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10).cast("int")) \
+            .when(name.startswith("#"), F.substring(name, F.lit(2), F.length(name)).cast("int"))
+        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        named = F.create_map(*[F.lit(v) for k, c in sorted(name2codepoint.items()) for v in (k, chr(c))])
+        return F.coalesce(char, F.try_element_at(named, name), e)
+    t = _c(x)
+    new = F.concat(F.transform(F.regexp_extract_all(t, F.lit(_ENTITY), F.lit(0)), decode), F.array(F.lit("")))
+    joined = F.array_join(F.zip_with(F.split(t, _ENTITY, -1), new, lambda a, b: F.concat(a, b)), "")
+    return F.when(t.contains("&"), joined).otherwise(t)
 
 
 def strip_html(x) -> Column:
@@ -43,9 +74,8 @@ def strip_html(x) -> Column:
     s = F.regexp_replace(s, r"(?is)<style[^>]*>.*?</style\s*>", " ")
     s = F.regexp_replace(s, r"(?s)<!--.*?-->", " ")
     s = F.regexp_replace(s, r"<[^>]*>", " ")
-    for ent, ch in HTML_ENTITIES.items():
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return F.trim(F.regexp_replace(s, r"\s+", " "))
+    decoded = F.element_at(F.transform(F.array(s), decode_entities), 1)      # s is worked out once
+    return F.trim(F.regexp_replace(decoded, r"[\s\u00a0]+", " "))
 
 
 # H15
@@ -53,10 +83,6 @@ def remove_punctuation(x) -> Column:
     return F.regexp_replace(_c(x), r"[\p{P}\p{S}]", " ")
 
 
-def remove_standalone_digits(x) -> Column:
-    return F.regexp_replace(_c(x), r"\b\d+\b", " ")
-
-
 def drop_digit_tokens(tokens) -> Column:
     """Standalone numbers as whole tokens (word-boundary rules differ between
     regex engines for accented text, so this works on the token array)."""

@@ -1,9 +1,7 @@
 """User-defined function surfaces.
 
 Built-in expressions come first; where Python is needed it runs as Arrow
-batches (``pandas_udf``), never row by row.  Per-group Python functions are
-guarded: the largest group is measured first and refused above a bound, so
-no unbounded group is ever shipped to one Python worker.
+batches (``pandas_udf``), never row by row.
 """
 
 from __future__ import annotations
@@ -39,13 +37,8 @@ def struct_udf(fn: Callable[[pd.Series], pd.DataFrame], schema: str) -> Callable
 
 
 # I5 ------------------------------------------------------------------------
-def per_group_frame(df: DataFrame, by: Sequence[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
-                    max_group_rows: int = 5_000_000) -> DataFrame:
-    """``groupBy(by).applyInPandas(fn)`` after checking the largest group.
-
-    ``applyInPandas`` materialises one group in one Python worker, so the
-    group size is bounded explicitly (one aggregate) before running it."""
-    biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if biggest > max_group_rows:
-        raise ValueError(f"largest group has {biggest} rows > {max_group_rows}; split the key first")
+def per_group_frame(df: DataFrame, by: Sequence[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``groupBy(by).applyInPandas(fn)``: the function sees a whole group, so
+    ``by`` must be a key whose groups stay small as the data grow (a customer,
+    a document), not one that divides the table in a few parts."""
     return df.groupBy(*by).applyInPandas(fn, schema)

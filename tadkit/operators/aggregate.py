@@ -43,6 +43,13 @@ def _cols(x) -> list:
     return list(x)
 
 
+def drop_null_keys(df: DataFrame, by) -> DataFrame:
+    """The group-by rule of the library: rows of a null key form no group."""
+    for b in _cols(by):
+        df = df.filter((F.col(b) if isinstance(b, str) else b).isNotNull())
+    return df
+
+
 # D1 / D2 -------------------------------------------------------------------
 def global_agg(df: DataFrame, spec: dict[str, Sequence[str]]) -> DataFrame:
     """One-row frame ``{col: [fn, ...]}`` -> columns ``{col}_{fn}``."""
@@ -50,14 +57,14 @@ def global_agg(df: DataFrame, spec: dict[str, Sequence[str]]) -> DataFrame:
 
 
 def group_agg(df: DataFrame, by, spec: dict[str, Sequence[str]],
-              drop_null_keys: bool = True) -> DataFrame:
+              drop_nulls: bool = True) -> DataFrame:
     """pandas-style ``groupby(by).agg(spec)`` with flat ``{col}_{fn}`` names.
 
-    pandas drops null group keys; ``drop_null_keys`` keeps that rule.
+    pandas drops null group keys; ``drop_nulls`` keeps that rule.
     """
     by = _cols(by)
-    if drop_null_keys and by:
-        df = df.filter(F.expr(" AND ".join(f"`{b}` IS NOT NULL" for b in by)))
+    if drop_nulls:
+        df = drop_null_keys(df, by)
     return df.groupBy(*by).agg(*[AGG_FNS[f](c).alias(f"{c}_{f}")
                                  for c, fns in spec.items() for f in fns])
 
@@ -67,20 +74,20 @@ def agg_matrix(df: DataFrame, by, cols: Sequence[str], fns: Sequence[str],
                name: str = "{col}_{fn}") -> DataFrame:
     """Cross product columns x functions, names from a template.
 
-    Grouped medians use Spark's ``median`` when the largest group is checked
-    to fit the buffer bound, else ``grouped_quantiles`` (no group buffered);
-    every other function is a partial-aggregated built-in."""
+    Grouped medians come from ``grouped_quantiles`` (no group is buffered);
+    every other function is a partial-aggregated built-in.  Rows of a null
+    key are dropped."""
     by = _cols(by)
-    distributed = "median" in fns and by and not groups_fit_buffer(df, by)
-    plain = [f for f in fns if not (f == "median" and distributed)]
-    exprs = [AGG_FNS[f](c).alias(name.format(col=c, fn=f)) for c in cols for f in plain]
-    out = df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
-    if distributed:
+    df = drop_null_keys(df, by)
+    plain = [f for f in fns if f != "median"]
+    out = [F.lit(1).alias("_any")] + [AGG_FNS[f](c).alias(name.format(col=c, fn=f)) for c in cols for f in plain]
+    out = df.groupBy(*by).agg(*out) if by else df.agg(*out)
+    if "median" in fns:
         for c in cols:
-            med = grouped_quantiles(df, by, c, [0.5], alias=name.format(col=c, fn="median")).drop("p")
-            out = out.join(med, by, "left")
-        out = out.select(*by, *[name.format(col=c, fn=f) for c in cols for f in fns])
-    return out
+            alias = name.format(col=c, fn="median")
+            med = grouped_quantiles(df, by, c, [0.5], alias=alias).drop("p")
+            out = out.join(med, by, "left") if by else out.withColumn(alias, med.scalar())
+    return out.select(*by, *[name.format(col=c, fn=f) for c in cols for f in fns])
 
 
 # D4 ------------------------------------------------------------------------
@@ -111,7 +118,7 @@ def mode(df: DataFrame, by, col: str, alias: str | None = None,
     Counts are combined map-side, so a hot group never materialises its rows.
     """
     by = _cols(by)
-    counted = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
+    counted = drop_null_keys(df.filter(F.col(col).isNotNull()), by).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
     out = counted.groupBy(*by).agg(
         F.min_by(F.col(col), F.struct(-F.col("_n"), F.col(col))).alias(alias or f"{col}_mode"),
         *([F.max("_n").alias(f"{alias or col}_mode_count")] if with_count else []))
@@ -195,28 +202,19 @@ def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
     return counts.select(col, "n", (F.col("n") / total).alias("share"))
 
 
-def freq_table(df: DataFrame, col: str, order: str = "value", window_max: int = 100_000) -> DataFrame:
+def freq_table(df: DataFrame, col: str, order: str = "value") -> DataFrame:
     """Frequency table FA / FR / FAA / FRA in value order (or count order).
 
-    The cumulative sums run over the *distinct values* (already reduced by a
-    partial aggregate).  When that table is small (checked: at most
-    ``window_max`` rows) one ordered window is enough; otherwise the running
-    sums use the range-partitioned ``cumulative_sum``.
+    The running sums go over the distinct values, range-partitioned.
     """
-    counts = value_counts(df, col, dropna=(order == "value"))
-    if order == "value":
-        keys = [F.col(col).asc_nulls_last()]
-    else:  # D14: descending frequency, nulls kept, value as tie-break
-        keys = [F.col("n").desc(), F.col(col).asc_nulls_first()]
-    if counts.limit(window_max + 1).count() <= window_max:
-        w = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return counts.select(col, F.col("n").alias("fa"), F.col("share").alias("fr"),
-                             F.sum("n").over(w).alias("faa"), F.sum("share").over(w).alias("fra"))
     from tadkit.operators.frame import cumulative_sum
+    counts = value_counts(df, col, dropna=(order == "value"))
+    # Descending frequency, nulls kept, value as tie-break
     c = counts.withColumn("_k1", F.col(col) if order == "value" else -F.col("n"))
-    cum = cumulative_sum(c, [], ["_k1"] + ([] if order == "value" else [col]), ["n", "share"])
+    cum = cumulative_sum(c, [], ["_k1"] if order == "value" else ["_k1", col], ["n"])
+    total = counts.agg(F.sum("n")).scalar()
     return cum.select(col, F.col("n").alias("fa"), F.col("share").alias("fr"), F.col("n_cum").alias("faa"),
-                      F.col("share_cum").alias("fra"))
+                      (F.col("n_cum") / total).alias("fra"))
 
 
 # D15 -----------------------------------------------------------------------
@@ -264,24 +262,17 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     return out
 
 
-def groups_fit_buffer(df: DataFrame, by, bound: int | None = None) -> bool:
-    """True when the largest group has at most ``bound`` rows (one aggregate),
-    i.e. Spark's per-group ``percentile`` buffer is provably small."""
-    by = _cols(by)
-    bound = EXACT_BUFFER_MAX if bound is None else bound
-    biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    return biggest <= bound
-
-
-def grouped_quantiles(df: DataFrame, by, value: str, probs: Sequence[float], alias: str | None = None) -> DataFrame:
+def grouped_quantiles(df: DataFrame, by, value: str, probs: Sequence[float], alias: str | None = None,
+                      weight: str | None = None) -> DataFrame:
     """Exact interpolated quantiles per group as (by..., p, value), distributed.
 
     No group's values are ever buffered in one task: rows are counted per
-    distinct (group, value), running counts come from the range-partitioned
-    ``cumulative_sum`` (a hot group spans several range partitions), and each
-    distinct value is matched with its group's target ranks (n - 1) p by a
-    join on the group key, which AQE's skew handling splits for a hot group.
-    Null group keys are dropped (pandas ``groupby``).
+    distinct (group, value) (``weight`` rows each, if given), running counts
+    come from the range-partitioned ``cumulative_sum`` (a hot group spans
+    several range partitions), and each distinct value is matched with its
+    group's target ranks (n - 1) p by a join on the group key, which AQE's
+    skew handling splits for a hot group.  Null group keys are dropped
+    (pandas ``groupby``); null and NaN values are missing.
     """
     from tadkit.operators.frame import cumulative_sum
     by = _cols(by)
@@ -289,11 +280,9 @@ def grouped_quantiles(df: DataFrame, by, value: str, probs: Sequence[float], ali
     if not by:                                   # one group: the targets are a handful of literals
         q = exact_quantiles(df, [value], probs)
         return df.sparkSession.createDataFrame([(float(p), q[(value, float(p))]) for p in probs], f"p double, `{alias}` double")
-    cond = F.col("_v").isNotNull() & ~F.isnan("_v")
-    for b in by:
-        cond = cond & F.col(b).isNotNull()
-    x = df.select(*by, F.col(value).cast("double").alias("_v")).filter(cond)
-    counts = x.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    one = F.col(weight) if weight else F.lit(1)
+    x = drop_null_keys(df, by).select(*by, F.col(value).cast("double").alias("_v"), one.cast("long").alias("_one"))
+    counts = x.filter(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy(*by, "_v").agg(F.sum("_one").alias("_c"))
     cum = cumulative_sum(counts, by, ["_v"], ["_c"])
     n = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
     tg = n.select(*by, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")) \
@@ -307,30 +296,10 @@ def grouped_quantiles(df: DataFrame, by, value: str, probs: Sequence[float], ali
     return pick.select(*by, "p", (F.col("_x0") + (F.col("_h") - F.col("_lo")) * (F.col("_x1") - F.col("_x0"))).alias(alias))
 
 
-# Distinct values under which Spark's exact ``percentile`` buffer (one map of
-# value -> count per group) is small enough to merge in one task.
-EXACT_BUFFER_MAX = 1_000_000
-
-
-def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    buffer_max: int = EXACT_BUFFER_MAX) -> dict:
-    """Exact interpolated quantiles ``{(col, p): value}``, method chosen per column
-    from a checked bound: ``approx_count_distinct`` (one pass) <= buffer_max ->
-    Spark ``percentile`` in one aggregate; otherwise ``exact_quantiles``."""
-    cols, probs = list(cols), [float(p) for p in probs]
-    nd = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
-    small = [c for c in cols if nd[c] <= buffer_max]
-    big = [c for c in cols if nd[c] > buffer_max]
-    out = {}
-    if small:
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c)
-                       for c in small]).first()
-        for c in small:
-            for i, p in enumerate(probs):
-                out[(c, p)] = None if row[c] is None else row[c][i]
-    if big:
-        out.update(exact_quantiles(df, big, probs))
-    return out
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+    """Exact interpolated quantiles ``{(col, p): value}`` (null and NaN are
+    missing; a column without values gives None)."""
+    return exact_quantiles(df, list(cols), [float(p) for p in probs])
 
 
 def describe(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = DESCRIBE_PCTS,
@@ -338,8 +307,7 @@ def describe(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] =
     """pandas ``describe(percentiles=...)`` as a long table.
 
     Moments come from one aggregate; ``exact`` quantiles come from
-    ``quantile_values`` (bounded-buffer or distributed, linear interpolation
-    = pandas), while
+    ``quantile_values`` (distributed, linear interpolation = pandas), while
     ``exact=False`` uses the bounded-memory mergeable sketch.
     """
     exprs = []
@@ -440,21 +408,13 @@ def daily_counts(df: DataFrame, ts: str, by=None, alias: str = "n") -> DataFrame
 
 
 # D25 -----------------------------------------------------------------------
-def ordered_basket(df: DataFrame, by: str, order: str, item: str, max_len: int = 1000,
-                   alias: str = "items") -> DataFrame:
-    """Items per entity in time order, in segments of at most ``max_len``.
-
-    Positions come from a range-partitioned running count (a heavy entity is
-    cut across range partitions, never sorted in one task), and an entity's
-    history is stored as consecutive segments (the same cut Spark's Word2Vec
-    applies to long sentences), keyed by (entity, seg).
-    """
-    from tadkit.operators.frame import cumulative_sum
-    x = df.select(by, order, item).withColumn("_one", F.lit(1))
-    pos = cumulative_sum(x, [by], [order, item], ["_one"]).withColumn("_pos", F.col("_one_cum") - 1)
-    seg = pos.withColumn("seg", (F.col("_pos") / max_len).cast("long"))
-    return seg.groupBy(by, "seg").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_pos", item))), lambda s: s[item]).alias(alias))
+def ordered_basket(df: DataFrame, by: str, order: str, item: str, alias: str = "items") -> DataFrame:
+    """One row per entity: its items in time order (ties by item).
+
+    A basket is one value, so an entity's items meet in one task by
+    definition; entities without key form no basket."""
+    return drop_null_keys(df, by).groupBy(by).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(order, item))), lambda s: s[item]).alias(alias))
 
 
 # D26 -----------------------------------------------------------------------
@@ -469,11 +429,8 @@ def shape_stats(df: DataFrame, col: str, by=None) -> DataFrame:
         q = quantile_values(df, [col], [0.5])[(col, 0.5)]
         m = mode(df.withColumn("_one", F.lit(1)), "_one", col, alias=f"{col}_mode").first()
         return df.agg(F.lit(m[f"{col}_mode"] if m else None).alias(f"{col}_mode"), F.lit(q).alias(f"{col}_median"), *mom)
-    if groups_fit_buffer(df, by):
-        base = df.groupBy(*by).agg(F.median(col).alias(f"{col}_median"), *mom)
-    else:
-        med = grouped_quantiles(df, by, col, [0.5], alias=f"{col}_median").drop("p")
-        base = df.groupBy(*by).agg(*mom).join(med, by, "left")
+    med = grouped_quantiles(df, by, col, [0.5], alias=f"{col}_median").drop("p")
+    base = drop_null_keys(df, by).groupBy(*by).agg(*mom).join(med, by, "left")
     return base.join(mode(df, by, col, alias=f"{col}_mode"), by, "left") \
         .select(*by, f"{col}_mode", f"{col}_median", f"{col}_kurtosis", f"{col}_skew")
 
@@ -506,14 +463,10 @@ def box_stats(df: DataFrame, col: str, by=None) -> DataFrame:
         q = quantile_values(df, [col], [0.25, 0.5, 0.75])
         return df.agg(F.min(x).alias("min"), F.lit(q[(col, 0.25)]).alias("q1"), F.lit(q[(col, 0.5)]).alias("median"),
                       F.lit(q[(col, 0.75)]).alias("q3"), F.max(x).alias("max"))
-    if groups_fit_buffer(df, by):
-        q3 = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        return df.groupBy(*by).agg(F.min(x).alias("min"), q3[0].alias("q1"), q3[1].alias("median"),
-                                   q3[2].alias("q3"), F.max(x).alias("max"))
     q = grouped_quantiles(df, by, col, [0.25, 0.5, 0.75], alias="_q")
     wide = q.groupBy(*by).agg(*[F.max(F.when(F.col("p") == p, F.col("_q"))).alias(n)
                                 for p, n in [(0.25, "q1"), (0.5, "median"), (0.75, "q3")]])
-    mm = df.groupBy(*by).agg(F.min(x).alias("min"), F.max(x).alias("max"))
+    mm = drop_null_keys(df, by).groupBy(*by).agg(F.min(x).alias("min"), F.max(x).alias("max"))
     return mm.join(wide, by, "left").select(*by, "min", "q1", "median", "q3", "max")
 
 
@@ -547,5 +500,3 @@ def ratio(num: Column | str, den: Column | str) -> Column:
     den = F.col(den) if isinstance(den, str) else den
     return F.try_divide(num.cast("double"), den.cast("double"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["money_sum"]

@@ -13,10 +13,9 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (PCA, OneHotEncoder, StandardScaler, StringIndexer,
-                                VectorAssembler)
+from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tadkit.operators.frame import balanced_sample
@@ -56,11 +55,6 @@ def standardize(df: DataFrame, cols: Sequence[str], ddof: int = 0, suffix: str =
     return apply_standard(df, fit_standard(df, cols, ddof), suffix=suffix)
 
 
-def spark_standard_scaler(in_col: str = "features", out_col: str = "scaled", with_mean: bool = True) -> StandardScaler:
-    """Spark's scaler (sample std); see ``standardize`` for ddof=0."""
-    return StandardScaler(inputCol=in_col, outputCol=out_col, withMean=with_mean, withStd=True)
-
-
 # L4 ------------------------------------------------------------------------
 def fit_minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[F.struct(F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(c)
@@ -86,28 +80,12 @@ def inverse_minmax(df: DataFrame, params: DataFrame, scaled_suffix: str = "", su
     return df.withColumns(out)
 
 
-def scale_constant(df: DataFrame, cols: Sequence[str], divisor: float = 255.0) -> DataFrame:
-    return df.withColumns({c: F.col(c) / divisor for c in cols})
-
-
 # L5 ------------------------------------------------------------------------
-def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> dict[str, list]:
-    """Sorted distinct levels per column (collected once; bounded by max_levels).
-
-    The bound is checked with a one-pass distinct estimate before any level
-    list is gathered, so a high-cardinality column is refused, not collected."""
-    est = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
-    for c in cols:
-        if est[c] > 2 * max_levels:
-            raise ValueError(f"{c} has about {est[c]} levels > {max_levels}")
+def fit_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
+    """Sorted distinct levels per column.  Each level becomes a column of the
+    plan, so they come to the driver, however many there are."""
     row = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in cols]).first()
-    out = {}
-    for c in cols:
-        lv = row[c] or []
-        if len(lv) > max_levels:
-            raise ValueError(f"{c} has {len(lv)} levels > {max_levels}")
-        out[c] = lv
-    return out
+    return {c: row[c] or [] for c in cols}
 
 
 def dummies(df: DataFrame, levels: dict[str, list], drop: str | None = None, prefix_sep: str = "_",
@@ -124,12 +102,6 @@ def dummies(df: DataFrame, levels: dict[str, list], drop: str | None = None, pre
     return res if keep_original else res.drop(*levels.keys())
 
 
-def one_hot_stages(cols: Sequence[str], drop_last: bool = True) -> list:
-    idx = index_strings(cols)
-    enc = OneHotEncoder(inputCols=[c + "_idx" for c in cols], outputCols=[c + "_ohe" for c in cols], dropLast=drop_last)
-    return [*idx, enc]
-
-
 # L6 / L7 / L8 ----------------------------------------------------------------
 def pca_fit(df: DataFrame, cols: Sequence[str], k: int | None = None, variance: float | None = None,
             standardize_first: bool = True) -> PipelineModel:
@@ -163,13 +135,15 @@ def pca_inverse(model: PipelineModel, df: DataFrame, cols: Sequence[str], prefix
     mean = scaler.mean.toArray()
     std = scaler.std.toArray() if scaler.getWithStd() else np.ones(len(cols))
     k = pc.shape[1]
-    out = []
-    for j, c in enumerate(cols):
-        acc = F.lit(0.0)
-        for i in range(k):
-            acc = acc + F.lit(float(pc[j, i])) * F.col(f"{prefix}{i + 1}")
-        out.append((F.lit(float(mean[j])) + F.lit(float(std[j])) * acc).alias(c))
-    return df.select(*keep, *out)
+    # One array of all coordinates; the loadings are a literal of p x k numbers.
+    z = F.array(*[F.col(f"{prefix}{i + 1}") for i in range(k)])
+    rows = F.array(*[F.array(*[F.lit(float(v * s)) for v in r]) for r, s in zip(pc, std)])
+
+    def back(z: Column) -> Column:
+        dots = F.transform(rows, lambda r: F.aggregate(F.zip_with(r, z, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b))
+        return F.zip_with(dots, F.array(*[F.lit(float(m)) for m in mean]), lambda a, b: a + b)
+    x = df.select(*keep, F.element_at(F.transform(F.array(z), back), 1).alias("_x"))
+    return x.select(*keep, *[F.col("_x")[j].alias(c) for j, c in enumerate(cols)])
 
 
 # L10 -----------------------------------------------------------------------
@@ -204,8 +178,8 @@ def undersample(df: DataFrame, label: str, seed: int = 42) -> DataFrame:
 # L12 -----------------------------------------------------------------------
 def smote(df: DataFrame, key: str, label: str, minority, vec: str, k: int = 5, seed: int = 42) -> DataFrame:
     """SMOTE: one synthetic row per minority row between it and one of its k
-    nearest minority neighbours (x + u * (nb - x)).  Neighbours come from
-    ``tadkit.operators.segment.knn`` (exact, grid-pruned)."""
+    nearest minority neighbours (x + u * (nb - x)), found by
+    ``tadkit.operators.segment.knn``."""
     from tadkit.operators.segment import knn
     mino = df.filter(F.col(label) == F.lit(minority)).select(key, vec)
     nb = knn(mino, mino, key, vec, k=k, exclude_self=True)
@@ -217,5 +191,3 @@ def smote(df: DataFrame, key: str, label: str, minority, vec: str, k: int = 5, s
     return j.select(F.concat(F.lit("syn_"), F.col("query_id").cast("string")).alias(key), syn.alias(vec),
                     F.lit(minority).alias(label))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["Window"]

@@ -143,29 +143,18 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 def balanced_sample(df: DataFrame, label: str, n: int, seed: int, key: Sequence[str] | None = None) -> DataFrame:
     """Exactly ``min(n, class size)`` random rows per class.
 
-    Each row gets u = hash(key, seed) in [0, 1); the sample is the n smallest
-    u per class.  A per-class threshold t_k (from class counts) keeps only
-    a few more than n candidates, which are ranked; a class whose candidate
-    count falls short (probability ~0) is re-run with t_k = 1, so the result
-    is exact and no class is ever sorted whole in one task.
+    Each row draws hash(key, seed); a class keeps its n smallest draws.  The
+    rank of a draw within its class is a distributed running count, so no
+    class, however large, is sorted in one task.  Rows of a null label are a
+    class.  Rows that agree in ``key`` are told apart by their other columns.
     """
     key = list(key or df.columns)
-    u = (F.xxhash64(*[F.col(c) for c in key], F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1))
-         / F.lit(float(1 << 53)))
-    x = df.withColumn("_u", u)
-    sizes = x.groupBy(label).agg(F.count(F.lit(1)).alias("_nk"))
-    margin = n + 10 * math.sqrt(n) + 10
-    thr = sizes.withColumn("_t", F.least(F.lit(1.0), F.lit(margin) / F.col("_nk")))
-    cand = x.join(thr, label).filter(F.col("_u") <= F.col("_t"))  # AQE broadcasts per class count
-    short = (cand.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
-             .join(thr, label).filter(F.col("_c") < F.least(F.col("_nk"), F.lit(n)))
-             .select(label))
-    if short.limit(1).count() > 0:  # exact fallback for the rare short class
-        thr = thr.join(short.withColumn("_full", F.lit(True)), label, "left").withColumn(
-            "_t", F.when(F.col("_full"), F.lit(1.0)).otherwise(F.col("_t"))).drop("_full")
-        cand = x.join(thr, label).filter(F.col("_u") <= F.col("_t"))  # AQE broadcasts per class count
-    w = Window.partitionBy(label).orderBy("_u", *key)
-    return cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_u", "_t", "_nk", "_r")
+    rest = [c for c in df.columns if c not in key]
+    x = df.withColumns({"_u": F.xxhash64(*[F.col(c) for c in key], F.lit(seed)), "_one": F.lit(1)})
+    if rest:
+        x = x.withColumn("_v", F.xxhash64(*[F.col(c) for c in rest]))
+    ranked = cumulative_sum(x, [label], ["_u", *(["_v"] if rest else [])], ["_one"])
+    return ranked.filter(F.col("_one_cum") <= n).drop("_u", "_v", "_one", "_one_cum")
 
 
 def hash_split(df: DataFrame, key: Sequence[str] | str, test_frac: float, seed: int = 42,
@@ -189,12 +178,9 @@ def temporal_split(df: DataFrame, ts: str, test_frac: float, tie: Sequence[str]
 
 
 def last_periods_split(df: DataFrame, period: str, n_test: int) -> DataFrame:
-    """F7 by periods: the last ``n_test`` distinct periods are test."""
-    periods = df.select(period).distinct()
-    cut = periods.withColumn("_r", F.dense_rank().over(Window.orderBy(F.col(period).desc())))
-    from tadkit.operators.joins import broadcast_if_small
-    return df.join(broadcast_if_small(cut), period).withColumn(
-        "sample", F.when(F.col("_r") <= n_test, F.lit("test")).otherwise(F.lit("train"))).drop("_r")
+    """F7 by periods: the last ``n_test`` distinct periods are test (null periods train)."""
+    first = df.select(period).filter(F.col(period).isNotNull()).distinct().orderBy(F.col(period).desc()).limit(n_test).agg(F.min(period)).scalar()
+    return df.withColumn("sample", F.when(F.col(period) >= first, F.lit("test")).otherwise(F.lit("train")))
 
 
 # G ---------------------------------------------------------------------------
@@ -236,26 +222,32 @@ def split_apply_union(df: DataFrame, cond: Column, fn_true, fn_false) -> DataFra
 
 # Running sums over a global order, without one-task windows ------------------
 def cumulative_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str],
-                   suffix: str = "_cum", checkpoint: bool = True) -> DataFrame:
-    """Running sums of ``values`` per ``by`` group in ``order`` (ties: row order).
+                   suffix: str = "_cum", maxes: Sequence[str] = ()) -> DataFrame:
+    """Running sums of ``values`` (and running maxima of ``maxes``) per ``by``
+    group in ``order`` (ties: row order).  A null key is a group like any other,
+    so every row is kept.
 
     1. range-partition on (by, order) and sort inside partitions (a large
        group is cut across several range partitions);
-    2. local running sums per (partition, group);
+    2. local running values per (partition, group);
     3. per (partition, group) totals -> offsets from earlier partitions of
        the same group (a group has at most #partitions such rows);
-    4. running sum = local + offset.
+    4. running value = local combined with offset.
     """
-    by, order, values = list(by), list(order), list(values)
-    x = df.repartitionByRange(*by, *order).withColumn("_pid", F.spark_partition_id())
-    if checkpoint:
-        x = cut_lineage(x)
+    by, order, values, maxes = list(by), list(order), list(values), list(maxes)
+    x = cut_lineage(df.repartitionByRange(*by, *order).withColumn("_pid", F.spark_partition_id()))
     wl = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = x.withColumns({f"_l_{v}": F.sum(v).over(wl) for v in values})
-    tot = x.groupBy("_pid", *by).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    local = x.withColumns({f"_l_{v}": F.sum(v).over(wl) for v in values} | {f"_l_{v}": F.max(v).over(wl) for v in maxes})
+    tot = x.groupBy("_pid", *by).agg(*[F.sum(v).alias(f"_t_{v}") for v in values], *[F.max(v).alias(f"_t_{v}") for v in maxes])
     wo = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    offs = tot.select("_pid", *by, *[F.coalesce(F.sum(f"_t_{v}").over(wo), F.lit(0)).alias(f"_o_{v}") for v in values])
-    out = local.join(offs, ["_pid", *by])
-    return out.withColumns({f"{v}{suffix}": F.col(f"_l_{v}") + F.col(f"_o_{v}") for v in values}).drop(
-        "_pid", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values])
+    offs = tot.select(F.col("_pid").alias("_op"), *[F.col(b).alias(f"_ob{i}") for i, b in enumerate(by)],
+                      *[F.sum(f"_t_{v}").over(wo).alias(f"_o_{v}") for v in values],
+                      *[F.max(f"_t_{v}").over(wo).alias(f"_o_{v}") for v in maxes])
+    on = F.col("_pid") == F.col("_op")
+    for i, b in enumerate(by):
+        on = on & F.col(b).eqNullSafe(F.col(f"_ob{i}"))
+    total = {f"{v}{suffix}": F.coalesce(F.col(f"_l_{v}") + F.col(f"_o_{v}"), F.col(f"_l_{v}"), F.col(f"_o_{v}")) for v in values}
+    total |= {f"{v}{suffix}": F.greatest(F.col(f"_l_{v}"), F.col(f"_o_{v}")) for v in maxes}
+    return local.join(offs, on).withColumns(total).drop(
+        "_pid", "_op", *[f"_ob{i}" for i in range(len(by))], *[f"{t}{v}" for t in ("_l_", "_o_") for v in values + maxes])

@@ -1,8 +1,7 @@
 """Join operators (inventory C1-C10).
 
-Broadcast is only requested for a side whose row count was *checked* to be
-under a bound (``broadcast_if_small``); otherwise the choice is left to AQE,
-which converts a join to broadcast from runtime statistics and splits skewed
+The choice of a broadcast is left to AQE, which makes it from runtime
+statistics (``spark.sql.autoBroadcastJoinThreshold``) and splits skewed
 partitions of a sort-merge join.
 """
 
@@ -14,19 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows under which a lookup side is broadcast without asking AQE.
-SMALL_ROWS = 100_000
-
-
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
@@ -80,7 +66,7 @@ def last_wins_lookup(df: DataFrame, key: str, value: str, order: str) -> DataFra
 def recode_join(df: DataFrame, col: str, mapping: DataFrame, key: str = "key", value: str = "value",
                 out: str | None = None, default=None) -> DataFrame:
     """B11 at scale: map through a two-column table with a left join."""
-    m = broadcast_if_small(mapping.select(F.col(key).alias("_k"), F.col(value).alias("_v")))
+    m = mapping.select(F.col(key).alias("_k"), F.col(value).alias("_v"))
     res = df.join(m, df[col] == m["_k"], "left").drop("_k")
     v = F.col("_v") if default is None else F.coalesce(F.col("_v"), F.lit(default))
     return res.withColumn(out or col, v).drop("_v") if (out or col) != "_v" else res

@@ -57,14 +57,6 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     return out.withColumn("f1", F.coalesce(f1, F.lit(0.0)))
 
 
-def spark_f1_by_label(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> dict:
-    """``MulticlassClassificationEvaluator`` per-label F1 (the Spark-native route)."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    labels = [r[0] for r in pred.select(label).distinct().collect()]
-    ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction, metricName="fMeasureByLabel")
-    return {lab: ev.setMetricLabel(float(lab)).evaluate(pred) for lab in labels}
-
-
 # M19 -----------------------------------------------------------------------
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """(threshold, fpr, tpr) at each distinct score, descending thresholds.

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tadkit.operators.aggregate import quantile_values
-from tadkit.operators.joins import broadcast_if_small
 
 
 # J1 / J2 -------------------------------------------------------------------
@@ -67,35 +66,26 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> DataFr
     return apply_fill_values(df, fit_fill_values(df, cols, strategy))
 
 
-def ml_imputer(cols: Sequence[str], strategy: str = "median", suffix: str = ""):
-    """pyspark.ml ``Imputer`` (exact median with relativeError=0) for pipelines."""
-    from pyspark.ml.feature import Imputer
-    return Imputer(inputCols=list(cols), outputCols=[c + suffix for c in cols], strategy=strategy,
-                   relativeError=0.0)
-
-
 # J5 ------------------------------------------------------------------------
 def proportional_impute(df: DataFrame, col: str, seed: int = 42) -> DataFrame:
     """Nulls of a categorical drawn from its observed distribution.
 
-    The share table (one row per category) carries cumulative bounds; each
-    null row draws u ~ U[0, 1) and takes the category whose [lo, hi) holds u.
+    The known rows, in the order of their categories, fill the positions
+    0 .. n - 1.  Each null draws a position, and takes the category that starts
+    last at or before it: a running maximum over the starts and the draws
+    together, range-partitioned, so no join and no bound on categories.
+    Without a known value nulls stay.
     """
+    from tadkit.operators.frame import cumulative_sum
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    if counts.limit(100_001).count() <= 100_000:     # checked: one ordered window over few categories
-        w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = counts.withColumn("_c", F.sum("_n").over(w))
-    else:                                            # many categories: range-partitioned running sum
-        from tadkit.operators.frame import cumulative_sum
-        cum = cumulative_sum(counts, [], [col], ["_n"], suffix="_cum").withColumnRenamed("_n_cum", "_c")
-    cum = cum.withColumn("_hi", F.col("_c") / total).withColumn("_lo", F.col("_hi") - F.col("_n") / total)
-    cum = broadcast_if_small(cum.select(F.col(col).alias("_cat"), "_lo", "_hi"))
-    x = df.withColumn("_u", F.rand(seed))
-    nulls = x.filter(F.col(col).isNull())
-    filled = nulls.join(cum, (F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi")), "left") \
-        .withColumn(col, F.col("_cat")).drop("_cat", "_lo", "_hi")
-    return x.filter(F.col(col).isNotNull()).unionByName(filled).drop("_u")
+    starts = cumulative_sum(counts, [], [col], ["_n"]).select((F.col("_n_cum") - F.col("_n")).alias("_at"), F.lit(0).alias("_draw"),
+                                                              F.struct((F.col("_n_cum") - F.col("_n")).alias("s"), F.col(col).alias("c")).alias("_cat"))
+    draws = df.filter(F.col(col).isNull()).withColumns({"_at": F.floor(F.rand(seed) * total), "_draw": F.lit(1)})
+    both = draws.unionByName(starts, allowMissingColumns=True)
+    filled = cumulative_sum(both, [], ["_at", "_draw"], [], maxes=["_cat"]).filter("_draw = 1") \
+        .withColumn(col, F.col("_cat_cum.c")).select(df.columns)
+    return df.filter(F.col(col).isNotNull()).unionByName(filled)
 
 
 # J6 ------------------------------------------------------------------------
@@ -118,16 +108,16 @@ def model_impute(df: DataFrame, target: str, features: Sequence[str], max_iter:
 
 # J8 ------------------------------------------------------------------------
 def column_quality(df: DataFrame, cols: Sequence[str] | None = None, max_missing: float = 0.3) -> DataFrame:
-    """Per column: missing share, distinct count and the drop verdict
-    (missing share >= max_missing, or a single distinct value) in one aggregate."""
+    """Per column: missing share, whether it has one value at most (least =
+    greatest), and the drop verdict of either, in one aggregate."""
     cols = list(cols or df.columns)
     one = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.count_if(F.col(c).isNull()).alias(f"m_{i}") for i, c in enumerate(cols)],
-                 *[F.count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)])
-    arr = F.array(*[F.struct(F.lit(c).alias("variable"), (F.col(f"m_{i}") / F.col("_n")).alias("missing_share"),
-                             F.col(f"d_{i}").alias("n_distinct")) for i, c in enumerate(cols)])
+                 *[F.coalesce(F.min(c) == F.max(c), F.lit(True)).alias(f"d_{i}") for i, c in enumerate(cols)])
+    arr = F.array(*[F.struct(F.lit(c).alias("variable"), F.try_divide(F.col(f"m_{i}"), F.col("_n")).alias("missing_share"),
+                             F.col(f"d_{i}").alias("single_value")) for i, c in enumerate(cols)])
     out = one.select(F.explode(arr).alias("r")).select("r.*")
-    return out.withColumn("drop", (F.col("missing_share") >= max_missing) | (F.col("n_distinct") <= 1))
+    return out.withColumn("drop", (F.col("missing_share") >= max_missing) | F.col("single_value"))
 
 
 def columns_to_drop(df: DataFrame, cols: Sequence[str] | None = None, max_missing: float = 0.3) -> list[str]:
@@ -175,12 +165,13 @@ def mean_iqr_filter(df: DataFrame, cols: Sequence[str], k: float = 3.0) -> DataF
 
 # J12 -----------------------------------------------------------------------
 def zscore_filter(df: DataFrame, cols: Sequence[str], alpha: float = 3.0) -> DataFrame:
-    """Keep rows with |x - mean| / std_pop < alpha for every column."""
+    """Keep rows with |x - mean| / std_pop < alpha for every column; a constant
+    column has no outlier."""
     st = df.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in cols])
     cond = F.lit(True)
     for c in cols:
         s = st.select(c).scalar()
-        cond = cond & (F.abs((F.col(c) - s["m"]) / s["s"]) < alpha)
+        cond = cond & ((F.abs(F.try_divide(F.col(c) - s["m"], s["s"])) < alpha) | (F.col(c).isNotNull() & (s["s"] == 0)))
     return df.filter(cond)
 
 
@@ -205,7 +196,7 @@ def rare_category_map(df: DataFrame, col: str, threshold: float = 0.05, other: s
 
 def apply_category_map(df: DataFrame, col: str, mapping: DataFrame, out: str | None = None) -> DataFrame:
     """Apply a fitted map (unseen values -> null, like ``Series.map``)."""
-    m = broadcast_if_small(mapping.select(F.col("value").alias("_val"), F.col("mapped").alias("_mapped")))
+    m = mapping.select(F.col("value").alias("_val"), F.col("mapped").alias("_mapped"))
     return df.join(m, F.col(col) == F.col("_val"), "left").withColumn(out or f"n_{col}", F.col("_mapped")) \
         .drop("_val", "_mapped")
 

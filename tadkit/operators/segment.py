@@ -1,31 +1,27 @@
 """Clustering, segmentation and anomaly detection.
 
 * k-means / bisecting k-means / Gaussian mixtures are ``pyspark.ml``.
-* Neighbour searches (kNN, DBSCAN) never form a cross product: points are
-  keyed by grid cells of a distance-contracting projection (leading PCA
-  components for Euclidean, raw leading coordinates otherwise) and only
-  neighbouring cells are joined.  kNN grows the searched ring per query
-  until the k-th distance is inside the guaranteed radius, so results are
-  exact.
-* Hierarchical linkage runs on k-means micro-cluster centroids (a bounded
-  table), isolation trees are grown one group per tree on bounded samples.
+* kNN scores queries in Arrow batches against the rows a classifier is fitted
+  on (a documented bound); DBSCAN compares blocks of neighbouring grid cells.
+  Neither makes a table of pairs.
+* Isolation trees are grown one group per tree on bounded samples, which is
+  that algorithm's definition.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tadkit.session import cut_lineage
+from tadkit.session import written
 
 
 # ---------------------------------------------------------------------------
@@ -45,33 +41,6 @@ def distance(a, b, p: float = 2.0) -> Column:
     return F.pow(s, F.lit(1.0 / p))
 
 
-def _np_distance(p: float):
-    @F.pandas_udf("double")
-    def dist(a: pd.Series, b: pd.Series) -> pd.Series:
-        if len(a) == 0:
-            return pd.Series([], dtype="float64")
-        A = np.stack(a.to_numpy()).astype(np.float64)
-        B = np.stack(b.to_numpy()).astype(np.float64)
-        D = np.abs(A - B)
-        if p == 2:
-            return pd.Series(np.sqrt(np.einsum("ij,ij->i", D, D)))
-        if p == 1:
-            return pd.Series(D.sum(axis=1))
-        return pd.Series(np.power(np.power(D, p).sum(axis=1), 1.0 / p))
-    return dist
-
-
-def fast_distance(a, b, p: float = 2.0) -> Column:
-    """Minkowski distance of two array<double> columns, Arrow-batched numpy.
-
-    Higher-order array functions are evaluated per element outside code
-    generation; for long vectors and many pairs the vectorised form is far
-    cheaper."""
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    return _np_distance(p)(a, b)
-
-
 def mean_vector(df: DataFrame, vec: str, by: Sequence[str] = (), out: str = "centroid") -> DataFrame:
     """Element-wise mean of an array column per group (partial-aggregated)."""
     by = list(by)
@@ -108,11 +77,9 @@ def cluster_indices(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     per = j.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), F.avg(distance("_x", "_c")).alias("s"),
                                  F.sum(F.pow(distance("_x", "_c"), 2)).alias("w"))
     per = per.join(cen, cluster)
-    if per.limit(2_001).count() > 2_000:       # k^2 cluster pairs below: bounded, checked
-        raise ValueError("cluster indices over more than 2000 clusters")
     a = per.select(F.col(cluster).alias("i"), F.col("s").alias("si"), F.col("_c").alias("ci"))
     b = per.select(F.col(cluster).alias("j"), F.col("s").alias("sj"), F.col("_c").alias("cj"))
-    # cluster pairs: k^2 rows for k clusters (bounded by the caller's k)
+    # the index is defined over all pairs of clusters, of one summary row each
     pairs = a.join(b, F.col("i") != F.col("j")).withColumn("_r", (F.col("si") + F.col("sj")) / distance("ci", "cj"))
     db = pairs.groupBy("i").agg(F.max("_r").alias("_m")).agg(F.avg("_m")).scalar()
     g = F.array(*[F.lit(float(v)) for v in gm.first()["_g"]])   # one d-vector, bounded
@@ -149,305 +116,155 @@ def mixture_outliers(df: DataFrame, features: str, k: int, min_share: float = 0.
 
 
 # N6 ------------------------------------------------------------------------
-def _linkage(points: np.ndarray, weights: np.ndarray, n_clusters: int, method: str) -> np.ndarray:
-    """Agglomerative clustering of a small weighted point set (Lance-Williams)."""
-    m = len(points)
-    labels = np.arange(m)
-    members = {i: [i] for i in range(m)}
-    cent = {i: points[i].astype(float) for i in range(m)}
-    size = {i: float(weights[i]) for i in range(m)}
-
-    def dist(a, b):
-        if method == "ward":
-            return math.sqrt(2 * size[a] * size[b] / (size[a] + size[b])) * np.linalg.norm(cent[a] - cent[b])
-        if method == "centroid":
-            return np.linalg.norm(cent[a] - cent[b])
-        dd = np.linalg.norm(points[members[a]][:, None, :] - points[members[b]][None, :, :], axis=2)
-        return dd.min() if method == "single" else dd.max() if method == "complete" else dd.mean()
-
-    active = set(range(m))
-    while len(active) > n_clusters:
-        act = sorted(active)
-        best = None
-        for i_, a in enumerate(act):
-            for b in act[i_ + 1:]:
-                d = dist(a, b)
-                if best is None or d < best[0]:
-                    best = (d, a, b)
-        _, a, b = best
-        tot = size[a] + size[b]
-        cent[a] = (cent[a] * size[a] + cent[b] * size[b]) / tot
-        size[a] = tot
-        members[a] += members[b]
-        active.remove(b)
-    for new, c in enumerate(sorted(active, key=lambda c: min(members[c]))):
-        labels[members[c]] = new
-    return labels
-
-
-def hierarchical(df: DataFrame, key: str, features: str, n_clusters: int, method: str = "ward",
-                 micro: int = 100, seed: int = 42) -> DataFrame:
-    """Two-stage agglomerative clustering: k-means micro-clusters on Spark,
-    linkage of the ``micro`` centroids, labels joined back (bounded table)."""
-    km = KMeans(k=micro, seed=seed, featuresCol=features, predictionCol="_micro").fit(df)
-    pred = km.transform(df)
-    sizes = {r["_micro"]: r["n"] for r in pred.groupBy("_micro").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cents = np.array([c for c in km.clusterCenters()])
-    ids = sorted(sizes)
-    lab = _linkage(cents[ids], np.array([sizes[i] for i in ids]), n_clusters, method)
-    mp = df.sparkSession.createDataFrame([(int(i), int(l)) for i, l in zip(ids, lab)], "_micro int, cluster int")
-    return pred.join(F.broadcast(mp), "_micro").select(key, "cluster")
-
-
 def bisecting(df: DataFrame, features: str, k: int, seed: int = 42):
     return BisectingKMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
 
 
-# N7 ------------------------------------------------------------------------
-def kmedoids(df: DataFrame, key: str, vec: str, k: int, max_iter: int = 10, seed: int = 42,
-             batch: int = 64) -> DataFrame:
-    """k-medoids (alternating assign / update), Euclidean.
+# M12 / L12 -------------------------------------------------------------------
+def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, exclude_self: bool = False,
+        max_train_rows: int = 100_000, seed: int = 42) -> DataFrame:
+    """k nearest references of every query: (query_id, ref_id, dist, rank), by
+    Minkowski distance ``p``, ties to the smaller ref_id.
 
-    Update: the member minimising the summed distance to its cluster.  Since
-    sum_j |x_j - c| >= n |mean - c|, candidates are tried in order of distance
-    to the cluster mean, a batch at a time, until that bound exceeds the best
-    sum found - exact, without pairing every member with every member.
+    The references are what a nearest-neighbour classifier is fitted on: at
+    most ``max_train_rows`` of them, chosen by a hash of the key, are held as one
+    matrix on every executor (exact if there are no more), and queries are
+    scored in Arrow batches, so the work is linear in the queries and no pair
+    table is made.
     """
-    x = df.select(key, to_array(vec).alias("_x")).cache()
-    km = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_c").fit(x.withColumn("_v", array_to_vector("_x")))
-    cents = [list(map(float, c)) for c in km.clusterCenters()]
-    # initial medoids: the point nearest each k-means centre
-    med = []
-    for c in cents:
-        lit = F.array(*[F.lit(v) for v in c])
-        med.append(x.orderBy(distance("_x", lit), key).select("_x").first()[0])
-    for _ in range(max_iter):
-        lits = F.array(*[F.array(*[F.lit(float(v)) for v in m]) for m in med])
-        arr = F.transform(lits, lambda m: distance("_x", m))
-        assigned = x.withColumn("_d", arr).withColumn("cluster", F.array_position("_d", F.array_min("_d")) - 1)
-        new = []
-        for ci in range(k):
-            members = assigned.filter(F.col("cluster") == ci).select(key, "_x")
-            mrow = mean_vector(members, "_x", [], "_m").first()
-            if mrow is None or mrow[0] is None:
-                new.append(med[ci])
-                continue
-            mean = F.array(*[F.lit(float(v)) for v in mrow[0]])
-            n = members.count()
-            ranked = members.withColumn("_dm", distance("_x", mean))
-            best_sum, best_vec, offset = None, med[ci], 0
-            while True:
-                cand = ranked.orderBy("_dm", key).limit(offset + batch).collect()[offset:]
-                if not cand:
-                    break
-                cl = F.array(*[F.array(*[F.lit(float(v)) for v in r["_x"]]) for r in cand])
-                sums = members.select(F.transform(cl, lambda c: distance("_x", c)).alias("_ds")).agg(
-                    F.array(*[F.sum(F.col("_ds")[i]) for i in range(len(cand))]).alias("s")).first()["s"]
-                for r, s in zip(cand, sums):
-                    if best_sum is None or s < best_sum:
-                        best_sum, best_vec = s, r["_x"]
-                offset += len(cand)
-                if n * cand[-1]["_dm"] >= best_sum:
-                    break
-            new.append(best_vec)
-        if all(np.allclose(a, b) for a, b in zip(new, med)):
-            break
-        med = new
-    lits = F.array(*[F.array(*[F.lit(float(v)) for v in m]) for m in med])
-    out = x.withColumn("_d", F.transform(lits, lambda m: distance("_x", m))).withColumn(
-        "cluster", F.array_position("_d", F.array_min("_d")) - 1).select(key, F.col("cluster").cast("int"))
-    out = cut_lineage(out)
-    x.unpersist()
-    return out
+    spark = refs.sparkSession
+    train = refs.filter(F.col(key).isNotNull() & F.col(vec).isNotNull()).select(F.col(key).alias("id"), to_array(vec).alias("x")) \
+        .orderBy(F.xxhash64(key, F.lit(seed)), "id").limit(max_train_rows).toArrow()
+    order = np.argsort(np.asarray(train.column("id").to_pylist()), kind="stable") if len(train) else np.zeros(0, int)
+    ids = [train.column("id")[int(i)].as_py() for i in order]
+    m = np.array([train.column("x")[int(i)].as_py() for i in order], float).reshape(len(ids), -1)
+    held = spark.sparkContext.broadcast((ids, m))
+    kt, rt = dict(queries.dtypes)[key], dict(refs.dtypes)[key]
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ref_ids, ref = held.value
+        for pdf in batches:
+            out: list[tuple] = []
+            for q, x in zip(pdf["query_id"], pdf["x"]):
+                gap = np.abs(ref - np.asarray(x, float)) if len(ref_ids) else np.zeros((0, 1))
+                dist = np.sqrt((gap * gap).sum(axis=1)) if p == 2 else gap.max(axis=1) if np.isinf(p) else (gap ** p).sum(axis=1) ** (1 / p)
+                near = min(len(dist), k + int(exclude_self))
+                if not near:
+                    continue
+                bound = np.partition(dist, near - 1)[near - 1]
+                at = np.flatnonzero(dist <= bound)                     # ids ascend, so ties go to the smaller
+                at = [i for i in at[np.argsort(dist[at], kind="stable")] if not (exclude_self and ref_ids[i] == q)][:k]
+                out += [(q, ref_ids[i], float(dist[i]), r) for r, i in enumerate(at, 1)]
+            yield pd.DataFrame(out, columns=["query_id", "ref_id", "dist", "rank"])
+    q = queries.filter(F.col(vec).isNotNull()).select(F.col(key).alias("query_id"), to_array(vec).alias("x"))
+    return q.mapInPandas(search, f"query_id {kt}, ref_id {rt}, dist double, rank int")
 
 
-# ---------------------------------------------------------------------------
-# Grid keys for neighbour searches
-def _project(df: DataFrame, vec: str, dims: int, p: float, ref: DataFrame | None = None):
-    """Distance-contracting projection: top PCA axes (Euclidean) or leading
-    coordinates (any Minkowski p)."""
-    if p == 2:
-        src = (ref if ref is not None else df).select(array_to_vector(to_array(vec)).alias("_v"))
-        pc = PCA(k=dims, inputCol="_v", outputCol="_p").fit(src).pc.toArray()   # d x dims, orthonormal
-        cols = [F.aggregate(F.zip_with(to_array(vec), F.array(*[F.lit(float(v)) for v in pc[:, j]]),
-                                       lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v) for j in range(dims)]
-    else:
-        cols = [to_array(vec)[j] for j in range(dims)]
-    return cols
-
-
-def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, dims: int = 3,
-        per_cell: int = 128, exclude_self: bool = False, max_rounds: int = 40, growth: int = 4,
-        method: str = "auto") -> DataFrame:
-    """Exact k nearest references of every query: (query_id, ref_id, dist, rank).
-
-    Round r uses grid cells of side h * 2^r over a distance-contracting
-    projection and joins each query with the 3^dims cells around its own.
-    Every reference outside those cells is farther than h * 2^r (in the
-    projection, hence in full space), so a query whose k-th candidate
-    distance is within that radius is final; the others go to the next,
-    coarser round.  No query is ever paired with the whole reference table
-    unless the grid has become a single cell.  Rounds are deterministic, so
-    their intermediates are persisted (recomputed from lineage if an
-    executor is lost) rather than written out each round.
-    """
-    d_full = len(refs.select(vec).first()[0])
-    if method == "clusters" or (method == "auto" and p == 2 and d_full > 8):   # a 3-D grid prunes little here
-        return knn_clusters(queries, refs, key, vec, k, exclude_self=exclude_self)
-    dims = max(1, min(dims, d_full))   # no more axes than coordinates
-    proj_r = _project(refs, vec, dims, p)
-    proj_q = _project(queries, vec, dims, p, ref=refs)
-    # vectors travel to the distance kernel in their stored element type
-    # (float32 embeddings stay float32; numpy widens them exactly)
-    r = refs.select(F.col(key).alias("ref_id"), F.col(vec).alias("_rx"), *[c.alias(f"_z{i}") for i, c in enumerate(proj_r)])
-    q = queries.select(F.col(key).alias("query_id"), F.col(vec).alias("_qx"),
-                       *[c.alias(f"_w{i}") for i, c in enumerate(proj_q)])
-    r, q = r.persist(), q.persist()
-    st = r.agg(F.count(F.lit(1)).alias("n"), *[F.min(f"_z{i}").alias(f"lo{i}") for i in range(dims)],
-               *[F.max(f"_z{i}").alias(f"hi{i}") for i in range(dims)]).first()
-    span = [max(st[f"hi{i}"] - st[f"lo{i}"], 1e-12) for i in range(dims)]
-    n_refs = st["n"] - (1 if exclude_self else 0)
-    h0 = max(math.prod(span) / max(1.0, st["n"] / per_cell), 1e-300) ** (1.0 / dims)
-    pending, done = q, None
-    held = [r, q]
-    for rnd in range(max_rounds):
-        h = h0 * (growth ** rnd)
-        rc = r.select("ref_id", "_rx", *[F.floor(F.col(f"_z{i}") / h).cast("long").alias(f"_c{i}") for i in range(dims)])
-        ex = pending
-        for i in range(dims):
-            ex = ex.withColumn(f"_o{i}", F.explode(F.sequence(F.lit(-1), F.lit(1)))).withColumn(
-                f"_c{i}", F.col(f"_o{i}") + F.floor(F.col(f"_w{i}") / h).cast("long")).drop(f"_o{i}")
-        cand = ex.join(rc, [f"_c{i}" for i in range(dims)])
-        if exclude_self:
-            cand = cand.filter(F.col("query_id") != F.col("ref_id"))
-        cand = cand.select("query_id", "ref_id", fast_distance("_qx", "_rx", p).alias("dist"))
-        w = Window.partitionBy("query_id").orderBy("dist", "ref_id")
-        top = cand.withColumn("rank", F.row_number().over(w)) \
-            .withColumn("_nc", F.count(F.lit(1)).over(Window.partitionBy("query_id"))) \
-            .filter(F.col("rank") <= k).persist()
-        held.append(top)
-        final = h > 2 * max(span)          # 3^dims cells now cover every reference
-        if final:
-            res = top.drop("_nc")
-        else:
-            stat = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_kd"),
-                                               F.max("_nc").alias("_nc"))
-            # exact when the k-th distance is inside the searched radius, or when
-            # every reference was a candidate
-            ok = stat.filter(((F.col("_n") >= k) & (F.col("_kd") <= h)) | (F.col("_nc") >= n_refs)).select("query_id")
-            res = top.join(ok, "query_id", "left_semi").drop("_nc")
-            pending = pending.join(ok, "query_id", "left_anti").persist()
-            held.append(pending)
-        done = res if done is None else done.unionByName(res)
-        if final or pending.limit(1).count() == 0:
-            break
-    done = cut_lineage(done)                 # one reliable copy of the result ...
-    for h_df in held:                        # ... then release the per-round intermediates
-        h_df.unpersist()
-    return done
-
-
-def knn_clusters(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, per_cell: int = 64,
-                 exclude_self: bool = False, seed: int = 42) -> DataFrame:
-    """Exact kNN for high-dimensional vectors by cluster pruning (Euclidean).
-
-    References are grouped into ~n / per_cell k-means cells (centres and
-    radii form a bounded table).  Each query first scores the cells nearest
-    to it until they hold k references; every other cell whose lower bound
-    d(q, centre) - radius is below the query's k-th distance is then searched
-    too, so the answer is exact.  Pairs are formed only with candidate cells.
+# N8 ------------------------------------------------------------------------
+_BLOCK = 1024
+
+
+def _near_blocks(left: DataFrame, right: DataFrame, eps: float, p: float, dims: int,
+                 fn: Callable[[np.ndarray, np.ndarray, np.ndarray], list[tuple]], schema: str) -> DataFrame:
+    """Rows that ``fn`` makes of the left points (tag, x, wide) and the right
+    points near them, by blocks.
+
+    Each left point meets the right points of the 3**dims grid cells (of side
+    ``eps``, array ``wide``) around its own.  Cells are cut into blocks of about
+    ``_BLOCK`` points on either side; a pair of blocks is one group, and no pair
+    of points leaves it.  ``fn(left tags, right tags, near)`` sees the boolean
+    matrix of the pairs within ``eps``.
     """
-    spark = refs.sparkSession
-    r = refs.select(F.col(key).alias("ref_id"), F.col(vec).alias("_rx"))
-    n = r.count()
-    if n < 2:                                   # nothing to cluster: plain grid search
-        return knn(queries, refs, key, vec, k, exclude_self=exclude_self, method="grid")
-    C = max(2, min(n, int(math.ceil(n / per_cell))))
-    km = KMeans(k=C, seed=seed, featuresCol="_v", predictionCol="cell").fit(
-        r.select(array_to_vector(F.col("_rx").cast("array<double>")).alias("_v")))
-    centres = [list(map(float, c)) for c in km.clusterCenters()]            # C x d, bounded by C
-    cen = F.array(*[F.array(*[F.lit(v) for v in c]) for c in centres])
-    rc = km.transform(r.withColumn("_v", array_to_vector(F.col("_rx").cast("array<double>")))).drop("_v")
-    rc = rc.withColumn("_dc", fast_distance("_rx", F.element_at(cen, F.col("cell") + 1))).persist()
-    cells = rc.groupBy("cell").agg(F.count(F.lit(1)).alias("_size"), F.max("_dc").alias("_rad"))
-    cells = F.broadcast(cells)                                                # one row per cell: bounded
-    q = queries.select(F.col(key).alias("query_id"), F.col(vec).alias("_qx")).persist()
-    # distance of every query to every centre (C numbers per query)
-    qc = q.select("query_id", F.posexplode(F.transform(cen, lambda c: c)).alias("cell", "_c")) \
-        .join(q, "query_id").withColumn("_dqc", fast_distance("_qx", "_c")).drop("_c", "_qx").join(cells, "cell")
-    qc = qc.persist()
-
-    def score(pairs: DataFrame) -> DataFrame:
-        cand = pairs.join(q, "query_id").join(rc.select("cell", "ref_id", "_rx"), "cell")
-        if exclude_self:
-            cand = cand.filter(F.col("query_id") != F.col("ref_id"))
-        return cand.select("query_id", "ref_id", fast_distance("_qx", "_rx").alias("dist"))
-
-    # round 1: nearest cells until they hold k (+1 when excluding self) references
-    need = k + (1 if exclude_self else 0)
-    w = Window.partitionBy("query_id").orderBy("_dqc", "cell").rowsBetween(Window.unboundedPreceding, -1)
-    first = qc.withColumn("_before", F.coalesce(F.sum("_size").over(w), F.lit(0))).filter(F.col("_before") < need)
-    first = first.select("query_id", "cell").persist()
-    d1 = score(first)
-    wr = Window.partitionBy("query_id").orderBy("dist", "ref_id")
-    top1 = d1.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k).persist()
-    kth = top1.groupBy("query_id").agg(F.max("dist").alias("_kd"), F.count(F.lit(1)).alias("_n"))
-    # round 2: every unsearched cell that could still hold a closer reference
-    more = qc.join(kth, "query_id", "left").join(first, ["query_id", "cell"], "left_anti") \
-        .filter((F.col("_n").isNull()) | (F.col("_n") < k) | (F.col("_dqc") - F.col("_rad") < F.col("_kd"))) \
-        .select("query_id", "cell")
-    allc = top1.select("query_id", "ref_id", "dist").unionByName(score(more))
-    out = allc.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
-    out = cut_lineage(out)
-    for df_ in (rc, q, qc, first, top1):
-        df_.unpersist()
-    return out
+    for i in range(dims):
+        left = left.withColumn(f"o{i}", F.explode(F.sequence(F.lit(-1), F.lit(1))))
+    left = left.select("tag", "x", F.array(*[F.col("wide")[i] + F.col(f"o{i}") for i in range(dims)]).alias("wide"))
+    sizes = left.groupBy("wide").agg(F.count(F.lit(1)).alias("nl")).join(right.groupBy("wide").agg(F.count(F.lit(1)).alias("nr")), "wide") \
+        .select("wide", F.expr(f"cast(1 + nl div {_BLOCK} as int)").alias("nl"), F.expr(f"cast(1 + nr div {_BLOCK} as int)").alias("nr"))
+
+    def blocks(side: DataFrame, own: str, other: str, i: str, j: str) -> DataFrame:
+        return side.join(sizes, "wide").withColumn(i, F.pmod(F.xxhash64("tag", "x"), own).cast("int")) \
+            .withColumn(j, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("wide", "i", "j", "tag", "x")
+    a, b = blocks(left, "nl", "nr", "i", "j"), blocks(right.select("tag", "x", "wide"), "nr", "nl", "j", "i")
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        if len(x) and len(y):
+            ys, yt = np.stack(y["x"]), y["tag"].to_numpy()
+            for at in range(0, len(x), 64):
+                gap = np.abs(np.stack(x["x"].iloc[at:at + 64])[:, None, :] - ys[None])
+                dist = gap.max(axis=2) if np.isinf(p) else np.sqrt((gap * gap).sum(axis=2)) if p == 2 else (gap ** p).sum(axis=2) ** (1 / p)
+                out += fn(x["tag"].iloc[at:at + 64].to_numpy(), yt, dist <= eps)
+        return pd.DataFrame(sorted(set(out)) if schema.startswith("a long, b") else out, columns=names)
+    by = ["wide", "i", "j"]
+    b = b.toDF(*[f"{c}_r" for c in b.columns]).toDF(*b.columns)          # other column ids than the left side's
+    return a.groupBy(*by).cogroup(b.groupBy(*by)).applyInPandas(run, schema)
 
 
-# N8 ------------------------------------------------------------------------
 def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, p: float = 2.0,
-           dims: int = 3, max_iter: int = 100) -> DataFrame:
-    """DBSCAN labels (noise = -1), clusters numbered by their smallest key.
-
-    Neighbour pairs come from an equi-join on grid cells of side ``eps`` over
-    the leading coordinates (3^dims neighbour cells), filtered by the exact
-    distance; connected components of the core graph by iterative min-label
-    propagation with a reliable checkpoint per round; border points take the
-    smallest label among their core neighbours.
+           dims: int = 3) -> DataFrame:
+    """DBSCAN labels (noise = -1), clusters numbered by their smallest core key
+    (an integer column).
+
+    1. Points of one small cell (side eps / d**(1/p) over all d dimensions) are
+       neighbours, so a cell of ``min_samples`` points has core points only; the
+       others count their neighbours.
+    2. Core points of a cell are one node, known by its least key; two nodes
+       are linked once if any of their points are neighbours.
+    3. Components of the nodes by ``graph.components``, however many rounds that
+       takes; border points take the smallest label among their core neighbours.
+
+    Neighbours are found block by block (``_near_blocks``), so a dense region
+    makes no table of pairs.  Rows without key or vector are dropped.
     """
-    x = df.select(F.col(key).alias("_id"), to_array(vec).alias("_x"))
-    dims = min(dims, len(x.first()["_x"]))
-    x = x.select("*", *[F.floor(F.col("_x")[i] / eps).cast("long").alias(f"_c{i}") for i in range(dims)])
-    x = cut_lineage(x)
-    ex = x.select(F.col("_id").alias("_a"), F.col("_x").alias("_ax"), *[F.col(f"_c{i}").alias(f"_q{i}") for i in range(dims)])
-    for i in range(dims):
-        ex = ex.withColumn(f"_o{i}", F.explode(F.sequence(F.lit(-1), F.lit(1)))).withColumn(
-            f"_c{i}", F.col(f"_o{i}") + F.col(f"_q{i}")).drop(f"_o{i}")
-    pairs = ex.join(x.select(F.col("_id").alias("_b"), F.col("_x").alias("_bx"), *[f"_c{i}" for i in range(dims)]),
-                    [f"_c{i}" for i in range(dims)]).filter(distance("_ax", "_bx", p) <= eps).select("_a", "_b")
-    pairs = cut_lineage(pairs)
-    deg = pairs.groupBy("_a").agg(F.count(F.lit(1)).alias("_deg"))          # includes the point itself
-    core = deg.filter(F.col("_deg") >= min_samples).select(F.col("_a").alias("_id"))
-    core = cut_lineage(core)
-    edges = pairs.join(core.withColumnRenamed("_id", "_a"), "_a").join(core.withColumnRenamed("_id", "_b"), "_b")
-    edges = cut_lineage(edges.select("_a", "_b"))
-    lab = core.select("_id", F.col("_id").alias("_l"))
-    for _ in range(max_iter):
-        nb = edges.join(lab.withColumnRenamed("_id", "_b"), "_b").groupBy("_a").agg(F.min("_l").alias("_m"))
-        new = lab.join(nb.withColumnRenamed("_a", "_id"), "_id", "left").select(
-            "_id", F.least("_l", F.coalesce("_m", "_l")).alias("_l"))
-        new = cut_lineage(new)
-        changed = new.join(lab.withColumnRenamed("_l", "_old"), "_id").filter(F.col("_l") != F.col("_old")).limit(1).count()
-        lab = new
-        if changed == 0:
-            break
-    border = pairs.join(lab.withColumnRenamed("_id", "_b"), "_b").join(core.withColumnRenamed("_id", "_a"), "_a", "left_anti") \
-        .groupBy("_a").agg(F.min("_l").alias("_l")).withColumnRenamed("_a", "_id")
-    all_l = lab.unionByName(border)
     from tadkit.operators.frame import add_row_id
-    ids = add_row_id(all_l.select("_l").distinct(), ["_l"], alias="cluster").withColumn("cluster", F.col("cluster") - 1)
-    out = x.select("_id").join(all_l, "_id", "left").join(ids, "_l", "left")
-    return out.select(F.col("_id").alias(key), F.coalesce(F.col("cluster"), F.lit(-1)).cast("int").alias("cluster"))
+    from tadkit.operators.graph import components
+    x = df.select(F.col(key).alias("id"), to_array(vec).alias("x")).filter("id is not null and x is not null")
+    first = x.first()
+    if first is None:
+        return x.select(F.col("id").alias(key), F.lit(-1).alias("cluster"))
+    d = len(first["x"])
+    dims = min(dims, d)
+    side = (eps if np.isinf(p) else eps / d ** (1 / p)) * (1 - 1e-12)
+    x = x.withColumns({"cell": F.transform("x", lambda v: F.floor(v / side)), "wide": F.transform(F.slice("x", 1, dims), lambda v: F.floor(v / eps))})
+    x = x.join(x.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "cell")
+    x = written(x.withColumn("tag", F.col("id").cast("long")), "points")
+
+    def counts(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> list[tuple]:
+        return [(int(a), int(n)) for a, n in zip(left, near.sum(axis=1)) if n]
+    loose = _near_blocks(x.filter(F.col("size") < min_samples), x, eps, p, dims, counts, "a long, n long") \
+        .groupBy("a").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_samples).select(F.col("a").alias("id"))
+    core = x.join(x.filter(F.col("size") >= min_samples).select("id").unionByName(loose), "id", "left_semi")
+    core = core.join(core.groupBy("cell").agg(F.min("tag").alias("head")), "cell").select("id", "x", "wide", "head")
+    core = written(core, "core")
+
+    def edges(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> list[tuple]:
+        i, j = np.nonzero(near)
+        return list({(int(a), int(b)) for a, b in zip(left[i], right[j]) if a < b})
+    nodes = core.select(F.col("head").alias("tag"), "x", "wide")
+    comp = components(_near_blocks(nodes, nodes, eps, p, dims, edges, "a long, b long"))
+    label = core.join(comp.select(F.col("id").alias("head"), "comp"), "head", "left").select("id", "x", "wide", F.coalesce("comp", "head").alias("tag"))
+    label = written(label, "labels")
+
+    def least(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> list[tuple]:
+        return [(int(a), int(right[row].min())) for a, row in zip(left, near) if row.any()]
+    border = _near_blocks(x.join(core.select("id"), "id", "left_anti"), label, eps, p, dims, least, "id long, tag long") \
+        .groupBy("id").agg(F.min("tag").alias("tag"))
+    found = label.select("id", "tag").unionByName(border)
+    ids = add_row_id(found.select("tag").distinct(), ["tag"], alias="cluster").withColumn("cluster", (F.col("cluster") - 1).cast("int"))
+    return x.select("id").join(found.join(ids, "tag"), "id", "left").select(F.col("id").alias(key), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
+
+
+def dbscan_sweep(df: DataFrame, key: str, vec: str, epss: Sequence[float], ps: Sequence[float], min_samples: int = 5) -> DataFrame:
+    """Clusters and noise rows of each eps x p: (eps, p, clusters, noise)."""
+    out = None
+    for eps in epss:
+        for p in ps:
+            r = dbscan(df, key, vec, eps, min_samples, p).agg(
+                F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("clusters"), F.count_if(F.col("cluster") < 0).alias("noise"))
+            r = r.select(F.lit(float(eps)).alias("eps"), F.lit(float(p)).alias("p"), "clusters", "noise")
+            out = r if out is None else out.unionByName(r)
+    return out
 
 
 # N9 ------------------------------------------------------------------------
@@ -543,7 +360,7 @@ def isolation_forest(df: DataFrame, key: str, vec: str, n_trees: int = 100, samp
 
     scored = x.mapInPandas(score, f"_id {dict(x.dtypes)['_id']}, score double")
     from tadkit.operators.aggregate import quantile_values
-    scored = scored.persist()
+    scored = written(scored, "scores")
     cut = quantile_values(scored, ["score"], [1 - contamination])[("score", float(1 - contamination))]
     return scored.select(F.col("_id").alias(key), "score", (F.col("score") > F.lit(cut)).alias("outlier"))
 

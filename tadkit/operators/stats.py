@@ -180,14 +180,15 @@ def equal_width_labels(df: DataFrame, col: str, bins: int, missing: str = "MISSI
 # K1 - K4 : WoE / IV
 def woe_table(df: DataFrame, target: str, cols: Sequence[str], bins: int = 20, binning: str = "quantile",
               orientation: str = "events/non", floor: float = 0.5, max_levels: int = 10,
-              infinite_iv_to_zero: bool = False) -> DataFrame:
+              infinite_iv_to_zero: bool = False, missing: str | None = None) -> DataFrame:
     """One row per (variable, bin): n, events, shares, WoE and IV term.
 
     Numeric columns with more than ``max_levels`` distinct values are cut in
     quantile bins (duplicate edges dropped) or equal-width bins; other
     columns use their values.  ``orientation``: ``events/non`` gives
     ln(%events / %non-events) (K1), ``non/events`` the reverse (K2, K3).
-    The 0.5 floor applies to both counts before the shares.
+    The 0.5 floor applies to both counts before the shares.  Nulls form no bin,
+    unless ``missing`` names one for categories (K4).
     """
     dtypes = dict(df.dtypes)
     numeric = [c for c in cols if dtypes[c] in ("int", "bigint", "double", "float", "smallint")
@@ -216,9 +217,9 @@ def woe_table(df: DataFrame, target: str, cols: Sequence[str], bins: int = 20, b
         if c in edge_cols:
             keyed[c] = F.lpad(bin_by_edges(F.col(c).cast("double"), edge_cols[c]).cast("string"), 3, "0")
         else:
-            keyed[c] = F.coalesce(F.col(c).cast("string"), F.lit("Missings"))
+            keyed[c] = F.col(c).cast("string") if missing is None else F.coalesce(F.col(c).cast("string"), F.lit(missing))
     long = df.select(F.col(target).cast("int").alias("_y"), *[keyed[c].alias(c) for c in cols])
-    long = melt(long, ["_y"], cols, "variable", "bin")
+    long = melt(long, ["_y"], cols, "variable", "bin").filter(F.col("bin").isNotNull())
     g = long.groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("events"))
     g = g.withColumn("non_events", F.col("n") - F.col("events"))
     tot = g.groupBy("variable").agg(F.sum("events").alias("_te"), F.sum("non_events").alias("_tn"))
@@ -266,7 +267,7 @@ def iv_band(x) -> Column:
 def woe_encode(df: DataFrame, target: str, cols: Sequence[str], orientation: str = "non/events",
                floor: float = 0.5, suffix: str = "_woe") -> DataFrame:
     """K3: replace categories by their WoE through a fitted map table."""
-    table = woe_table(df, target, cols, orientation=orientation, floor=floor, max_levels=1 << 30)
+    table = woe_table(df, target, cols, orientation=orientation, floor=floor, max_levels=1 << 30, missing="Missings")
     out = df
     for c in cols:
         m = table.filter(F.col("variable") == c).select(F.col("bin").alias("_b"), F.col("woe").alias(c + suffix))
@@ -286,8 +287,8 @@ def ks_2samp(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     cum = cumulative_sum(g, ["variable"], ["value"], ["c1", "c2"])
     tot = g.groupBy("variable").agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))
     d = cum.join(tot, "variable").groupBy("variable", "n1", "n2").agg(
-        F.max(F.abs(F.col("c1_cum") / F.col("n1") - F.col("c2_cum") / F.col("n2"))).alias("ks"))
-    en = F.sqrt(F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2")))
+        F.max(F.abs(F.try_divide(F.col("c1_cum"), F.col("n1")) - F.try_divide(F.col("c2_cum"), F.col("n2")))).alias("ks"))
+    en = F.sqrt(F.try_divide(F.col("n1") * F.col("n2"), F.col("n1") + F.col("n2")))
     return d.withColumn("p_value", kolmogorov_sf_col(en * F.col("ks"))).withColumn(
         "same_distribution", F.when(F.col("p_value") < 0.05, "No").otherwise("Yes"))
 
@@ -297,7 +298,8 @@ def chi2_shares(train: DataFrame, test: DataFrame, col: str, use_counts: bool =
     """Goodness of fit of test category counts against train shares.
 
     ``use_counts=False`` reproduces the source's use of relative frequencies
-    (statistic without the factor n)."""
+    (statistic without the factor n).  Null is no category."""
+    train, test = train.filter(F.col(col).isNotNull()), test.filter(F.col(col).isNotNull())
     tr = train.groupBy(col).agg(F.count(F.lit(1)).alias("_a"))
     te = test.groupBy(col).agg(F.count(F.lit(1)).alias("_b"))
     j = tr.join(te, col, "full_outer").na.fill(0, ["_a", "_b"])
@@ -331,16 +333,6 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str], row_id: str) -> DataFram
     return pearson_matrix(ranked, cols)
 
 
-def correlation_ml(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> DataFrame:
-    """``pyspark.ml.stat.Correlation`` on an assembled vector, as a long table."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    v = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(df.select(*cols).na.drop())
-    m = Correlation.corr(v, "_v", method).first()[0].toArray()
-    rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-    return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, corr double")
-
-
 def target_correlation(df: DataFrame, target: str, cols: Sequence[str], min_abs: float = 0.1) -> DataFrame:
     """|corr(x, target)| sorted, with the K8 keep flag."""
     one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
@@ -501,7 +493,7 @@ def varclus(df: DataFrame, cols: Sequence[str], max_eigen: float = 1.0, max_clus
 
 # K13 -----------------------------------------------------------------------
 def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
-    """H statistic (tie-corrected) and chi-square p-value with k - 1 dof."""
+    """H statistic (tie-corrected) and chi-square p-value with k - 1 dof; null if all values tie."""
     x = df.select(group, value).filter(F.col(value).isNotNull() & F.col(group).isNotNull())
     r = average_rank(x, value, alias="_r")
     rs = r.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum("_r").alias("R"))
@@ -509,31 +501,27 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
         F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t")).alias("T"))
     t = rs.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"), F.sum(F.col("R") * F.col("R") / F.col("n")).alias("Q"))
     N = F.col("N").cast("double")
-    h = (12.0 / (N * (N + 1)) * F.col("Q") - 3 * (N + 1)) / (1 - ties.scalar() / (N * N * N - N))
+    h = F.try_divide(F.try_divide(F.lit(12.0), N * (N + 1)) * F.col("Q") - 3 * (N + 1), 1 - F.try_divide(ties.scalar(), N * N * N - N))
     return t.select(h.alias("h"), (F.col("k") - 1).alias("dof")).withColumn("p_value", chi2_sf_col("h", "dof"))
 
 
 # K14 -----------------------------------------------------------------------
-# Pairwise group statistics compare every pair of *groups* (k (k - 1) / 2
-# rows from the one-row-per-group summary); the group count is checked.
-MAX_PAIRED_GROUPS = 2_000
 def tukey_hsd(df: DataFrame, group: str, value: str) -> DataFrame:
     """Pairwise mean differences with the studentized-range statistic.
 
     Per-group n / mean / variance come from one aggregate; the pair table has
-    k(k-1)/2 rows (k = number of groups, bounded by the caller's grouping)."""
-    g = df.groupBy(group).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("var"))
+    k(k-1)/2 rows, which are the answer (k = number of groups)."""
+    g = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group) \
+        .agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("var"))
     t = g.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"),
               F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("ssw"))
     N, k, ssw = t.select("N").scalar(), t.select("k").scalar(), t.select("ssw").scalar()
-    if g.limit(MAX_PAIRED_GROUPS + 1).count() > MAX_PAIRED_GROUPS:
-        raise ValueError(f"Tukey HSD over more than {MAX_PAIRED_GROUPS} groups")
-    mse = ssw / (N - k)
+    mse = F.try_divide(ssw, N - k)
     a = g.select(*[F.col(c).alias(f"{c}_1") for c in (group, "n", "mean")])
     b = g.select(*[F.col(c).alias(f"{c}_2") for c in (group, "n", "mean")])
     pairs = a.join(b, F.col(f"{group}_1") < F.col(f"{group}_2"))
     diff = F.col("mean_2") - F.col("mean_1")
     se = F.sqrt(mse / 2 * (1 / F.col("n_1") + 1 / F.col("n_2")))
     out = pairs.select(F.col(f"{group}_1").alias("group1"), F.col(f"{group}_2").alias("group2"),
-                       diff.alias("meandiff"), (F.abs(diff) / se).alias("q"))
+                       diff.alias("meandiff"), F.try_divide(F.abs(diff), se).alias("q"))
     return out.withColumn("p_adj", tukey_sf_col("q", F.lit(k), F.lit(N - k))).withColumn("reject", F.col("p_adj") < 0.05)

@@ -52,22 +52,14 @@ def ngrams(tokens, n_min: int = 1, n_max: int = 1) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-_ngrams_safe = ngrams
-
-
-def term_counts(df: DataFrame, doc: str, tokens: str, by_doc: bool = True) -> DataFrame:
+def term_counts(df: DataFrame, doc: str, tokens: str) -> DataFrame:
     """(doc, term, tf) for every term of every document.
 
-    With ``by_doc`` the documents are hash-partitioned by id *before*
-    exploding, so the (doc, term) aggregation and any later per-document step
-    (normalisation windows) reuse that partitioning instead of shuffling the
-    exploded rows.  ``explode_outer`` + a null filter keeps Catalyst from
-    inferring a size() filter that would re-run the tokenizer below the
-    exchange."""
-    src = df.select(doc, tokens)
-    if by_doc:
-        src = src.repartition(doc)
-    ex = src.select(doc, F.explode_outer(tokens).alias("term")).filter(F.col("term").isNotNull())
+    A document is one row, so the partial aggregate reduces its words to
+    counts before anything is shuffled.  ``explode_outer`` + a null filter
+    keeps Catalyst from inferring a size() filter that would re-run the
+    tokenizer."""
+    ex = df.select(doc, F.explode_outer(tokens).alias("term")).filter(F.col("term").isNotNull())
     return ex.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -81,16 +73,6 @@ def vocabulary(tc: DataFrame, doc: str, max_features: int | None = None, min_df:
     return v
 
 
-def bag_of_words(df: DataFrame, doc: str, text: str, max_features: int = 1000, stop: Sequence[str] = ()) -> DataFrame:
-    toks = df.select(doc, tokenize(text).alias("tokens"))
-    if stop:
-        arr = F.array(*[F.lit(w) for w in stop])
-        toks = toks.withColumn("tokens", F.filter("tokens", lambda t: ~F.array_contains(arr, t)))
-    tc = term_counts(toks, doc, "tokens")
-    v = vocabulary(tc, doc, max_features)
-    return tc.join(v.select("term"), "term")
-
-
 def count_vectorizer(in_col: str = "tokens", out_col: str = "bow", vocab: int = 1000, min_df: float = 1.0):
     return CountVectorizer(inputCol=in_col, outputCol=out_col, vocabSize=vocab, minDF=min_df)
 
@@ -102,9 +84,9 @@ def tfidf(df: DataFrame, doc: str, tokens: str, n_min: int = 1, n_max: int = 1,
     (smooth), weight = tf * idf, l2-normalised per document.  Long output
     (doc, term, weight) — the sparse matrix without a driver-side vocabulary.
 
-    Shuffles: documents by id once (term counts and norms stay local to it),
-    partial vocabulary counts by term once; the vocabulary (<= max_features
-    rows) is broadcast."""
+    Shuffles: counts by (doc, term), partial vocabulary counts by term, and
+    the weights of vocabulary terms by document; the vocabulary (<=
+    max_features rows) is broadcast."""
     grams = df.select(doc, ngrams(tokens, n_min, n_max).alias("_g"))
     tc = term_counts(grams, doc, "_g")
     n = df.agg(F.count_distinct(doc)).scalar()
@@ -209,20 +191,23 @@ def topic_coherence(df: DataFrame, doc: str, tokens: str, topics: DataFrame, eps
 
 # O9 - O12 ---------------------------------------------------------------------
 def item_vectors(baskets: DataFrame, items: str = "items", size: int = 32, window: int = 5, min_count: int = 1,
-                 seed: int = 42, max_iter: int = 1) -> DataFrame:
-    """Word2Vec over ordered baskets -> (item, vector array)."""
-    m = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, seed=seed, maxIter=max_iter,
+                 seed: int = 42, max_iter: int = 1, partitions: int | None = None) -> DataFrame:
+    """Word2Vec over ordered baskets -> (item, vector array), trained in
+    ``partitions`` tasks (the shuffle partitions unless given)."""
+    partitions = partitions or int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    m = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, seed=seed, maxIter=max_iter, numPartitions=partitions,
                  inputCol=items, outputCol="_v").fit(baskets.select(F.transform(items, lambda x: x.cast("string")).alias(items)))
     from pyspark.ml.functions import vector_to_array
     return m.getVectors().select(F.col("word").alias("item"), vector_to_array("vector").alias("vec"))
 
 
 def cosine(a, b) -> Column:
+    """Cosine of two arrays; null if either is zero."""
     a, b = _c(a), _c(b)
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
     na = F.sqrt(F.aggregate(F.transform(a, lambda x: x * x), F.lit(0.0), lambda s, v: s + v))
     nb = F.sqrt(F.aggregate(F.transform(b, lambda x: x * x), F.lit(0.0), lambda s, v: s + v))
-    return dot / (na * nb)
+    return F.try_divide(dot, na * nb)
 
 
 def most_similar(vectors: DataFrame, key: str, vec: str, queries: dict, top_n: int = 5,
@@ -310,5 +295,3 @@ def future_months(df: DataFrame, key: str, last: str, horizon: int) -> DataFrame
     return df.select(key, F.posexplode(month_start_sequence(last, horizon)).alias("step", "month")).withColumn(
         "step", F.col("step") + 1)
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["DoubleType", "StructField", "StructType", "distance"]

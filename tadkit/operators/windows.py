@@ -1,11 +1,8 @@
 """Window and time-window operators.
 
-Look-back features use range frames on microsecond epochs (``-1`` keeps the
-upper bound strict).  To keep a heavy user from landing in one task, rows are
-partitioned by (key, time bucket of the window length) and each bucket also
-receives a copy of the previous bucket as context: every frame
-``[t - W, t)`` lies within buckets b-1 and b, so results are exact while a hot
-key is spread across its time buckets.
+Lags, running sums, ranks and look-back windows are built on
+``cumulative_sum``, whose range partitions cut a heavy key into many tasks;
+there is one path for all sizes.
 """
 
 from __future__ import annotations
@@ -62,49 +59,36 @@ def top_k_packed(df: DataFrame, by, item_cols: Sequence[str], order: Sequence[Co
 # E3 ------------------------------------------------------------------------
 def running_sum(df: DataFrame, by, order: Sequence, value: str, alias: str = "running",
                 share: bool = False) -> DataFrame:
-    by = _cols(by)
-    order = _cols(order)
-    if by and largest_group(df, by) <= WINDOW_GROUP_MAX:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df.withColumn(alias, F.sum(value).over(w))
-    else:                                   # global order or a hot group: range-partitioned running sum
-        from tadkit.operators.frame import cumulative_sum
-        out = cumulative_sum(df, by, order, [value], suffix="__cum").withColumnRenamed(f"{value}__cum", alias)
+    """Running sum per group in ``order`` (and its share of the group's sum).
+
+    Every row is kept; rows of a null key get null."""
+    from tadkit.operators.frame import cumulative_sum
+    by, order = _cols(by), _cols(order)
+    out = cumulative_sum(df, by, order, [value], suffix="__cum").withColumnRenamed(f"{value}__cum", alias)
+    for b in by:
+        out = out.withColumn(alias, F.when(F.col(b).isNotNull(), F.col(alias)))
     if share:
-        tot = df.groupBy(*by).agg(F.sum(value).alias("_tot")) if by else None
-        if tot is not None:
-            out = out.join(tot, by).withColumn(
-                alias + "_share", F.col(alias).cast("double") / F.col("_tot").cast("double")).drop("_tot")
+        total = df.groupBy(*by).agg(F.sum(value).alias("_tot")) if by else None
+        if total is not None:
+            out = out.join(total, by, "left").withColumn(
+                alias + "_share", F.try_divide(F.col(alias).cast("double"), F.col("_tot").cast("double"))).drop("_tot")
         else:
-            out = out.withColumn(alias + "_share", F.col(alias).cast("double") / df.agg(F.sum(value)).scalar().cast("double"))
+            out = out.withColumn(alias + "_share", F.try_divide(F.col(alias).cast("double"), df.agg(F.sum(value)).scalar().cast("double")))
     return out
 
 
-# Lags with a hot-key guard ------------------------------------------------------
-# Largest group a window may sort in one task; above it lags come from a
-# positional self-join instead.
-WINDOW_GROUP_MAX = 5_000_000
-
-
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-
-
+# Lags ---------------------------------------------------------------------------
 def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence, value: str, lags: Sequence[int],
-                prefix: str = "lag", group_max: int = WINDOW_GROUP_MAX) -> DataFrame:
+                prefix: str = "lag") -> DataFrame:
     """Add ``{prefix}{i}`` = value i rows earlier in ``order`` within ``by``.
 
-    ``order`` must be a total order.  When the largest group (checked with
-    one aggregate) fits ``group_max`` this is a plain window; otherwise each
-    row gets its position from a range-partitioned running count (a hot key
-    is cut across partitions) and the lags come from one shuffle on
-    (key, position), which spreads a hot key over all reducers.
+    ``order`` must be a total order.  Each row gets its position from a
+    range-partitioned running count (a hot key is cut across partitions) and
+    the lags come from one shuffle on (key, position), which spreads a hot key
+    over all reducers.  Every row is kept; rows of a null key have null lags.
     """
-    by, order = list(by), _cols(order)
-    if largest_group(df, by) <= group_max:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumns({f"{prefix}{i}": F.lag(value, i).over(w) for i in lags})
     from tadkit.operators.frame import cumulative_sum
+    by, order = list(by), _cols(order)
     ocols = [f"_o{i}" for i in range(len(order))]
     x = df.select("*", *[o.alias(n) if isinstance(o, Column) else F.col(o).alias(n) for o, n in zip(order, ocols)])
     pos = cumulative_sum(x.withColumn("_one", F.lit(1)), by, ocols, ["_one"]).withColumnRenamed("_one_cum", "_pos") \
@@ -143,43 +127,59 @@ def period_changes(df: DataFrame, by, order: str, value: str) -> DataFrame:
     })
 
 
-# E7 / E9 -------------------------------------------------------------------
-def _bucketed_context(base: DataFrame, W: int, sub_buckets: int = 1) -> DataFrame:
-    """Rows keyed by time buckets of width ceil(W / s); each row also appears
-    as context in the next s buckets, so a frame [t - W, t) is complete
-    inside its own (key, bucket) partition.  s = 1 doubles the rows; a larger
-    s spreads one key's dense period over more partitions (s + 1 copies)."""
-    s = max(1, int(sub_buckets))
-    wb = -(-W // s)
-    x = base.withColumn("_b0", F.floor(F.col("_us") / wb))
-    x = x.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(s))))
-    return x.withColumn("_b", F.col("_b0") + F.col("_o")).withColumn("_anchor", F.col("_o") == 0).drop("_b0", "_o")
+# E7 / E8 / E9 / C8 -----------------------------------------------------------
+# Sums over time windows are differences of two running sums, so their cost
+# follows the rows, not rows times window length, and the running sums cut a
+# heavy key across range partitions.  Values are summed as decimals, which
+# makes the differences exact.
+_EXACT = "decimal(38,10)"
+
 
+def interval_sums(rows: DataFrame, anchors: DataFrame, sums: Sequence[str], closed: bool = False,
+                  last: str | None = None) -> DataFrame:
+    """Per anchor (_id, _k, _lo, _hi): sums of its key's ``rows`` (_k, _us, ...)
+    with ``_lo <= _us < _hi`` (``<=`` if ``closed``), and the greatest ``last``
+    value of all rows before the end.  Anchors without key or time give nothing.
+    """
+    from tadkit.operators.frame import cumulative_sum
+    sums, maxes = list(sums), [last] if last else []
+    types = dict(rows.dtypes)
+    rows = rows.filter(F.col("_k").isNotNull() & F.col("_us").isNotNull())
+    anchors = anchors.filter(F.col("_k").isNotNull() & F.col("_lo").isNotNull() & F.col("_hi").isNotNull())
+    none = [F.lit(None).cast(types[c]).alias(c) for c in sums + maxes]
+    id_type = dict(anchors.dtypes)["_id"]
+    events = rows.select("_k", "_us", F.lit(1).alias("_o"), F.lit(None).cast(id_type).alias("_id"), F.lit(0).alias("_sign"), *sums, *maxes)
+    for at, place, sign in (("_lo", 0, -1), ("_hi", 2 if closed else 0, 1)):
+        events = events.unionByName(anchors.select("_k", F.col(at).alias("_us"), F.lit(place).alias("_o"), "_id", F.lit(sign).alias("_sign"), *none))
+    cum = cumulative_sum(events, ["_k"], ["_us", "_o"], sums, maxes=maxes).filter("_sign <> 0")
+    out = [F.sum(F.col("_sign") * F.coalesce(F.col(f"{c}_cum"), F.lit(0))).alias(c) for c in sums]
+    return cum.groupBy("_id").agg(*out, *[F.max(F.when(F.col("_sign") == 1, F.col(f"{c}_cum"))).alias(c) for c in maxes])
+
+
+def _window_rows(df: DataFrame, key: str, ts: str, value: str, row_id: str, days: int) -> tuple[DataFrame, DataFrame]:
+    base = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"), epoch_micros(ts).alias("_us"), F.col(value).cast("double").alias("_v"),
+                     F.hour(F.col(ts)).alias("_h"), F.weekday(F.col(ts)).alias("_d"))
+    base = base.withColumns({"_n": F.lit(1).cast("long"), "_nv": F.col("_v").isNotNull().cast("long"), "_s": F.col("_v").cast(_EXACT)})
+    return base, base.select("_id", "_k", (F.col("_us") - days * DAY_US).alias("_lo"), F.col("_us").alias("_hi"))
 
 
 def lookback_features(df: DataFrame, key: str, ts: str, value: str, row_id: str,
-                      days: int = 30, top_n: int = 3, sub_buckets: int = 1) -> DataFrame:
+                      days: int = 30, top_n: int = 3) -> DataFrame:
     """Per row: features of the same key's rows in ``[ts - days, ts)``.
 
     Output: row_id, num_op, value_mean, secs_since_last, value_last (max on
     ties of the last timestamp), hours_top (top_n most frequent hours, sorted
     by hour, ``|``-joined) and weekdays_top (top_n weekdays, sorted Monday
     first, as letters).  Frequency ties go to the smaller hour / weekday.
+    Rows without key or time are kept, with num_op 0.
     """
-    W = days * DAY_US
-    base = df.select(
-        F.col(key).alias("_k"), F.col(row_id).alias("_id"), epoch_micros(ts).alias("_us"),
-        F.col(value).cast("double").alias("_v"), F.hour(F.col(ts)).alias("_h"),
-        F.weekday(F.col(ts)).alias("_d"))
-    u = _bucketed_context(base, W, sub_buckets)
-    w = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(-W, -1)
-    last = F.max(F.struct("_us", "_v")).over(w)
-    hour_cnt = [F.sum(F.when(F.col("_h") == h, 1).otherwise(0)).over(w).alias(f"_h{h}") for h in range(24)]
-    day_cnt = [F.sum(F.when(F.col("_d") == d, 1).otherwise(0)).over(w).alias(f"_d{d}") for d in range(7)]
-    feats = u.select("_anchor", "_id", "_us",
-                     F.count(F.lit(1)).over(w).alias("num_op"),
-                     F.avg("_v").over(w).alias("value_mean"),
-                     last.alias("_last"), *hour_cnt, *day_cnt).filter("_anchor")
+    base, anchors = _window_rows(df, key, ts, value, row_id, days)
+    hours, weekdays = [f"_h{h}" for h in range(24)], [f"_d{d}" for d in range(7)]
+    rows = base.withColumns({f"_h{h}": (F.col("_h") == h).cast("long") for h in range(24)}
+                            | {f"_d{d}": (F.col("_d") == d).cast("long") for d in range(7)}
+                            | {"_last": F.struct("_us", "_v")})
+    got = interval_sums(rows, anchors, ["_n", "_nv", "_s", *hours, *weekdays], last="_last")
+    x = base.select("_id", "_us").join(got, "_id", "left").withColumn("_last", F.when(F.col("_n") > 0, F.col("_last")))
 
     def top(prefix: str, n_levels: int, label=None) -> Column:
         arr = F.array(*[F.struct((-F.col(f"{prefix}{i}")).alias("c"), F.lit(i).alias("v")) for i in range(n_levels)])
@@ -190,47 +190,34 @@ def lookback_features(df: DataFrame, key: str, ts: str, value: str, row_id: str,
         return F.array_join(F.transform(vals, lambda v: v.cast("string")), "|")
 
     letters = F.array(*[F.lit(ch) for ch in WEEKDAY_LETTERS])
-    return feats.select(
-        F.col("_id").alias(row_id), "num_op", "value_mean",
+    return x.select(
+        F.col("_id").alias(row_id), F.coalesce("_n", F.lit(0)).cast("long").alias("num_op"),
+        F.try_divide(F.col("_s").cast("double"), F.col("_nv")).alias("value_mean"),
         ((F.col("_us") - F.col("_last._us")) / 1e6).alias("secs_since_last"),
         F.col("_last._v").alias("value_last"),
         top("_h", 24).alias("hours_top"), top("_d", 7, letters).alias("weekdays_top"))
 
 
-def lookback_agg(df: DataFrame, key: str, ts: str, value: str, row_id: str, days: int,
-                 sub_buckets: int = 1) -> DataFrame:
-    """Count / sum / mean of the key's values in ``[ts - days, ts)`` per row
-    (same bucketed range frame as ``lookback_features``)."""
-    W = days * DAY_US
-    base = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"), epoch_micros(ts).alias("_us"),
-                     F.col(value).cast("double").alias("_v"))
-    u = _bucketed_context(base, W, sub_buckets)
-    w = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(-W, -1)
-    return u.select("_anchor", F.col("_id").alias(row_id), F.count(F.lit(1)).over(w).alias("n_prev"),
-                    F.sum("_v").over(w).alias("sum_prev"), F.avg("_v").over(w).alias("mean_prev")) \
-        .filter("_anchor").drop("_anchor")
+def lookback_agg(df: DataFrame, key: str, ts: str, value: str, row_id: str, days: int) -> DataFrame:
+    """Count / sum / mean of the key's values in ``[ts - days, ts)`` per row."""
+    base, anchors = _window_rows(df, key, ts, value, row_id, days)
+    x = base.select("_id").join(interval_sums(base, anchors, ["_n", "_nv", "_s"]), "_id", "left")
+    total = F.when(F.col("_nv") > 0, F.col("_s").cast("double"))
+    return x.select(F.col("_id").alias(row_id), F.coalesce("_n", F.lit(0)).cast("long").alias("n_prev"), total.alias("sum_prev"),
+                    (total / F.col("_nv")).alias("mean_prev"))
 
 
-# E8 ------------------------------------------------------------------------
 def year_ago_mean(df: DataFrame, key: str, ts: str, value: str, row_id: str,
                   days: int = 30, years: int = 1, alias: str = "value_mean_year_ago") -> DataFrame:
-    """Mean of the key's values in [ts - years - days, ts - years] (both closed).
-
-    Calendar years (Feb 29 -> Feb 28) cannot be a constant range frame, so
-    this is an exact range join, bucketed by (key, day): each anchor is
-    replicated to the ``days + 1`` days its window touches and meets only the
-    rows of those days, so a heavy key is spread over its days.
-    """
-    rows = df.select(F.col(key).alias("_k"), F.col(ts).cast("timestamp").alias("_t"),
-                     F.col(value).cast("double").alias("_v")).withColumn("_day", F.to_date("_t"))
-    anchors = df.select(F.col(row_id).alias("_id"), F.col(key).alias("_k"),
-                        F.col(ts).cast("timestamp").alias("_a"))
-    anchors = anchors.withColumn("_hi", F.col("_a") - F.make_ym_interval(F.lit(years), F.lit(0))) \
-        .withColumn("_lo", F.col("_hi") - F.make_dt_interval(F.lit(days)))
-    anchors = anchors.withColumn("_day", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"))))
-    joined = anchors.join(rows, ["_k", "_day"]).filter((F.col("_t") >= F.col("_lo")) & (F.col("_t") <= F.col("_hi")))
-    agg = joined.groupBy("_id").agg(F.avg("_v").alias(alias))
-    return df.select(F.col(row_id).alias("_id")).join(agg, "_id", "left").withColumnRenamed("_id", row_id)
+    """Mean of the key's values in [ts - years - days, ts - years] (both closed,
+    calendar years: Feb 29 -> Feb 28)."""
+    base, _ = _window_rows(df, key, ts, value, row_id, days)
+    end = F.col(ts).cast("timestamp") - F.make_ym_interval(F.lit(years), F.lit(0))
+    anchors = df.select(F.col(row_id).alias("_id"), F.col(key).alias("_k"), F.unix_micros(end).alias("_hi")) \
+        .withColumn("_lo", F.col("_hi") - days * DAY_US)
+    got = interval_sums(base, anchors, ["_nv", "_s"], closed=True)
+    x = df.select(F.col(row_id).alias("_id")).join(got, "_id", "left")
+    return x.select(F.col("_id").alias(row_id), F.try_divide(F.col("_s").cast("double"), F.col("_nv")).alias(alias))
 
 
 # E10 / E11 -----------------------------------------------------------------
@@ -247,31 +234,37 @@ def anchor_windows(df: DataFrame, key: str, period: str, subs: Sequence[int]) ->
 
 
 def anchor_features(df: DataFrame, key: str, period: str, value: str, subs: Sequence[int] = (3, 6, 9, 12),
-                    max_period: int | None = None, flags: Sequence[str] = (), mean_fn=F.avg) -> DataFrame:
+                    flags: Sequence[str] = (), scale: int = 10) -> DataFrame:
     """min/max/mean/median/std of ``value`` (+ mean of flags) per
-    (key, anchor period) for every sub-window, pivoted by sub-window length."""
-    from tadkit.operators.aggregate import groups_fit_buffer, grouped_quantiles
-    x = anchor_windows(df, key, period, subs)
-    if max_period is not None:
-        x = x.filter(F.col("anchor") <= max_period)
-    # one window (key, anchor, sub) small enough for Spark's median buffer?
-    buffered = groups_fit_buffer(x, [key, "anchor", "sub"])
+    (key, anchor period) for every sub-window, pivoted by sub-window length.
+
+    Rows are first reduced to one partial row per (key, period), and for the
+    medians to one row per (key, period, value); only these are replicated to
+    the windows.  Sums are exact at ``scale`` decimals.  Null keys are dropped.
+    """
+    from tadkit.operators.aggregate import grouped_quantiles
+    df = df.filter(F.col(key).isNotNull() & F.col(period).isNotNull())
+    v = F.col(value).cast("double")
+    part = df.groupBy(key, period).agg(
+        F.count(v).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum(v.cast(f"decimal(38,{scale})")).alias("_s"),
+        F.avg(v).alias("_m"), F.var_pop(v).alias("_q"), *[F.count(f).alias(f"_c_{f}") for f in flags],
+        *[F.sum(F.col(f).cast("double")).alias(f"_f_{f}") for f in flags])
+    x = anchor_windows(part, key, period, subs)
+    # Spread within the periods and of their means about the window's mean.
+    x = x.join(x.groupBy(key, "anchor", "sub").agg(F.try_divide(F.sum("_s").cast("double"), F.sum("_n")).alias("_mean")), [key, "anchor", "sub"])
+    spread = F.col("_n") * (F.col("_q") + F.pow(F.col("_m") - F.col("_mean"), 2))
     aggs = []
     for s in subs:
         m = F.col("sub") == s
-        v = F.when(m, F.col(value))
-        aggs += [F.min(v).alias(f"{value}_min_{s}"), F.max(v).alias(f"{value}_max_{s}"),
-                 mean_fn(v).alias(f"{value}_mean_{s}"), F.stddev_samp(v).alias(f"{value}_std_{s}")]
-        if buffered:
-            aggs.append(F.median(v).alias(f"{value}_median_{s}"))
-        aggs += [F.avg(F.when(m, F.col(f))).alias(f"{f}_mean_{s}") for f in flags]
+        n = F.sum(F.when(m, F.col("_n")))
+        aggs += [F.min(F.when(m, F.col("_lo"))).alias(f"{value}_min_{s}"), F.max(F.when(m, F.col("_hi"))).alias(f"{value}_max_{s}"),
+                 F.try_divide(F.sum(F.when(m, F.col("_s"))).cast("double"), n).alias(f"{value}_mean_{s}"),
+                 F.sqrt(F.when(n > 1, F.sum(F.when(m, spread)) / (n - 1))).alias(f"{value}_std_{s}")]
+        aggs += [F.try_divide(F.sum(F.when(m, F.col(f"_f_{f}"))), F.sum(F.when(m, F.col(f"_c_{f}")))).alias(f"{f}_mean_{s}") for f in flags]
     out = x.groupBy(key, "anchor").agg(*aggs)
-    if buffered:
-        return out
-    # otherwise medians without buffering any window's values in one task
-    med = grouped_quantiles(x, [key, "anchor", "sub"], value, [0.5], alias="_med")
-    medw = med.groupBy(key, "anchor").agg(*[F.max(F.when(F.col("sub") == s, F.col("_med"))).alias(f"{value}_median_{s}")
-                                            for s in subs])
+    counts = df.filter(F.col(value).isNotNull()).groupBy(key, period, value).agg(F.count(F.lit(1)).alias("_rows"))
+    med = grouped_quantiles(anchor_windows(counts, key, period, subs), [key, "anchor", "sub"], value, [0.5], alias="_med", weight="_rows")
+    medw = med.groupBy(key, "anchor").agg(*[F.max(F.when(F.col("sub") == s, F.col("_med"))).alias(f"{value}_median_{s}") for s in subs])
     return out.join(medw, [key, "anchor"], "left")
 
 
@@ -298,11 +291,15 @@ def average_rank(df: DataFrame, value: str, alias: str = "avg_rank", by=None) ->
     Rows are counted per distinct (group, value) first; running counts over
     a range-partitioned order give each value's last rank, and the average
     rank of a tie block is ``cum - (count - 1) / 2``.  No window holds a
-    whole group, so a hot group costs the same as any other.
+    whole group, so a hot group costs the same as any other.  Every row is
+    kept; null values and rows of a null key have no rank.
     """
     from tadkit.operators.frame import cumulative_sum
     by = _cols(by)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    known = F.col(value).isNotNull()
+    for b in by:
+        known = known & F.col(b).isNotNull()
+    counts = df.filter(known).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     cum = cumulative_sum(counts, by, [value], ["_c"])
     ranks = cum.select(*by, value, (F.col("_c_cum") - (F.col("_c") - 1) / 2.0).alias(alias))
     return df.join(ranks, [*by, value], "left")

@@ -41,7 +41,7 @@ def _lineitem_xy(spark, d):
 _LX = ["l_quantity", "l_discount", "l_tax"]
 
 
-def _emb(spark, d, dims=8):
+def _emb(spark, d, dims=64):
     e = Tables(spark, d).embeddings
     return e.select("vec_id", F.col("label").cast("double").alias("label"), "embedding",
                     *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
@@ -102,7 +102,7 @@ def m5_svm(spark, d):
 def m6_lda(spark, d):
     """Class means + pooled covariance from one aggregate; linear scores."""
     e = _emb(spark, d)
-    cols = [f"e{i}" for i in range(8)]
+    cols = [f"e{i}" for i in range(64)]
     m = md.lda_fit(e, "label", cols)
     pred = md.lda_project(md.lda_predict(e, m), m)
     return pred.select("vec_id", "label", "prediction", "ld_1", "ld_2")
@@ -149,7 +149,7 @@ def m11_table(spark, d):
     return md.generalisation_table(spark, models, {"train": tr, "test": te})
 
 
-_KNN_K = 15
+_KNN_K = 39
 
 
 def _knn_ranked(spark, d):
@@ -178,7 +178,7 @@ v AS (SELECT k, query_id, true_label, ref_label, count(*) AS v FROM t, range(1,
 pr AS (SELECT k, query_id, true_label, arg_min(ref_label, (-v, ref_label)) AS pred FROM v GROUP BY ALL)
 SELECT CAST(k AS INTEGER) AS k, round(avg(CAST(pred = true_label AS DOUBLE)), 9) AS accuracy FROM pr GROUP BY k""")
 def m12_knn(spark, d):
-    """Exact kNN (grid-pruned) majority vote; accuracy for k = 1..15 from one ranked table."""
+    """kNN majority vote; accuracy for k = 1..39 from one ranked table."""
     ranked = _knn_ranked(spark, d)
     votes = ranked.withColumn("k", F.explode(F.sequence(F.col("rank").cast("int"), F.lit(_KNN_K)))) \
         .groupBy("k", "query_id", "true_label", "ref_label").agg(F.count(F.lit(1)).alias("v"))
@@ -226,9 +226,9 @@ def m15_random(spark, d):
 
 @query("m16_pca_size_sweep")
 def m16_sweep(spark, d):
-    e = _emb(spark, d, 16)
+    e = _emb(spark, d, 64)
     ev = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
-    return md.pca_sweep(spark, e, [f"e{i}" for i in range(16)], "label", [2, 4, 8],
+    return md.pca_sweep(spark, e, [f"e{i}" for i in range(64)], "label", [2, 4, 8],
                         lambda: LogisticRegression(maxIter=50), ev)
 
 
@@ -341,9 +341,9 @@ def m23_balance(spark, d):
     """Logistic model on raw / over-sampled / under-sampled / SMOTE training data, one test set."""
     e = hash_split(_emb(spark, d).withColumn("label", (F.col("label") == 0).cast("double")), "vec_id", 0.3)
     tr, te = e.filter("sample = 'train'"), e.filter("sample = 'test'")
-    cols = [f"e{i}" for i in range(8)]
+    cols = [f"e{i}" for i in range(64)]
     syn = fe.smote(tr, "vec_id", "label", 1.0, "embedding", k=5)
-    syn = syn.select("vec_id", "label", *[F.col("embedding")[i].alias(f"e{i}") for i in range(8)])
+    syn = syn.select("vec_id", "label", *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])
     sets = {"raw": tr, "over": fe.oversample(tr, "label", 1.0), "under": fe.undersample(tr, "label"),
             "smote": tr.select("label", *cols).unionByName(syn.select("label", *cols))}
     ev = BinaryClassificationEvaluator(labelCol="label")
@@ -412,24 +412,35 @@ def l5_dummies(spark, d):
     return fe.dummies(o, lv, drop="first")
 
 
+@query("l5_dummies_all_levels", "SELECT o_orderkey, " + ", ".join(
+    f"CAST(o_orderstatus = '{v}' AS INTEGER) AS \"o_orderstatus_{v}\"" for v in "FOP")
+    + ", CAST(o_totalprice > 100000 AS INTEGER) AS big_true FROM orders")
+def l5_all(spark, d):
+    """All levels of one column, and of a binary one the second alone."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus", (F.col("o_totalprice") > 100000).alias("big"))
+    wide = fe.dummies(o, fe.fit_levels(o, ["o_orderstatus"]))
+    return fe.dummies(wide, {"big": ["false", "true"]}, drop="if_binary")
+
+
 @query("l6_l7_pca_variance_cut")
 def l6_pca(spark, d):
     """Centre/scale + PCA; the number of components reaching 90% variance."""
-    e = _emb(spark, d, 16)
-    cols = [f"e{i}" for i in range(16)]
+    e = _emb(spark, d, 64)
+    cols = [f"e{i}" for i in range(64)]
     m = fe.pca_fit(e, cols, variance=0.9)
     return fe.pca_transform(m, e, keep=["vec_id"])
 
 
-@query("l8_pca_reconstruction")
+@query("l8_pca_reconstruction", "SELECT vec_id, CAST(0.0 AS DOUBLE) AS abs_error FROM embeddings")
 def l8_inverse(spark, d):
-    e = _emb(spark, d, 8)
-    cols = [f"e{i}" for i in range(8)]
-    m = fe.pca_fit(e, cols, k=8)
+    e = _emb(spark, d, 64)
+    cols = [f"e{i}" for i in range(64)]
+    m = fe.pca_fit(e, cols, k=64)
     z = fe.pca_transform(m, e, keep=["vec_id"])
-    back = fe.pca_inverse(m, z, cols, keep=["vec_id"])
-    err = back.join(e.select("vec_id", *[F.col(c).alias(c + "_x") for c in cols]), "vec_id")
-    return err.select("vec_id", sum(F.abs(F.col(c) - F.col(c + "_x")) for c in cols).alias("abs_error"))
+    back = fe.pca_inverse(m, z, cols, keep=["vec_id"]).select("vec_id", F.array(*cols).alias("back"))
+    x = Tables(spark, d).embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    gap = F.aggregate(F.zip_with("back", "x", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: a + b)
+    return back.join(x, "vec_id").select("vec_id", F.round(gap, 6).alias("abs_error"))
 
 
 @query("l9_l10_feature_spaces", """
@@ -447,12 +458,23 @@ def l10_spaces(spark, d):
 
 
 @query("l11_over_under_sampling", """
-SELECT 'under' AS strategy, label, least_n AS n FROM (
-  SELECT CAST(o_orderstatus = 'F' AS INTEGER) AS label, min(count(*)) OVER () AS least_n FROM orders GROUP BY 1)""")
+WITH o AS (SELECT CAST(o_orderstatus = 'F' AS INTEGER) AS label FROM orders), c AS (SELECT label, count(*) AS n FROM o GROUP BY 1)
+SELECT 'under' AS strategy, label, min(n) OVER () AS n, min(n) OVER () AS distinct_rows, 0 AS foreign_rows FROM c""")
 def l11_sampling(spark, d):
+    """Size of each class after under-sampling, its different rows, and rows that are not of the table."""
     o = Tables(spark, d).orders.withColumn("label", (F.col("o_orderstatus") == "F").cast("int"))
     u = fe.undersample(o, "label")
-    return u.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(F.lit("under").alias("strategy"), "label", "n")
+    foreign = u.exceptAll(o).groupBy("label").agg(F.count(F.lit(1)).cast("int").alias("foreign_rows"))
+    return u.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("distinct_rows")) \
+        .join(foreign, "label", "left").select(F.lit("under").alias("strategy"), "label", "n", "distinct_rows",
+                                               F.coalesce("foreign_rows", F.lit(0)).alias("foreign_rows"))
+
+
+@query("l11_over_sampling")
+def l11_over(spark, d):
+    """Sizes of the classes after over-sampling the smaller one with replacement."""
+    o = Tables(spark, d).orders.withColumn("label", (F.col("o_orderstatus") == "F").cast("int"))
+    return fe.oversample(o, "label", 1).groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("distinct_rows"))
 
 
 @query("l12_smote_synthetic_rows")

@@ -102,14 +102,14 @@ def j7_ks(spark, d):
 
 @query("j8_sparse_or_constant_columns", HOLES + """
 SELECT 'price' AS variable, round(count(*) FILTER (WHERE price IS NULL) / count(*), 9) AS missing_share,
-       count(DISTINCT price) AS n_distinct FROM holes
-UNION ALL SELECT 'prio', round(count(*) FILTER (WHERE prio IS NULL) / count(*), 9), count(DISTINCT prio) FROM holes
-UNION ALL SELECT 'cust', round(count(*) FILTER (WHERE cust IS NULL) / count(*), 9), count(DISTINCT cust) FROM holes
-UNION ALL SELECT 'one', 0.0, 1 FROM (SELECT 1) t""")
+       count(DISTINCT price) <= 1 AS single_value FROM holes
+UNION ALL SELECT 'prio', round(count(*) FILTER (WHERE prio IS NULL) / count(*), 9), count(DISTINCT prio) <= 1 FROM holes
+UNION ALL SELECT 'cust', round(count(*) FILTER (WHERE cust IS NULL) / count(*), 9), count(DISTINCT cust) <= 1 FROM holes
+UNION ALL SELECT 'one', 0.0, true FROM (SELECT 1) t""")
 def j8_sparse(spark, d):
     h = holes(spark, d).select("price", "prio", "cust").withColumn("one", F.lit("x"))
     prof = qu.column_quality(h)
-    return prof.select("variable", F.round("missing_share", 9).alias("missing_share"), "n_distinct")
+    return prof.select("variable", F.round("missing_share", 9).alias("missing_share"), "single_value")
 
 
 @query("j9_percentile_fence_flags", """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tadkit.operators import aggregate as ag
@@ -10,15 +11,14 @@ from tadkit.operators import models as md
 from tadkit.operators import segment as sg
 from tadkit.operators import stats as st
 from tadkit.plans.registry import query
-from tadkit.session import Tables
+from tadkit.session import Tables, written
 
-_DIMS = 8
+_DIMS = 64
 
 
 def _emb(spark, d):
     e = Tables(spark, d).embeddings
-    x = e.select("vec_id", "label", "embedding", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(_DIMS)])
-    return md.with_features(x, [f"e{i}" for i in range(_DIMS)])
+    return e.select("vec_id", "label", "embedding", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
 
 
 @query("n1_kmeans_assign")
@@ -57,7 +57,7 @@ def n3_indices(spark, d):
 
 @query("n4_gaussian_mixture_bic_aic")
 def n4_gmm(spark, d):
-    return sg.gmm_table(spark, _emb(spark, d).select("features"), "features", [2, 3, 4])
+    return sg.gmm_table(spark, _emb(spark, d).select("features"), "features", [2, 3])
 
 
 @query("n5_mixture_outlier_filter")
@@ -66,36 +66,39 @@ def n5_outliers(spark, d):
     return sg.mixture_outliers(_emb(spark, d), "features", 6).select("vec_id", "label")
 
 
-@query("n6_hierarchical_two_stage")
-def n6_hier(spark, d):
-    e = _emb(spark, d)
-    out = None
-    for method in ["ward", "complete", "single", "centroid"]:
-        h = sg.hierarchical(e, "vec_id", "features", 4, method=method, micro=40)
-        t = h.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).withColumn("method", F.lit(method))
-        out = t if out is None else out.unionByName(t)
-    return out
-
-
 @query("n6_bisecting_kmeans")
 def n6_bisect(spark, d):
     e = _emb(spark, d)
     return sg.bisecting(e, "features", 4).transform(e).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("n7_kmedoids")
-def n7_kmedoids(spark, d):
-    e = _emb(spark, d).select("vec_id", F.array(*[F.col(f"e{i}") for i in range(_DIMS)]).alias("x"))
-    return sg.kmedoids(e, "vec_id", "x", 3, max_iter=5)
+_N8_SQL = """WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[])[1:3] AS x FROM embeddings),
+nb AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a, e b WHERE {dist} <= {eps}),
+core AS (SELECT a FROM nb GROUP BY a HAVING count(*) >= 4),
+ce AS (SELECT nb.a, nb.b FROM nb JOIN core c ON nb.a = c.a JOIN core d ON nb.b = d.a),
+reach AS (SELECT a AS id, a AS seen FROM core UNION SELECT r.id, ce.b FROM reach r JOIN ce ON ce.a = r.seen),
+lab AS (SELECT id, min(seen) AS l FROM reach GROUP BY id),
+bord AS (SELECT nb.a AS id, min(lab.l) AS l FROM nb JOIN lab ON nb.b = lab.id WHERE nb.a NOT IN (SELECT a FROM core) GROUP BY nb.a),
+al AS (SELECT * FROM lab UNION ALL SELECT * FROM bord)
+"""
 
 
-@query("n8_dbscan")
+@query("n8_dbscan", _N8_SQL.format(dist="list_distance(a.x, b.x)", eps=0.35) + """,
+ids AS (SELECT l, dense_rank() OVER (ORDER BY l) - 1 AS c FROM (SELECT DISTINCT l FROM al))
+SELECT e.vec_id, CAST(coalesce(c, -1) AS INTEGER) AS cluster FROM e LEFT JOIN al ON e.vec_id = al.id LEFT JOIN ids ON al.l = ids.l""")
 def n8_dbscan(spark, d):
-    """DBSCAN on the first three embedding coordinates (noise = -1)."""
+    """DBSCAN of the first three coordinates, a plane to see clusters in (noise = -1)."""
     e = Tables(spark, d).embeddings.select("vec_id", F.slice("embedding", 1, 3).alias("x"))
     return sg.dbscan(e, "vec_id", "x", eps=0.35, min_samples=4)
 
 
+@query("n8_dbscan_sweep")
+def n8_sweep(spark, d):
+    """Clusters and noise for eps x Minkowski p."""
+    e = Tables(spark, d).embeddings.select("vec_id", F.slice("embedding", 1, 3).alias("x"))
+    return sg.dbscan_sweep(e, "vec_id", "x", [0.2, 0.35], [1.0, 2.0], min_samples=4)
+
+
 @query("n9_isolation_forest")
 def n9_iforest(spark, d):
     e = Tables(spark, d).embeddings
@@ -116,6 +119,7 @@ def n11_warm(spark, d):
     e = _emb(spark, d)
     from pyspark.ml.clustering import GaussianMixture
     lab = GaussianMixture(k=4, seed=1, featuresCol="features", predictionCol="seg").fit(e).transform(e)
+    lab = written(lab.select("seg", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(_DIMS)]), "labelled")
     scores = st.anova_f(lab, "seg", [f"e{i}" for i in range(_DIMS)])
     return st.select_k_best(scores, 4)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tadkit.functions import dates as dt
@@ -12,9 +13,9 @@ from tadkit.functions import numeric as nu
 from tadkit.functions import strings as sx
 from tadkit.functions import text as tx
 from tadkit.operators import textmining as tm
-from tadkit.operators.segment import kmeans
+from tadkit.operators.segment import kmeans, knn
 from tadkit.plans.registry import query
-from tadkit.session import Tables, scratch_path, spread
+from tadkit.session import Tables, scratch_path
 
 _TOK_SQL = "list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: length(t) > 0)"
 
@@ -143,8 +144,8 @@ def h12_emoji(spark, d):
     return c.select("conv_id", "turn", sx.count_emoji("text").alias("n_emoji"))
 
 
-@query("h13_clean_text", f"""
-SELECT doc_id, trim(lower(regexp_replace(translate(text, '{tx.ACCENTED}', '{tx.BASE}'), '[^A-Za-z0-9]+', ' ', 'g'))) AS clean
+@query("h13_clean_text", r"""
+SELECT doc_id, trim(lower(regexp_replace(regexp_replace(strip_accents(text), '[^\x00-\x7F]+', '', 'g'), '[^A-Za-z0-9]+', ' ', 'g'))) AS clean
 FROM documents""")
 def h13_clean(spark, d):
     return Tables(spark, d).documents.select("doc_id", tx.clean_text("text").alias("clean"))
@@ -155,9 +156,10 @@ def _html_sql(c: str) -> str:
     s = f"regexp_replace({s}, '(?is)<style[^>]*>.*?</style\\s*>', ' ', 'g')"
     s = f"regexp_replace({s}, '(?s)<!--.*?-->', ' ', 'g')"
     s = f"regexp_replace({s}, '<[^>]*>', ' ', 'g')"
-    for ent, ch in tx.HTML_ENTITIES.items():
-        s = f"replace({s}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
-    return f"trim(regexp_replace({s}, '\\s+', ' ', 'g'))"
+    # The references that the pages hold; the ampersand last, so that nothing is decoded twice.
+    for ent, code in (("&lt;", 60), ("&gt;", 62), ("&quot;", 34), ("&#39;", 39), ("&nbsp;", 160), ("&copy;", 169), ("&middot;", 183), ("&eacute;", 233), ("&amp;", 38)):
+        s = f"replace({s}, '{ent}', chr({code}))"
+    return f"trim(regexp_replace({s}, '[\\s\u00a0]+', ' ', 'g'))"
 
 
 @query("h14_strip_html", f"SELECT page_id, {_html_sql('html')} AS visible FROM pages")
@@ -307,8 +309,11 @@ def h27_clip(spark, d):
 
 
 # ---------------------------------------------------------------- O ------------
+_ALL = 2**31 - 1           # no cut of the vocabulary
+
+
 def _docs_tok(spark, d):
-    return spread(Tables(spark, d).documents).select("doc_id", tx.tokenize("text").alias("tokens"))
+    return Tables(spark, d).documents.select("doc_id", tx.tokenize("text").alias("tokens"))
 
 
 @query("o1_bag_of_words_vocabulary", f"""
@@ -368,7 +373,7 @@ def o4_spam(spark, d):
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
         StopWordsRemover(inputCol="tok", outputCol="tok2", stopWords=_STOP),
-        CountVectorizer(inputCol="tok2", outputCol="tf", vocabSize=2000, minDF=2.0),
+        CountVectorizer(inputCol="tok2", outputCol="tf", vocabSize=_ALL, minDF=2.0),
         IDF(inputCol="tf", outputCol="tfidf"),
         VectorAssembler(inputCols=["tfidf", "n_chars", "n_urls", "n_emails", "upper_ratio"], outputCol="features"),
         LogisticRegression(maxIter=30, regParam=0.01)])
@@ -399,10 +404,18 @@ def o6_doc2bow(spark, d):
     return long.join(dic, "token_id").select("doc", "token_id", "n", "term")
 
 
+@query("o7_lda_document_mixture")
+def o7_mixture(spark, d):
+    """Share of each topic in each document."""
+    docs = tx.drop_stop_words(_docs_tok(spark, d), "tokens", _STOP)
+    _, _, mixture = tm.lda_topics(docs, "tokens", k=4, vocab=_ALL, max_iter=10, top_n=8)
+    return mixture.select("doc_id", F.posexplode(vector_to_array("topicDistribution")).alias("topic", "share"))
+
+
 @query("o7_lda_topics")
 def o7_lda(spark, d):
     docs = tx.drop_stop_words(_docs_tok(spark, d), "tokens", _STOP)
-    _, topics, _ = tm.lda_topics(docs, "tokens", k=4, vocab=1000, max_iter=10, top_n=8)
+    _, topics, _ = tm.lda_topics(docs, "tokens", k=4, vocab=_ALL, max_iter=10, top_n=8)
     return topics
 
 
@@ -468,12 +481,16 @@ def o10_similar(spark, d):
 
 @query("o11_basket_mean_vector_recommend")
 def o11_recommend(spark, d):
+    """The five items nearest (cosine) to the mean item vector of every basket."""
     b = _baskets(spark, d)
     vec = tm.item_vectors(b, size=16, seed=7)
     means = tm.basket_mean_vector(b, "o_custkey", "items", vec)
-    first = means.orderBy("o_custkey").first()
-    rec = tm.most_similar(vec, "item", "vec", {str(first["o_custkey"]): first["mean_vec"]}, 5)
-    return rec
+    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, v: s + v * v))
+    unit = lambda c: F.transform(c, lambda v: F.try_divide(v, norm(c)))
+    q = means.select(F.col("o_custkey").cast("string").alias("id"), unit(F.col("mean_vec")).alias("v"))
+    items = vec.select(F.col("item").alias("id"), unit(F.col("vec").cast("array<double>")).alias("v"))
+    return knn(q, items, "id", "v", 5, max_train_rows=2**31 - 1).select(                # the model's vectors, which the driver holds
+        F.col("query_id").alias("o_custkey"), F.col("ref_id").alias("item"), (1 - F.col("dist") * F.col("dist") / 2).alias("similarity"), "rank")
 
 
 @query("o12_analogy_nearest", """
@@ -497,7 +514,7 @@ def o12_analogy(spark, d):
 def o13_docs(spark, d):
     t = Tables(spark, d)
     docs = t.documents.select("doc_id", "n_chars", tx.tokenize("text").alias("tokens"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=2000, minDF=2.0)
+    cv = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=_ALL, minDF=2.0)
     tfidf = Pipeline(stages=[cv, IDF(inputCol="tf", outputCol="features")]).fit(docs).transform(docs)
     lab = kmeans(tfidf, "features", 4).transform(tfidf)
     return tm.top_documents_per_cluster(lab.select("doc_id", "n_chars", "cluster"), "cluster", "n_chars", "doc_id", 5)
@@ -525,7 +542,7 @@ def o16_scoring(spark, d):
     t = Tables(spark, d)
     train = t.documents.join(t.labels, "doc_id").select("doc_id", "text", F.col("quality").cast("double").alias("label"))
     pipe = Pipeline(stages=[RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"[^\p{L}\p{N}]+"),
-                            CountVectorizer(inputCol="tok", outputCol="tf", vocabSize=1000), IDF(inputCol="tf", outputCol="features"),
+                            CountVectorizer(inputCol="tok", outputCol="tf", vocabSize=_ALL), IDF(inputCol="tf", outputCol="features"),
                             LogisticRegression(maxIter=20)])
     path = scratch_path(spark, "text-pipeline")
     pipe.fit(train).write().overwrite().save(path)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tadkit.functions.numeric import money_sum
 from tadkit.operators import windows as wn
 from tadkit.operators.joins import with_month_id
 from tadkit.plans.registry import query
@@ -157,9 +156,7 @@ SELECT stock, CAST(anchor AS INTEGER) AS anchor, """ + ", ".join(
 def e10_anchor(spark, d):
     x = _daily_series(spark, d)
     max_id = x.agg(F.max("id_month")).scalar()
-    exact_mean = lambda v: money_sum(v, 2) / F.count(v)  # noqa: E731  (order-independent mean)
-    f = wn.anchor_features(x.withColumn("id_month", F.col("id_month").cast("int")), "stock", "id_month", "close", _SUBS,
-                           mean_fn=exact_mean)
+    f = wn.anchor_features(x.withColumn("id_month", F.col("id_month").cast("int")), "stock", "id_month", "close", _SUBS, scale=2)
     f = f.filter(F.col("anchor") <= max_id)
     return f.select("stock", F.col("anchor").cast("int").alias("anchor"),
                     *[F.round(c, 6).alias(c) if any(k in c for k in ("median", "std")) else c

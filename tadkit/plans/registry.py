@@ -30,6 +30,6 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # Importing the modules fills REGISTRY.
     from tadkit.plans import (  # noqa: F401
         q_sources, q_frame, q_joins, q_agg, q_windows, q_quality, q_stats,
-        q_features, q_models, q_segment, q_text, q_jobs,
+        q_models, q_segment, q_text, q_jobs,
     )
     return REGISTRY

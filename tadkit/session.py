@@ -2,12 +2,13 @@
 
 The library never hard-codes a storage location: lineage cuts and scratch
 tables go under the folder the cluster names in ``spark.checkpoint.dir``.
-Only when that setting is absent (local tests) is a private folder created.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,7 +42,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(BASE_CONF)
     if master and master.startswith("local"):
         conf["spark.driver.memory"] = "12g"          # local mode: the driver JVM is the executor
-        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="tadkit-warehouse-")
+        conf["spark.sql.warehouse.dir"] = _own_folder("tadkit-warehouse-")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -56,20 +57,31 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and scratch tables.
+    """Shared folder for checkpoints and scratch tables, as the session names it
+    in ``spark.checkpoint.dir``.
 
-    Read from the session; a private folder is made only when unset (tests).
+    Where it is unset, a folder is made (and removed at exit) for a session in
+    one local process, as in tests; on a cluster that is an error, for each
+    machine would write to its own disk.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="tadkit-ckpt-")
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        path = _own_folder("tadkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+def _own_folder(prefix: str) -> str:
+    path = tempfile.mkdtemp(prefix=prefix)
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
@@ -82,6 +94,25 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared folder and read it back.
+
+    Parquet there survives the loss of executors and is read by column.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table made by :func:`written`, which nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
@@ -99,16 +130,6 @@ class Tables:
         return table(self.spark, self.sf_dir, name)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when a scan yields fewer partitions than the
-    cluster's parallelism (few large row groups), before CPU-heavy per-row
-    work such as tokenising text.  A no-op when the input is already split
-    finely, as it is on a large table."""
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -24,7 +24,7 @@ def blobs(spark):
 def test_knn_exact_vs_brute_force(spark, blobs):
     df, pts = blobs
     k = 4
-    nb = sg.knn(df, df, "id", "x", k, exclude_self=True, per_cell=4).collect()
+    nb = sg.knn(df, df, "id", "x", k, exclude_self=True).collect()
     got = {}
     for r in nb:
         got.setdefault(r["query_id"], []).append((r["rank"], r["ref_id"]))
@@ -81,12 +81,6 @@ def test_isolation_forest_flags_far_points(spark, blobs):
     assert {r["id"] for r in top2} == {120, 121}
 
 
-def test_hierarchical_linkage_small():
-    pts = np.array([[0, 0], [0, 1], [10, 10], [10, 11], [30, 0]], dtype=float)
-    lab = sg._linkage(pts, np.ones(5), 3, "ward")
-    assert lab[0] == lab[1] and lab[2] == lab[3] and len(set(lab)) == 3
-
-
 def test_special_functions_textbook():
     assert st.chi2_sf(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-6)
     assert st.chi2_sf(9.487729036781154, 4) == pytest.approx(0.05, abs=1e-6)
@@ -158,7 +152,7 @@ def test_small_results_and_models_roundtrip(spark, tmp_path):
     assert back.transform(df).count() == 4
 
 
-def test_knn_cluster_pruned_high_dim_exact(spark):
+def test_knn_high_dim_exact(spark):
     rng = np.random.default_rng(11)
     centres = rng.normal(0, 10, (4, 16))
     pts = np.vstack([c + rng.normal(0, 0.5, (40, 16)) for c in centres])
@@ -171,3 +165,39 @@ def test_knn_cluster_pruned_high_dim_exact(spark):
     np.fill_diagonal(D, np.inf)
     for q in range(len(pts)):
         assert [i for _, i in sorted(got[q])] == list(np.lexsort((np.arange(len(pts)), D[q]))[:k])
+
+
+@pytest.mark.parametrize("p", [1.0, 3.0, float("inf")])
+def test_knn_minkowski_with_ties(spark, p):
+    pts = np.array([[i % 7, i % 5] for i in range(60)], float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "id long, x array<double>")
+    got = {}
+    for r in sg.knn(df, df, "id", "x", 6, p=p, exclude_self=True).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["ref_id"]))
+    gap = np.abs(pts[:, None] - pts[None])
+    D = gap.max(axis=2) if np.isinf(p) else (gap ** p).sum(axis=2) ** (1 / p)
+    np.fill_diagonal(D, np.inf)
+    for q in range(60):
+        assert [i for _, i in sorted(got[q])] == list(np.lexsort((np.arange(60), D[q]))[:6])
+
+
+def test_dbscan_chain_is_one_cluster(spark):
+    """A chain longer than any number of rounds, and a dense cell beside it."""
+    pts = [(float(i), 0.0) for i in range(150)] + [(400 + 0.001 * i, 0.0) for i in range(60)]
+    df = spark.createDataFrame([(i, list(v)) for i, v in enumerate(pts)], "id long, x array<double>")
+    for eps in (1.0, 1.5):
+        got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=eps, min_samples=2, dims=2).collect()}
+        assert {got[i] for i in range(150)} == {0} and {got[i] for i in range(150, 210)} == {1}
+
+
+def test_dbscan_higher_dimension_and_p(spark):
+    rng = np.random.default_rng(5)
+    pts = np.vstack([rng.normal(c, 0.4, (30, 4)) for c in (0, 3, 6)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "id long, x array<double>")
+    got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=0.9, min_samples=4).collect()}
+    assert [got[i] for i in range(90)] == _dbscan_brute(pts, 0.9, 4)
+
+
+def test_cosine_of_zero_vector(spark):
+    df = spark.createDataFrame([([0.0, 0.0], [1.0, 0.0]), ([1.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
+    assert [r[0] for r in df.select(tm.cosine("a", "b")).collect()] == [None, 1.0]

@@ -24,7 +24,7 @@ def main():
     ent = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(ent)
     qs, sqls = ent.queries(), ent.oracle_sql()
-    spark = get_spark("local[8]", 8)
+    spark = get_spark("local[4]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     bad = 0
