@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from tadkit.session import scratch_path, ship_package, table  # noqa: F401
+from tadkit.session import drop_table, scratch_path, ship_package, table, written  # noqa: F401
 
 # Rows per Arrow batch handed to a Python worker.  Documents are long, so a
 # batch is kept small to bound a worker's memory.
@@ -15,23 +15,3 @@ def prepare(spark: SparkSession) -> None:
     """Make the package importable on executors and bound Arrow batches."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` to the shared folder and read it back.
-
-    Parquet in the folder of ``spark.checkpoint.dir`` survives the loss of
-    executors, and is read by column, unlike a checkpoint.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def forget(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`written`."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)

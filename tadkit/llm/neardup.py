@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tadkit.llm.bytetext import mix, shingle_sets
-from tadkit.llm.common import forget, prepare, written
+from tadkit.llm.common import drop_table, prepare, written
+from tadkit.operators.graph import components
 
 BINS = 1 << 20
 SPLIT = 256          # members compared in one slice of a pivot's group
@@ -122,40 +123,6 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return rows.mapInArrow(run, "pivot long, id long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, comp): the least id reachable, for each id of ``edges`` (a, b).
-
-    Alternates large-star and small-star steps (each a min by node and a join
-    back) until the edges no longer change; every component is then a star.
-    """
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        if not large:
-            both = both.where("b <= a")
-        low = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("low"))
-        out = both.join(low, "a")
-        out = out.where("b > a") if large else out
-        out = out.select(F.col("b").alias("a"), F.col("low").alias("b"))
-        if not large:
-            out = out.unionByName(low.select("a", F.col("low").alias("b")))
-        return out.where("a <> b").distinct()
-
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(),
-                  "edges")
-    mark = state(now)
-    while mark[0]:
-        new = written(star(star(now, True), False), "edges")
-        forget(now)
-        now, old, mark = new, mark, state(new)
-        if mark == old:
-            break
-    return now.select(F.col("a").alias("id"), F.col("b").alias("comp")) \
-        .unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("comp"))).distinct()
-
-
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 48, rows: int = 5,
                     seed: int = 11) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs``.
@@ -209,7 +176,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     links = star.unionByName(rest)
     comp = written(components(links), "comp")
     for df in (live, cast, texts, star, rest):
-        forget(df)
+        drop_table(df)
 
     joined = classes.join(comp, "id", "left").select("n", "d1", "d2", F.coalesce("comp", "id").alias("comp"))
     by_class = sig.select("doc_id", "n", "d1", "d2").join(joined, ["n", "d1", "d2"], "left")

@@ -133,4 +133,40 @@ select conv_id, count(*) as n_turns,
 from e group by conv_id
 """
 
-ORACLE: dict[str, str] = {"op2_mix_sources": _OP2, "op4_format_chats": _OP4}
+# Base32 of SHA-1: each five hexadecimal digits are four symbols.
+_OP3 = r"""
+with p as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, upper(sha1(coalesce(html, ''))) as hex from pages),
+d as (
+  select *, array_to_string(list_transform(generate_series(0, 31), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(hex, (i // 4 * 5 + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int + 1, 1)), '') as payload_digest
+  from p),
+f as (select *, min(page_id) over (partition by payload_digest, payload_bytes) as first from d)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to
+from f
+"""
+
+_OP9 = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as words
+  from documents),
+s as (
+  select distinct doc_id, array_to_string(words[i:i + 4], ' ') as shingle
+  from (select doc_id, words, unnest(generate_series(1, greatest(len(words) - 4, least(len(words), 1)))) as i from w)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+pair as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+link as (
+  select a, b from pair join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+edge as (select a, b from link union all select b, a from link),
+reach as (select doc_id, doc_id as seen from documents union select r.doc_id, e.b from reach r join edge e on e.a = r.seen),
+comp as (select doc_id, min(seen) as component_id from reach group by doc_id)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d left join n on n.doc_id = d.doc_id join comp on comp.doc_id = d.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op2_mix_sources": _OP2, "op3_warc_normalise": _OP3, "op4_format_chats": _OP4, "op9_minhash_near_dedup": _OP9}

@@ -108,3 +108,11 @@ def test_shingles_follow_the_definition(texts):
     import pyarrow as pa
     got = [len(s) for s in shingle_sets(pa.array(texts, pa.string()), 5)]
     assert got == [len(s) for s in sets_of(enumerate(texts)).values()]
+
+
+@pytest.mark.parametrize("name", ["op3_warc_normalise", "op9_minhash_near_dedup"])
+def test_against_sql(spark, name):
+    from tadkit.llm.queries import ORACLE, QUERIES
+    from tadkit.plans.verify import compare, duck
+    st_ = compare(spark, duck(SMALL), name, QUERIES[name], ORACLE[name], SMALL)
+    assert st_["status"].startswith("ok"), st_
