@@ -13,6 +13,7 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import count
 
 import numpy as np
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 
 from tadkit.llm.common import prepare, written
 
-CACHE_WORDS = 400_000        # words whose ids a worker remembers at most
+CACHE_WORDS = 1_000_000      # words whose ids a worker remembers at most
 CACHE_WORD_CHARS = 100       # longer ones are not remembered
+_MARK = "\ue000"             # stands between words that are encoded together
 
 
 class WordTokenizer:
@@ -39,28 +41,50 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
-        self._ids: dict[str, bytes] = {}
+        self._mark = np.array(self._ids_of([_MARK])[0], "<u4")
+        self._ids: dict[str, bytes] = {"": b""}
+
+    def _ids_of(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word.  Words are encoded in one text, a mark between
+        them; if the marks cannot be told from the words, one by one."""
+        ids = np.array(self._ids_of([f" {_MARK} ".join(words)])[0], "<u4")
+        m = len(self._mark)
+        at = np.lib.stride_tricks.sliding_window_view(ids, m) if len(ids) >= m else np.zeros((0, m), "<u4")
+        at = np.flatnonzero((at == self._mark).all(axis=1))
+        if len(at) != len(words) - 1 or any(_MARK in w for w in words):
+            return [np.array(i, "<u4").tobytes() for i in self._ids_of(words)]
+        raw = ids.tobytes()
+        starts, ends = [0, *(4 * (at + m)).tolist()], [*(4 * at).tolist(), len(raw)]
+        return [raw[a:b] for a, b in zip(starts, ends)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
         words = set().union(*split) if split else set()
-        new = [w for w in words if w not in self._ids]
+        new = words.difference(self._ids)
         if len(self._ids) + len(new) > CACHE_WORDS:
-            self._ids.clear()
-            new = list(words)
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            for w, e in zip(part, self._tok.encode_batch_fast(part, add_special_tokens=False)):
-                self._ids[w] = np.array(e.ids, "<u4").tobytes()
+            self._ids = {"": b""}
+            new = words
+        new = list(new)
+        for i in range(0, len(new), 2000):
+            self._ids.update(zip(new[i:i + 2000], self._encode_words(new[i:i + 2000])))
         get = self._ids.__getitem__
         out = [b"".join(map(get, ws)) for ws in split]
         for w in new:
             if len(w) > CACHE_WORD_CHARS:
-                self._ids.pop(w, None)
+                del self._ids[w]
         return out
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The worker's tokenizer, with what it remembers, for all its tasks."""
+    return WordTokenizer(path)
+
+
 class Packer:
     """Places pieces (doc, start, ids, doc_tokens) into windows of ``size`` tokens."""
 
@@ -194,7 +218,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, open_windows: int =
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         packer, number = Packer(size, open_windows, min_cut), count(part << 32)
-        words = WordTokenizer(tokenizer)
+        words = word_tokenizer(tokenizer)
         for batch in batches:
             closed = []
             ids = batch.column("doc_id").to_pylist()

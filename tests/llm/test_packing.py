@@ -63,7 +63,9 @@ def test_edge_cases(spark):
 @given(st.text(max_size=60))
 def test_words_give_the_ids_of_the_whole_text(text):
     want = np.array(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    assert WordTokenizer(PATH).encode([text])[0] == want
+    assert WordTokenizer(PATH).encode([text, text + " " + text])[0] == want
+    marked = WordTokenizer(PATH).encode(["\ue000 a\ue000 \ue000\ue000", "b"])
+    assert marked[0] == np.array(Tokenizer.from_file(PATH).encode("\ue000 a\ue000 \ue000\ue000", add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @settings(max_examples=60, deadline=None)
