@@ -10,6 +10,7 @@ a partition is merged with the leftovers of ``merge`` neighbouring partitions.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -34,7 +35,8 @@ class WordTokenizer:
 
     Words between blanks and line ends are encoded once and remembered, which
     gives the ids of the whole text: the tokenizer drops white space and
-    looks at nothing beyond it.
+    looks at nothing beyond it.  It also parts letters from the marks behind
+    them, so a word of letters and such marks is put together from both.
     """
 
     def __init__(self, path: str):
@@ -42,7 +44,14 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self._mark = np.array(self._ids_of([_MARK])[0], "<u4")
+        vocabulary = self._tok.get_vocab()
+        self._last = np.zeros(max(vocabulary.values()) + 1, bool)         # ids that end a run of letters
+        self._last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
         self._ids: dict[str, bytes] = {"": b""}
+        self._parts: dict[str, bytes] = {"": b""}
 
     def _ids_of(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -60,22 +69,46 @@ class WordTokenizer:
         starts, ends = [0, *(4 * (at + m)).tolist()], [*(4 * at).tolist(), len(raw)]
         return [raw[a:b] for a, b in zip(starts, ends)]
 
+    def _encode_letters(self, runs: list[str]) -> list[bytes]:
+        """Ids of each run of letters; each ends with an id that ends a run."""
+        ids = np.array(self._ids_of([" ".join(runs)])[0], "<u4")
+        ends = 4 * (np.flatnonzero(self._last[ids]) + 1)
+        if len(ends) != len(runs):                                        # letters that fold to something else
+            return self._encode_words(runs)
+        raw, ends = ids.tobytes(), ends.tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, words: list[str]) -> None:
+        simple, hard = [], []
+        for w in words:
+            run = w.rstrip(string.punctuation)
+            if run.isalpha():
+                simple.append((w, run.lower() if run.isascii() else run, w[len(run):]))
+            else:
+                hard.append(w)
+        for known, new, encode in ((self._parts, {r for _, r, _ in simple}, self._encode_letters),
+                                   (self._parts, {m for _, _, m in simple}, self._encode_words), (self._ids, hard, self._encode_words)):
+            new = [w for w in new if w not in known]
+            for i in range(0, len(new), 2000):
+                known.update(zip(new[i:i + 2000], encode(new[i:i + 2000])))
+        parts = self._parts
+        self._ids.update((w, parts[run] + parts[marks]) for w, run, marks in simple)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
         words = set().union(*split) if split else set()
         new = words.difference(self._ids)
         if len(self._ids) + len(new) > CACHE_WORDS:
-            self._ids = {"": b""}
-            new = words
-        new = list(new)
-        for i in range(0, len(new), 2000):
-            self._ids.update(zip(new[i:i + 2000], self._encode_words(new[i:i + 2000])))
+            self._forget()
+            new = words.difference(self._ids)
+        self._learn(list(new))
         get = self._ids.__getitem__
         out = [b"".join(map(get, ws)) for ws in split]
         for w in new:
             if len(w) > CACHE_WORD_CHARS:
-                del self._ids[w]
+                self._ids.pop(w, None)
+                self._parts.pop(w, None)
         return out
 
 

@@ -59,8 +59,12 @@ def test_edge_cases(spark):
     assert pack(d, PATH, with_ids=True).where("ids is null").count() == 0
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(max_size=60))
+WORDS = st.lists(st.sampled_from(["Word", "İstanbul", "ΣΑΣ", "straße", "e\u0301te\u0301", "it's", "don't'", "'s", "a--", "1a", "x²", "<|endoftext|>", "\u3000", "\x1c",
+                                  "ﬁn", "!!", "日本語", "\ue000", "end.", "\"q\"", "ǅ", "\u0301a"]), max_size=12).map(" ".join)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60) | WORDS)
 def test_words_give_the_ids_of_the_whole_text(text):
     want = np.array(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert WordTokenizer(PATH).encode([text, text + " " + text])[0] == want
