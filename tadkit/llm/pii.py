@@ -31,7 +31,7 @@ KINDS = {
     "card": _EDGE + r"[0-9](?:[ -]?[0-9]){12,18}" + _STOP,
 }
 ANY = "|".join(KINDS.values())
-_HINT = r"@|[0-9]{2}"           # every candidate holds one of these
+_HINT = r"@|[0-9]{2}|[=:]\s?[\"']"      # every candidate holds one of these
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -228,7 +228,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     * Null texts stay null, with an empty list; empty texts stay empty.
     * Candidates that fail their validation stay as they are.
-    * Whole texts are searched; texts without any digit pair or @ are passed on.
+    * Whole texts are searched; texts without digit pair, @ or quoted value are passed on.
     * Rows are independent: repeated rows get the same result.
     * Other columns are kept; a column named pii_found is replaced.
     """

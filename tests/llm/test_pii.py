@@ -73,6 +73,12 @@ def test_another_key_gives_other_pseudonyms(spark):
     assert pseudonymise(d, "a").first().text != pseudonymise(d, "b").first().text == pseudonymise(d, "b").first().text
 
 
+def test_secret_without_digits(spark):
+    d = spark.createDataFrame([(1, "password='abcdefabcdefabcdefab'")], "doc_id long, text string")
+    r = pseudonymise(d, KEY).first()
+    assert len(r.pii_found) == 1 and re.fullmatch("password='[0-9a-f]{20}'", r.text)
+
+
 def test_luhn_sum(spark):
     d = spark.createDataFrame([("79927398713",), ("4111111111111112",)], "s string").select(luhn_sum(F.col("s")).alias("x")).collect()
     assert [r.x % 10 for r in d] == [0, 1]
