@@ -281,6 +281,16 @@ def f7_temporal(spark, d):
     return fr.temporal_split(o, "o_orderdate", 0.2, tie=["o_orderkey"]).select("o_orderkey", "sample")
 
 
+@query("f7_last_periods_split", """
+WITH m AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders ORDER BY m DESC LIMIT 3)
+SELECT o_orderkey, CASE WHEN CAST(date_trunc('month', o_orderdate) AS DATE) >= (SELECT min(m) FROM m) THEN 'test' ELSE 'train' END AS sample
+FROM orders""")
+def f7_periods(spark, d):
+    """The last three months are test."""
+    o = Tables(spark, d).orders.select("o_orderkey", F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"))
+    return fr.last_periods_split(o, "month", 3).select("o_orderkey", "sample")
+
+
 @query("f9_fixed_column_order", "SELECT o_orderdate, o_orderkey, o_totalprice, o_custkey FROM orders")
 def f9_order(spark, d):
     return Tables(spark, d).orders.select("o_orderdate", "o_orderkey", "o_totalprice", "o_custkey")

@@ -80,12 +80,15 @@ def m3_logit(spark, d):
 
 @query("m4_linear_classifier_penalty_search")
 def m4_sgd(spark, d):
-    """Hinge (LinearSVC) and log loss (logistic) with a regularisation grid."""
+    """Hinge (LinearSVC) over the strength of its penalty, log loss (logistic)
+    over the strength and the kind: l2, elastic net, l1."""
     x = md.with_features(_orders_xy(spark, d), _OX).cache()
     ev = BinaryClassificationEvaluator(labelCol="label")
     out = None
-    for name, est in [("hinge", md.linear_svm(maxIter=10)), ("log", LogisticRegression(maxIter=10))]:
-        cv = md.grid_search(est, {est.regParam: [0.01, 0.1]}, ev, folds=2).fit(x)
+    svm, logit = md.linear_svm(maxIter=10), LogisticRegression(maxIter=10)
+    for name, est, grid in [("hinge", svm, {svm.regParam: [0.01, 0.1]}),
+                            ("log", logit, {logit.regParam: [0.01, 0.1], logit.elasticNetParam: [0.0, 0.5, 1.0]})]:
+        cv = md.grid_search(est, grid, ev, folds=2).fit(x)
         t = md.cv_table(spark, cv).withColumn("loss", F.lit(name))
         out = t if out is None else out.unionByName(t)
     return out
@@ -112,8 +115,19 @@ def m6_lda(spark, d):
 def m7_tree(spark, d):
     x = md.with_features(_orders_xy(spark, d), _OX)
     m = md.tree(max_depth=4).fit(x)
-    rows = md.coefficient_table(m, _OX) + [("rules_lines", float(len(m.toDebugString.splitlines())))]
-    return spark.createDataFrame(rows, "feature string, value double")
+    return spark.createDataFrame(md.coefficient_table(m, _OX), "feature string, value double")
+
+
+@query("m7_decision_tree_rules")
+def m7_rules(spark, d):
+    """The tree's rules, a row a line, with the features' names."""
+    x = md.with_features(_orders_xy(spark, d), _OX)
+    text = md.tree(max_depth=4).fit(x).toDebugString
+    for i, name in enumerate(_OX):
+        text = text.replace(f"feature {i} ", f"{name} ")
+    lines = [line for line in text.splitlines()[1:] if line.strip()]
+    return spark.createDataFrame([(i, len(line) - len(line.lstrip()), line.strip()) for i, line in enumerate(lines)],
+                                 "line int, depth int, rule string")
 
 
 @query("m8_random_forest")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tadkit.operators import aggregate as ag
@@ -67,6 +68,14 @@ def n4_gmm(spark, d):
     return sg.gmm_table(spark, _principal(_emb(spark, d)).select("features"), "features", [2, 3, 4])
 
 
+@query("n4_mixture_membership")
+def n4_membership(spark, d):
+    """Probability of each component for each row."""
+    e = _principal(_emb(spark, d))
+    m = GaussianMixture(k=3, seed=42, featuresCol="features").fit(e)
+    return m.transform(e).select("vec_id", F.posexplode(vector_to_array("probability")).alias("component", "probability"))
+
+
 @query("n5_mixture_outlier_filter")
 def n5_outliers(spark, d):
     """Rows of mixture components holding < 5% of rows are dropped."""
@@ -124,7 +133,6 @@ def n10_recluster(spark, d):
 def n11_warm(spark, d):
     """Mixture labels, then ANOVA F of every feature across them (k best)."""
     e = _principal(_emb(spark, d))
-    from pyspark.ml.clustering import GaussianMixture
     lab = GaussianMixture(k=4, seed=1, featuresCol="features", predictionCol="seg").fit(e).transform(e)
     lab = written(lab.select("seg", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(_DIMS)]), "labelled")
     scores = st.anova_f(lab, "seg", [f"e{i}" for i in range(_DIMS)])

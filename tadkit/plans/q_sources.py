@@ -60,6 +60,17 @@ def a4_catalog(spark, d):
     return fs.read_catalog(spark, path, "nation")
 
 
+@query("a4_json_code_map", """
+SELECT CAST(n_nationkey AS VARCHAR) AS key, n_name AS value FROM nation""")
+def a4_codes(spark, d):
+    """``{column: {code: label}}`` read as a lookup of one column."""
+    path = scratch_path(spark, "a4map")
+    n = Tables(spark, d).nation
+    pairs = F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey").cast("string"), F.col("n_name"))))
+    n.agg(pairs.alias("nation")).coalesce(1).write.json(path)
+    return fs.read_code_map(spark, path, "nation")
+
+
 @query("a5_glob_scan_name_from_path", "SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1")
 def a5_glob(spark, d):
     path = scratch_path(spark, "a5")

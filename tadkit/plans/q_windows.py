@@ -37,6 +37,28 @@ def e2_top_k_packed(spark, d):
     return p.select("nation", "yr", F.array_join(txt, "|").alias("top3"))
 
 
+_YEARS = range(1992, 1999)
+
+
+@query("e2_top_k_packed_by_period_columns", """
+WITH c AS (SELECT s_nationkey AS nation, year(l_shipdate) AS yr, l_partkey, count(*) AS n
+           FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY nation, yr ORDER BY n DESC, l_partkey) AS rk FROM c)
+SELECT nation, """ + ", ".join(
+    f"coalesce(string_agg(l_partkey || ':' || n, '|' ORDER BY rk) FILTER (WHERE yr = {y}), '') AS top_{y}" for y in _YEARS)
+    + " FROM r WHERE rk <= 3 GROUP BY nation")
+def e2_by_period(spark, d):
+    """The packed top three, the periods as columns."""
+    t = Tables(spark, d)
+    x = t.lineitem.join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("nation")), "l_suppkey")
+    c = x.groupBy("nation", F.year("l_shipdate").alias("yr"), "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    r = wn.top_k(c, ["nation", "yr"], [F.col("n").desc(), F.col("l_partkey")], 3, salt_cols=["l_partkey"])
+    item = F.struct("rank", F.concat_ws(":", F.col("l_partkey").cast("string"), F.col("n").cast("string")).alias("item"))
+    packed = r.groupBy("nation").agg(*[F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("yr") == y, item))),
+                                                                lambda s: s["item"]), "|").alias(f"top_{y}") for y in _YEARS])
+    return packed
+
+
 @query("e3_running_sum_share", """
 SELECT o_orderkey,
   CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey

@@ -60,3 +60,16 @@ def test_dbscan_sweep_has_fewer_noise_rows_with_larger_eps(spark, entry_module):
     got = {(r.eps, r.p): r for r in rows_of(spark, entry_module, "n8_dbscan_sweep")}
     for p in (1.0, 2.0):
         assert got[(0.35, p)].noise <= got[(0.2, p)].noise
+
+
+def test_membership_sums_to_one(spark, entry_module):
+    total = {}
+    for r in rows_of(spark, entry_module, "n4_mixture_membership"):
+        total[r.vec_id] = total.get(r.vec_id, 0) + r.probability
+    assert all(abs(v - 1) < 1e-6 for v in total.values())
+
+
+def test_tree_rules_name_their_features(spark, entry_module):
+    rules = [r.rule for r in rows_of(spark, entry_module, "m7_decision_tree_rules")]
+    assert any("price" in r or "year" in r for r in rules) and not any("feature" in r for r in rules)
+    assert any(r.startswith("Predict") for r in rules)
