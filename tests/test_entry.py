@@ -15,4 +15,6 @@ def test_registry_names(entry_module):
     assert len(qs) >= 200
     for name in qs:
         prefix = name.split("_")[0]
+        if name == "pipeline" or (prefix.startswith("op") and prefix[2:].isdigit()):
+            continue                                     # of the training-data subpackage
         assert prefix[0] in "abcdefghijklmno" and prefix[1:].isdigit(), name
