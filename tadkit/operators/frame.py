@@ -10,7 +10,6 @@ per-class threshold instead of sorting each class in one task.
 from __future__ import annotations
 
 import functools
-import math
 import re
 from collections.abc import Sequence
 

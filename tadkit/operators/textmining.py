@@ -11,18 +11,13 @@ of joining tables pairwise.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import CountVectorizer, Word2Vec
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tadkit.functions.text import tokenize
 from tadkit.operators.frame import add_row_id
-from tadkit.operators.segment import distance
 
 
 def _c(x) -> Column:
