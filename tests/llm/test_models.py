@@ -8,7 +8,7 @@ import pytest
 
 from tadkit.llm.ann import balanced_parts, best_of_block, nearest, neighbour_graph
 from tadkit.llm.quality import AttentionModel, FEATURES, drop_low_quality, passages, quality_scores, score_quality
-from tadkit.llm.toxicity import fit_ordinal, score_toxicity, toxicity
+from tadkit.llm.toxicity import fit_ordinal, toxicity
 
 MID = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
