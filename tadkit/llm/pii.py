@@ -21,7 +21,8 @@ _LETTERS, _LETTERS36 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop
 
 # Patterns of candidates, the most specific first.
 KINDS = {
-    "email": r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}",
+    # Labels are given back one by one (a full stop may end the sentence), 126 of them at most.
+    "email": r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}",
     "secret": r"(?i:token|secret|api_?key|password)\s?[=:]\s?[\"'][0-9A-Fa-f]{16,}[\"']",
     "iban": _EDGE + r"[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}" + _STOP,
     "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}" + _STOP,

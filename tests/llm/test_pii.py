@@ -56,6 +56,20 @@ def test_kinds(spark):
     assert re.fullmatch(r'token = "[0-9a-f]{40}"', new[11])
 
 
+VALUES = ["4111 1111 1111 1111", "378282246310005", "+1 (017) 555-7713", "und.34@mail7.example.com", "1.2.3.254", "2020-02-29", "01/02/1950",
+          "123-45-6789", "DE89370400440532013000", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"']
+
+
+def test_values_at_the_end_of_a_sentence(spark):
+    ends = ["", ".", "...", "!", "?", ",", ". Thanks", ")", "\n"]
+    rows = [(f"Write to {v}{e}", v, e) for v in VALUES for e in ends]
+    got = pseudonymise(spark.createDataFrame(rows, "text string, v string, e string"), KEY).collect()
+    for r in got:
+        assert [f.old for f in r.pii_found] == [r.v] and r.text == f"Write to {r.pii_found[0].new}{r.e}"
+    labels = "x@" + "a." * 20_000
+    assert pseudonymise(spark.createDataFrame([(labels,)], "text string"), KEY).first().text == labels
+
+
 def test_edge_cases(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "4111111111111111", None), (3, "4111111111111111", None), (4, "x " * 100_000 + "4111111111111111", "c"),
             (5, "A.B1@C.COM a.b1@c.com", "d")]
