@@ -19,20 +19,25 @@ ROUNDS = 8
 _EDGE, _STOP = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 _LETTERS, _LETTERS36 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop"
 
-# Patterns of candidates, the most specific first.
-KINDS = {
+# Searches, in turn: kind, what stands before, a candidate, what stands behind,
+# and whether candidates may overlap.  Each sees what those before it have left, so
+# a candidate that fails its validation hides nothing from the others.
+SEARCHES = [
     # Labels are given back one by one (a full stop may end the sentence), 126 of them at most.
-    "email": r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}",
-    "secret": r"(?i:token|secret|api_?key|password)\s?[=:]\s?[\"'][0-9A-Fa-f]{16,}[\"']",
-    "iban": _EDGE + r"[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}" + _STOP,
-    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}" + _STOP,
-    "ssn": _EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _STOP,
-    "date": _EDGE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})" + _STOP,
-    "ip": _EDGE + r"(?<![0-9]\.)[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9A-Za-z])",
-    "card": _EDGE + r"[0-9](?:[ -]?[0-9]){12,18}" + _STOP,
-}
-ANY = "|".join(KINDS.values())
-_HINT = r"@|[0-9]{2}|[=:]\s?[\"']"      # every candidate holds one of these
+    ("email", r"(?<![A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}", "", False),
+    ("secret", "", r"(?i:token|secret|api_?key|password)\s?[=:]\s?[\"'][0-9A-Fa-f]{16,}[\"']", "", False),
+    ("iban", _EDGE, r"[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}", _STOP, False),
+    ("phone", "", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", _STOP, False),
+    ("ssn", _EDGE, r"[0-9]{3}-[0-9]{2}-[0-9]{4}", _STOP, False),
+    ("date", _EDGE, r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})", _STOP, False),
+    ("ip", _EDGE + r"(?<![0-9]\.)", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", r"(?!\.?[0-9A-Za-z])", False),
+    # Cards as they are printed, at every group of a row of numbers; then other groupings, from the left.
+    ("card", _EDGE, r"(?:[0-9]{13,19}|[0-9]{4}(?<s>[ -])(?:[0-9]{4}\k<s>[0-9]{4}\k<s>[0-9]{4}|[0-9]{6}\k<s>[0-9]{4,5}"
+                    r"|[0-9]{3}\k<s>[0-9]{3}\k<s>[0-9]{3}))", _STOP, True),
+    ("card", _EDGE, r"[0-9](?:[ -]?[0-9]){12,18}", _STOP, False),
+]
+ANY = "|".join(before + candidate + behind for _, before, candidate, behind, _ in SEARCHES)
+_HINT = r"@|[0-9][ -]?[0-9]|[=:]\s?[\"']"      # every candidate holds one of these
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -208,19 +213,28 @@ _MAKERS = {"email": _email, "secret": _secret, "iban": _iban, "phone": _phone, "
            "card": _card}
 
 
-def _kind(m: Column) -> Column:
-    c = None
-    for name, pattern in KINDS.items():
-        test = m.rlike(rf"\A(?:{pattern})\z")
-        c = F.when(test, name) if c is None else c.when(test, name)
-    return c
+def _part(old: Column, kind: Column, new: Column) -> Column:
+    return F.struct(kind.cast("string").alias("kind"), old.alias("old"), new.alias("new"))
 
 
-def _made(old: Column, kind: Column, key: str) -> Column:
-    c = None
-    for name, make in _MAKERS.items():
-        c = F.when(kind == name, make(old, key)) if c is None else c.when(kind == name, make(old, key))
-    return c
+def _search(parts: Column, search: tuple, key: str) -> Column:
+    """Parts (kind, old, new) of a text, those without a kind cut further at what ``search`` finds valid."""
+    kind, before, candidate, behind, overlap = search
+    make = _MAKERS[kind]
+
+    def part(p: Column) -> Column:
+        found = F.regexp_extract_all(p["old"], F.lit(f"{before}(?=({candidate}){behind})" if overlap else f"{before}({candidate}){behind}"), F.lit(1))
+        valid = F.filter(F.array_distinct(found), lambda c: make(c, key) != c)
+
+        def cut(values: Column) -> Column:
+            exact = F.concat(F.lit(rf"{before}(?:\Q"), F.array_join(values, r"\E|\Q"), F.lit(rf"\E){behind}"))
+            gaps = F.transform(F.split(p["old"], exact, -1), lambda g: _part(g, F.lit(None), g))
+            hits = F.transform(F.regexp_extract_all(p["old"], exact, F.lit(0)), lambda m: _part(m, F.lit(kind), make(m, key)))
+            return F.filter(F.flatten(F.zip_with(gaps, hits, lambda g, h: F.array(g, h))), lambda x: x.isNotNull())
+        longest = F.array_sort(valid, lambda a, b: F.length(b) - F.length(a))
+        return F.when(p["kind"].isNotNull(), F.array(p)).otherwise(
+            let(longest, lambda values: F.when(F.size(values) > 0, cut(values)).otherwise(F.array(p))))
+    return F.flatten(F.transform(parts, part))
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -228,19 +242,15 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     new) of what was changed, in order of place.
 
     * Null texts stay null, with an empty list; empty texts stay empty.
-    * Candidates that fail their validation stay as they are.
+    * Candidates that fail their validation stay as they are, and are searched for other values.
     * Whole texts are searched; texts without digit pair, @ or quoted value are passed on.
     * Rows are independent: repeated rows get the same result.
     * Other columns are kept; a column named pii_found is replaced.
     """
     t = F.col(text)
-    kinds = F.transform(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("old"), _kind(m).alias("kind")))
-    found = F.transform(kinds, lambda m: F.struct(m["kind"].alias("kind"), m["old"].alias("old"), _made(m["old"], m["kind"], key).alias("new")))
-
-    def put(ms: Column) -> Column:
-        new = F.concat(F.transform(ms, lambda m: m["new"]), F.array(F.lit("")))
-        joined = F.array_join(F.zip_with(F.split(t, ANY, -1), new, lambda a, b: F.concat(a, b)), "")
-        return F.struct(joined.alias("text"), F.filter(ms, lambda m: m["old"] != m["new"]).alias("found"))
-    none = F.struct(t.alias("text"), F.array().cast("array<struct<kind:string,old:string,new:string>>").alias("found"))
-    d = docs.withColumn("_pii", F.when(t.rlike(_HINT) & t.rlike(ANY), let(found, put)).otherwise(none))
-    return d.withColumns({text: F.col("_pii.text"), "pii_found": F.col("_pii.found")}).drop("_pii")
+    d = docs.withColumn("_pii", F.when(t.rlike(_HINT) & t.rlike(ANY), F.array(_part(t, F.lit(None), t))).otherwise(F.array()))
+    for search in SEARCHES:                     # columns of their own: one nested expression has too many lambdas for the analyzer
+        d = d.withColumn("_pii", _search(F.col("_pii"), search, key))
+    parts = F.col("_pii")
+    return d.withColumns({text: F.when(F.size(parts) == 0, t).otherwise(F.array_join(F.transform(parts, lambda p: p["new"]), "")),
+                          "pii_found": F.filter(parts, lambda p: p["kind"].isNotNull())}).drop("_pii")

@@ -70,6 +70,28 @@ def test_values_at_the_end_of_a_sentence(spark):
     assert pseudonymise(spark.createDataFrame([(labels,)], "text string"), KEY).first().text == labels
 
 
+def check_found(spark, cases):
+    """Each text with the values that must be found in it, in order; all the rest must stay."""
+    got = pseudonymise(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, text string"), KEY).collect()
+    for r in got:
+        text, values = cases[r.i]
+        assert [f.old for f in r.pii_found] == values, (text, r.pii_found)
+        for f in r.pii_found:
+            assert f.new != f.old and (f.kind != "card" or luhn(f.new))
+            text = text.replace(f.old, f.new, 1)
+        assert r.text == text
+
+
+def test_values_beside_other_numbers(spark):
+    card, amex, plain = "4111 1111 1111 1111", "3782-822463-10005", "4111111111111111"
+    check_found(spark, [
+        (f"{card} 123", [card]), (f"order 12 {card}", [card]), (f"12 {card} 34", [card]), (f"1234 5678 {card} 5678 99", [card]),
+        (f"{plain} 01/02/1950", [plain, "01/02/1950"]), (f"{plain} 10.0.0.1", [plain, "10.0.0.1"]),
+        (f"{plain} 123-45-6789 {amex}-12", [plain, "123-45-6789", amex]), (f"7 {amex} 2020-02-29 8", [amex, "2020-02-29"]),
+        (f"{plain} 378282246310005 1", [plain, "378282246310005"]), (f"99.99.2020 {plain} 1.2.3.256", [plain]),
+        ("411111 1111111111", ["411111 1111111111"]), (f"a@b.example, {card}, a@b.example.org", ["a@b.example", card, "a@b.example.org"])])
+
+
 def test_edge_cases(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "4111111111111111", None), (3, "4111111111111111", None), (4, "x " * 100_000 + "4111111111111111", "c"),
             (5, "A.B1@C.COM a.b1@c.com", "d")]
