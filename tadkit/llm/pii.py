@@ -5,7 +5,7 @@ ranges, calendar dates) and replaced by a keyed permutation of their own
 format: letters stay letters, digits digits, valid numbers valid numbers and
 dates dates.  The permutation depends on the key and the kind alone, so equal
 values get equal pseudonyms in every document, and different values different
-ones.  DataFrame functions only.
+ones.  What is not searched for is listed in the README.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 _EDGE, _STOP = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+_GAP = r"(?:[ ./-]?\(|\)[ ./-]?|[ ./-])?"             # what may stand between two digits of a phone number
 _LETTERS, _LETTERS36 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop"
 
 # Searches, in turn: kind, what stands before, a candidate, what stands behind,
@@ -26,18 +27,25 @@ SEARCHES = [
     # Labels are given back one by one (a full stop may end the sentence), 126 of them at most.
     ("email", r"(?<![A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}", "", False),
     ("secret", "", r"(?i:token|secret|api_?key|password)\s?[=:]\s?[\"'][0-9A-Fa-f]{16,}[\"']", "", False),
-    ("iban", _EDGE, r"[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}", _STOP, False),
+    ("iban", _EDGE, r"[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?)", _STOP, True),
     ("phone", "", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", _STOP, False),
     ("ssn", _EDGE, r"[0-9]{3}-[0-9]{2}-[0-9]{4}", _STOP, False),
-    ("date", _EDGE, r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})", _STOP, False),
+    ("date", _EDGE, r"[0-9]{4}-[0-9]{2}-[0-9]{2}", r"(?![0-9A-SU-Za-z]|T(?![0-9]{2}))", False),
+    ("date", _EDGE, r"[0-9]{2}[./][0-9]{2}[./][0-9]{4}", _STOP, False),
     ("ip", _EDGE + r"(?<![0-9]\.)", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", r"(?!\.?[0-9A-Za-z])", False),
-    # Cards as they are printed, at every group of a row of numbers; then other groupings, from the left.
+    # Cards as they are printed, at every group of a row of numbers.
     ("card", _EDGE, r"(?:[0-9]{13,19}|[0-9]{4}(?<s>[ -])(?:[0-9]{4}\k<s>[0-9]{4}\k<s>[0-9]{4}|[0-9]{6}\k<s>[0-9]{4,5}"
                     r"|[0-9]{3}\k<s>[0-9]{3}\k<s>[0-9]{3}))", _STOP, True),
+    # Phones in other groupings, then national ones: 3-3-4 and those with a leading 0, which look like no date or address.
+    ("phone", "", r"\+[0-9](?:" + _GAP + r"[0-9]){6,14}", _STOP, False),
+    ("phone", _EDGE, r"(?:1[ .-])?(?:\(?[0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}", _STOP, False),
+    ("phone", _EDGE + r"(?<![0-9][ ./-])(?![0-9]{2}[./-][0-9]{2}[./-][0-9]{2,4}" + _STOP + r"|[0-9]+(?:\.[0-9]+){3})",
+     r"\(?0[1-9][0-9]{0,3}(?:\) ?|[ ./-])[0-9](?:[ ./-]?[0-9]){4,11}", _STOP, False),
+    # Cards in other groupings, from the left.
     ("card", _EDGE, r"[0-9](?:[ -]?[0-9]){12,18}", _STOP, False),
 ]
 ANY = "|".join(before + candidate + behind for _, before, candidate, behind, _ in SEARCHES)
-_HINT = r"@|[0-9][ -]?[0-9]|[=:]\s?[\"']"      # every candidate holds one of these
+_HINT = r"@|[0-9][ ./()-]{0,2}[0-9]|[=:]\s?[\"']"      # every candidate holds one of these
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -142,12 +150,23 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(text: Column, key: str) -> Column:
-    land, body = F.substring(text, 1, 2), F.substring(text, F.lit(5), F.length(text))
+    """Blanks between the groups stay."""
+    def filled(plain: Column) -> Column:
+        land, body = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
 
-    def made(new: Column) -> Column:
-        return F.concat(land, F.lpad((98 - _mod97(F.concat(new, land, F.lit("00")))).cast("string"), 2, "0"), new)
-    valid = _mod97(F.concat(body, land, F.substring(text, 3, 2))) == 1
-    return F.when(valid, let(permute_digits(body, key, "iban"), made)).otherwise(text)
+        def made(new: Column) -> Column:
+            return F.concat(land, F.lpad((98 - _mod97(F.concat(new, land, F.lit("00")))).cast("string"), 2, "0"), new)
+        valid = _mod97(F.concat(body, land, F.substring(plain, 3, 2))) == 1
+        return F.when(valid, refill(text, "0-9A-Z", let(permute_digits(body, key, "iban"), made))).otherwise(text)
+    return let(F.replace(text, F.lit(" "), F.lit("")), filled)
+
+
+def _beginnings(text: Column) -> Column:
+    """The beginnings of a grouped candidate that end with a group and have an IBAN's length."""
+    def all_of(groups: Column) -> Column:
+        made = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda n: F.array_join(F.slice(groups, F.lit(1), n), " "))
+        return F.filter(made, lambda m: F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34))
+    return let(F.split(text, " "), all_of)
 
 
 def _ssn(text: Column, key: str) -> Column:
@@ -171,9 +190,30 @@ def _ip(text: Column, key: str) -> Column:
     return let(F.transform(F.split(text, r"\."), lambda x: x.cast("int")), made)
 
 
+def _month_first(text: Column, key: str) -> Column:
+    """Dates MM/dd of 1900 to 2099 that cannot be dd/MM (days 13 to 31), permuted
+    among themselves, so none meets a pseudonym written dd/MM: pairs (month,
+    day) are permuted until the day exists."""
+    sep, month, day, year = (F.substring(text, 3, 1), *[F.substring(text, i, n).try_cast("int") for i, n in ((1, 2), (4, 2), (7, 4))])
+
+    def shown(s: Column) -> Column:
+        return F.format_string("%04d-%02d-%02d", F.floor(s["a"] / 12) + 1900, s["a"] % 12 + 1, s["b"] + 13)
+
+    def step(s: Column, i: Column) -> Column:
+        there = (i > 1) & F.try_to_date(shown(s), "yyyy-MM-dd").isNotNull()
+        return F.when(there, s).otherwise(feistel(s["a"], s["b"], F.lit(2400), F.lit(19), key, F.lit("date-month-first")))
+    valid = year.between(1900, 2099) & (day > 12) & F.try_to_date(
+        F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 1, 2), F.substring(text, 4, 2)), "yyyy-MM-dd").isNotNull()
+    start = F.struct(((year - 1900) * 12 + month - 1).cast("long").alias("a"), (day - 13).cast("long").alias("b"))
+    got = let(F.aggregate(F.sequence(F.lit(1), F.lit(64)), start, step), shown)      # a day is missing 1 time in 30
+    new = let(got, lambda d: F.concat(F.substring(d, 6, 2), sep, F.substring(d, 9, 2), sep, F.substring(d, 1, 4)))
+    return F.when(valid, new).otherwise(text)
+
+
 def _date(text: Column, key: str) -> Column:
     """Days are permuted within 365 * 200 days from 1900-01-01; the order of
-    year, month and day and the separators stay."""
+    year, month and day and the separators stay.  What is no date dd/MM may be
+    one MM/dd."""
     iso, sep, days = text.rlike(r"\A[0-9]{4}-"), F.substring(text, 3, 1), 365 * 200
     ymd = F.when(iso, text).otherwise(F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)))
     epoch = F.lit("1900-01-01").cast("date")
@@ -183,7 +223,7 @@ def _date(text: Column, key: str) -> Column:
         day = let(got, lambda g: F.date_add(epoch, (g["a"] * 200 + g["b"]).cast("int")))
         new = let(day, lambda d: F.when(iso, F.date_format(d, "yyyy-MM-dd")).otherwise(
             F.concat(F.date_format(d, "dd"), sep, F.date_format(d, "MM"), sep, F.date_format(d, "yyyy"))))
-        return F.when(n.between(0, days - 1), new).otherwise(text)
+        return F.when(n.between(0, days - 1), new).when(iso, text).otherwise(_month_first(text, key))
     return let(F.datediff(F.try_to_date(ymd, "yyyy-MM-dd"), epoch), made)
 
 
@@ -205,7 +245,7 @@ def _secret(text: Column, key: str) -> Column:
 
 def _phone(text: Column, key: str) -> Column:
     """The country code stays."""
-    code = F.regexp_extract(text, r"\A\+[0-9]{1,3}(?=[ .(-])", 0)
+    code = F.regexp_extract(text, r"\A\+[0-9]{1,3}(?=[ ./(-])", 0)
     return F.concat(code, permute_digits(F.substring(text, F.length(code) + 1, F.length(text)), key, "phone"))
 
 
@@ -224,6 +264,7 @@ def _search(parts: Column, search: tuple, key: str) -> Column:
 
     def part(p: Column) -> Column:
         found = F.regexp_extract_all(p["old"], F.lit(f"{before}(?=({candidate}){behind})" if overlap else f"{before}({candidate}){behind}"), F.lit(1))
+        found = F.flatten(F.transform(found, _beginnings)) if kind == "iban" else found
         valid = F.filter(F.array_distinct(found), lambda c: make(c, key) != c)
 
         def cut(values: Column) -> Column:

@@ -92,6 +92,36 @@ def test_values_beside_other_numbers(spark):
         ("411111 1111111111", ["411111 1111111111"]), (f"a@b.example, {card}, a@b.example.org", ["a@b.example", card, "a@b.example.org"])])
 
 
+def test_printed_forms(spark):
+    iban, card = "DE89 3704 0044 0532 0130 00", "4111 1111 1111 1111"
+    phones = ["+33 1 23 45 67 89", "+44 (0)20 7946 0958", "+49 151 2345 67890", "+33612345678", "555-123-4567", "(555) 123-4567",
+              "1-555-123-4567", "01 23 45 67 89", "030/1234567", "(020) 7946 0958"]
+    check_found(spark, [(f"call {p}, ok", [p]) for p in phones] + [
+        (f"pay {iban}.", [iban]), (f"{iban} {card}", [iban, card]), (f"{iban} 1234 NL91 ABNA 0417 1643 00 EUR", [iban, "NL91 ABNA 0417 1643 00"]),
+        ("DE89370400440532013000", ["DE89370400440532013000"]), ("NO93 8601 1117 947", ["NO93 8601 1117 947"]),
+        ("at 2020-02-29T10:00:00Z", ["2020-02-29"]), ("12/25/1990 and 25/12/1990", ["12/25/1990", "25/12/1990"]), ("02.29.2020", ["02.29.2020"]),
+        (f"+1 017 555 7713 {card}", ["+1 017 555 7713", card]), (f"+33 1 23 45 67 89, {card}", ["+33 1 23 45 67 89", card]),
+        ("DE00 3704 0044 0532 0130 00", []), ("02/30/2020 13/13/2020 2020-02-29Tea 2020-02-29x", []), ("2.3.4 05.99.2020 1234567 01.02.03.999", [])])
+
+
+def test_printed_forms_stay_valid_and_linked(spark):
+    rows = [("DE89 3704 0044 0532 0130 00",), ("DE89370400440532013000",), ("555-123-4567",), ("+1 555 123 4567",)]
+    got = {r.v: r.text for r in pseudonymise(spark.createDataFrame(rows, "text string").selectExpr("text", "text as v"), KEY).collect()}
+    grouped, plain, national, foreign = (got[r[0]] for r in rows)
+    assert grouped.replace(" ", "") == plain and re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", grouped)
+    assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert foreign == "+1 " + national.replace("-", " ")
+
+
+def test_month_first_dates_are_permuted_among_themselves(spark):
+    days = [datetime.date(1995, 1, 1) + datetime.timedelta(i) for i in range(1500)]
+    rows = [(d.strftime(f),) for d in days for f in ("%m/%d/%Y", "%d/%m/%Y") if f == "%d/%m/%Y" or d.day > 12]
+    got = [r.text for r in pseudonymise(spark.createDataFrame(rows, "text string").selectExpr("text", "text as v"), KEY).collect()]
+    assert len(set(got)) == len(rows) == len(set(rows)) and sum(old == new for (old,), new in zip(rows, got)) < 5
+    for (old,), new in zip(rows, got):
+        assert datetime.datetime.strptime(new, "%m/%d/%Y" if int(old[3:5]) > 12 else "%d/%m/%Y") and (int(old[3:5]) > 12) == (int(new[3:5]) > 12)
+
+
 def test_edge_cases(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "4111111111111111", None), (3, "4111111111111111", None), (4, "x " * 100_000 + "4111111111111111", "c"),
             (5, "A.B1@C.COM a.b1@c.com", "d")]
