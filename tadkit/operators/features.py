@@ -178,11 +178,11 @@ def undersample(df: DataFrame, label: str, seed: int = 42) -> DataFrame:
 # L12 -----------------------------------------------------------------------
 def smote(df: DataFrame, key: str, label: str, minority, vec: str, k: int = 5, seed: int = 42) -> DataFrame:
     """SMOTE: one synthetic row per minority row between it and one of its k
-    nearest minority neighbours (x + u * (nb - x)), found by
-    ``tadkit.operators.segment.knn``."""
-    from tadkit.operators.segment import knn
+    nearest among all minority rows (x + u * (nb - x)), found by
+    ``tadkit.operators.segment.knn_exact``."""
+    from tadkit.operators.segment import knn_exact
     mino = df.filter(F.col(label) == F.lit(minority)).select(key, vec)
-    nb = knn(mino, mino, key, vec, k=k, exclude_self=True)
+    nb = knn_exact(mino, mino, key, vec, k=k, exclude_self=True)
     pick = nb.withColumn("_r", F.rand(seed)).groupBy("query_id").agg(F.min_by("ref_id", "_r").alias("_nb"))
     a = mino.select(F.col(key).alias("query_id"), F.col(vec).alias("_x"))
     b = mino.select(F.col(key).alias("_nb"), F.col(vec).alias("_y"))

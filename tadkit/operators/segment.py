@@ -2,8 +2,8 @@
 
 * k-means / bisecting k-means / Gaussian mixtures are ``pyspark.ml``.
 * kNN scores queries in Arrow batches against the rows a classifier is fitted
-  on (a documented bound); DBSCAN compares blocks of neighbouring grid cells.
-  Neither makes a table of pairs.
+  on (a documented bound), or, exactly, in pairs of blocks; DBSCAN compares
+  blocks of neighbouring grid cells.  None makes a table of pairs.
 * Isolation trees are grown one group per tree on bounded samples, which is
   that algorithm's definition.
 """
@@ -11,7 +11,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -120,7 +120,50 @@ def bisecting(df: DataFrame, features: str, k: int, seed: int = 42):
     return BisectingKMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
 
 
-# M12 / L12 -------------------------------------------------------------------
+# M12 / L12 / O11 -------------------------------------------------------------------
+def _k_nearest(q_ids: Iterable, q: Iterable, ref_ids: Sequence, ref: np.ndarray, k: int, p: float, exclude_self: bool) -> pd.DataFrame:
+    """The k of ``ref`` (ids ascending) nearest to each query."""
+    out: list[tuple] = []
+    near = min(len(ref_ids), k + int(exclude_self))
+    for own, x in zip(q_ids, q) if near else ():
+        gap = np.abs(ref - np.asarray(x, float))
+        dist = np.sqrt((gap * gap).sum(axis=1)) if p == 2 else gap.max(axis=1) if np.isinf(p) else (gap ** p).sum(axis=1) ** (1 / p)
+        bound = np.partition(dist, near - 1)[near - 1]
+        at = np.flatnonzero(dist <= bound)                     # ids ascend, so ties go to the smaller
+        at = [i for i in at[np.argsort(dist[at], kind="stable")] if not (exclude_self and ref_ids[i] == own)][:k]
+        out += [(own, ref_ids[i], float(dist[i]), r) for r, i in enumerate(at, 1)]
+    return pd.DataFrame(out, columns=["query_id", "ref_id", "dist", "rank"])
+
+
+_KNN_BLOCK = 4096
+
+
+def knn_exact(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, exclude_self: bool = False) -> DataFrame:
+    """``knn`` among all references: (query_id, ref_id, dist, rank).
+
+    Either side is cut by hash into blocks of about ``_KNN_BLOCK`` rows, and a
+    pair of blocks is one group, which reports k references a query; the
+    nearest of those are kept.  The work is queries times references.
+    """
+    kt, rt = dict(queries.dtypes)[key], dict(refs.dtypes)[key]
+    q = queries.filter(F.col(vec).isNotNull()).select(F.col(key).alias("id"), to_array(vec).alias("x"))
+    r = refs.filter(F.col(key).isNotNull() & F.col(vec).isNotNull()).select(F.col(key).alias("id"), to_array(vec).alias("x"))
+    nq, nr = (1 + d.count() // _KNN_BLOCK for d in (q, r))
+
+    def blocks(side: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        return side.withColumn(own, F.pmod(F.xxhash64("id", "x"), F.lit(n)).cast("int")) \
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).select("i", "j", "id", "x")
+    a, b = blocks(q, "i", nq, "j", nr), blocks(r, "j", nr, "i", nq)
+    b = b.toDF(*[f"{c}_r" for c in b.columns]).toDF(*b.columns)          # other column ids than the left side's
+
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        y = y.sort_values("id", kind="stable")
+        return _k_nearest(x["id"], x["x"], y["id"].tolist(), np.stack(y["x"]).astype(float) if len(y) else np.zeros((0, 1)), k, p, exclude_self)
+    found = a.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(run, f"query_id {kt}, ref_id {rt}, dist double, rank int")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("dist", "ref_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
 def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, exclude_self: bool = False,
         max_train_rows: int = 100_000, seed: int = 42) -> DataFrame:
     """k nearest references of every query: (query_id, ref_id, dist, rank), by
@@ -144,18 +187,7 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ref_ids, ref = held.value
         for pdf in batches:
-            out: list[tuple] = []
-            for q, x in zip(pdf["query_id"], pdf["x"]):
-                gap = np.abs(ref - np.asarray(x, float)) if len(ref_ids) else np.zeros((0, 1))
-                dist = np.sqrt((gap * gap).sum(axis=1)) if p == 2 else gap.max(axis=1) if np.isinf(p) else (gap ** p).sum(axis=1) ** (1 / p)
-                near = min(len(dist), k + int(exclude_self))
-                if not near:
-                    continue
-                bound = np.partition(dist, near - 1)[near - 1]
-                at = np.flatnonzero(dist <= bound)                     # ids ascend, so ties go to the smaller
-                at = [i for i in at[np.argsort(dist[at], kind="stable")] if not (exclude_self and ref_ids[i] == q)][:k]
-                out += [(q, ref_ids[i], float(dist[i]), r) for r, i in enumerate(at, 1)]
-            yield pd.DataFrame(out, columns=["query_id", "ref_id", "dist", "rank"])
+            yield _k_nearest(pdf["query_id"], pdf["x"], ref_ids, ref, k, p, exclude_self)
     q = queries.filter(F.col(vec).isNotNull()).select(F.col(key).alias("query_id"), to_array(vec).alias("x"))
     return q.mapInPandas(search, f"query_id {kt}, ref_id {rt}, dist double, rank int")
 

@@ -13,7 +13,7 @@ from tadkit.functions import numeric as nu
 from tadkit.functions import strings as sx
 from tadkit.functions import text as tx
 from tadkit.operators import textmining as tm
-from tadkit.operators.segment import kmeans, knn
+from tadkit.operators.segment import kmeans, knn_exact
 from tadkit.plans.registry import query
 from tadkit.session import Tables, scratch_path
 
@@ -489,7 +489,7 @@ def o11_recommend(spark, d):
     unit = lambda c: F.transform(c, lambda v: F.try_divide(v, norm(c)))
     q = means.select(F.col("o_custkey").cast("string").alias("id"), unit(F.col("mean_vec")).alias("v"))
     items = vec.select(F.col("item").alias("id"), unit(F.col("vec").cast("array<double>")).alias("v"))
-    return knn(q, items, "id", "v", 5, max_train_rows=2**31 - 1).select(                # the model's vectors, which the driver holds
+    return knn_exact(q, items, "id", "v", 5).select(
         F.col("query_id").alias("o_custkey"), F.col("ref_id").alias("item"), (1 - F.col("dist") * F.col("dist") / 2).alias("similarity"), "rank")
 
 

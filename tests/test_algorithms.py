@@ -181,6 +181,40 @@ def test_knn_minkowski_with_ties(spark, p):
         assert [i for _, i in sorted(got[q])] == list(np.lexsort((np.arange(60), D[q]))[:6])
 
 
+def test_smote_searches_all_minority_rows(spark, monkeypatch):
+    """Over several blocks, and without the training bound of the classifier, each neighbour is one of the true k nearest."""
+    from tadkit.operators import features as fe
+    monkeypatch.setattr(sg.knn, "__defaults__", (2.0, False, 10, 42))
+    monkeypatch.setattr(sg, "_KNN_BLOCK", 16, raising=False)
+    pts = RNG.normal(size=(90, 3))
+    df = spark.createDataFrame([(i, v.tolist(), 1.0) for i, v in enumerate(pts)], "id long, x array<double>, label double")
+    D = np.linalg.norm(pts[:, None] - pts[None], axis=2)
+    np.fill_diagonal(D, np.inf)
+    rows = fe.smote(df, "id", "label", 1.0, "x", k=3).collect()
+    assert sorted(int(r.id[4:]) for r in rows) == list(range(90))
+    for r in rows:
+        q, new = int(r.id[4:]), np.array(r.x)
+        near = np.argsort(D[q])[:3]
+        off = [np.linalg.norm(np.cross(new - pts[q], pts[i] - pts[q])) for i in near]
+        assert min(off) < 1e-9
+
+
+@pytest.mark.parametrize("p", [2.0, float("inf")])
+def test_exact_neighbours_across_blocks(spark, monkeypatch, p):
+    monkeypatch.setattr(sg, "_KNN_BLOCK", 16)
+    pts = np.array([[i % 7, i % 5] for i in range(60)], float)
+    df = spark.createDataFrame([(f"k{i:02d}", v.tolist()) for i, v in enumerate(pts)] + [("none", None)], "id string, x array<double>")
+    got = {}
+    for r in sg.knn_exact(df, df, "id", "x", 6, p=p, exclude_self=True).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["ref_id"]))
+    gap = np.abs(pts[:, None] - pts[None])
+    D = gap.max(axis=2) if np.isinf(p) else np.sqrt((gap ** 2).sum(axis=2))
+    np.fill_diagonal(D, np.inf)
+    for q in range(60):
+        assert sorted(got[f"k{q:02d}"]) == [(n, f"k{i:02d}") for n, i in enumerate(np.lexsort((np.arange(60), D[q]))[:6], 1)]
+    assert sg.knn_exact(df.limit(0), df, "id", "x", 6).collect() == sg.knn_exact(df, df.limit(0), "id", "x", 6).collect() == []
+
+
 def test_dbscan_chain_is_one_cluster(spark):
     """A chain longer than any number of rounds, and a dense cell beside it."""
     pts = [(float(i), 0.0) for i in range(150)] + [(400 + 0.001 * i, 0.0) for i in range(60)]
