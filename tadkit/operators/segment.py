@@ -289,14 +289,13 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5,
 
 def dbscan_sweep(df: DataFrame, key: str, vec: str, epss: Sequence[float], ps: Sequence[float], min_samples: int = 5) -> DataFrame:
     """Clusters and noise rows of each eps x p: (eps, p, clusters, noise)."""
-    out = None
+    rows = []                                # one row each, so the plans of all the clusterings are not held at once
     for eps in epss:
         for p in ps:
             r = dbscan(df, key, vec, eps, min_samples, p).agg(
-                F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("clusters"), F.count_if(F.col("cluster") < 0).alias("noise"))
-            r = r.select(F.lit(float(eps)).alias("eps"), F.lit(float(p)).alias("p"), "clusters", "noise")
-            out = r if out is None else out.unionByName(r)
-    return out
+                F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("clusters"), F.count_if(F.col("cluster") < 0).alias("noise")).first()
+            rows.append((float(eps), float(p), r["clusters"], r["noise"]))
+    return df.sparkSession.createDataFrame(rows, "eps double, p double, clusters long, noise long")
 
 
 # N9 ------------------------------------------------------------------------

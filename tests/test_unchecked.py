@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 
 from tadkit.plans.registry import load_all
@@ -62,6 +63,22 @@ def test_dbscan_sweep_has_fewer_noise_rows_with_larger_eps(spark, entry_module):
         assert got[(0.35, p)].noise <= got[(0.2, p)].noise
 
 
+def test_dbscan_sweep_reads_whole_embeddings(spark, entry_module):
+    got = {(r.eps, r.p): (r.clusters, r.noise) for r in rows_of(spark, entry_module, "n8_dbscan_sweep")}
+    x = np.array([r.embedding for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").select("embedding").collect()], float)
+    assert x.shape[1] == 64 and {(7.3, 1.0), (1.16, 2.0)} <= set(got)
+    for (eps, p), found in got.items():
+        near = np.array([np.linalg.norm(x - v, ord=p, axis=1) <= eps for v in x])
+        core = near.sum(axis=1) >= 4
+        label = np.where(core, np.arange(len(x)), len(x))
+        for _ in range(len(x)):
+            least = np.where(near & core[None], label[None], len(x)).min(axis=1)
+            if (least[core] == label[core]).all():
+                break
+            label = np.where(core, least, label)
+        assert found == (len(set(label[core])), int((~(near & core[None]).any(axis=1)).sum()))
+
+
 def test_membership_sums_to_one(spark, entry_module):
     total = {}
     for r in rows_of(spark, entry_module, "n4_mixture_membership"):
