@@ -11,6 +11,7 @@ from tadkit.llm.ann import nearest
 from tadkit.llm.chat import format_chats, read_back
 from tadkit.llm.common import prepare, table
 from tadkit.llm.fingerprint import compare_edits
+from tadkit.llm.merkle import manifest
 from tadkit.llm.mixing import mix
 from tadkit.llm.neardup import near_duplicates
 from tadkit.llm.packing import pack
@@ -78,9 +79,15 @@ def op10_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Merkle proof for every document, folded from tampered rows where the id asks for it."""
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pack_sequences, op2_mix_sources, op3_warc_normalise, op4_format_chats, op5_learned_partitions,
-    op6_multiset_fingerprints, op7_quality_mil, op8_pii_pseudonyms, op9_minhash_near_dedup, op10_toxicity_ordinal)}
+    op6_multiset_fingerprints, op7_quality_mil, op8_pii_pseudonyms, op9_minhash_near_dedup, op10_toxicity_ordinal,
+    op13_merkle_manifest)}
 
 _OP2 = r"""
 with d as (
@@ -169,4 +176,48 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, d.doc_id
 from documents d left join n on n.doc_id = d.doc_id join comp on comp.doc_id = d.doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_mix_sources": _OP2, "op3_warc_normalise": _OP3, "op4_format_chats": _OP4, "op9_minhash_near_dedup": _OP9}
+# CRC-32 of a short text, bit by bit.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(generate_series(1, length({0})), lambda i:
+    list_transform(generate_series(0, 7), lambda j: ((ascii({0}[i]) >> j) & 1)::bigint)))),
+    lambda a, b: xor(a >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295::bigint)"""
+
+_OP13 = """
+with recursive f as (
+  select doc_id, lang, coalesce('1' || lang, '0') as k, n_chars, %s as crc,
+         coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') as head,
+         coalesce(strlen(text) || ':' || text, '-') as tail
+  from documents),
+l as (
+  select *, sha256(head || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || tail) as leaf,
+         sha256(head || case when crc %% 7 = 0 then coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-')
+                             else coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') end || tail) as held
+  from f),
+r as (
+  select *, row_number() over (partition by k order by doc_id nulls first, leaf) - 1 as rank, count(*) over (partition by k) as n,
+         row_number() over (order by k, doc_id nulls first, leaf) as id
+  from l),
+tree(k, level, n, pos, digest) as (
+  select k, 0, n, rank, leaf from r
+  union all
+  select k, level + 1, (n + 1) // 2, pos // 2, sha256(string_agg(digest, '' order by pos))
+  from tree where n > 1 group by k, level, n, pos // 2),
+sub as (select k, digest as subroot, row_number() over (order by encode(k)) as i from tree where n = 1),
+root as (select sha256(string_agg(subroot, '' order by i)) as root from sub),
+walk(id, k, level, pos, held, proof) as (
+  select id, k, 0, rank, held, '' from r
+  union all
+  select w.id, w.k, w.level + 1, w.pos // 2,
+         sha256(case when w.pos %% 2 = 1 then s.digest || w.held else w.held || coalesce(s.digest, '') end), w.proof || coalesce(s.digest, '')
+  from walk w join tree t on t.k = w.k and t.level = w.level and t.pos = w.pos and t.n > 1
+  left join tree s on s.k = w.k and s.level = w.level and s.pos = xor(w.pos, 1)),
+top as (select w.id, w.k, w.held, w.proof from walk w join tree t on t.k = w.k and t.level = w.level and t.pos = w.pos and t.n = 1),
+last as (
+  select top.id, sha256(any_value(top.proof) || coalesce(string_agg(subroot, '' order by i) filter (where sub.k <> top.k), '')) as proof_sha256,
+         sha256(string_agg(case when sub.k = top.k then top.held else subroot end, '' order by i)) as folded_root
+  from top cross join sub group by top.id)
+select r.doc_id, r.leaf, sub.subroot, root.root, last.proof_sha256, last.folded_root, last.folded_root = root.root as verified
+from r join last on last.id = r.id join sub on sub.k = r.k cross join root
+""" % _CRC32.format("coalesce(doc_id::varchar, '1')")
+
+ORACLE: dict[str, str] = {"op13_merkle_manifest": _OP13, "op2_mix_sources": _OP2, "op3_warc_normalise": _OP3, "op4_format_chats": _OP4, "op9_minhash_near_dedup": _OP9}
