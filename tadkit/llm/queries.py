@@ -18,6 +18,7 @@ from tadkit.llm.packing import pack
 from tadkit.llm.pii import pseudonymise
 from tadkit.llm.quality import quality_scores
 from tadkit.llm.toxicity import toxicity
+from tadkit.llm.trie import prefix_trie
 from tadkit.llm.warc import archive_pages
 
 PII_KEY = "tadkit-demo-key"          # a deployment passes its own secret
@@ -79,6 +80,11 @@ def op10_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All prefixes of the rebuilt conversations, with what each subtree holds."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Merkle proof for every document, folded from tampered rows where the id asks for it."""
     return manifest(table(spark, sf_dir, "documents"))
@@ -87,7 +93,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pack_sequences, op2_mix_sources, op3_warc_normalise, op4_format_chats, op5_learned_partitions,
     op6_multiset_fingerprints, op7_quality_mil, op8_pii_pseudonyms, op9_minhash_near_dedup, op10_toxicity_ordinal,
-    op13_merkle_manifest)}
+    op11_prefix_trie, op13_merkle_manifest)}
 
 _OP2 = r"""
 with d as (
@@ -220,4 +226,33 @@ select r.doc_id, r.leaf, sub.subroot, root.root, last.proof_sha256, last.folded_
 from r join last on last.id = r.id join sub on sub.k = r.k cross join root
 """ % _CRC32.format("coalesce(doc_id::varchar, '1')")
 
-ORACLE: dict[str, str] = {"op13_merkle_manifest": _OP13, "op2_mix_sources": _OP2, "op3_warc_normalise": _OP3, "op4_format_chats": _OP4, "op9_minhash_near_dedup": _OP9}
+_OP11 = """
+with c as (
+  select conv_id, list(struct_pack(a := coalesce(role, ''), b := coalesce(text, '')) order by turn nulls first, role, text) as t
+  from conversations group by conv_id),
+b as (
+  select c.conv_id, %s %% 6 as h, c.t as own, first.t as head
+  from c left join c first on first.conv_id = c.conv_id - c.conv_id %% 100),
+r as (
+  select conv_id, list_concat(case when head is null then [] else head[1:h] end, own[h + 1:]) as t from b),
+k as (
+  select conv_id, d, len(t) as n, coalesce(length(t[d].b), 0) as chars,
+         md5(array_to_string(list_transform(t[1:d], lambda x: md5(strlen(x.a) || ':' || x.a || x.b)), '')) as key
+  from (select conv_id, t, unnest(generate_series(0, len(t))) as d from r)),
+node as (
+  select key, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(chars) as chars,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where d = n), '')) as ends_sha256
+  from k group by key, d),
+edge as (
+  select x.key, x.d, above.key as parent from node x join k above on above.conv_id = x.conv_id and above.d = x.d - 1),
+kids as (select parent as key, d - 1 as d, count(*) as n_children from edge group by all),
+whole as (select node.*, coalesce(n_children, 0) as n_children from node left join kids using (key, d)),
+tree as (
+  select top.key, top.d, count(*) filter (where s.n_children = 0) as n_leaves, sum((s.n_convs - 1) * s.chars) as saved_tokens
+  from whole s join k top on top.conv_id = s.conv_id and top.d <= s.d group by all)
+select whole.conv_id, whole.d as depth, above.conv_id as parent_conv_id, whole.n_convs, whole.n_children, tree.n_leaves::bigint as n_leaves,
+       tree.saved_tokens::bigint as saved_tokens, whole.ends_sha256
+from whole join tree using (key, d) left join edge using (key, d) left join node above on above.key = edge.parent and above.d = whole.d - 1
+""" % _CRC32.format("(c.conv_id::varchar)")
+
+ORACLE: dict[str, str] = {"op11_prefix_trie": _OP11, "op13_merkle_manifest": _OP13, "op2_mix_sources": _OP2, "op3_warc_normalise": _OP3, "op4_format_chats": _OP4, "op9_minhash_near_dedup": _OP9}
