@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tadkit.llm.ann import nearest
+from tadkit.llm.bestfit import pack_best_fit
 from tadkit.llm.chat import format_chats, read_back
 from tadkit.llm.common import prepare, table
 from tadkit.llm.fingerprint import compare_edits
@@ -85,6 +86,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, whole where they fit, packed into few sequences of at most 2048 tokens."""
+    return pack_best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Merkle proof for every document, folded from tampered rows where the id asks for it."""
     return manifest(table(spark, sf_dir, "documents"))
@@ -93,7 +99,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pack_sequences, op2_mix_sources, op3_warc_normalise, op4_format_chats, op5_learned_partitions,
     op6_multiset_fingerprints, op7_quality_mil, op8_pii_pseudonyms, op9_minhash_near_dedup, op10_toxicity_ordinal,
-    op11_prefix_trie, op13_merkle_manifest)}
+    op11_prefix_trie, op12_best_fit_packing, op13_merkle_manifest)}
 
 _OP2 = r"""
 with d as (
