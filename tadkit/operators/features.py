@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tadkit.operators.frame import balanced_sample
+from tadkit.session import written
 
 
 # L1 / L2 -------------------------------------------------------------------
@@ -177,17 +178,32 @@ def undersample(df: DataFrame, label: str, seed: int = 42) -> DataFrame:
 
 # L12 -----------------------------------------------------------------------
 def smote(df: DataFrame, key: str, label: str, minority, vec: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """SMOTE: one synthetic row per minority row between it and one of its k
-    nearest among all minority rows (x + u * (nb - x)), found by
-    ``tadkit.operators.segment.knn_exact``."""
-    from tadkit.operators.segment import knn_exact
-    mino = df.filter(F.col(label) == F.lit(minority)).select(key, vec)
-    nb = knn_exact(mino, mino, key, vec, k=k, exclude_self=True)
-    pick = nb.withColumn("_r", F.rand(seed)).groupBy("query_id").agg(F.min_by("ref_id", "_r").alias("_nb"))
-    a = mino.select(F.col(key).alias("query_id"), F.col(vec).alias("_x"))
-    b = mino.select(F.col(key).alias("_nb"), F.col(vec).alias("_y"))
-    j = pick.join(a, "query_id").join(b, "_nb").withColumn("_u", F.rand(seed + 1))
+    """SMOTE up to balance: as many synthetic minority rows as the largest class has more.
+
+    Each lies between a minority row and one of its k nearest among all minority
+    rows (x + u * (nb - x)), found by ``tadkit.operators.metric.k_nearest``.  Rows
+    take turns in the order of a hash of their key; neighbour and u are hashes
+    too, so reruns agree.  Keys are ``syn_<key>_<turn>``.  Minority rows without key
+    or vector count as rows but make none; with no other minority row there are none to make.
+    """
+    from tadkit.operators.frame import add_row_id
+    from tadkit.operators.metric import k_nearest
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    less = counts.agg(F.max("n") - F.max(F.when(F.col(label) == F.lit(minority), F.col("n")))).first()[0] or 0
+    mino = df.filter(F.col(label) == F.lit(minority)).select(F.col(key).alias("query_id"), F.col(vec).cast("array<double>").alias("_x"))
+    mino = mino.filter("query_id is not null and _x is not null")
+
+    def draw(*what) -> Column:
+        return F.conv(F.substring(F.md5(F.concat_ws(":", *what, F.lit(seed))), 1, 8), 16, 10).cast("long")
+    nb = k_nearest(mino, mino, "query_id", "_x", k, exclude_self=True)
+    nb = written(nb.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "ref_id"))), lambda s: s["ref_id"]).alias("_near")), "near")
+    turns = add_row_id(nb.withColumn("_u", draw(F.col("query_id").cast("string"))), ["_u", "query_id"], alias="_id")
+    n = max(1, nb.count())
+    per = F.lit(less // n) + (F.col("_id") <= less % n).cast("long")
+    turns = turns.withColumn("_i", F.explode(F.when(per > 0, F.sequence(F.lit(1).cast("long"), per))))
+    own = F.col("query_id").cast("string"), F.col("_i").cast("string")
+    pick = turns.select("query_id", "_i", F.element_at("_near", (draw(*own, F.lit("nb")) % F.size("_near") + 1).cast("int")).alias("_nb"),
+                        (draw(*own, F.lit("u")) / F.lit(float(2 ** 32))).alias("_u"))
+    j = pick.join(mino, "query_id").join(mino.select(F.col("query_id").alias("_nb"), F.col("_x").alias("_y")), "_nb")
     syn = F.zip_with("_x", "_y", lambda x, y: x + F.col("_u") * (y - x))
-    return j.select(F.concat(F.lit("syn_"), F.col("query_id").cast("string")).alias(key), syn.alias(vec),
-                    F.lit(minority).alias(label))
-
+    return j.select(F.concat_ws("_", F.lit("syn"), *own).alias(key), syn.alias(vec), F.lit(minority).alias(label))

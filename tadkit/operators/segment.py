@@ -1,9 +1,9 @@
 """Clustering, segmentation and anomaly detection.
 
 * k-means / bisecting k-means / Gaussian mixtures are ``pyspark.ml``.
-* kNN scores queries in Arrow batches against the rows a classifier is fitted
-  on (a documented bound), or, exactly, in pairs of blocks; DBSCAN compares
-  blocks of neighbouring grid cells.  None makes a table of pairs.
+* The kNN classifier scores queries in Arrow batches against the rows it is fitted
+  on (a documented bound); DBSCAN finds neighbours by the metric index of
+  ``operators.metric``, as does exact k nearest.  None makes a table of pairs.
 * Isolation trees are grown one group per tree on bounded samples, which is
   that algorithm's definition.
 """
@@ -11,7 +11,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tadkit.operators.metric import build_index, in_radius, k_nearest, meet, within
 from tadkit.session import written
 
 
@@ -135,33 +136,7 @@ def _k_nearest(q_ids: Iterable, q: Iterable, ref_ids: Sequence, ref: np.ndarray,
     return pd.DataFrame(out, columns=["query_id", "ref_id", "dist", "rank"])
 
 
-_KNN_BLOCK = 4096
-
-
-def knn_exact(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, exclude_self: bool = False) -> DataFrame:
-    """``knn`` among all references: (query_id, ref_id, dist, rank).
-
-    Either side is cut by hash into blocks of about ``_KNN_BLOCK`` rows, and a
-    pair of blocks is one group, which reports k references a query; the
-    nearest of those are kept.  The work is queries times references.
-    """
-    kt, rt = dict(queries.dtypes)[key], dict(refs.dtypes)[key]
-    q = queries.filter(F.col(vec).isNotNull()).select(F.col(key).alias("id"), to_array(vec).alias("x"))
-    r = refs.filter(F.col(key).isNotNull() & F.col(vec).isNotNull()).select(F.col(key).alias("id"), to_array(vec).alias("x"))
-    nq, nr = (1 + d.count() // _KNN_BLOCK for d in (q, r))
-
-    def blocks(side: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        return side.withColumn(own, F.pmod(F.xxhash64("id", "x"), F.lit(n)).cast("int")) \
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).select("i", "j", "id", "x")
-    a, b = blocks(q, "i", nq, "j", nr), blocks(r, "j", nr, "i", nq)
-    b = b.toDF(*[f"{c}_r" for c in b.columns]).toDF(*b.columns)          # other column ids than the left side's
-
-    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        y = y.sort_values("id", kind="stable")
-        return _k_nearest(x["id"], x["x"], y["id"].tolist(), np.stack(y["x"]).astype(float) if len(y) else np.zeros((0, 1)), k, p, exclude_self)
-    found = a.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(run, f"query_id {kt}, ref_id {rt}, dist double, rank int")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("dist", "ref_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+knn_exact = k_nearest           # among all references
 
 
 def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, exclude_self: bool = False,
@@ -193,61 +168,20 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
 
 
 # N8 ------------------------------------------------------------------------
-_BLOCK = 1024
-
-
-def _near_blocks(left: DataFrame, right: DataFrame, eps: float, p: float, dims: int,
-                 fn: Callable[[np.ndarray, np.ndarray, np.ndarray], list[tuple]], schema: str) -> DataFrame:
-    """Rows that ``fn`` makes of the left points (tag, x, wide) and the right
-    points near them, by blocks.
-
-    Each left point meets the right points of the 3**dims grid cells (of side
-    ``eps``, array ``wide``) around its own.  Cells are cut into blocks of about
-    ``_BLOCK`` points on either side; a pair of blocks is one group, and no pair
-    of points leaves it.  ``fn(left tags, right tags, near)`` sees the boolean
-    matrix of the pairs within ``eps``.
-    """
-    for i in range(dims):
-        left = left.withColumn(f"o{i}", F.explode(F.sequence(F.lit(-1), F.lit(1))))
-    left = left.select("tag", "x", F.array(*[F.col("wide")[i] + F.col(f"o{i}") for i in range(dims)]).alias("wide"))
-    sizes = left.groupBy("wide").agg(F.count(F.lit(1)).alias("nl")).join(right.groupBy("wide").agg(F.count(F.lit(1)).alias("nr")), "wide") \
-        .select("wide", F.expr(f"cast(1 + nl div {_BLOCK} as int)").alias("nl"), F.expr(f"cast(1 + nr div {_BLOCK} as int)").alias("nr"))
-
-    def blocks(side: DataFrame, own: str, other: str, i: str, j: str) -> DataFrame:
-        return side.join(sizes, "wide").withColumn(i, F.pmod(F.xxhash64("tag", "x"), own).cast("int")) \
-            .withColumn(j, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("wide", "i", "j", "tag", "x")
-    a, b = blocks(left, "nl", "nr", "i", "j"), blocks(right.select("tag", "x", "wide"), "nr", "nl", "j", "i")
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(x) and len(y):
-            ys, yt = np.stack(y["x"]), y["tag"].to_numpy()
-            for at in range(0, len(x), 64):
-                gap = np.abs(np.stack(x["x"].iloc[at:at + 64])[:, None, :] - ys[None])
-                dist = gap.max(axis=2) if np.isinf(p) else np.sqrt((gap * gap).sum(axis=2)) if p == 2 else (gap ** p).sum(axis=2) ** (1 / p)
-                out += fn(x["tag"].iloc[at:at + 64].to_numpy(), yt, dist <= eps)
-        return pd.DataFrame(sorted(set(out)) if schema.startswith("a long, b") else out, columns=names)
-    by = ["wide", "i", "j"]
-    b = b.toDF(*[f"{c}_r" for c in b.columns]).toDF(*b.columns)          # other column ids than the left side's
-    return a.groupBy(*by).cogroup(b.groupBy(*by)).applyInPandas(run, schema)
-
-
-def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, p: float = 2.0,
-           dims: int = 3) -> DataFrame:
+def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, p: float = 2.0, cells: int | None = None) -> DataFrame:
     """DBSCAN labels (noise = -1), clusters numbered by their smallest core key
     (an integer column).
 
-    1. Points of one small cell (side eps / d**(1/p) over all d dimensions) are
-       neighbours, so a cell of ``min_samples`` points has core points only; the
+    1. Points of one small box (side eps / d**(1/p) over all d dimensions) are
+       neighbours, so a box of ``min_samples`` points has core points only; the
        others count their neighbours.
-    2. Core points of a cell are one node, known by its least key; two nodes
-       are linked once if any of their points are neighbours.
+    2. Core points of a box are one node, known by its least key.  Each task links the
+       nodes it finds to be connected by no more links than it has nodes.
     3. Components of the nodes by ``graph.components``, however many rounds that
        takes; border points take the smallest label among their core neighbours.
 
-    Neighbours are found block by block (``_near_blocks``), so a dense region
-    makes no table of pairs.  Rows without key or vector are dropped.
+    Neighbours are found by the metric index (``metric.meet``) over all
+    coordinates, of which ``cells`` is the number of cells.  Rows without key or vector are dropped.
     """
     from tadkit.operators.frame import add_row_id
     from tadkit.operators.graph import components
@@ -255,33 +189,60 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5,
     first = x.first()
     if first is None:
         return x.select(F.col("id").alias(key), F.lit(-1).alias("cluster"))
-    d = len(first["x"])
-    dims = min(dims, d)
-    side = (eps if np.isinf(p) else eps / d ** (1 / p)) * (1 - 1e-12)
-    x = x.withColumns({"cell": F.transform("x", lambda v: F.floor(v / side)), "wide": F.transform(F.slice("x", 1, dims), lambda v: F.floor(v / eps))})
-    x = x.join(x.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "cell")
-    x = written(x.withColumn("tag", F.col("id").cast("long")), "points")
-
-    def counts(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> list[tuple]:
-        return [(int(a), int(n)) for a, n in zip(left, near.sum(axis=1)) if n]
-    loose = _near_blocks(x.filter(F.col("size") < min_samples), x, eps, p, dims, counts, "a long, n long") \
+    side = (eps if np.isinf(p) else eps / len(first["x"]) ** (1 / p)) * (1 - 1e-12)
+    index, x = build_index(x.withColumn("tag", F.col("id").cast("long")), "x", p, cells)
+    x = x.withColumn("box", F.transform("x", lambda v: F.floor(v / side)))
+    x = written(x.join(x.groupBy("box").agg(F.count(F.lit(1)).alias("size")), "box"), "points")
+    eps_of = F.lit(float(eps)).alias("bound")
+
+    def counts(tags: np.ndarray):
+        found: list[tuple] = []
+
+        def feed(own, x, bound, columns, y, allowed):
+            found.append((own, within(x, y, bound, p).sum(axis=1)))
+        return feed, lambda: [np.concatenate([f[i] for f in found]) if found else np.array([]) for i in (0, 1)]
+    loose = meet(index, x.filter(F.col("size") < min_samples).select("tag", "x", eps_of), x, in_radius, counts, "a long, n long") \
         .groupBy("a").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_samples).select(F.col("a").alias("id"))
     core = x.join(x.filter(F.col("size") >= min_samples).select("id").unionByName(loose), "id", "left_semi")
-    core = core.join(core.groupBy("cell").agg(F.min("tag").alias("head")), "cell").select("id", "x", "wide", "head")
-    core = written(core, "core")
-
-    def edges(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> list[tuple]:
-        i, j = np.nonzero(near)
-        return list({(int(a), int(b)) for a, b in zip(left[i], right[j]) if a < b})
-    nodes = core.select(F.col("head").alias("tag"), "x", "wide")
-    comp = components(_near_blocks(nodes, nodes, eps, p, dims, edges, "a long, b long"))
-    label = core.join(comp.select(F.col("id").alias("head"), "comp"), "head", "left").select("id", "x", "wide", F.coalesce("comp", "head").alias("tag"))
+    core = written(core.join(core.groupBy("box").agg(F.min("tag").alias("head")), "box").select("id", "x", "cell", "head"), "core")
+
+    def links(tags: np.ndarray):
+        names, node = np.unique(tags, return_inverse=True)
+        comp = np.arange(len(names))                    # of the group's nodes, as far as linked
+        seen: list[tuple] = []
+
+        def feed(own, x, bound, columns, y, allowed):
+            near, here = within(x, y, bound, p), node[columns]
+            for a, row in zip(own, near):
+                hit = here[row]
+                if len(hit):
+                    met = comp[hit]
+                    if met.min() != met.max():
+                        comp[np.isin(comp, met)] = met.min()
+                    seen.append((a, hit[0]))
+
+        def close():
+            a, at = np.array([s[0] for s in seen], np.int64), np.array([s[1] for s in seen], np.int64)
+            pairs = np.unique(np.stack([np.concatenate([a, names]), np.concatenate([names[comp[at]], names[comp]])]), axis=1)
+            pairs = pairs[:, pairs[0] != pairs[1]]
+            return [pairs[0], pairs[1]]
+        return feed, close
+    nodes = core.select(F.col("head").alias("tag"), "x", "cell")
+    comp = components(meet(index, nodes.select("tag", "x", eps_of), nodes, in_radius, links, "a long, b long"))
+    label = core.join(comp.select(F.col("id").alias("head"), "comp"), "head", "left").select("id", "x", "cell", F.coalesce("comp", "head").alias("tag"))
     label = written(label, "labels")
 
-    def least(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> list[tuple]:
-        return [(int(a), int(right[row].min())) for a, row in zip(left, near) if row.any()]
-    border = _near_blocks(x.join(core.select("id"), "id", "left_anti"), label, eps, p, dims, least, "id long, tag long") \
-        .groupBy("id").agg(F.min("tag").alias("tag"))
+    def least(tags: np.ndarray):
+        found: list[tuple] = []
+
+        def feed(own, x, bound, columns, y, allowed):
+            near = within(x, y, bound, p)
+            some = near.any(axis=1)
+            low = np.where(near, tags[columns], np.iinfo(np.int64).max).min(axis=1)
+            found.append((own[some], low[some]))
+        return feed, lambda: [np.concatenate([f[i] for f in found]) if found else np.array([]) for i in (0, 1)]
+    rest = x.join(core.select("id"), "id", "left_anti").select("tag", "x", eps_of)
+    border = meet(index, rest, label.select("tag", "x", "cell"), in_radius, least, "id long, tag long").groupBy("id").agg(F.min("tag").alias("tag"))
     found = label.select("id", "tag").unionByName(border)
     ids = add_row_id(found.select("tag").distinct(), ["tag"], alias="cluster").withColumn("cluster", (F.col("cluster") - 1).cast("int"))
     return x.select("id").join(found.join(ids, "tag"), "id", "left").select(F.col("id").alias(key), F.coalesce("cluster", F.lit(-1)).alias("cluster"))

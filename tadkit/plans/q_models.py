@@ -491,8 +491,22 @@ def l11_over(spark, d):
     return fe.oversample(o, "label", 1).groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("distinct_rows"))
 
 
-@query("l12_smote_synthetic_rows")
+@query("l12_smote_synthetic_rows", """
+WITH e AS (SELECT vec_id, label = 0 AS minor, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+m AS (SELECT vec_id, x FROM e WHERE minor),
+c AS (SELECT greatest(count(*) FILTER (WHERE NOT minor), count(*) FILTER (WHERE minor)) - count(*) FILTER (WHERE minor) AS less,
+             count(*) FILTER (WHERE minor) AS n FROM e),
+near AS (SELECT a.vec_id, list(b.vec_id ORDER BY list_distance(a.x, b.x), b.vec_id)[1:5] AS nb
+         FROM m a JOIN m b ON a.vec_id <> b.vec_id GROUP BY a.vec_id),
+turn AS (SELECT vec_id, nb, row_number() OVER (ORDER BY ('0x' || substr(md5(vec_id || ':42'), 1, 8))::BIGINT, vec_id) AS r FROM near),
+made AS (SELECT vec_id, nb, unnest(generate_series(1, less // n + CASE WHEN r <= less % n THEN 1 ELSE 0 END)) AS i FROM turn, c),
+pick AS (SELECT vec_id, i, nb[(('0x' || substr(md5(vec_id || ':' || i || ':nb:42'), 1, 8))::BIGINT % len(nb) + 1)::INT] AS ref,
+                ('0x' || substr(md5(vec_id || ':' || i || ':u:42'), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM made)
+SELECT 'syn_' || pick.vec_id || '_' || i AS vec_id,
+       list_transform(generate_series(1, len(a.x)), lambda j: a.x[j] + u * (b.x[j] - a.x[j])) AS embedding, 1.0::DOUBLE AS label
+FROM pick JOIN m a ON a.vec_id = pick.vec_id JOIN m b ON b.vec_id = pick.ref""")
 def l12_smote(spark, d):
+    """Synthetic rows of the smaller class, as many as the other has more."""
     e = _emb(spark, d).withColumn("label", (F.col("label") == 0).cast("double"))
     return fe.smote(e, "vec_id", "label", 1.0, "embedding", k=5)
 

@@ -88,33 +88,41 @@ def n6_bisect(spark, d):
     return sg.bisecting(e, "features", 4).transform(e).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
-_N8_SQL = """WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[])[1:3] AS x FROM embeddings),
-nb AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a, e b WHERE {dist} <= {eps}),
-core AS (SELECT a FROM nb GROUP BY a HAVING count(*) >= 4),
-ce AS (SELECT nb.a, nb.b FROM nb JOIN core c ON nb.a = c.a JOIN core d ON nb.b = d.a),
-reach AS (SELECT a AS id, a AS seen FROM core UNION SELECT r.id, ce.b FROM reach r JOIN ce ON ce.a = r.seen),
-lab AS (SELECT id, min(seen) AS l FROM reach GROUP BY id),
-bord AS (SELECT nb.a AS id, min(lab.l) AS l FROM nb JOIN lab ON nb.b = lab.id WHERE nb.a NOT IN (SELECT a FROM core) GROUP BY nb.a),
+_N8_EPS = {2.0: [0.2, 0.35, 1.16], 1.0: [0.2, 0.35, 7.3]}
+_N8_SQL = """WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+dist AS (SELECT a.vec_id AS a, b.vec_id AS b, {dist} AS d FROM e a, e b),
+nb AS (SELECT p, eps, a, b FROM dist JOIN (VALUES {grid}) g(p, eps) ON {on}),
+core AS (SELECT p, eps, a FROM nb GROUP BY ALL HAVING count(*) >= 4),
+ce AS (SELECT nb.* FROM nb JOIN core c USING (p, eps, a) JOIN core d ON nb.p = d.p AND nb.eps = d.eps AND nb.b = d.a),
+reach AS (SELECT p, eps, a AS id, a AS seen FROM core
+          UNION SELECT r.p, r.eps, r.id, ce.b FROM reach r JOIN ce ON ce.p = r.p AND ce.eps = r.eps AND ce.a = r.seen),
+lab AS (SELECT p, eps, id, min(seen) AS l FROM reach GROUP BY ALL),
+bord AS (SELECT nb.p, nb.eps, nb.a AS id, min(lab.l) AS l FROM nb JOIN lab ON nb.p = lab.p AND nb.eps = lab.eps AND nb.b = lab.id
+         WHERE NOT EXISTS (SELECT 1 FROM core WHERE core.p = nb.p AND core.eps = nb.eps AND core.a = nb.a) GROUP BY ALL),
 al AS (SELECT * FROM lab UNION ALL SELECT * FROM bord)
 """
 
 
-@query("n8_dbscan", _N8_SQL.format(dist="list_distance(a.x, b.x)", eps=0.35) + """,
+@query("n8_dbscan", _N8_SQL.format(dist="list_distance(a.x, b.x)", grid="(2.0, 1.16)", on="d <= eps") + """,
 ids AS (SELECT l, dense_rank() OVER (ORDER BY l) - 1 AS c FROM (SELECT DISTINCT l FROM al))
 SELECT e.vec_id, CAST(coalesce(c, -1) AS INTEGER) AS cluster FROM e LEFT JOIN al ON e.vec_id = al.id LEFT JOIN ids ON al.l = ids.l""")
 def n8_dbscan(spark, d):
-    """DBSCAN of the first three coordinates, a plane to see clusters in (noise = -1)."""
-    e = Tables(spark, d).embeddings.select("vec_id", F.slice("embedding", 1, 3).alias("x"))
-    return sg.dbscan(e, "vec_id", "x", eps=0.35, min_samples=4)
+    """DBSCAN of the whole embeddings (noise = -1)."""
+    return sg.dbscan(Tables(spark, d).embeddings, "vec_id", "embedding", eps=1.16, min_samples=4)
 
 
-@query("n8_dbscan_sweep")
+@query("n8_dbscan_sweep", _N8_SQL.format(
+    dist="[list_sum(list_transform(range(1, len(a.x) + 1), lambda i: abs(a.x[i] - b.x[i]))), list_distance(a.x, b.x)]",
+    grid=", ".join(f"({p}, {eps})" for p, es in _N8_EPS.items() for eps in es), on="d[p::INT] <= eps") + f"""
+SELECT g.eps::DOUBLE AS eps, g.p::DOUBLE AS p, count(DISTINCT l) AS clusters, (SELECT count(*) FROM e) - count(l) AS noise
+FROM (VALUES {", ".join(f"({p}, {eps})" for p, es in _N8_EPS.items() for eps in es)}) g(p, eps)
+LEFT JOIN al ON al.p = g.p AND al.eps = g.eps GROUP BY g.p, g.eps""")
 def n8_sweep(spark, d):
     """Clusters and noise for eps x Minkowski p over the whole embeddings; of the
     last eps of each p, about a third of the vectors have four within it."""
     e = Tables(spark, d).embeddings.select("vec_id", F.col("embedding").alias("x"))
-    return sg.dbscan_sweep(e, "vec_id", "x", [0.2, 0.35, 7.3], [1.0], min_samples=4) \
-        .unionByName(sg.dbscan_sweep(e, "vec_id", "x", [0.2, 0.35, 1.16], [2.0], min_samples=4))
+    return sg.dbscan_sweep(e, "vec_id", "x", _N8_EPS[1.0], [1.0], min_samples=4) \
+        .unionByName(sg.dbscan_sweep(e, "vec_id", "x", _N8_EPS[2.0], [2.0], min_samples=4))
 
 
 @query("n9_isolation_forest")

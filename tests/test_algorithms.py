@@ -35,9 +35,17 @@ def test_knn_exact_vs_brute_force(spark, blobs):
         assert [i for _, i in sorted(got[q])] == want
 
 
-def _dbscan_brute(pts, eps, min_samples):
+@pytest.fixture
+def small_groups(monkeypatch):
+    """Cells, groups and blocks of queries of a few rows."""
+    from tadkit.operators import metric
+    for name, n in (("CELL_ROWS", 5), ("GROUP_ROWS", 16), ("QUERY_ROWS", 25)):
+        monkeypatch.setattr(metric, name, n)
+
+
+def _dbscan_brute(pts, eps, min_samples, D=None):
     n = len(pts)
-    D = np.linalg.norm(pts[:, None, :] - pts[None, :, :], axis=2)
+    D = np.linalg.norm(pts[:, None, :] - pts[None, :, :], axis=2) if D is None else D
     nbrs = [np.where(D[i] <= eps)[0] for i in range(n)]
     core = np.array([len(nb) >= min_samples for nb in nbrs])
     label = -np.ones(n, dtype=int)
@@ -68,7 +76,7 @@ def _dbscan_brute(pts, eps, min_samples):
 
 def test_dbscan_vs_brute_force(spark, blobs):
     df, pts = blobs
-    got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=0.5, min_samples=4, dims=2).collect()}
+    got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=0.5, min_samples=4).collect()}
     want = _dbscan_brute(pts, 0.5, 4)
     assert [got[i] for i in range(len(pts))] == want
     assert got[120] == -1 and got[121] == -1
@@ -181,27 +189,31 @@ def test_knn_minkowski_with_ties(spark, p):
         assert [i for _, i in sorted(got[q])] == list(np.lexsort((np.arange(60), D[q]))[:6])
 
 
-def test_smote_searches_all_minority_rows(spark, monkeypatch):
-    """Over several blocks, and without the training bound of the classifier, each neighbour is one of the true k nearest."""
+def test_smote_balances_between_true_neighbours(spark, small_groups, monkeypatch):
+    """Over several groups, and without the training bound of the classifier, each neighbour is one of the true k nearest."""
     from tadkit.operators import features as fe
     monkeypatch.setattr(sg.knn, "__defaults__", (2.0, False, 10, 42))
-    monkeypatch.setattr(sg, "_KNN_BLOCK", 16, raising=False)
     pts = RNG.normal(size=(90, 3))
-    df = spark.createDataFrame([(i, v.tolist(), 1.0) for i, v in enumerate(pts)], "id long, x array<double>, label double")
+    rows = [(i, v.tolist(), 1.0) for i, v in enumerate(pts)] + [(i, [0.0] * 3, 0.0) for i in range(100, 350)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, label double")
     D = np.linalg.norm(pts[:, None] - pts[None], axis=2)
     np.fill_diagonal(D, np.inf)
-    rows = fe.smote(df, "id", "label", 1.0, "x", k=3).collect()
-    assert sorted(int(r.id[4:]) for r in rows) == list(range(90))
-    for r in rows:
-        q, new = int(r.id[4:]), np.array(r.x)
+    made = fe.smote(df, "id", "label", 1.0, "x", k=3).collect()
+    assert len(made) == 160 and len({r.id for r in made}) == 160
+    times = np.bincount([int(r.id.split("_")[1]) for r in made], minlength=90)
+    assert set(times) == {1, 2}
+    for r in made:
+        q, new = int(r.id.split("_")[1]), np.array(r.x)
         near = np.argsort(D[q])[:3]
         off = [np.linalg.norm(np.cross(new - pts[q], pts[i] - pts[q])) for i in near]
         assert min(off) < 1e-9
+    assert sorted(r.id for r in fe.smote(df, "id", "label", 1.0, "x", k=3).collect()) == sorted(r.id for r in made)
+    assert fe.smote(df, "id", "label", 0.0, "x", k=3).count() == 0
+    assert fe.smote(df.where("id = 1 or id >= 100"), "id", "label", 1.0, "x").count() == 0
 
 
 @pytest.mark.parametrize("p", [2.0, float("inf")])
-def test_exact_neighbours_across_blocks(spark, monkeypatch, p):
-    monkeypatch.setattr(sg, "_KNN_BLOCK", 16)
+def test_exact_neighbours_across_groups(spark, small_groups, p):
     pts = np.array([[i % 7, i % 5] for i in range(60)], float)
     df = spark.createDataFrame([(f"k{i:02d}", v.tolist()) for i, v in enumerate(pts)] + [("none", None)], "id string, x array<double>")
     got = {}
@@ -220,7 +232,7 @@ def test_dbscan_chain_is_one_cluster(spark):
     pts = [(float(i), 0.0) for i in range(150)] + [(400 + 0.001 * i, 0.0) for i in range(60)]
     df = spark.createDataFrame([(i, list(v)) for i, v in enumerate(pts)], "id long, x array<double>")
     for eps in (1.0, 1.5):
-        got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=eps, min_samples=2, dims=2).collect()}
+        got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=eps, min_samples=2).collect()}
         assert {got[i] for i in range(150)} == {0} and {got[i] for i in range(150, 210)} == {1}
 
 
@@ -232,6 +244,40 @@ def test_dbscan_higher_dimension_and_p(spark):
     assert [got[i] for i in range(90)] == _dbscan_brute(pts, 0.9, 4)
 
 
+@pytest.mark.parametrize(("eps", "p"), [(0.9, 2.0), (2.5, 1.0), (0.6, float("inf"))])
+def test_dbscan_over_many_cells(spark, small_groups, eps, p):
+    """Cells cut by hash, groups of cells and copies of one point; all coordinates count."""
+    rng = np.random.default_rng(6)
+    pts = np.vstack([rng.normal(c, 0.4, (40, 6)) for c in (0, 2, 6)] + [np.full((60, 6), 3.0)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "id long, x array<double>")
+    gap = np.abs(pts[:, None] - pts[None])
+    D = gap.max(axis=2) if np.isinf(p) else np.sqrt((gap ** 2).sum(axis=2)) if p == 2 else gap.sum(axis=2)
+    got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=eps, min_samples=4, p=p).collect()}
+    assert [got[i] for i in range(len(pts))] == _dbscan_brute(pts, eps, 4, D)
+
+
+def test_the_index_skips_cells_out_of_reach(spark):
+    """On clustered points few pairs are compared and shuffled rows grow with the points; a search within reach misses none."""
+    from pyspark.sql import functions as F
+    from tadkit.operators.metric import build_index, comparisons, in_radius, meet
+    rng = np.random.default_rng(8)
+    pts = rng.normal(0, 20, (30, 8))[rng.integers(0, 30, 3000)] + rng.normal(0, 0.5, (3000, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "tag long, x array<double>")
+    index, homes = build_index(df, "x", cells=40)
+    left = homes.withColumn("bound", F.lit(1.5))
+    assert comparisons(index, left) < 0.1 * 3000 ** 2
+
+    def visit(tags):
+        n = []
+
+        def feed(own, x, bound, columns, y, allowed):
+            n.append((own, (np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2)) <= bound[:, None]).sum(axis=1)))
+        return feed, lambda: [np.concatenate([f[i] for f in n]) if n else np.array([]) for i in (0, 1)]
+    got = dict(tuple(r) for r in meet(index, left, homes, in_radius, visit, "a long, n long").groupBy("a").agg(F.sum("n")).collect())
+    D = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(axis=2))
+    assert [got[i] for i in range(3000)] == (D <= 1.5).sum(axis=1).tolist()
+
+
 def test_cosine_of_zero_vector(spark):
     df = spark.createDataFrame([([0.0, 0.0], [1.0, 0.0]), ([1.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
     assert [r[0] for r in df.select(tm.cosine("a", "b")).collect()] == [None, 1.0]
