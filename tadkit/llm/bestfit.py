@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tadkit.llm.common import drop_table, prepare, written
 
-CACHE_CHUNKS = 400_000       # chunks of text whose ids a worker remembers at most
+CACHE_WORDS = 1_000_000      # words whose ids a worker remembers at most
 CACHE_CHARS = 60             # longer ones are not remembered
 OTHER_LETTERS = "\u0530"     # Latin, Greek and Cyrillic ones lie before; Unicode's versions agree on them
 LEAST_BUCKETS, BUCKET_ROWS, DRAWS = 16, 131_072, 4096
@@ -44,9 +44,9 @@ class ByteTokenizer:
     """Token ids of texts by a byte-level tokenizer whose pre-tokens begin at a
     blank before a non-blank.
 
-    A text is cut there into chunks, each encoded once and remembered.  New
-    chunks are encoded together: a token's bytes tell where chunks end.  Texts
-    that hold an added token are encoded as they are.
+    A text is cut there into words, each encoded once and remembered.  New words
+    are encoded together: a token's bytes tell where a word ends.  Texts that
+    hold an added token are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -58,51 +58,55 @@ class ByteTokenizer:
         self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)   # a symbol of a byte-level token is a byte
         self._bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self._added = re.compile("|".join(map(re.escape, added))) if added else None
-        self._ids: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._behind: dict[str, bytes] = {}      # words behind a blank, without it: their ids with it
+        self._alone: dict[str, bytes] = {}       # marks, and words at the beginning
 
     def _encode(self, text: str) -> np.ndarray:
-        return np.array(self._tok.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self._tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Ids of chunks, all but the first of which begin with a blank."""
-        ids = self._encode("".join(chunks))
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words with a blank before each, which part them wherever they stand."""
+        ids = self._encode("".join([" " + w for w in words]))
         ends = np.cumsum(self._bytes[ids])
-        cuts = np.cumsum([len(c.encode()) for c in chunks])
+        cuts = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words]) + np.arange(1, len(words) + 1)
         at = [0, *(4 * (np.searchsorted(ends, cuts) + 1)).tolist()]
         raw = ids.tobytes()
-        self._ids.update(zip(chunks, (raw[a:b] for a, b in zip(at, at[1:]))))
+        self._behind.update(zip(words, [raw[a:b] for a, b in zip(at, at[1:])]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self._ids) > CACHE_CHUNKS:
-            self._ids = {}
-        known, out = self._ids, []
+        if len(self._behind) > CACHE_WORDS:
+            self._forget()
+        behind, alone, out = self._behind, self._alone, []
         split = [[] if not t or (self._added and self._added.search(t)) else _SEAM.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        words = {w for ws in split for w in ws[1:]}                        # those behind a blank, without it
-        new = [w for w in words if " " + w not in known]
-        bodies: dict[str, tuple[str, str]] = {}                            # letters and the marks behind, a pre-token each
+        first = [ws.pop(0) if ws else None for ws in split]
+        new = set().union(*split).difference(behind) if split else set()
+        parts: list[tuple[str, str, str]] = []                             # word, its letters and the marks behind, a pre-token each
+        ask: list[str] = []
         for w in new:
             run = w.rstrip(string.punctuation)
-            if run != w and run.isalpha() and max(run) < OTHER_LETTERS:
-                bodies[w] = (" " + run, w[len(run):])
-        ask = {" " + w for w in new if w not in bodies} | {b for b, _ in bodies.values()}
-        ask = [c for c in ask if c not in known]
+            if run != w and run.isalpha() and (run.isascii() or max(run) < OTHER_LETTERS):
+                parts.append((w, run, w[len(run):]))
+            else:
+                ask.append(w)
+        ask += {run for _, run, _ in parts}.difference(behind, ask)
         for i in range(0, len(ask), 2000):
             self._learn(ask[i:i + 2000])
-        alone = {m for _, m in bodies.values()} | {ws[0] for ws in split if ws}
-        alone = [m for m in alone if m not in known]                       # no blank before them
-        for m in alone:
-            known[m] = self._encode(m).tobytes()
-        for w, (body, mark) in bodies.items():
-            known[" " + w] = known[body] + known[mark]
-        for t, ws in zip(texts, split):
-            if ws:
-                out.append(known[ws[0]] + b"".join([known[" " + w] for w in ws[1:]]))
-            else:
-                out.append(self._encode(t).tobytes() if t else b"")
-        for c in [*ask, *alone, *(" " + w for w in bodies)]:
-            if len(c) > CACHE_CHARS:
-                del known[c]
+        lone = {m for _, _, m in parts}.union(w for w in first if w is not None).difference(alone)
+        for m in lone:
+            alone[m] = self._encode(m).tobytes()
+        for w, run, mark in parts:
+            behind[w] = behind[run] + alone[mark]
+        get = behind.__getitem__
+        for t, head, ws in zip(texts, first, split):
+            out.append(alone[head] + b"".join(map(get, ws)) if head is not None else self._encode(t).tobytes() if t else b"")
+        for known, words in ((behind, ask), (behind, new), (alone, lone)):
+            for w in words:
+                if len(w) > CACHE_CHARS:
+                    known.pop(w, None)
         return out
 
 
