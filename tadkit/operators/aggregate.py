@@ -8,6 +8,7 @@ one window partition holding the whole group.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterable, Sequence
 
@@ -219,44 +220,78 @@ def freq_table(df: DataFrame, col: str, order: str = "value") -> DataFrame:
 DESCRIBE_PCTS = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
+_SKETCH = 10_000             # a sketched quantile is off by about n / _SKETCH ranks
+_FEW = 10_000                # values of an interval that are counted one by one
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
-    """Exact linear-interpolated quantiles ``{(col, p): value}`` without a
-    single-task buffer.
-
-    Values are counted per distinct value (partial-aggregated), cumulative
-    counts run over a range-partitioned order, and only the two ranks
-    around (n - 1) p per (column, p) are picked (a bounded table of
-    cols x probs x 2 rows is broadcast for that).  Same definition as pandas
-    ``quantile`` / DuckDB ``quantile_cont``.
+    """Exact linear-interpolated quantiles ``{(col, p): value}`` in passes of bounded memory.
+
+    A mergeable sketch gives two values around each wanted rank; one counting
+    pass says how many rows lie below, at and between them.  A rank at one of
+    them is found; one between them is looked up among the values there if they are
+    few, else the interval is sketched again.  Counts are exact, so the sketch decides on the
+    number of passes alone, and nothing is sorted or shuffled but counts.  Same definition as
+    pandas ``quantile`` / DuckDB ``quantile_cont``; null and NaN values are missing.
     """
-    from pyspark.sql import Row
-    from tadkit.operators.frame import cumulative_sum
-
-    cols, probs = list(cols), list(probs)
-    long = melt(df.select(*cols), [], cols, "variable", "value", cast="double")
-    long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("c"))
-    ns = {r["variable"]: r["n"] for r in counts.groupBy("variable").agg(F.sum("c").alias("n")).collect()}
-    targets = []
-    for v, n in ns.items():
-        for p in probs:
-            h = (n - 1) * p
-            lo, hi = int(math.floor(h)), int(math.ceil(h))
-            targets += [Row(variable=v, p=float(p), which=0, rank=lo), Row(variable=v, p=float(p), which=1, rank=hi)]
-    out = {(c, float(p)): None for c in cols for p in probs}
-    if not targets:
-        return out
-    tdf = df.sparkSession.createDataFrame(targets, "variable string, p double, which int, rank long")
-    cum = cumulative_sum(counts, ["variable"], ["value"], ["c"])
-    hit = cum.join(F.broadcast(tdf), "variable").filter(
-        (F.col("rank") >= F.col("c_cum") - F.col("c")) & (F.col("rank") < F.col("c_cum")))
-    got = {(r["variable"], r["p"], r["which"]): r["value"] for r in hit.select("variable", "p", "which", "value").collect()}
-    for v, n in ns.items():
+    cols, probs = list(cols), [float(p) for p in probs]
+    names = [f"_x{i}" for i in range(len(cols))]
+    x = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(n) for c, n in zip(cols, names)])
+    near = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 / _SKETCH, 2 / _SKETCH)})
+    if not near or not names:
+        return {}
+    first = x.agg(*[F.count(n).alias(f"{n}_n") for n in names], *[F.percentile_approx(n, near, _SKETCH).alias(f"{n}_q") for n in names]).first()
+    total = {n: first[f"{n}_n"] for n in names}
+    points = {n: sorted(set(first[f"{n}_q"] or [])) for n in names}
+    wanted = {(n, r) for n in names if total[n] for p in probs for r in (math.floor((total[n] - 1) * p), math.ceil((total[n] - 1) * p))}
+    found: dict[tuple[str, int], float] = {}
+    while wanted:
+        # Rows by place: 2j between points j - 1 and j, 2j + 1 at point j.
+        place = {n: functools.reduce(lambda s, v: s + (F.col(n) > v).cast("int") + (F.col(n) >= v).cast("int"), points[n], F.lit(0)) for n in names}
+        at = F.explode(F.array(*[F.struct(F.lit(n).alias("c"), place[n].alias("k"), F.col(n).alias("v")) for n in names])).alias("_p")
+        rows = x.select(at).select("_p.*").filter("v is not null")
+        held: dict[str, dict[int, int]] = {n: {} for n in names}
+        for r in rows.groupBy("c", "k").count().collect():               # two rows a point at most
+            held[r.c][r.k] = r["count"]
+        few: dict[tuple[str, int], list[tuple[int, int]]] = {}
+        many: dict[tuple[str, int], list[float]] = {}
+        for n, rank in sorted(wanted):
+            below = 0
+            for k in sorted(held[n]):
+                if rank < below + held[n][k]:
+                    break
+                below += held[n][k]
+            else:
+                raise ValueError(f"{cols[names.index(n)]} has other rows in each pass")
+            if k % 2:
+                found[n, rank] = points[n][k // 2]
+            elif held[n][k] <= _FEW:
+                few.setdefault((n, k), []).append((rank, rank - below))
+            else:
+                q = (rank - below + 0.5) / held[n][k]
+                many.setdefault((n, k), []).extend([max(0.0, q - 2 / _SKETCH), min(1.0, q + 2 / _SKETCH)])
+        if few:
+            inside = functools.reduce(lambda s, t: s | t, [(F.col("c") == n) & (F.col("k") == k) for n, k in few])
+            values: dict[tuple[str, int], list] = {}
+            for r in rows.filter(inside).groupBy("c", "k", "v").count().collect():       # _FEW rows an interval at most
+                values.setdefault((r.c, r.k), []).append((r.v, r["count"]))
+            for (n, k), ranks in few.items():
+                ordered = [v for v, c in sorted(values[n, k]) for _ in range(c)]
+                found |= {(n, rank): ordered[i] for rank, i in ranks}
+        wanted -= found.keys()
+        if many:
+            def within(n: str, k: int) -> Column:
+                low, high = points[n][k // 2 - 1:k // 2], points[n][k // 2:k // 2 + 1]
+                return functools.reduce(lambda s, t: s & t, [F.col(n) > v for v in low] + [F.col(n) < v for v in high], F.lit(True))
+            sketch = x.agg(*[F.percentile_approx(F.when(within(n, k), F.col(n)), sorted(set(q)), _SKETCH).alias(f"{n}_{k}") for (n, k), q in many.items()]).first()
+            points = {n: sorted({*points[n], *(v for m, k in many if m == n for v in sketch[f"{n}_{k}"])}) for n in names}
+    out = {}
+    for c, n in zip(cols, names):
         for p in probs:
-            h = (n - 1) * float(p)
+            h = (total[n] - 1) * p
             lo = math.floor(h)
-            x0, x1 = got[(v, float(p), 0)], got[(v, float(p), 1)]
-            out[(v, float(p))] = x0 + (h - lo) * (x1 - x0)
+            x0, x1 = found.get((n, lo)), found.get((n, math.ceil(h)))
+            out[c, p] = x0 if x0 == x1 else x0 + (h - lo) * (x1 - x0)
     return out
 
 

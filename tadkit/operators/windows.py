@@ -7,12 +7,17 @@ there is one path for all sizes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tadkit.functions.dates import WEEKDAY_LETTERS, epoch_micros
+from tadkit.session import written
 
 DAY_US = 86_400 * 1_000_000
 
@@ -129,10 +134,13 @@ def period_changes(df: DataFrame, by, order: str, value: str) -> DataFrame:
 
 # E7 / E8 / E9 / C8 -----------------------------------------------------------
 # Sums over time windows are differences of two running sums, so their cost
-# follows the rows, not rows times window length, and the running sums cut a
-# heavy key across range partitions.  Values are summed as decimals, which
-# makes the differences exact.
+# follows the rows, not rows times window length.  A row's own window ends
+# where it stands, so one sweep over sorted range partitions gives most of them;
+# what a heavy key has before a partition comes from ``interval_sums``, whose
+# running sums cut it across partitions.  Values are summed as integers or
+# decimals, which makes the differences exact.
 _EXACT = "decimal(38,10)"
+_SWEEP_ROWS = 100_000        # rows that a sweep takes at a time
 
 
 def interval_sums(rows: DataFrame, anchors: DataFrame, sums: Sequence[str], closed: bool = False,
@@ -156,11 +164,127 @@ def interval_sums(rows: DataFrame, anchors: DataFrame, sums: Sequence[str], clos
     return cum.groupBy("_id").agg(*out, *[F.max(F.when(F.col("_sign") == 1, F.col(f"{c}_cum"))).alias(c) for c in maxes])
 
 
-def _window_rows(df: DataFrame, key: str, ts: str, value: str, row_id: str, days: int) -> tuple[DataFrame, DataFrame]:
+def _window_rows(df: DataFrame, key: str, ts: str, value: str, row_id: str) -> DataFrame:
+    """Rows with key, time and value; the value as whole units and ten-billionths, whose sums are exact."""
     base = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"), epoch_micros(ts).alias("_us"), F.col(value).cast("double").alias("_v"),
                      F.hour(F.col(ts)).alias("_h"), F.weekday(F.col(ts)).alias("_d"))
-    base = base.withColumns({"_n": F.lit(1).cast("long"), "_nv": F.col("_v").isNotNull().cast("long"), "_s": F.col("_v").cast(_EXACT)})
-    return base, base.select("_id", "_k", (F.col("_us") - days * DAY_US).alias("_lo"), F.col("_us").alias("_hi"))
+    exact = F.col("_v").cast(_EXACT)
+    return base.withColumns({"_si": F.floor(exact).cast("long"), "_sf": ((exact - F.floor(exact)) * 10 ** 10).cast("long")})
+
+
+def _starts(t: np.ndarray, key: np.ndarray, at: np.ndarray, closed: bool = False) -> np.ndarray:
+    """Position among rows (sorted by key and time ``t``) of time ``at`` of each row's key:
+    that of its first row there or later, behind those at that time if ``closed``."""
+    n = len(t)
+    flag = np.concatenate([np.ones(n, np.int8), np.full(n, 2 if closed else 0, np.int8)])
+    order = np.lexsort((flag, np.concatenate([t, at]), np.concatenate([key, key])))
+    row = order < n
+    place = np.empty(n, np.int64)
+    place[order[~row] - n] = np.cumsum(row)[~row]
+    return place
+
+
+def _sweep(counts: bool, closed: bool):
+    """One pass over a range partition sorted by key, time and value, in runs of Arrow
+    batches.  Rows that later windows of the last key may still reach are carried over."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
+        carried, fresh, start, done = None, [], None, False
+        source = iter(batches)
+        while not done:
+            batch = next(source, None)
+            done = batch is None
+            if batch is not None:
+                fresh.append(batch)
+            old = carried.num_rows if carried is not None else 0
+            if not fresh or (not done and sum(b.num_rows for b in fresh) < max(_SWEEP_ROWS, old)):
+                continue
+            new = pa.Table.from_batches(fresh)
+            fresh = []
+            x = pa.concat_tables([carried, new]) if old else new
+            k = x.column("_k").combine_chunks()
+            code = np.concatenate([[0], np.cumsum(pc.not_equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            us, lo, hi = (x.column(c).to_numpy() for c in ("_us", "_lo", "_hi"))
+            if start is None:
+                start = (k[0], us[0])
+            i, j = _starts(us, code, lo), _starts(us, code, hi, closed)
+            j = np.maximum(i, j)
+
+            def total(v: np.ndarray) -> np.ndarray:
+                c = np.concatenate([[0], np.cumsum(v)])
+                return (c[j] - c[i])[old:]
+            v = x.column("_v")
+            known = pc.is_valid(v).to_numpy().astype(np.int64)
+            some = (j > i)[old:]
+            last = np.maximum(j - 1, 0)[old:]
+            first = pc.equal(k, start[0]).to_numpy(zero_copy_only=False)[old:]
+            # What lies before the partition is left to a second pass.
+            late = first & (lo[old:] < start[1])
+            until = np.minimum(hi[old:], start[1] - (1 if closed else 0))
+            m = len(us) - old
+            cols = {"_id": x.column("_id").combine_chunks()[old:], "_n": pa.array((j - i)[old:]), "_nv": pa.array(total(known)),
+                    "_si": pa.array(total(x.column("_si").fill_null(0).to_numpy())), "_sf": pa.array(total(x.column("_sf").fill_null(0).to_numpy())),
+                    "_us": pa.array(us[old:]), "_last_us": pa.array(us[last], mask=~some),
+                    "_last_v": pc.if_else(pa.array(some), v.combine_chunks().take(pa.array(last)), pa.scalar(None, pa.float64())),
+                    "_k": k[old:], "_lo": pa.array(lo[old:], mask=~late), "_hi": pa.array(until, mask=~late),
+                    "_row": pa.array((part << 33) + number + np.arange(m))}
+            if counts:
+                hour, day = x.column("_h").to_numpy(), x.column("_d").to_numpy()
+                both = np.stack([total(hour == h) for h in range(24)] + [total(day == d) for d in range(7)], axis=1).astype(np.int32)
+                cols["_counts"] = pa.ListArray.from_arrays(pa.array(np.arange(0, 31 * m + 1, 31, dtype=np.int32)), pa.array(both.ravel()))
+            number += m
+            for b in pa.table(cols).to_batches(max_chunksize=10_000):
+                yield b
+            carried = x.slice(int(np.flatnonzero((code == code[-1]) & (us >= min(lo[-1], us[-1])))[0]))    # starts ascend
+    return run
+
+
+def _windows(base: DataFrame, closed: bool = False, counts: bool = False) -> DataFrame:
+    """Per row of ``base`` with key and time: number of its key's rows with
+    ``_lo <= _us < _hi`` (``<=`` if ``closed``), of those with a value, their sum,
+    the last of them and, with ``counts``, how many fall on each hour and weekday.
+
+    One sweep over range partitions.  Windows of a partition's first key that
+    begin before the partition get what lies there from a second pass
+    (``interval_sums``) over the keys that are cut by a partition's border.
+    """
+    k, ident = dict(base.dtypes)["_k"], dict(base.dtypes)["_id"]
+    x = base.filter("_k is not null and _us is not null and _lo is not null and _hi is not null")
+    schema = f"_id {ident}, _n long, _nv long, _si long, _sf long, _us long, _last_us long, _last_v double, _k {k}, _lo long, _hi long, _row long"
+    cols = ["_k", "_us", "_lo", "_hi", "_v", "_id", "_si", "_sf", *(["_h", "_d"] if counts else [])]
+    swept = x.select(*cols).repartitionByRange("_k", "_us").sortWithinPartitions("_k", "_us", "_v") \
+        .mapInArrow(_sweep(counts, closed), schema + (", _counts array<int>" if counts else ""))
+    swept = written(swept, "swept")
+    late = swept.filter("_lo is not null")
+    more = ["_n", "_nv", "_si", "_sf"]
+    one = {"_n": F.lit(1).cast("long"), "_nv": F.col("_v").isNotNull().cast("long"), "_last": F.struct("_us", "_v")}
+    if counts:
+        one |= {f"_c{h}": (F.col("_h") == h).cast("long") for h in range(24)} | {f"_c{24 + d}": (F.col("_d") == d).cast("long") for d in range(7)}
+    rows = x.join(late.select("_k").distinct(), "_k", "left_semi").withColumns(one)
+    sums = [*more, *[f"_c{i}" for i in range(31)]] if counts else more
+    before = interval_sums(rows, late.select(F.col("_row").alias("_id"), "_k", "_lo", "_hi"), sums, closed=closed, last="_last")
+    before = before.toDF(*[f"{c}_b" for c in before.columns]).withColumnRenamed("_id_b", "_row")
+    joined = late.join(before, "_row", "left")
+    whole = [(F.col(c) + F.coalesce(f"{c}_b", F.lit(0))).alias(c) for c in more]
+    reached = F.when((F.col("_n") == 0) & (F.col("_n_b") > 0), F.col("_last_b"))
+    whole += [F.coalesce("_last_us", reached["_us"]).alias("_last_us"), F.when(F.col("_n") > 0, F.col("_last_v")).otherwise(reached["_v"]).alias("_last_v")]
+    if counts:
+        whole.append(F.array(*[(F.element_at("_counts", i + 1) + F.coalesce(f"_c{i}_b", F.lit(0))).cast("int") for i in range(31)]).alias("_counts"))
+    names = ["_id", "_us", *more, "_last_us", "_last_v", *(["_counts"] if counts else [])]
+    inside = swept.filter("_lo is null").select(*names)
+    across = joined.select("_id", "_us", *whole).select(*names)
+    return inside.unionByName(across)
+
+
+def _swept_sum() -> Column:
+    """The exact sum of the values of a window."""
+    return F.when(F.col("_nv") > 0, (F.col("_si").cast(_EXACT) + F.col("_sf").cast("decimal(28,0)") / F.lit(10 ** 10).cast("decimal(11,0)")).cast(_EXACT).cast("double"))
+
+
+def _with_the_rest(found: DataFrame, base: DataFrame) -> DataFrame:
+    """Rows without key or time have empty windows."""
+    rest = base.filter("_k is null or _us is null or _lo is null or _hi is null").select("_id", "_us", F.lit(0).cast("long").alias("_n"))
+    return found.unionByName(rest, allowMissingColumns=True)
 
 
 def lookback_features(df: DataFrame, key: str, ts: str, value: str, row_id: str,
@@ -171,53 +295,48 @@ def lookback_features(df: DataFrame, key: str, ts: str, value: str, row_id: str,
     ties of the last timestamp), hours_top (top_n most frequent hours, sorted
     by hour, ``|``-joined) and weekdays_top (top_n weekdays, sorted Monday
     first, as letters).  Frequency ties go to the smaller hour / weekday.
-    Rows without key or time are kept, with num_op 0.
+    Rows without key or time are kept, with num_op 0.  Values are summed at ten
+    decimals and must lie within 64-bit integers.
     """
-    base, anchors = _window_rows(df, key, ts, value, row_id, days)
-    hours, weekdays = [f"_h{h}" for h in range(24)], [f"_d{d}" for d in range(7)]
-    rows = base.withColumns({f"_h{h}": (F.col("_h") == h).cast("long") for h in range(24)}
-                            | {f"_d{d}": (F.col("_d") == d).cast("long") for d in range(7)}
-                            | {"_last": F.struct("_us", "_v")})
-    got = interval_sums(rows, anchors, ["_n", "_nv", "_s", *hours, *weekdays], last="_last")
-    x = base.select("_id", "_us").join(got, "_id", "left").withColumn("_last", F.when(F.col("_n") > 0, F.col("_last")))
-
-    def top(prefix: str, n_levels: int, label=None) -> Column:
-        arr = F.array(*[F.struct((-F.col(f"{prefix}{i}")).alias("c"), F.lit(i).alias("v")) for i in range(n_levels)])
+    base = _window_rows(df, key, ts, value, row_id)
+    base = base.withColumns({"_lo": F.col("_us") - days * DAY_US, "_hi": F.col("_us")})
+    x = _with_the_rest(_windows(base, counts=True), base)
+
+    def top(first: int, n_levels: int, label=None) -> Column:
+        arr = F.transform(F.slice("_counts", first + 1, n_levels), lambda c, i: F.struct((-c).alias("c"), i.alias("v")))
         kept = F.slice(F.array_sort(F.filter(arr, lambda s: s["c"] < 0)), 1, top_n)
         vals = F.array_sort(F.transform(kept, lambda s: s["v"]))
         if label is not None:
             vals = F.transform(vals, lambda v: F.element_at(label, v + 1))
-        return F.array_join(F.transform(vals, lambda v: v.cast("string")), "|")
+        return F.coalesce(F.array_join(F.transform(vals, lambda v: v.cast("string")), "|"), F.lit(""))
 
     letters = F.array(*[F.lit(ch) for ch in WEEKDAY_LETTERS])
     return x.select(
-        F.col("_id").alias(row_id), F.coalesce("_n", F.lit(0)).cast("long").alias("num_op"),
-        F.try_divide(F.col("_s").cast("double"), F.col("_nv")).alias("value_mean"),
-        ((F.col("_us") - F.col("_last._us")) / 1e6).alias("secs_since_last"),
-        F.col("_last._v").alias("value_last"),
-        top("_h", 24).alias("hours_top"), top("_d", 7, letters).alias("weekdays_top"))
+        F.col("_id").alias(row_id), F.col("_n").alias("num_op"),
+        F.try_divide(_swept_sum(), F.col("_nv")).alias("value_mean"),
+        ((F.col("_us") - F.col("_last_us")) / 1e6).alias("secs_since_last"),
+        F.col("_last_v").alias("value_last"),
+        top(0, 24).alias("hours_top"), top(24, 7, letters).alias("weekdays_top"))
 
 
 def lookback_agg(df: DataFrame, key: str, ts: str, value: str, row_id: str, days: int) -> DataFrame:
     """Count / sum / mean of the key's values in ``[ts - days, ts)`` per row."""
-    base, anchors = _window_rows(df, key, ts, value, row_id, days)
-    x = base.select("_id").join(interval_sums(base, anchors, ["_n", "_nv", "_s"]), "_id", "left")
-    total = F.when(F.col("_nv") > 0, F.col("_s").cast("double"))
-    return x.select(F.col("_id").alias(row_id), F.coalesce("_n", F.lit(0)).cast("long").alias("n_prev"), total.alias("sum_prev"),
-                    (total / F.col("_nv")).alias("mean_prev"))
+    base = _window_rows(df, key, ts, value, row_id)
+    base = base.withColumns({"_lo": F.col("_us") - days * DAY_US, "_hi": F.col("_us")})
+    x = _with_the_rest(_windows(base), base)
+    total = _swept_sum()
+    return x.select(F.col("_id").alias(row_id), F.col("_n").alias("n_prev"), total.alias("sum_prev"), (total / F.col("_nv")).alias("mean_prev"))
 
 
 def year_ago_mean(df: DataFrame, key: str, ts: str, value: str, row_id: str,
                   days: int = 30, years: int = 1, alias: str = "value_mean_year_ago") -> DataFrame:
     """Mean of the key's values in [ts - years - days, ts - years] (both closed,
     calendar years: Feb 29 -> Feb 28)."""
-    base, _ = _window_rows(df, key, ts, value, row_id, days)
-    end = F.col(ts).cast("timestamp") - F.make_ym_interval(F.lit(years), F.lit(0))
-    anchors = df.select(F.col(row_id).alias("_id"), F.col(key).alias("_k"), F.unix_micros(end).alias("_hi")) \
-        .withColumn("_lo", F.col("_hi") - days * DAY_US)
-    got = interval_sums(base, anchors, ["_nv", "_s"], closed=True)
-    x = df.select(F.col(row_id).alias("_id")).join(got, "_id", "left")
-    return x.select(F.col("_id").alias(row_id), F.try_divide(F.col("_s").cast("double"), F.col("_nv")).alias(alias))
+    end = F.timestamp_micros("_us") - F.make_ym_interval(F.lit(years), F.lit(0))
+    base = _window_rows(df, key, ts, value, row_id).withColumn("_hi", F.unix_micros(end))
+    base = base.withColumn("_lo", F.col("_hi") - days * DAY_US)
+    x = _with_the_rest(_windows(base, closed=True), base)
+    return x.select(F.col("_id").alias(row_id), F.try_divide(_swept_sum(), F.col("_nv")).alias(alias))
 
 
 # E10 / E11 -----------------------------------------------------------------

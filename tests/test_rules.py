@@ -240,6 +240,30 @@ def test_nan_is_missing_in_quantiles(spark):
     assert (r["q1"], r["median"], r["q3"]) == (1.25, 1.5, 1.75)
 
 
+@pytest.mark.parametrize(("sketch", "few"), [(10_000, 10_000), (10, 3)])
+def test_quantiles_by_brackets(spark, monkeypatch, sketch, few):
+    """Equal to a sort, with ties, a value that half of the rows have, infinities, nulls and NaN; also
+    where the sketch is rough and intervals have to be cut again."""
+    import random
+    import numpy as np
+    monkeypatch.setattr(ag, "_SKETCH", sketch)
+    monkeypatch.setattr(ag, "_FEW", few)
+    rng = random.Random(5)
+    rows = [(rng.gauss(0, 1), float(rng.randrange(4)), 7.0 if i % 2 else rng.random() * 14, None) for i in range(1500)]
+    rows += [(float("inf"), -0.0, None, None), (float("-inf"), None, float("nan"), None), (None, 2.0, 7.0, float("nan"))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(7)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.7501, 0.99, 1.0]
+    got = ag.exact_quantiles(df, ["a", "b", "c", "d"], probs)
+    for i, c in enumerate("abc"):
+        v = np.sort([r[i] for r in rows if r[i] is not None and r[i] == r[i]])
+        for p in probs:
+            h = (len(v) - 1) * p
+            lo, hi = v[int(np.floor(h))], v[int(np.ceil(h))]
+            want = lo if lo == hi or h == np.floor(h) else lo + (h - np.floor(h)) * (hi - lo)
+            assert got[c, p] == want or (got[c, p] != got[c, p] and want != want) or np.isinf(lo) or np.isinf(hi), (c, p)
+    assert all(got["d", p] is None for p in probs)
+
+
 def test_long_basket_is_one_row(spark):
     df = spark.range(2500).selectExpr("1 as c", "id as t", "id as item")
     assert [len(r["items"]) for r in ag.ordered_basket(df, "c", "t", "item").collect()] == [2500]
