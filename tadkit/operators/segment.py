@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -68,6 +69,48 @@ def elbow_table(spark, df: DataFrame, features: str, ks: Sequence[int], seed: in
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
+def silhouettes(df: DataFrame, key: str, vec: str, cluster: str) -> DataFrame:
+    """Silhouette of every row (squared Euclidean): key, cluster, silhouette.
+
+    A row's mean squared distance to a cluster follows from the cluster's count, sum
+    and sum of squared norms, so no pairs are made; one such row a cluster is held
+    by every task.  The only row of a cluster has 0, as has every row where there is one
+    cluster.  Rows without vector or cluster are dropped.
+    """
+    x = df.filter(F.col(vec).isNotNull() & F.col(cluster).isNotNull()).select(key, cluster, to_array(vec).alias("_x"))
+    sq = F.aggregate("_x", F.lit(0.0), lambda s, v: s + v * v)
+    stats = x.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), F.sum(sq).alias("sq")).join(mean_vector(x, "_x", [cluster], "m"), cluster).collect()
+    at = {r[cluster]: i for i, r in enumerate(stats)}
+    n, sq = np.array([r.n for r in stats], float), np.array([r.sq for r in stats])
+    total = np.array([r.m for r in stats], float).reshape(len(stats), -1) * n[:, None]
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            v = np.stack(b["_x"]).astype(float) if len(b) else np.zeros((0, total.shape[1]))
+            own, rows = b[cluster].map(at).to_numpy(int), np.arange(len(b))
+            far = np.maximum(n * (v * v).sum(axis=1)[:, None] - 2 * v @ total.T + sq, 0)          # sums of squared distances
+            a = far[rows, own] / np.maximum(n[own] - 1, 1)
+            mean = far / n
+            mean[rows, own] = np.inf
+            other = mean.min(axis=1)
+            top = np.maximum(a, other)
+            s = np.where((n[own] > 1) & np.isfinite(other) & (top > 0), (other - a) / np.where(top > 0, top, 1), 0.0)
+            yield pd.DataFrame({key: b[key], cluster: b[cluster], "silhouette": s})
+    types = dict(x.dtypes)
+    return x.mapInPandas(score, f"`{key}` {types[key]}, `{cluster}` {types[cluster]}, silhouette double")
+
+
+def silhouette_spread(scores: DataFrame, cluster: str) -> DataFrame:
+    """Per cluster: rows, least silhouette, quartiles, mean and the share below 0."""
+    from tadkit.operators.aggregate import grouped_quantiles
+    scores = written(scores, "silhouettes")
+    q = grouped_quantiles(scores, [cluster], "silhouette", [0.25, 0.5, 0.75], alias="q")
+    q = q.groupBy(cluster).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    s = scores.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), F.min("silhouette").alias("least"), F.avg("silhouette").alias("mean"),
+                                    F.avg((F.col("silhouette") < 0).cast("double")).alias("negative_share"))
+    return s.join(q, cluster)
+
+
 # N3 ------------------------------------------------------------------------
 def cluster_indices(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     """Davies-Bouldin and Calinski-Harabasz from centroids and two aggregates."""
@@ -368,5 +411,46 @@ def recluster_largest(df: DataFrame, features: str, cluster: str, k: int, seed:
     return rest.unionByName(sub)
 
 
+# N13 -----------------------------------------------------------------------
+def label_agreement(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
+    """Agreement of two labellings of the same rows, per ``by``: n, the Rand index adjusted
+    for chance (Hubert and Arabie; 1 if both have one and the same class), and the share of
+    rows whose ``b`` is the commonest of their ``a`` (ties do not matter).
+
+    From the contingency table, so the rows are aggregated once.  Rows with a null label are dropped.
+    """
+    by = list(by)
+    cell = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*by, F.col(a).alias("_a"), F.col(b).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+
+    def pairs(c: str) -> Column:
+        n = F.col(c).cast("double")
+        return n * (n - 1) / 2
+    both = cell.groupBy(*by).agg(F.sum(pairs("_n")).alias("_ab"), F.sum("_n").alias("n"))
+    row = cell.groupBy(*by, "_a").agg(F.sum("_n").alias("_m"), F.max("_n").alias("_top"))
+    row = row.groupBy(*by).agg(F.sum(pairs("_m")).alias("_pa"), F.sum("_top").alias("_top"))
+    col = cell.groupBy(*by, "_b").agg(F.sum("_n").alias("_m")).groupBy(*by).agg(F.sum(pairs("_m")).alias("_pb"))
+    on = [F.lit(1).alias("_j")] if not by else by
+    t = functools.reduce(lambda x, y: x.join(y, by or ["_j"]), [d if by else d.select("*", *on) for d in (both, row, col)])
+    chance = F.try_divide(F.col("_pa") * F.col("_pb"), pairs("n"))
+    top = (F.col("_pa") + F.col("_pb")) / 2
+    ari = F.when(top == F.coalesce(chance, top), 1.0).otherwise((F.col("_ab") - chance) / (top - chance))
+    return t.select(*by, "n", ari.alias("adjusted_rand"), (F.col("_top") / F.col("n")).alias("matched_share"))
+
+
+def share_drift(df: DataFrame, cluster: str, period: str) -> DataFrame:
+    """Share of each cluster in each period, and its change since the period before
+    (since 0 where the cluster is new): period, cluster, n, share, drift (null in the first
+    period).  Clusters that a period has not are rows with n = 0; null periods and clusters are dropped.
+    """
+    x = df.filter(F.col(cluster).isNotNull() & F.col(period).isNotNull())
+    n = x.groupBy(period, cluster).agg(F.count(F.lit(1)).alias("n"))
+    whole = n.groupBy(period).agg(F.sum("n").alias("_all"))
+    cells = n.select(cluster).distinct().withColumn(period, F.explode(n.agg(F.sort_array(F.collect_set(period))).scalar()))
+    grid = cells.join(n, [period, cluster], "left").join(whole, period).select(period, cluster, F.coalesce("n", F.lit(0)).alias("n"), "_all")
+    share = F.col("n") / F.col("_all")
+    before = Window.partitionBy(cluster).orderBy(period)
+    return grid.select(period, cluster, "n", share.alias("share"), (share - F.lag(share).over(before)).alias("drift"))
+
+
 def predictions_as_array(pred: DataFrame, col: str = "probability", out: str = "proba") -> DataFrame:
     return pred.withColumn(out, vector_to_array(F.col(col)))

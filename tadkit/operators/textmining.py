@@ -11,6 +11,8 @@ of joining tables pairwise.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import CountVectorizer, Word2Vec
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tadkit.operators.frame import add_row_id
+from tadkit.session import written
 
 
 def _c(x) -> Column:
@@ -284,6 +287,61 @@ def lag_regression_forecast(series: DataFrame, key: str, t: str, y: str, lags: i
     return j.select(key, "_t", roll(*a_cols, *b_cols, F.col("_last")).alias("forecast"))
 
 
+def rolling_origin(series: DataFrame, key: str, t: str, y: str, lags: int, horizon: int, min_train: int, window: int | None = None) -> DataFrame:
+    """Forecasts from every origin: key, origin, step, target time, actual, forecast, error.
+
+    At each time with at least ``min_train`` usable rows behind it, the lag
+    regression of ``lag_regression_forecast`` is fitted to the rows up to there (the
+    last ``window`` rows, if given) and rolled ``horizon`` steps.  The normal equations are
+    running sums over time, so a fit is one row, or the difference of two; no
+    fit reads the series again.  Rows of a null key or time are dropped; a row whose lags or
+    value are null is no training row, and no origin.
+    """
+    from tadkit.operators.frame import cumulative_sum
+    from tadkit.operators.windows import lag_columns
+    p = lags + 1
+    src = series.filter(F.col(key).isNotNull() & F.col(t).isNotNull()).select(key, t, F.col(y).cast("double").alias("_y"))
+    x = lag_columns(src, [key], [t], "_y", list(range(1, lags + 1)), prefix="_l")
+    feats = [F.lit(1.0)] + [F.col(f"_l{i}") for i in range(1, p)]
+    usable = functools.reduce(lambda a, b: a & b, [c.isNotNull() for c in [*feats[1:], F.col("_y")]])
+    sums = {f"a{i}_{j}": feats[i] * feats[j] for i in range(p) for j in range(i, p)} | {f"b{i}": feats[i] * F.col("_y") for i in range(p)}
+    x = x.withColumns({c: F.when(usable, v).otherwise(0.0) for c, v in sums.items()} | {"_pos": F.lit(1).cast("long")})
+    cum = written(cumulative_sum(x, [key], [t], ["_pos", *sums]).drop("_pos", *sums).withColumnRenamed("_pos_cum", "_pos"), "running")
+    fit = cum
+    if window:
+        old = cum.select(key, (F.col("_pos") + window).alias("_pos"), *[F.col(f"{c}_cum").alias(f"{c}_old") for c in sums])
+        fit = cum.join(old, [key, "_pos"], "left").withColumns({f"{c}_cum": F.col(f"{c}_cum") - F.coalesce(f"{c}_old", F.lit(0.0)) for c in sums})
+    hist = F.array(F.col("_y"), *[F.col(f"_l{i}") for i in range(1, lags)])
+    ready = F.col("a0_0_cum") >= max(min_train, p)
+    A = F.array(*[F.col(f"a{min(i, j)}_{max(i, j)}_cum") for i in range(p) for j in range(p)])
+    fit = fit.filter(ready & ~F.exists(hist, lambda v: v.isNull())).select(key, F.col(t).alias("origin"), "_pos", A.alias("_A"),
+                                                                           F.array(*[F.col(f"b{i}_cum") for i in range(p)]).alias("_b"), hist.alias("_h"))
+
+    @F.pandas_udf("array<double>")
+    def roll(A: pd.Series, b: pd.Series, hist: pd.Series) -> pd.Series:
+        out = []
+        for a, v, h in zip(A, b, hist):
+            beta = np.linalg.lstsq(np.asarray(a, float).reshape(p, p), np.asarray(v, float), rcond=None)[0]
+            h, preds = list(h), []
+            for _ in range(horizon):
+                preds.append(float(beta[0] + sum(beta[i] * h[i - 1] for i in range(1, p))))
+                h = [preds[-1], *h[:-1]]
+            out.append(preds)
+        return pd.Series(out)
+    made = fit.select(key, "origin", "_pos", F.posexplode(roll("_A", "_b", "_h")).alias("_i", "forecast"))
+    made = made.select(key, "origin", (F.col("_i") + 1).alias("step"), (F.col("_pos") + F.col("_i") + 1).alias("_pos"), "forecast")
+    actual = cum.select(key, "_pos", F.col(t).alias("target"), F.col("_y").alias("actual")).filter("actual is not null")
+    return made.join(actual, [key, "_pos"]).drop("_pos").withColumn("error", F.col("actual") - F.col("forecast"))
+
+
+def errors_by_step(forecasts: DataFrame, by=()) -> DataFrame:
+    """M20 of the forecasts of ``rolling_origin`` per step: n, mae, mse, rmse, r2."""
+    spread = F.var_pop("actual")
+    return forecasts.groupBy(*by, "step").agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs("error")).alias("mae"), F.avg(F.col("error") * F.col("error")).alias("mse"),
+                                              F.sqrt(F.avg(F.col("error") * F.col("error"))).alias("rmse"),
+                                              F.when(spread > 0, 1 - F.avg(F.col("error") * F.col("error")) / spread).alias("r2"))
+
+
 # O15 -----------------------------------------------------------------------
 def future_months(df: DataFrame, key: str, last: str, horizon: int) -> DataFrame:
     from tadkit.functions.dates import month_start_sequence

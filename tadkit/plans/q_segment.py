@@ -41,6 +41,20 @@ def n2_elbow(spark, d):
     return sg.elbow_table(spark, _emb(spark, d), "features", [2, 3, 4, 5, 6])
 
 
+@query("n2_silhouette_spread", """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+d AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.x, b.x) ^ 2) AS s, count(*) AS n FROM e a, e b GROUP BY ALL),
+o AS (SELECT vec_id, label, max(CASE WHEN other = label THEN s / (n - 1) END) AS a, min(CASE WHEN other <> label THEN s / n END) AS b FROM d GROUP BY ALL),
+s AS (SELECT label, (b - a) / greatest(a, b) AS v FROM o)
+SELECT label, count(*) AS n, round(min(v), 6) AS least, round(avg(v), 6) AS mean, avg((v < 0)::INT::DOUBLE) AS negative_share,
+       round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.5), 6) AS median, round(quantile_cont(v, 0.75), 6) AS q3
+FROM s GROUP BY label""")
+def n2_spread(spark, d):
+    """How the silhouettes of a labelling spread inside each class."""
+    t = sg.silhouette_spread(sg.silhouettes(Tables(spark, d).embeddings, "vec_id", "embedding", "label"), "label")
+    return t.select("label", "n", "negative_share", *[F.round(c, 6).alias(c) for c in ("least", "mean", "q1", "median", "q3")])
+
+
 @query("n3_davies_bouldin_calinski", """
 WITH e AS (SELECT label, vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
 cent AS (SELECT label, i, avg(v) AS c FROM e GROUP BY 1, 2),
@@ -179,3 +193,41 @@ def n13_tests(spark, d):
     c = Tables(spark, d).customer
     kw = st.kruskal_wallis(c, "c_mktsegment", "c_acctbal")
     return kw.select(F.lit("kruskal").alias("test"), F.round("h", 6).alias("stat"), F.round("p_value", 6).alias("p_value"))
+
+
+_STABLE_SQL = """
+WITH o AS (SELECT o_custkey AS c, year(o_orderdate) AS y, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders GROUP BY ALL),
+x AS (SELECT c, CAST(y AS INTEGER) AS y, CAST(CASE WHEN v < 200000 THEN 0 WHEN v < 500000 THEN 1 ELSE 2 END AS INTEGER) AS k FROM o)
+"""
+
+
+def _spend_bands(spark, d):
+    """Customers by what they spend in a year, in three classes."""
+    o = Tables(spark, d).orders.groupBy(F.col("o_custkey").alias("c"), F.year("o_orderdate").alias("y")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("v"))
+    return o.select("c", "y", F.when(F.col("v") < 200000, 0).when(F.col("v") < 500000, 1).otherwise(2).alias("k"))
+
+
+@query("n13_share_drift_per_year", _STABLE_SQL + """,
+g AS (SELECT y, k, count(x.c) AS n FROM (SELECT DISTINCT y FROM x) CROSS JOIN (SELECT DISTINCT k FROM x) LEFT JOIN x USING (y, k) GROUP BY ALL),
+s AS (SELECT y, k, n, n / sum(n) OVER (PARTITION BY y) AS share FROM g)
+SELECT y, k, n, round(share, 9) AS share, round(share - lag(share) OVER (PARTITION BY k ORDER BY y), 9) AS drift FROM s""")
+def n13_drift(spark, d):
+    """Share of each class of customers per year and its change."""
+    s = sg.share_drift(_spend_bands(spark, d), "k", "y")
+    return s.select("y", "k", "n", F.round("share", 9).alias("share"), F.round("drift", 9).alias("drift"))
+
+
+@query("n13_label_agreement_per_year", _STABLE_SQL + """,
+p AS (SELECT b.y, a.k AS a, b.k AS b FROM x a JOIN x b ON a.c = b.c AND b.y = a.y + 1),
+t AS (SELECT y, a, b, count(*) AS n FROM p GROUP BY ALL),
+i AS (SELECT y, sum(n * (n - 1) / 2.0) AS ab, sum(n) AS n FROM t GROUP BY y),
+ra AS (SELECT y, sum(m * (m - 1) / 2.0) AS pa, sum(top) AS top FROM (SELECT y, a, sum(n) AS m, max(n) AS top FROM t GROUP BY ALL) GROUP BY y),
+rb AS (SELECT y, sum(m * (m - 1) / 2.0) AS pb FROM (SELECT y, b, sum(n) AS m FROM t GROUP BY ALL) GROUP BY y)
+SELECT y, CAST(n AS BIGINT) AS n, round((ab - pa * pb / (n * (n - 1) / 2.0)) / ((pa + pb) / 2 - pa * pb / (n * (n - 1) / 2.0)), 9) AS adjusted_rand,
+       round(top / n, 9) AS matched_share FROM i JOIN ra USING (y) JOIN rb USING (y)""")
+def n13_agreement(spark, d):
+    """Agreement of customers' classes with those of the year before."""
+    x = _spend_bands(spark, d)
+    p = x.select("c", (F.col("y") + 1).alias("y"), F.col("k").alias("a")).join(x.withColumnRenamed("k", "b"), ["c", "y"])
+    g = sg.label_agreement(p, "a", "b", ["y"])
+    return g.select("y", "n", F.round("adjusted_rand", 9).alias("adjusted_rand"), F.round("matched_share", 9).alias("matched_share"))

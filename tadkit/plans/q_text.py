@@ -528,6 +528,28 @@ def o14_forecast(spark, d):
     return tm.lag_regression_forecast(m, "s", "month", "y", lags=3, horizon=4)
 
 
+@query("o14_rolling_origin_errors", """
+WITH m AS (SELECT o_orderpriority AS s, date_trunc('month', o_orderdate) AS t, count(*)::DOUBLE AS y FROM orders GROUP BY 1, 2),
+l AS (SELECT *, lag(y) OVER w AS x, row_number() OVER w AS pos FROM m WINDOW w AS (PARTITION BY s ORDER BY t)),
+f AS (SELECT s, pos, y, count(x) OVER w AS n, sum(x) OVER w AS sx, sum(CASE WHEN x IS NOT NULL THEN y END) OVER w AS sy,
+             sum(x * x) OVER w AS sxx, sum(x * y) OVER w AS sxy
+      FROM l WINDOW w AS (PARTITION BY s ORDER BY t ROWS UNBOUNDED PRECEDING)),
+b AS (SELECT s, pos, y, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS b1, n FROM f WHERE n >= 12),
+c AS (SELECT b.s, b.pos, b.y, b1, (f.sy - b1 * f.sx) / f.n AS b0 FROM b JOIN f USING (s, pos)),
+r AS (SELECT s, pos, b0 + b1 * y AS h1, b0 + b1 * (b0 + b1 * y) AS h2, b0 + b1 * (b0 + b1 * (b0 + b1 * y)) AS h3 FROM c),
+e AS (SELECT r.s, k AS step, l.y AS actual, l.y - [h1, h2, h3][k] AS error FROM r, range(1, 4) ks(k) JOIN l ON l.s = r.s AND l.pos = r.pos + k)
+SELECT s, step::INTEGER AS step, count(*) AS n, round(avg(abs(error)), 6) AS mae, round(avg(error * error), 5) AS mse,
+       round(sqrt(avg(error * error)), 6) AS rmse, round(1 - avg(error * error) / var_pop(actual), 6) AS r2
+FROM e GROUP BY s, step""")
+def o14_rolling(spark, d):
+    """Errors of the lag regression by steps ahead, fitted anew at every month from the twelfth on."""
+    o = Tables(spark, d).orders
+    m = o.groupBy(F.col("o_orderpriority").alias("s"), F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month")) \
+        .agg(F.count(F.lit(1)).alias("y"))
+    e = tm.errors_by_step(tm.rolling_origin(m, "s", "month", "y", lags=1, horizon=3, min_train=12), ["s"])
+    return e.select("s", "step", "n", *[F.round(c, 5 if c == "mse" else 6).alias(c) for c in ("mae", "mse", "rmse", "r2")])
+
+
 @query("o15_future_month_index", """
 WITH l AS (SELECT o_orderpriority AS s, max(CAST(o_orderdate AS DATE)) AS last FROM orders GROUP BY 1)
 SELECT s, CAST(k AS INTEGER) AS step, CAST(date_trunc('month', last) + to_months(CAST(k AS INTEGER)) AS DATE) AS month
