@@ -13,9 +13,9 @@ gaps cannot hold the rest, and the next superstep begins.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-import string
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,89 +30,61 @@ from pyspark.sql import functions as F
 
 from tadkit.llm.common import drop_table, prepare, written
 
-CACHE_WORDS = 1_000_000      # words whose ids a worker remembers at most
-CACHE_CHARS = 60             # longer ones are not remembered
-OTHER_LETTERS = "\u0530"     # Latin, Greek and Cyrillic ones lie before; Unicode's versions agree on them
+LONG_RUN = 100_000           # characters of white space
 LEAST_BUCKETS, BUCKET_ROWS, DRAWS = 16, 131_072, 4096
 
-_SEAM = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?:\s|\Z)")       # a blank that no word follows
+_BLANKS = re.compile(r"\s{%d}" % LONG_RUN)
+# Fixed value: the pre-tokens of byte-level tokenizers.
+_PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PIECE = "id long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def _byte_of() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: printable ones for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class ByteTokenizer:
-    """Token ids of texts by a byte-level tokenizer whose pre-tokens begin at a
-    blank before a non-blank.
+    """Token ids of texts by the file of a byte-level tokenizer.
 
-    A text is cut there into words, each encoded once and remembered.  New words
-    are encoded together: a token's bytes tell where a word ends.  Texts that
-    hold an added token are encoded as they are.
+    The vocabulary is given to ``tiktoken``, whose pre-tokens and merges are the same
+    and which is several times as fast.  Texts that hold an added token, or so long
+    a run of white space that its pattern cannot pass over it, go through
+    ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
-        added = {t.content: i for i, t in self._tok.get_added_tokens_decoder().items()}
-        vocabulary = self._tok.get_vocab()
-        self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)   # a symbol of a byte-level token is a byte
-        self._bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
-        self._added = re.compile("|".join(map(re.escape, added))) if added else None
-        self._forget()
-
-    def _forget(self) -> None:
-        self._behind: dict[str, bytes] = {}      # words behind a blank, without it: their ids with it
-        self._alone: dict[str, bytes] = {}       # marks, and words at the beginning
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self._tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of words with a blank before each, which part them wherever they stand."""
-        ids = self._encode("".join([" " + w for w in words]))
-        ends = np.cumsum(self._bytes[ids])
-        cuts = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words]) + np.arange(1, len(words) + 1)
-        at = [0, *(4 * (np.searchsorted(ends, cuts) + 1)).tolist()]
-        raw = ids.tobytes()
-        self._behind.update(zip(words, [raw[a:b] for a, b in zip(at, at[1:])]))
+        added = {t.content for t in self._tok.get_added_tokens_decoder().values()}
+        self._added = re.compile("|".join(map(re.escape, added)) if added else r"(?!)")
+        spec, byte = json.loads(self._tok.to_str()), _byte_of()
+        pre, model, vocabulary = spec["pre_tokenizer"] or {}, spec["model"], self._tok.get_vocab(with_added_tokens=False)
+        ranks = {bytes(byte[c] for c in t): i for t, i in vocabulary.items() if t not in added}
+        merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        if spec["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or merged != sorted(merged):
+            raise ValueError(f"{path} is no byte-level tokenizer whose ids follow its merges")
+        self._fast = Encoding("fast", pat_str=_PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self._behind) > CACHE_WORDS:
-            self._forget()
-        behind, alone, out = self._behind, self._alone, []
-        split = [[] if not t or (self._added and self._added.search(t)) else _SEAM.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        first = [ws.pop(0) if ws else None for ws in split]
-        new = set().union(*split).difference(behind) if split else set()
-        parts: list[tuple[str, str, str]] = []                             # word, its letters and the marks behind, a pre-token each
-        ask: list[str] = []
-        for w in new:
-            run = w.rstrip(string.punctuation)
-            if run != w and run.isalpha() and (run.isascii() or max(run) < OTHER_LETTERS):
-                parts.append((w, run, w[len(run):]))
+        out = []
+        for t in texts:
+            if self._added.search(t) or (len(t) > LONG_RUN and _BLANKS.search(t)):
+                ids = np.array(self._tok.encode(t, add_special_tokens=False).ids, "<u4")
             else:
-                ask.append(w)
-        ask += {run for _, run, _ in parts}.difference(behind, ask)
-        for i in range(0, len(ask), 2000):
-            self._learn(ask[i:i + 2000])
-        lone = {m for _, _, m in parts}.union(w for w in first if w is not None).difference(alone)
-        for m in lone:
-            alone[m] = self._encode(m).tobytes()
-        for w, run, mark in parts:
-            behind[w] = behind[run] + alone[mark]
-        get = behind.__getitem__
-        for t, head, ws in zip(texts, first, split):
-            out.append(alone[head] + b"".join(map(get, ws)) if head is not None else self._encode(t).tobytes() if t else b"")
-        for known, words in ((behind, ask), (behind, new), (alone, lone)):
-            for w in words:
-                if len(w) > CACHE_CHARS:
-                    known.pop(w, None)
+                ids = self._fast.encode_to_numpy(t, disallowed_special=()).astype("<u4", copy=False)
+            out.append(ids.tobytes())
         return out
 
 
 @lru_cache(maxsize=1)
 def byte_tokenizer(path: str) -> ByteTokenizer:
-    """The worker's tokenizer, with what it remembers, for all its tasks."""
+    """The worker's tokenizer, for all its tasks."""
     return ByteTokenizer(path)
 
 
@@ -314,10 +286,10 @@ def pack_best_fit(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        words = byte_tokenizer(tokenizer)
+        tok = byte_tokenizer(tokenizer)
         for batch in batches:
             cols: list[list] = [[] for _ in names]
-            for doc, tokens in zip(batch.column("doc_id").to_pylist(), words.encode([t or "" for t in batch.column("text").to_pylist()])):
+            for doc, tokens in zip(batch.column("doc_id").to_pylist(), tok.encode([t or "" for t in batch.column("text").to_pylist()])):
                 tokens, start = tokens + end, 0
                 for i, n in enumerate(cut_lengths(len(tokens) // 4, size)):
                     ids = tokens[4 * start:4 * (start + n)]

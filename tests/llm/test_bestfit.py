@@ -1,5 +1,6 @@
 """Best-fit packing: every id once, whole documents, few sequences."""
 
+import os
 import zlib
 
 import numpy as np
@@ -76,13 +77,29 @@ _TEXT = st.text(st.one_of(st.sampled_from(list("ab.,'s 7\n\t éİ 　\x1ć'…
 
 @settings(max_examples=400, deadline=None)
 @given(st.lists(_TEXT, max_size=6))
-def test_chunks_give_the_ids_of_the_whole_text(texts):
+def test_ids_are_those_of_the_tokenizer(texts):
     tok, words = Tokenizer.from_file(PATH) if not hasattr(check, "tok") else check.tok, getattr(check, "words", None) or ByteTokenizer(PATH)
     check.tok, check.words = tok, words
     got = words.encode(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_every_character_is_taken_alike():
+    """Letter, digit, blank or neither: both tokenizers must class each character the same way."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    tok, fast = Tokenizer.from_file(PATH), ByteTokenizer(PATH)
+    for lo in (*range(0, 0x20000, 0x4000), 0x2FC00, 0x30000, 0xE0000):
+        texts = [f"a{c}b1{c}2!{c}? {c} {c}{c} a'{c}s" for c in map(chr, range(lo, lo + 0x4000)) if not 0xD800 <= ord(c) < 0xE000]
+        want = [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        assert fast.encode(texts) == want
+
+
+def test_long_runs_of_blanks():
+    tok, fast = Tokenizer.from_file(PATH), ByteTokenizer(PATH)
+    for t in (" " * 400_000 + "a", "\n \t" * 100_000, "x" * 300_000, "a" + " " * 99_999):
+        assert np.frombuffer(fast.encode([t])[0], "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 @given(st.lists(st.tuples(st.integers(1, 9), st.integers(0, 1), st.integers(1, 3)), max_size=40), st.integers(1, 5))
 def test_buckets_match_as_one_sweep(rows, buckets):
     """Sweeps of ranges and the ranks between them place as many pieces as one sweep over all, each in a gap that holds it."""
