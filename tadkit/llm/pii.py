@@ -25,13 +25,13 @@ _LETTERS, _LETTERS36 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop
 # a candidate that fails its validation hides nothing from the others.
 SEARCHES = [
     # Labels are given back one by one (a full stop may end the sentence), 126 of them at most.
-    ("email", r"(?<![A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}", "", False),
+    ("email", r"(?<![\p{L}0-9._%+-])", r"[\p{L}0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}", "", False),
     ("secret", "", r"(?i:token|secret|api_?key|password)\s?[=:]\s?[\"'][0-9A-Fa-f]{16,}[\"']", "", False),
     ("iban", _EDGE, r"[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?)", _STOP, True),
     ("phone", "", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", _STOP, False),
     ("ssn", _EDGE, r"[0-9]{3}-[0-9]{2}-[0-9]{4}", _STOP, False),
-    ("date", _EDGE, r"[0-9]{4}-[0-9]{2}-[0-9]{2}", r"(?![0-9A-SU-Za-z]|T(?![0-9]{2}))", False),
-    ("date", _EDGE, r"[0-9]{2}[./][0-9]{2}[./][0-9]{4}", _STOP, False),
+    ("date", _EDGE, r"[0-9]{4}(?:-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}", r"(?![0-9A-SU-Za-z]|T(?![0-9]{2}))", False),
+    ("date", _EDGE, r"[0-9]{2}(?:[./][0-9]{2}[./]|-[0-9]{2}-)[0-9]{4}", _STOP, False),
     ("ip", _EDGE + r"(?<![0-9]\.)", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", r"(?!\.?[0-9A-Za-z])", False),
     # Cards as they are printed, at every group of a row of numbers.
     ("card", _EDGE, r"(?:[0-9]{13,19}|[0-9]{4}(?<s>[ -])(?:[0-9]{4}\k<s>[0-9]{4}\k<s>[0-9]{4}|[0-9]{6}\k<s>[0-9]{4,5}"
@@ -46,6 +46,11 @@ SEARCHES = [
 ]
 ANY = "|".join(before + candidate + behind for _, before, candidate, behind, _ in SEARCHES)
 _HINT = r"@|[0-9][ ./()-]{0,2}[0-9]|[=:]\s?[\"']"      # every candidate holds one of these
+# What is searched: words with a digit, an @ or a quoted hexadecimal value, the two words before them and,
+# between and behind them, short words in capitals (groups of an IBAN) and those that begin with = or :.
+_WORD = r"[^\s0-9@\"']*+(?:[\"'](?![0-9A-Fa-f]{16})[^\s0-9@\"']*+)*+[0-9@\"']\S*+"
+REGION = r"(?<!\S)(?:\S++\s++){0,2}?" + _WORD + r"(?:\s++(?:" + _WORD + r"|[A-Z]{1,4}(?![0-9A-Za-z])\S*+|[=:]\S*+))*+"
+_COLD = ""                                           # kind of the parts that hold nothing to search
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -214,14 +219,15 @@ def _date(text: Column, key: str) -> Column:
     """Days are permuted within 365 * 200 days from 1900-01-01; the order of
     year, month and day and the separators stay.  What is no date dd/MM may be
     one MM/dd."""
-    iso, sep, days = text.rlike(r"\A[0-9]{4}-"), F.substring(text, 3, 1), 365 * 200
-    ymd = F.when(iso, text).otherwise(F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)))
+    iso, days = text.rlike(r"\A[0-9]{4}"), 365 * 200
+    sep = F.when(iso, F.substring(text, 5, 1)).otherwise(F.substring(text, 3, 1))
+    ymd = F.when(iso, F.replace(text, F.lit("/"), F.lit("-"))).otherwise(F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)))
     epoch = F.lit("1900-01-01").cast("date")
 
     def made(n: Column) -> Column:
         got = feistel(F.floor(n / 200), n % 200, F.lit(365), F.lit(200), key, F.lit("date"))
         day = let(got, lambda g: F.date_add(epoch, (g["a"] * 200 + g["b"]).cast("int")))
-        new = let(day, lambda d: F.when(iso, F.date_format(d, "yyyy-MM-dd")).otherwise(
+        new = let(day, lambda d: F.when(iso, F.concat(F.date_format(d, "yyyy"), sep, F.date_format(d, "MM"), sep, F.date_format(d, "dd"))).otherwise(
             F.concat(F.date_format(d, "dd"), sep, F.date_format(d, "MM"), sep, F.date_format(d, "yyyy"))))
         return F.when(n.between(0, days - 1), new).when(iso, text).otherwise(_month_first(text, key))
     return let(F.datediff(F.try_to_date(ymd, "yyyy-MM-dd"), epoch), made)
@@ -260,24 +266,30 @@ def _part(old: Column, kind: Column, new: Column) -> Column:
 def _search(parts: Column, search: tuple, key: str) -> Column:
     """Parts (kind, old, new) of a text, those without a kind cut further at what ``search`` finds valid."""
     kind, before, candidate, behind, overlap = search
-    make = _MAKERS[kind]
 
     def part(p: Column) -> Column:
         found = F.regexp_extract_all(p["old"], F.lit(f"{before}(?=({candidate}){behind})" if overlap else f"{before}({candidate}){behind}"), F.lit(1))
         found = F.flatten(F.transform(found, _beginnings)) if kind == "iban" else found
-        valid = F.filter(F.array_distinct(found), lambda c: make(c, key) != c)
+        made = F.transform(F.array_distinct(found), lambda c: _part(c, F.lit(kind), _MAKERS[kind](c, key)))
 
         def cut(values: Column) -> Column:
-            exact = F.concat(F.lit(rf"{before}(?:\Q"), F.array_join(values, r"\E|\Q"), F.lit(rf"\E){behind}"))
+            exact = F.concat(F.lit(rf"{before}(?:\Q"), F.array_join(F.transform(values, lambda v: v["old"]), r"\E|\Q"), F.lit(rf"\E){behind}"))
             gaps = F.transform(F.split(p["old"], exact, -1), lambda g: _part(g, F.lit(None), g))
-            hits = F.transform(F.regexp_extract_all(p["old"], exact, F.lit(0)), lambda m: _part(m, F.lit(kind), make(m, key)))
+            hits = F.transform(F.regexp_extract_all(p["old"], exact, F.lit(0)), lambda m: F.element_at(F.filter(values, lambda v: v["old"] == m), 1))
             return F.filter(F.flatten(F.zip_with(gaps, hits, lambda g, h: F.array(g, h))), lambda x: x.isNotNull())
-        longest = F.array_sort(valid, lambda a, b: F.length(b) - F.length(a))
+        longest = F.array_sort(F.filter(made, lambda v: v["new"] != v["old"]), lambda a, b: F.length(b["old"]) - F.length(a["old"]))
         return F.when(p["kind"].isNotNull(), F.array(p)).otherwise(
             let(longest, lambda values: F.when(F.size(values) > 0, cut(values)).otherwise(F.array(p))))
     return F.flatten(F.transform(parts, part))
 
 
+def _regions(t: Column) -> Column:
+    """A text as parts: what is to be searched (no kind) and what lies between."""
+    between = F.transform(F.split(t, REGION, -1), lambda g: _part(g, F.lit(_COLD), g))
+    inside = F.transform(F.regexp_extract_all(t, F.lit(REGION), F.lit(0)), lambda r: _part(r, F.lit(None), r))
+    return F.filter(F.flatten(F.zip_with(between, inside, lambda a, b: F.array(a, b))), lambda x: x.isNotNull())
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` replaced, and ``pii_found``: array of (kind, old,
     new) of what was changed, in order of place.
@@ -289,9 +301,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     * Other columns are kept; a column named pii_found is replaced.
     """
     t = F.col(text)
-    d = docs.withColumn("_pii", F.when(t.rlike(_HINT) & t.rlike(ANY), F.array(_part(t, F.lit(None), t))).otherwise(F.array()))
+    d = docs.withColumn("_pii", F.when(t.rlike(_HINT) & t.rlike(ANY), _regions(t)).otherwise(F.array()))
     for search in SEARCHES:                     # columns of their own: one nested expression has too many lambdas for the analyzer
         d = d.withColumn("_pii", _search(F.col("_pii"), search, key))
     parts = F.col("_pii")
     return d.withColumns({text: F.when(F.size(parts) == 0, t).otherwise(F.array_join(F.transform(parts, lambda p: p["new"]), "")),
-                          "pii_found": F.filter(parts, lambda p: p["kind"].isNotNull())}).drop("_pii")
+                          "pii_found": F.filter(parts, lambda p: p["kind"] != _COLD)}).drop("_pii")

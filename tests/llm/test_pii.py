@@ -101,7 +101,18 @@ def test_printed_forms(spark):
         ("DE89370400440532013000", ["DE89370400440532013000"]), ("NO93 8601 1117 947", ["NO93 8601 1117 947"]),
         ("at 2020-02-29T10:00:00Z", ["2020-02-29"]), ("12/25/1990 and 25/12/1990", ["12/25/1990", "25/12/1990"]), ("02.29.2020", ["02.29.2020"]),
         (f"+1 017 555 7713 {card}", ["+1 017 555 7713", card]), (f"+33 1 23 45 67 89, {card}", ["+33 1 23 45 67 89", card]),
-        ("DE00 3704 0044 0532 0130 00", []), ("02/30/2020 13/13/2020 2020-02-29Tea 2020-02-29x", []), ("2.3.4 05.99.2020 1234567 01.02.03.999", [])])
+        ("DE00 3704 0044 0532 0130 00", []), ("born 31-12-1990, 2020/02/29", ["31-12-1990", "2020/02/29"]), ("to jö@example.com", ["jö@example.com"]),
+        ("02/30/2020 13/13/2020 2020-02-29Tea 2020-02-29x", []), ("2.3.4 05.99.2020 1234567 01.02.03.999", [])])
+
+
+def test_values_that_span_words(spark):
+    """Letters alone, a keyword or a sign may stand in a word of a value without digits."""
+    secret = 'token = "abcdefabcdefabcdef"'
+    check_found(spark, [
+        (f"my api_key : 'abcdefabcdefabcdef' and {secret}", ["api_key : 'abcdefabcdefabcdef'", secret]), (f"x1{secret} l'été", [secret]),
+        ("pay NL91 ABNA 0417 1643 00 now", ["NL91 ABNA 0417 1643 00"]), (f"in 5 {secret}, 01/02/1950", [secret, "01/02/1950"]),
+        ("no value here, l'été d'or \"quoted\" a=b", []), ("word " * 50 + "1.2.3.4 " + "word " * 50 + "x@y.org", ["1.2.3.4", "x@y.org"]),
+        ("tab\t2020-02-29\nline 5\n030/1234567", ["2020-02-29", "030/1234567"])])
 
 
 def test_printed_forms_stay_valid_and_linked(spark):
