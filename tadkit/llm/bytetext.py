@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 21          # bytes worked on at once (a longer text is worked on alone)
+CHUNK_BYTES = 1 << 19          # bytes worked on at once (a longer text is worked on alone)
 _ODD = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64)
 

@@ -21,7 +21,7 @@ from tadkit.llm.common import prepare
 PASSAGE_WORDS = 64
 _GROUPS = {"lower": b"abcdefghijklmnopqrstuvwxyz", "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789",
            "stop": b".,;:?", "shout": b"!", "mark": b"#$%&*@^~", "rule": b"|_=+<>/\\[]{}", "quote": b"\"'()`-", "line": b"\n"}
-_CLASS = np.full(256, len(_GROUPS), np.int64)        # the last class: bytes of other letters
+_CLASS = np.full(256, len(_GROUPS), np.uint8)        # the last class: bytes of other letters
 for _i, _chars in enumerate(_GROUPS.values()):
     _CLASS[list(_chars)] = _i
 _CLASS[SPACE & (np.arange(256) != 10)] = len(_GROUPS) + 1
@@ -47,10 +47,10 @@ def passages(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             # Bytes from a passage's first word to the next passage or the document's end.
             lo = starts[heads]
             hi = np.minimum(np.append(lo[1:], len(data)), offsets[1:][of_doc[heads]])
-            sums = np.zeros((_N_CLASSES, len(data) + 1), np.int32)
-            for c in range(_N_CLASSES):
-                np.cumsum(_CLASS[data] == c, out=sums[c, 1:])
-            share = (sums[:, hi] - sums[:, lo]).T / (hi - lo)[:, None]
+            of_byte = np.append(_CLASS[data], np.uint8(_N_CLASSES))
+            cuts = np.stack([lo, hi], axis=1).ravel()
+            sums = [np.add.reduceat(of_byte == c, cuts, dtype=np.int64)[::2] for c in range(_N_CLASSES)]
+            share = np.stack(sums, axis=1) / (hi - lo)[:, None]
             length = (ends - starts).astype(np.float64)
             h = hash_spans(data, starts, ends)
             again = np.zeros(len(h))
@@ -143,25 +143,25 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 8000, train_passages: int = 64, seed: int = 3) -> AttentionModel | float:
-    """Fits on at most ``train_rows`` labelled documents, chosen by hash, of each
-    at most ``train_passages`` passages evenly spread (scoring uses them all).
+def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 8000, seed: int = 3) -> AttentionModel | float:
+    """Fits on at most ``train_rows`` labelled documents, up to half of them of each label,
+    chosen by hash, and on all of their passages; of rows that repeat a doc_id one is taken.
     With labels of one kind, or none, the share of label 1 (0.5) is the score of every text."""
     known = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id"))) \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality").cast("int")).alias("quality"))
-    chosen = known.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(train_rows)
+    draw = F.xxhash64("doc_id", F.lit(seed))
+    chosen = known.where("quality > 0").orderBy(draw, "doc_id").limit(train_rows // 2) \
+        .unionByName(known.where("quality <= 0").orderBy(draw, "doc_id").limit(train_rows // 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = batch.column("quality").to_pylist()
             bags: list[bytes] = []
             for _a, rows, n in passages(batch.column("text")):
-                for i, k in zip(np.cumsum(n) - n, n):
-                    at = np.unique(np.linspace(0, k - 1, min(k, train_passages)).astype(int))
-                    bags.append(rows[i + at].astype(np.float32).tobytes())
+                bags += [rows[i:i + k].astype(np.float32).tobytes() for i, k in zip(np.cumsum(n) - n, n)]
             yield pa.record_batch([pa.array(y, pa.int32()), pa.array(bags, pa.binary()), batch.column("doc_id")], names=["y", "bag", "doc_id"])
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .join(F.broadcast(chosen), "doc_id").mapInArrow(run, "y int, bag binary, doc_id long").toArrow()
+        .join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min("text").alias("text")).mapInArrow(run, "y int, bag binary, doc_id long").toArrow()
     rows = sorted(zip(sample.column("doc_id").to_pylist(), sample.column("y").to_pylist(), sample.column("bag").to_pylist()))
     y = np.array([r[1] for r in rows], np.float64)
     if len(set(y.tolist())) < 2:
@@ -169,15 +169,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 8000, trai
     return train([np.frombuffer(r[2], np.float32).reshape(-1, FEATURES).astype(np.float64) for r in rows], y, seed=seed)
 
 
-def score_quality(docs: DataFrame, model: AttentionModel | float) -> DataFrame:
-    """``docs`` (all columns) with score: the model's probability of label 1 for each whole text.
+def score_quality(docs: DataFrame, model: AttentionModel | float, out: str = "score") -> DataFrame:
+    """``docs`` (all columns) with ``out``: the model's probability of label 1 for each whole text.
 
     * Null and empty texts, and texts of white space, are one passage of zeros.
     * Repeated rows get equal scores; an empty table gives no rows.
-    * A column named score is replaced.
+    * A column named ``out`` is replaced.
     """
     prepare(docs.sparkSession)
-    keep = [f for f in docs.schema.fields if f.name != "score"]
+    keep = [f for f in docs.schema.fields if f.name != out]
     d = docs.select(*[f.name for f in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,8 +185,8 @@ def score_quality(docs: DataFrame, model: AttentionModel | float) -> DataFrame:
             score = np.zeros(batch.num_rows)
             for a, rows, n in passages(batch.column("text").cast(pa.string())):
                 score[a:a + len(n)] = model.scores(rows, n) if isinstance(model, AttentionModel) else model
-            yield pa.record_batch([*batch.columns, pa.array(score, pa.float64())], names=[*batch.schema.names, "score"])
-    return d.mapInArrow(run, d.withColumn("score", F.lit(0.0)).schema)
+            yield pa.record_batch([*batch.columns, pa.array(score, pa.float64())], names=[*batch.schema.names, out])
+    return d.mapInArrow(run, d.withColumn(out, F.lit(0.0)).schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
@@ -198,6 +198,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the rows predicted to be of label 0."""
+    """``docs`` without the rows predicted to be of label 0.
+
+    Null and empty texts are scored like one passage of zeros, repeated rows alike; an empty
+    table stays empty, and all columns, also one named score, stay as they are.
+    """
     prepare(docs.sparkSession)
-    return score_quality(docs, fit_quality(docs, labels, **settings)).where("score >= 0.5").select(docs.columns)
+    own = "_quality_score"
+    while own in docs.columns:
+        own += "_"
+    return score_quality(docs, fit_quality(docs, labels, **settings), own).where(F.col(own) >= 0.5).select(docs.columns)
