@@ -34,6 +34,7 @@ from tadkit.operators.graph import components
 BINS = 1 << 20
 SPLIT = 256          # members compared in one slice of a pivot's group
 BLOCK = 512          # members of a hub in one block
+BLOCK_SHINGLES = 2_000_000
 
 
 @lru_cache(maxsize=2)
@@ -168,10 +169,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     cells = cast.select("key", "id", "n", "pivot").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     mixed = cells.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     left = cells.where("id <> pivot").join(mixed, "key", "left_semi").select(F.col("pivot").alias("hub"), "id", "n", "comp").distinct()
-    left = left.join(left.groupBy("hub").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                     .where("lo < hi").select("hub", "size"), "hub")
+    left = left.join(left.groupBy("hub").agg(F.count("*").alias("size"), F.sum("n").alias("mass"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                     .where("lo < hi").select("hub", "size", "mass"), "hub")
     low = sig.where("n > 0").join(left.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi") \
-        .groupBy(F.col("doc_id").alias("id")).agg(F.min("low").alias("low"))
+        .select(F.col("doc_id").alias("id"), "low").distinct()
     rest = written(across(left.join(low, "id").join(texts, "id"), width, bands * rows, percent), "links")
     links = star.unionByName(rest)
     comp = written(components(links), "comp")
@@ -180,6 +181,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
 
     joined = classes.join(comp, "id", "left").select("n", "d1", "d2", F.coalesce("comp", "id").alias("comp"))
     by_class = sig.select("doc_id", "n", "d1", "d2").join(joined, ["n", "d1", "d2"], "left")
+    # Rows that repeat a doc_id with other texts link their components.
+    several = by_class.where("doc_id is not null and comp is not null").groupBy("doc_id").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b")
+    again = written(components(by_class.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("comp").alias("b")).where("b is not null")), "comp")
+    by_class = by_class.join(again.select(F.col("id").alias("comp"), F.col("comp").alias("whole")), "comp", "left") \
+        .withColumn("comp", F.coalesce("whole", "comp"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return by_class.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -188,16 +194,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
 def across(members: DataFrame, width: int, coords: int, percent: int) -> DataFrame:
     """Links (a, b) between members of a hub that are of different components.
 
-    ``members`` has hub, id, n, comp, size (members of the hub), low and text.
-    A hub of more than ``BLOCK`` members is cut into blocks, and each pair of
-    blocks is a group, which a task holds.  Signatures that agree in 4.5 standard
+    ``members`` has hub, id, n, comp, size (members of the hub), mass (their shingles), low and text.
+    A hub of more than ``BLOCK`` members, or ``BLOCK_SHINGLES`` shingles, is cut into blocks, and each
+    pair of blocks is a group, which a task holds.  Signatures that agree in 4.5 standard
     deviations less than the coordinates expected at the similarity are passed
     over (3e-6 of those at the similarity, and fewer above it).  What a link
     joins within a group is one component from then on.
     """
     p = percent / 100
     least = int(coords * p - 4.5 * (coords * p * (1 - p)) ** 0.5)
-    many = F.expr(f"cast(1 + (size - 1) div {BLOCK} as int)")
+    many = F.expr(f"cast(1 + greatest((size - 1) div {BLOCK}, mass div {BLOCK_SHINGLES}) as int)")
     m = members.withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), many).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), many - 1))) \
         .select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),

@@ -116,3 +116,14 @@ def test_against_sql(spark, name):
     from tadkit.plans.verify import compare, duck
     st_ = compare(spark, duck(SMALL), name, QUERIES[name], ORACLE[name], SMALL)
     assert st_["status"].startswith("ok"), st_
+
+
+def test_rows_of_one_id_with_other_texts_are_one_document(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(5, a), (5, b), (3, b), (7, a + " more"), (9, "quite another text of its own")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(d).collect()} == {(5, 3), (3, 3), (7, 3), (9, 9)}
+    assert sorted(r.doc_id for r in drop_near_duplicates(d).collect()) == [3, 9]
+    rows += [(11, a), (11, "one"), (11, "two words")]
+    got = {(r.doc_id, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(5, 3), (3, 3), (7, 3), (9, 9), (11, 3)}
