@@ -75,11 +75,16 @@ def _loss_slope(margin: np.ndarray, grade: np.ndarray, theta: np.ndarray, weight
     return d_hi - d_lo, by_theta
 
 
-def fit_ordinal(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, l1: float = 2e-3, l2: float = 2e-5, steps: int = 300) -> OrdinalModel:
-    """Proximal gradient with an L1 penalty picks the words; they are refitted with a light L2 penalty."""
+def fit_ordinal(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, l1: float = 2e-3, l2: float = 2e-5, steps: int = 300,
+                weight: np.ndarray | None = None) -> OrdinalModel:
+    """Proximal gradient with an L1 penalty picks the words; they are refitted with a light L2 penalty.
+
+    ``weight`` gives the documents' shares (equal ones, if None).  Below a tenth of documents
+    above grade 0 the penalty falls with their share, as the slope of their words does."""
     grades, n = int(grade.max()) + 1, len(grade)
-    share = np.bincount(grade, minlength=grades) / n
-    weight = np.full(n, 1 / n)
+    weight = np.full(n, 1 / n) if weight is None else weight / weight.sum()
+    share = np.bincount(grade, weight, minlength=grades)
+    l1 *= min(1.0, 10 * (1 - share[0]))
     vocabulary, column = np.unique(feature, return_inverse=True)
     toxic = np.bincount(column, grade[row] > 0, len(vocabulary))
     useful = toxic >= max(3, 0.002 * (grade > 0).sum())       # words seldom seen with a grade tell nothing
@@ -93,12 +98,12 @@ def fit_ordinal(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, l1: flo
         r, c = row[on], pos[column[on]]
         w, theta = np.zeros(len(ids)), theta0.copy()
         gw, gt = np.full(len(ids), 1e-8), np.full(len(theta), 1e-8)
-        for _ in range(steps):
+        for k in range(steps):
             dm, dt = _loss_slope(np.bincount(r, w[c], n), grade, theta, weight)
             # The slope is taken of the negative log likelihood: margin up, low grades less likely.
             g = np.bincount(c, dm[r], len(ids)) + l2 * w
             gw, gt = 0.9 * gw + 0.1 * g * g, 0.9 * gt + 0.1 * dt * dt
-            rate = 0.05
+            rate = 0.05 * (1 - k / steps)               # or words come and go with the last bits of the sums
             step = rate / (np.sqrt(gw) + 1e-4)
             w = w - step * g
             w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
@@ -125,24 +130,25 @@ def severity_grades(row: np.ndarray, feature: np.ndarray, toxic: np.ndarray) ->
     return np.where(toxic == 1, 1 + (hits > np.median(hits[toxic == 1])), 0).astype(np.int64)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = 8000, train_words: int = 10000, seed: int = 3) -> OrdinalModel:
-    """Fits on at most ``train_rows`` labelled documents, chosen by hash, of each
-    at most ``train_words`` different features (scoring uses all).  Labels above 1
-    are taken for grades as they are; without a toxic label every severity is 0."""
+def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = 8000, seed: int = 3) -> OrdinalModel:
+    """Fits on at most ``train_rows`` labelled documents and all their features: up to half of
+    them toxic and half clean, chosen by hash and weighed by the shares of both among all
+    labels; of rows that repeat a doc_id one is taken.  Labels above 1 are taken for grades as they are; without a toxic label every severity is 0."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(train_rows)
+    draw = F.xxhash64("doc_id", F.lit(seed))
+    chosen = known.where("toxic > 0").orderBy(draw, "doc_id").limit(train_rows // 2) \
+        .unionByName(known.where("toxic <= 0").orderBy(draw, "doc_id").limit(train_rows // 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bags = []
             for _a, features, words in word_features(batch.column("text")):
                 for e, k in zip(np.cumsum(words), words):
-                    own = np.unique(features[e - k:e])
-                    bags.append(own[np.unique(np.linspace(0, len(own) - 1, min(len(own), train_words)).astype(int))].tobytes() if k else b"")
+                    bags.append(np.unique(features[e - k:e]).tobytes())
             yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), pa.array(bags, pa.binary())], names=["doc_id", "toxic", "bag"])
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_id long, toxic int, bag binary").toArrow()
+        .join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min("text").alias("text")).mapInArrow(run, "doc_id long, toxic int, bag binary").toArrow()
     rows = sorted(zip(*(sample.column(c).to_pylist() for c in ("doc_id", "toxic", "bag"))))
     label = np.array([max(0, r[1]) for r in rows], np.int64)
     bags = [np.frombuffer(r[2], np.int32) for r in rows]
@@ -150,7 +156,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = 8000, tra
         return OrdinalModel(np.zeros(0, np.int64), np.zeros(0), np.array([40.0, 40.0]))
     row = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     feature = np.concatenate(bags).astype(np.int64)
-    return fit_ordinal(row, feature, label if label.max() > 1 else severity_grades(row, feature, label))
+    every = known.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
+    bad = label > 0
+    weight = np.where(bad, every / bad.sum(), (1 - every) / max(1, (~bad).sum()))
+    return fit_ordinal(row, feature, label if label.max() > 1 else severity_grades(row, feature, label), weight=weight)
 
 
 def score_toxicity(docs: DataFrame, model: OrdinalModel) -> DataFrame:

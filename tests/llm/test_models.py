@@ -1,5 +1,6 @@
 """Quality, toxicity and vector search: held-out accuracy, recall, edge cases."""
 
+import math
 import zlib
 
 import numpy as np
@@ -54,6 +55,41 @@ def test_quality_edge_cases(spark):
     assert [r.score for r in score_quality(e, 0.25).select("score").distinct().collect()] == [0.25]
 
 
+def test_a_column_named_score_is_left_alone(spark):
+    d = spark.createDataFrame([(1, "some text", 42.0, 0.1), (2, None, 7.0, 0.2)], "doc_id long, text string, score double, _quality_score double")
+    got = drop_low_quality(d, spark.createDataFrame([], "doc_id long, quality int"))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "some text", 42.0, 0.1), (2, None, 7.0, 0.2)]
+
+
+def test_attention_forward_in_plain_python():
+    """The score of a bag, passage by passage, without the implementation's arrays."""
+    rng = np.random.default_rng(2)
+    m = AttentionModel(rng.normal(size=FEATURES), rng.uniform(0.5, 2, FEATURES), 5, 3, 1)
+    w, b, v, u, g, c, d = m.p
+    bags = [rng.normal(size=(n, FEATURES)) * 3 for n in (1, 4, 2)]
+    got = m.scores(np.concatenate(bags), np.array([1, 4, 2]))
+    for bag, score in zip(bags, got):
+        code, pull = [], []
+        for x in bag:
+            h = [math.tanh(sum(max(-8, min(8, (x[i] - m.mean[i]) / m.scale[i])) * w[i][j] for i in range(FEATURES)) + b[j]) for j in range(5)]
+            t = [math.tanh(sum(h[j] * v[j][k] for j in range(5))) for k in range(3)]
+            s = [1 / (1 + math.exp(-sum(h[j] * u[j][k] for j in range(5)))) for k in range(3)]
+            code.append(h)
+            pull.append(math.exp(sum(t[k] * s[k] * g[k] for k in range(3))))
+        z = [sum(p * h[j] for p, h in zip(pull, code)) / sum(pull) for j in range(5)]
+        assert score == pytest.approx(1 / (1 + math.exp(-sum(z[j] * c[j] for j in range(5)) - d[0])))
+
+
+def test_rare_toxic_rows_are_found(spark):
+    """Twenty toxic rows among thousands: below the share of words that the plain penalty would let live."""
+    rng = np.random.default_rng(4)
+    words = [f"{a}{b}an" for a in "bdfgklmnprst" for b in ("ol", "im", "ur", "eb")]
+    rows = [(i, " ".join(rng.choice(words, 12)) + (" vilword nastyterm" if i % 450 == 3 else "")) for i in range(9000)]
+    labels = spark.createDataFrame([(i, 0, int(i % 450 == 3)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.toxic for r in toxicity(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
+    assert {i for i, t in got.items() if t} == {i for i, _ in rows if i % 450 == 3}
+
+
 def test_attention_gradient():
     """The gradient agrees with differences of the loss."""
     rng = np.random.default_rng(0)
