@@ -82,7 +82,8 @@ class WordTokenizer:
         simple, hard = [], []
         for w in words:
             run = w.rstrip(string.punctuation)
-            if run.isalpha():
+            # Some letters are more than letters in lower case, and their marks meet those behind.
+            if run.isalpha() and run.lower().isalpha():
                 simple.append((w, run.lower() if run.isascii() else run, w[len(run):]))
             else:
                 hard.append(w)

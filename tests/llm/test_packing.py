@@ -1,5 +1,6 @@
 """Packing: every id once, in order, and little padding."""
 
+import string
 import zlib
 
 import numpy as np
@@ -72,6 +73,15 @@ def test_words_give_the_ids_of_the_whole_text(text):
     assert marked[0] == np.array(Tokenizer.from_file(PATH).encode("\ue000 a\ue000 \ue000\ue000", add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_letters_that_are_more_in_lower_case_before_every_mark():
+    odd = [chr(c) for c in range(0x30000) if chr(c).isalpha() and not chr(c).lower().isalpha()]
+    assert "İ" in odd
+    words = [f"{w}{m}" for c in odd for m in string.punctuation for w in (c, f"TAKS{c}", f"{c}a")] + ["TAKSİ. GAZETESİ, ok"]
+    tok = Tokenizer.from_file(PATH)
+    want = [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(words, add_special_tokens=False)]
+    assert WordTokenizer(PATH).encode(words) == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 90), max_size=60), st.integers(1, 6))
 def test_bounded_space(lengths, space):
