@@ -9,9 +9,10 @@ built from one aggregate of class sums and a pooled scatter matrix.
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -75,27 +76,55 @@ def linear_svm(reg: float = 0.0, **kw) -> LinearSVC:
 
 
 # M6 ------------------------------------------------------------------------
+def gram_blocks(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+    """Per class: n, the sums of the columns and their cross products (row by row).
+
+    Each partition makes one matrix a class, batch by batch; these are added in two
+    rounds of bounded groups.  Rows with a null label or column, or NaN, are dropped.
+    """
+    kind, p = dict(df.dtypes)[label], len(cols)
+    x = df.select(F.col(label).alias("_k"), F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"))
+    x = x.filter(F.col("_k").isNotNull() & ~F.exists("_x", lambda v: v.isNull() | F.isnan(v)))
+    schema = f"_k {kind}, n long, s array<double>, g array<double>"
+
+    def rows(held: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"_k": list(held), "n": [h[0] for h in held.values()], "s": [h[1].tolist() for h in held.values()],
+                                           "g": [h[2].ravel().tolist() for h in held.values()]}, schema=arrow)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for b in batches:
+            v = b.column("_x").flatten().to_numpy().reshape(-1, p)
+            keys = np.array(b.column("_k").to_pylist(), dtype=object)
+            for k in set(keys):
+                m = v[keys == k]
+                n, s, g = held.get(k, (0, 0.0, 0.0))
+                held[k] = (n + len(m), s + m.sum(axis=0), g + m.T @ m)
+        if held:
+            yield rows(held)
+
+    def add(key: tuple, t: pa.Table) -> pa.Table:
+        s, g = (t.column(c).combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1).sum(axis=0) for c in ("s", "g"))
+        return pa.Table.from_batches([rows({t.column("_k")[0].as_py(): (sum(t.column("n").to_pylist()), s, g)})])
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
+    parts = x.mapInArrow(blocks, schema).withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(64)))
+    some = parts.groupBy("_k", "_b").applyInArrow(lambda key, t: add(key, t), schema)
+    return some.groupBy("_k").applyInArrow(lambda key, t: add(key, t), schema).withColumnRenamed("_k", label)
+
+
 def lda_fit(df: DataFrame, label: str, cols: Sequence[str]) -> dict:
-    """Linear discriminant analysis from one aggregate.
+    """Linear discriminant analysis from the classes' ``gram_blocks``.
 
-    Per class: n, sums and cross-product sums (p + p^2 numbers); pooled
-    within-class covariance and class means are then a p x p problem.
+    Pooled within-class covariance and class means are then a p x p problem.
     Returns weights/intercepts for the linear scores and the projection."""
     p = len(cols)
-    x = [F.col(c).cast("double") for c in cols]
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(xi).alias(f"s{i}") for i, xi in enumerate(x)]
-    aggs += [F.sum(x[i] * x[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i, p)]
-    rows = df.groupBy(label).agg(*aggs).collect()        # one row per class
+    rows = gram_blocks(df, label, cols).collect()        # one row per class
     classes, means, ns = [], [], []
     W = np.zeros((p, p))
     N = 0
     for r in sorted(rows, key=lambda r: r[label]):
-        n = r["n"]
-        s = np.array([r[f"s{i}"] for i in range(p)])
-        C = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                C[i, j] = C[j, i] = r[f"c{i}_{j}"]
+        n, s, C = r["n"], np.array(r["s"]), np.array(r["g"]).reshape(p, p)
         mu = s / n
         W += C - n * np.outer(mu, mu)
         classes.append(r[label])

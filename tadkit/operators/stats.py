@@ -432,10 +432,44 @@ def variance_threshold(df: DataFrame, cols: Sequence[str], threshold: float = 0.
 
 
 # K12 -----------------------------------------------------------------------
+def quartimax(load: np.ndarray) -> np.ndarray:
+    """Loadings on two components, rotated so that each variable loads on one as far as it can."""
+    u, v = load[:, 0] ** 2 - load[:, 1] ** 2, 2 * load[:, 0] * load[:, 1]
+    turn = np.arctan2(2 * (u * v).sum(), (u * u - v * v).sum()) / 4
+    c, s = np.cos(turn), np.sin(turn)
+    return load @ np.array([[c, -s], [s, c]])
+
+
+def _r2_with_component(R: np.ndarray, var: int, cl: Sequence[int]) -> float:
+    """Squared correlation of a variable with the first component of a cluster."""
+    sub = R[np.ix_(cl, cl)]
+    comp = np.linalg.eigh(sub)[1][:, -1]
+    cov, spread = R[var, cl] @ comp, comp @ sub @ comp
+    return float(cov * cov / spread) if spread > 0 else 0.0
+
+
+def split_variables(R: np.ndarray, cl: Sequence[int]) -> list[list[int]] | None:
+    """Two clusters of the variables ``cl`` of the correlation matrix ``R``; None if one would be empty."""
+    w, v = np.linalg.eigh(R[np.ix_(cl, cl)])
+    load = quartimax(v[:, [-1, -2]] * np.sqrt(np.maximum(w[[-1, -2]], 0)))
+    side = (load[:, 1] ** 2 > load[:, 0] ** 2).astype(int)
+    seen = set()
+    while 0 < side.sum() < len(cl) and tuple(side) not in seen:      # a side that comes back would come back for ever
+        seen.add(tuple(side))
+        halves = [[x for x, s in zip(cl, side) if s == h] for h in (0, 1)]
+        r2 = np.array([[_r2_with_component(R, x, h) for h in halves] for x in cl])
+        side = np.where(np.isclose(r2[:, 0], r2[:, 1]), side, (r2[:, 1] > r2[:, 0]).astype(int))
+    halves = [[x for x, s in zip(cl, side) if s == h] for h in (0, 1)]
+    return halves if all(halves) else None
+
+
 def varclus(df: DataFrame, cols: Sequence[str], max_eigen: float = 1.0, max_clusters: int | None = None) -> DataFrame:
     """Variable clustering: divisive splits on the second eigenvalue of the
     cluster correlation matrix.  The p x p correlation matrix is one Spark
-    aggregate; the eigen-splits run on that small matrix.  Output: variable,
+    aggregate; the eigen-splits run on that small matrix.  The first two
+    components of a cluster are rotated (quartimax), each variable goes to the one
+    it loads on most, and then to the nearer of the two clusters' first
+    components until none moves.  Output: variable,
     cluster, r2_own, r2_next, rs_ratio (= (1 - r2_own) / (1 - r2_next)) and
     whether it is the cluster's representative (lowest ratio)."""
     p = len(cols)
@@ -460,24 +494,14 @@ def varclus(df: DataFrame, cols: Sequence[str], max_eigen: float = 1.0, max_clus
         if best is None:
             break
         cl = clusters.pop(best)
-        w, v = np.linalg.eigh(R[np.ix_(cl, cl)])
-        pc = v[:, -2:]
-        # rotate-free split: assign each variable to the component it loads most on
-        load = np.abs(pc * np.sqrt(np.maximum(w[-2:], 0)))
-        a = [cl[k] for k in range(len(cl)) if load[k, 1] >= load[k, 0]]
-        b = [cl[k] for k in range(len(cl)) if load[k, 1] < load[k, 0]]
-        if not a or not b:
+        halves = split_variables(R, cl)
+        if halves is None:
             clusters.append(cl)
             break
-        clusters += [a, b]
+        clusters += halves
 
     def r2_with(var, cl):
-        sub = R[np.ix_(cl, cl)]
-        w, v = np.linalg.eigh(sub)
-        comp = v[:, -1]
-        cov = R[var, cl] @ comp
-        var_comp = comp @ sub @ comp
-        return float(cov * cov / var_comp) if var_comp > 0 else 0.0
+        return _r2_with_component(R, var, cl)
 
     rows = []
     for ci, cl in enumerate(clusters):

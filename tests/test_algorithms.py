@@ -281,3 +281,114 @@ def test_the_index_skips_cells_out_of_reach(spark):
 def test_cosine_of_zero_vector(spark):
     df = spark.createDataFrame([([0.0, 0.0], [1.0, 0.0]), ([1.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
     assert [r[0] for r in df.select(tm.cosine("a", "b")).collect()] == [None, 1.0]
+
+
+def test_varclus_finds_blocks_that_unrotated_components_mix():
+    """Correlated blocks: the first component runs through both, so loads on it say nothing of the blocks."""
+    sizes, within, between = (4, 3), 0.7, 0.35
+    p = sum(sizes)
+    block = np.repeat([0, 1], sizes)
+    R = np.where(block[:, None] == block[None], within, between)
+    np.fill_diagonal(R, 1.0)
+    order = np.random.default_rng(1).permutation(p)
+    R, block = R[np.ix_(order, order)], block[order]
+    halves = st.split_variables(R, list(range(p)))
+    assert sorted(map(sorted, halves)) == sorted([np.flatnonzero(block == b).tolist() for b in (0, 1)])
+    w, v = np.linalg.eigh(R)
+    plain = np.abs(v[:, -2:] * np.sqrt(w[-2:]))
+    assert len(set(plain[:, 1] >= plain[:, 0])) == 1             # without rotation all would go to the first
+    rotated = st.quartimax(v[:, [-1, -2]] * np.sqrt(w[[-1, -2]]))
+    assert (rotated ** 4).sum() >= (plain ** 4).sum() and np.allclose((rotated ** 2).sum(), (plain ** 2).sum())
+
+
+def test_varclus_of_three_known_groups(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(800, 3)) + 0.5 * rng.normal(size=(800, 1))
+    cols = [f"x{i}" for i in range(8)]
+    group = [0, 0, 0, 1, 1, 2, 2, 2]
+    x = base[:, group] + 0.3 * rng.normal(size=(800, 8))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"{c} double" for c in cols))
+    got = {r.variable: r for r in st.varclus(df, cols, max_eigen=0.7).collect()}
+    found = [got[c].cluster for c in cols]
+    assert len(set(found)) == 3 and all((found[i] == found[j]) == (group[i] == group[j]) for i in range(8) for j in range(8))
+    assert sum(r.representative for r in got.values()) == 3 and all(r.r2_own > r.r2_next for r in got.values())
+
+
+def test_discriminant_of_two_classes_in_closed_form(spark):
+    from tadkit.operators import models as md
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(0, 1, (120, 3)) @ np.diag([1, 2, 3]), rng.normal(1, 1, (80, 3)) @ np.diag([1, 2, 3])
+    rows = [(0, *map(float, r)) for r in a] + [(1, *map(float, r)) for r in b] + [(1, None, 1.0, 1.0), (None, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "k int, x0 double, x1 double, x2 double").repartition(5)
+    m = md.lda_fit(df, "k", ["x0", "x1", "x2"])
+    pooled = ((a - a.mean(0)).T @ (a - a.mean(0)) + (b - b.mean(0)).T @ (b - b.mean(0))) / (len(a) + len(b) - 2)
+    way = np.linalg.solve(pooled, b.mean(0) - a.mean(0))
+    assert np.allclose(m["coef"][1] - m["coef"][0], way)
+    cut = way @ (a.mean(0) + b.mean(0)) / 2 - np.log(len(b) / len(a))
+    assert np.isclose(m["intercept"][0] - m["intercept"][1], cut)
+    side = m["scalings"][:, 0]
+    assert np.isclose(abs(side @ way) / np.linalg.norm(side) / np.linalg.norm(way), 1)
+
+
+def test_silhouettes_against_all_pairs(spark):
+    rng = np.random.default_rng(12)
+    pts = np.vstack([rng.normal(c, 1.0, (20, 3)) for c in (0, 2)] + [np.full((1, 3), 9.0)])
+    lab = np.repeat([0, 1, 7], [20, 20, 1])
+    rows = [(i, int(k), v.tolist()) for i, (k, v) in enumerate(zip(lab, pts))] + [(99, None, [0.0] * 3), (98, 1, None)]
+    df = spark.createDataFrame(rows, "id long, c int, x array<double>")
+    D = ((pts[:, None] - pts[None]) ** 2).sum(axis=2)
+    got = {r.id: r.silhouette for r in sg.silhouettes(df, "id", "x", "c").collect()}
+    assert set(got) == set(range(41))
+    for i in range(41):
+        own = (lab == lab[i]) & (np.arange(41) != i)
+        if not own.any():
+            assert got[i] == 0
+            continue
+        a, b = D[i][own].mean(), min(D[i][lab == k].mean() for k in (0, 1, 7) if k != lab[i])
+        assert got[i] == pytest.approx((b - a) / max(a, b))
+    one = sg.silhouettes(df.where("c = 0"), "id", "x", "c")
+    assert {r.silhouette for r in one.collect()} == {0.0}
+    s = {r.c: r for r in sg.silhouette_spread(sg.silhouettes(df, "id", "x", "c"), "c").collect()}
+    assert s[0].n == 20 and s[0].least == pytest.approx(min(got[i] for i in range(20))) and s[7].median == 0
+
+
+def test_agreement_of_labellings(spark):
+    from math import comb
+    rng = np.random.default_rng(13)
+    a, b = rng.integers(0, 3, 200), rng.integers(0, 4, 200)
+    b = np.where(rng.random(200) < 0.6, a, b)
+    df = spark.createDataFrame([(int(x), int(y), 1) for x, y in zip(a, b)] + [(None, 1, 1), (5, 5, 2), (5, 5, 2)], "a int, b int, t int")
+    got = {r.t: r for r in sg.label_agreement(df, "a", "b", ["t"]).collect()}
+    table = np.array([[((a == i) & (b == j)).sum() for j in range(4)] for i in range(3)])
+    pairs = sum(comb(int(n), 2) for n in table.ravel())
+    pa, pb = (sum(comb(int(n), 2) for n in table.sum(axis=k)) for k in (1, 0))
+    want = (pairs - pa * pb / comb(200, 2)) / ((pa + pb) / 2 - pa * pb / comb(200, 2))
+    assert got[1].adjusted_rand == pytest.approx(want) and got[1].n == 200 and got[1].matched_share == pytest.approx(table.max(axis=1).sum() / 200)
+    assert got[2].adjusted_rand == 1 and got[2].matched_share == 1
+    assert sg.label_agreement(df.where("t = 1"), "a", "b").first().adjusted_rand == pytest.approx(want)
+    drift = {(r.t, r.b): (r.n, r.drift) for r in sg.share_drift(df, "b", "t").collect()}
+    assert drift[2, 5] == (2, 1.0) and drift[1, 5] == (0, None) and drift[2, 0][0] == 0
+
+
+def test_rolling_origin_against_refits(spark):
+    """Every origin refitted by itself, over all rows behind it and over a window of them."""
+    rng = np.random.default_rng(14)
+    y = np.cumsum(rng.normal(0, 1, 40)) + 5
+    rows = [("a", i, float(v)) for i, v in enumerate(y)] + [("b", i, None if i == 9 else float(i % 5)) for i in range(20)] + [(None, 1, 1.0)]
+    df = spark.createDataFrame(rows, "k string, t int, y double")
+    for window in (None, 12):
+        got = {(r.origin, r.step): r for r in tm.rolling_origin(df, "k", "t", "y", lags=2, horizon=3, min_train=8, window=window).where("k = 'a'").collect()}
+        want = {}
+        for t in range(40):
+            at = [i for i in range(2, t + 1) if window is None or i > t - window]
+            if len(at) >= 8:
+                beta = np.linalg.lstsq(np.array([[1, y[i - 1], y[i - 2]] for i in at]), y[at], rcond=None)[0]
+                h = [y[t], y[t - 1]]
+                for step in (1, 2, 3):
+                    h.insert(0, beta @ [1, h[0], h[1]])
+                    if t + step < 40:
+                        want[t, step] = (y[t + step], h[0])
+        assert set(got) == set(want)
+        assert all(got[k].actual == v[0] and got[k].forecast == pytest.approx(v[1], abs=1e-6) for k, v in want.items())
+    b = tm.rolling_origin(df, "k", "t", "y", lags=2, horizon=1, min_train=3).where("k = 'b'").collect()
+    assert b and all(r.origin not in (9, 10) and r.target != 9 for r in b)
