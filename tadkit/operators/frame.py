@@ -135,7 +135,15 @@ def dtype_tally(df: DataFrame) -> DataFrame:
 
 
 # F3 / F4 / F5 / F6 / F7 ------------------------------------------------------
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
+def key_draw(key: Sequence[str], seed: int) -> Column:
+    """A draw from [0, 1) that depends on the key and the seed alone: the same in every run, plan and engine."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))), 1, 8), 16, 10).cast("double") / 2.0 ** 32
+
+
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int, key: Sequence[str] | None = None) -> DataFrame:
+    """Each row with probability ``fraction``, by ``key_draw`` if a key is given (rows of one key stay together)."""
+    if key is not None:
+        return df.filter(key_draw(key, seed) < fraction)
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
@@ -164,8 +172,13 @@ def hash_split(df: DataFrame, key: Sequence[str] | str, test_frac: float, seed:
     return df.withColumn(col, F.when(h < int(round(test_frac * 10000)), F.lit("test")).otherwise(F.lit("train")))
 
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    return df.randomSplit(list(weights), seed)
+def random_split(df: DataFrame, weights: Sequence[float], seed: int, key: Sequence[str] | None = None) -> list[DataFrame]:
+    """Parts of about the given weights, by ``key_draw`` if a key is given."""
+    if key is None:
+        return df.randomSplit(list(weights), seed)
+    ends = [sum(weights[:i]) / sum(weights) for i in range(len(weights))] + [1.0]
+    draw = key_draw(key, seed)
+    return [df.filter((draw >= a) & (draw < b)) for a, b in zip(ends, ends[1:])]
 
 
 def temporal_split(df: DataFrame, ts: str, test_frac: float, tie: Sequence[str] = ()) -> DataFrame:

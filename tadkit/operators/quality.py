@@ -67,21 +67,21 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> DataFr
 
 
 # J5 ------------------------------------------------------------------------
-def proportional_impute(df: DataFrame, col: str, seed: int = 42) -> DataFrame:
+def proportional_impute(df: DataFrame, col: str, seed: int = 42, key: Sequence[str] | None = None) -> DataFrame:
     """Nulls of a categorical drawn from its observed distribution.
 
     The known rows, in the order of their categories, fill the positions
     0 .. n - 1.  Each null draws a position, and takes the category that starts
     last at or before it: a running maximum over the starts and the draws
     together, range-partitioned, so no join and no bound on categories.
-    Without a known value nulls stay.
+    Without a known value nulls stay.  With a ``key`` draws depend on it and the seed alone.
     """
-    from tadkit.operators.frame import cumulative_sum
+    from tadkit.operators.frame import cumulative_sum, key_draw
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     starts = cumulative_sum(counts, [], [col], ["_n"]).select((F.col("_n_cum") - F.col("_n")).alias("_at"), F.lit(0).alias("_draw"),
                                                               F.struct((F.col("_n_cum") - F.col("_n")).alias("s"), F.col(col).alias("c")).alias("_cat"))
-    draws = df.filter(F.col(col).isNull()).withColumns({"_at": F.floor(F.rand(seed) * total), "_draw": F.lit(1)})
+    draws = df.filter(F.col(col).isNull()).withColumns({"_at": F.floor((F.rand(seed) if key is None else key_draw(key, seed)) * total), "_draw": F.lit(1)})
     both = draws.unionByName(starts, allowMissingColumns=True)
     filled = cumulative_sum(both, [], ["_at", "_draw"], [], maxes=["_cat"]).filter("_draw = 1") \
         .withColumn(col, F.col("_cat_cum.c")).select(df.columns)

@@ -238,10 +238,11 @@ def f2_top_n(spark, d):
         "o_orderkey", "o_totalprice")
 
 
-@query("f3_bernoulli_sample")
+@query("f3_bernoulli_sample", """
+SELECT * FROM lineitem WHERE ('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|42'), 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.1::DOUBLE""")
 def f3_sample(spark, d):
-    """Seeded Bernoulli sample (random: rows-only check)."""
-    return fr.bernoulli_sample(Tables(spark, d).lineitem, 0.1, seed=42)
+    """Seeded Bernoulli sample of the lines, by their key."""
+    return fr.bernoulli_sample(Tables(spark, d).lineitem, 0.1, seed=42, key=["l_orderkey", "l_linenumber"])
 
 
 @query("f4_balanced_sample", """
@@ -253,15 +254,13 @@ def f4_balanced(spark, d):
     return s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f5_random_split", "SELECT count(*) AS n_rows, count(*) AS n_assigned FROM orders")
+@query("f5_random_split", """
+SELECT o_orderkey, CASE WHEN u < 0.7::DOUBLE THEN 0 ELSE 1 END AS part FROM (
+  SELECT o_orderkey, ('0x' || substr(md5(o_orderkey || '|3'), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM orders)""")
 def f5_split(spark, d):
-    """randomSplit and hash split cover every row exactly once."""
-    o = Tables(spark, d).orders
-    tr, te = fr.random_split(o, [0.7, 0.3], seed=3)
-    h = fr.hash_split(o, "o_orderkey", 0.3)
-    both = tr.select("o_orderkey").unionByName(te.select("o_orderkey"))
-    return spark.range(1).select(both.agg(F.count(F.lit(1))).scalar().alias("n_rows"),
-                                 h.agg(F.count_if(F.col("sample").isin("train", "test"))).scalar().alias("n_assigned"))
+    """Training and validation rows, 70 to 30: every row on one side."""
+    parts = fr.random_split(Tables(spark, d).orders, [7, 3], seed=3, key=["o_orderkey"])
+    return fr.union_all([p.select("o_orderkey", F.lit(i).alias("part")) for i, p in enumerate(parts)])
 
 
 @query("f6_entity_split", """

@@ -445,16 +445,47 @@ def l6_pca(spark, d):
     return fe.pca_transform(m, e, keep=["vec_id"])
 
 
-@query("l8_pca_reconstruction", "SELECT vec_id, CAST(0.0 AS DOUBLE) AS abs_error FROM embeddings")
+@query("l8_pca_reconstruction", """
+WITH x AS (SELECT unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)
+SELECT true AS truncated, count(*) AS n, round(sum(s), 6) AS variance, 0.0::DOUBLE AS gap
+FROM (SELECT i, var_samp(v) AS s FROM x GROUP BY i)""")
 def l8_inverse(spark, d):
+    """Rows rebuilt from the components that hold 90 % of the variance: what is lost is what those leave unexplained."""
     e = _emb(spark, d, 64)
     cols = [f"e{i}" for i in range(64)]
-    m = fe.pca_fit(e, cols, k=64)
-    z = fe.pca_transform(m, e, keep=["vec_id"])
-    back = fe.pca_inverse(m, z, cols, keep=["vec_id"]).select("vec_id", F.array(*cols).alias("back"))
-    x = Tables(spark, d).embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
-    gap = F.aggregate(F.zip_with("back", "x", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: a + b)
-    return back.join(x, "vec_id").select("vec_id", F.round(gap, 6).alias("abs_error"))
+    m = fe.pca_fit(e, cols, variance=0.9, standardize_first=False)
+    back = fe.pca_inverse(m, fe.pca_transform(m, e, keep=["vec_id"]), cols, keep=["vec_id"])
+    lost = e.join(back.select("vec_id", *[F.col(c).alias(f"b_{c}") for c in cols]), "vec_id") \
+        .select(sum(F.pow(F.col(c) - F.col(f"b_{c}"), 2) for c in cols).alias("lost")).agg(F.sum("lost").alias("lost"), (F.count("*") - 1).alias("df"))
+    whole = e.agg(sum(F.var_samp(c) for c in cols).alias("variance"))
+    kept = fe.pca_explained(m)
+    gap = F.col("lost") / F.col("df") / F.col("variance") - (1 - sum(kept))
+    return whole.join(lost).select(F.lit(len(kept) < 64).alias("truncated"), F.lit(64).cast("long").alias("n"), F.round("variance", 6).alias("variance"),
+                                   (F.round(gap, 6) + 0.0).alias("gap"))
+
+
+@query("l10_feature_spaces_all", """
+WITH o AS (SELECT o_orderkey, o_totalprice AS a, dayofyear(o_orderdate)::DOUBLE AS b, o_orderpriority AS p, month(o_orderdate)::VARCHAR AS m,
+                  (o_orderstatus = 'F')::INT AS y FROM orders),
+s AS (SELECT min(a) AS la, max(a) AS ha, avg(a) AS ma, stddev_samp(a) AS sa, min(b) AS lb, max(b) AS hb, avg(b) AS mb, stddev_samp(b) AS sb, corr(a, b) AS r FROM o),
+w AS (SELECT v, c, ln((greatest(n - e, 0.5) / sum(n - e) OVER (PARTITION BY v)) / (greatest(e, 0.5) / sum(e) OVER (PARTITION BY v))) AS woe FROM (
+        SELECT 'p' AS v, p AS c, count(*) AS n, sum(y) AS e FROM o GROUP BY p UNION ALL SELECT 'm', m, count(*), sum(y) FROM o GROUP BY m)),
+z AS (SELECT o_orderkey, (a - ma) / sa AS za, (b - mb) / sb AS zb, r FROM o, s)
+SELECT o_orderkey, 'raw' AS space, round(a, 6) AS f1, round(b, 6) AS f2 FROM o
+UNION ALL SELECT o_orderkey, 'minmax', round((a - la) / (ha - la), 6), round((b - lb) / (hb - lb), 6) FROM o, s
+UNION ALL SELECT o_orderkey, 'standard', round(za, 6) + 0.0, round(zb, 6) + 0.0 FROM z
+UNION ALL SELECT o_orderkey, 'pca', round(abs(za + sign(r) * zb) / sqrt(2), 6), round(abs(za - sign(r) * zb) / sqrt(2), 6) FROM z
+UNION ALL SELECT o_orderkey, 'woe', round(x.woe, 6) + 0.0, round(y.woe, 6) + 0.0 FROM o JOIN w x ON x.v = 'p' AND x.c = o.p JOIN w y ON y.v = 'm' AND y.c = o.m""")
+def l10_all(spark, d):
+    """Orders in five feature spaces, by pipelines that were saved and loaded (components without their sign)."""
+    from tadkit.operators import spaces as sp
+    o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice", F.dayofyear("o_orderdate").cast("double").alias("day"), "o_orderpriority",
+                                       F.month("o_orderdate").cast("string").alias("month"), (F.col("o_orderstatus") == "F").cast("int").alias("y"))
+    path = scratch_path(spark, "spaces")
+    sp.save_spaces(sp.fit_spaces(o, ["o_totalprice", "day"], ["o_orderpriority", "month"], "y", variance=1.0), path)
+    t = sp.in_spaces(sp.load_spaces(path), o, "o_orderkey")
+    v = [F.when(F.col("space") == "pca", F.abs(F.col("values")[i])).otherwise(F.col("values")[i]) for i in (0, 1)]
+    return t.select("o_orderkey", "space", (F.round(v[0], 6) + 0.0).alias("f1"), (F.round(v[1], 6) + 0.0).alias("f2"))
 
 
 @query("l9_l10_feature_spaces", """

@@ -65,14 +65,15 @@ def j4_fit_apply(spark, d):
     return qu.apply_fill_values(valid.select("o_orderkey", "price"), fitted).withColumn("price", F.round("price", 6))
 
 
-@query("j5_proportional_random_impute", HOLES + """
-SELECT count(*) AS n_rows, 0 AS n_null, count(DISTINCT prio) AS n_levels FROM holes""")
+@query("j5_proportional_random_impute", HOLES + """,
+c AS (SELECT prio, sum(count(*)) OVER (ORDER BY prio) - count(*) AS start FROM holes WHERE prio IS NOT NULL GROUP BY prio),
+u AS (SELECT o_orderkey, floor(('0x' || substr(md5(o_orderkey || '|11'), 1, 8))::BIGINT / 4294967296.0::DOUBLE
+             * (SELECT count(prio) FROM holes)) AS place FROM holes WHERE prio IS NULL)
+SELECT o_orderkey, prio FROM holes WHERE prio IS NOT NULL
+UNION ALL SELECT o_orderkey, (SELECT arg_max(c.prio, start) FROM c WHERE start <= place) FROM u""")
 def j5_proportional(spark, d):
-    """Random draw; checked through invariants (rows kept, no nulls left, same levels)."""
-    h = holes(spark, d)
-    out = qu.proportional_impute(h, "prio", seed=11)
-    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prio").isNull()).cast("int").alias("n_null"),
-                   F.count_distinct("prio").alias("n_levels"))
+    """Missing categories drawn in proportion to the known ones, by a hash of the row's key."""
+    return qu.proportional_impute(holes(spark, d).select("o_orderkey", "prio"), "prio", seed=11, key=["o_orderkey"])
 
 
 @query("j6_model_based_impute", HOLES + """

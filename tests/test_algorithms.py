@@ -392,3 +392,31 @@ def test_rolling_origin_against_refits(spark):
         assert all(got[k].actual == v[0] and got[k].forecast == pytest.approx(v[1], abs=1e-6) for k, v in want.items())
     b = tm.rolling_origin(df, "k", "t", "y", lags=2, horizon=1, min_train=3).where("k = 'b'").collect()
     assert b and all(r.origin not in (9, 10) and r.target != 9 for r in b)
+
+
+def test_spaces_survive_a_reload_and_meet_new_categories(spark, tmp_path):
+    from tadkit.operators import spaces as sp
+    rows = [(i, float(i), float(i % 7), ["x", "y", None][i % 3], int(i % 3 == 0 or i % 5 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c string, y int")
+    fitted = sp.fit_spaces(df, ["a", "b"], ["c"], "y", variance=0.99)
+    sp.save_spaces(fitted, str(tmp_path / "spaces"))
+    back = sp.load_spaces(str(tmp_path / "spaces"))
+    new = spark.createDataFrame([(1, 3.0, 1.0, "never seen", 0), (2, 4.0, 2.0, "y", 0), (3, 5.0, 3.0, None, 0)], "id int, a double, b double, c string, y int")
+    one, two = ({(r.id, r.space): list(r["values"]) for r in sp.in_spaces(s, new, "id").collect()} for s in (fitted, back))
+    assert one == two and {s for _, s in two} == {"raw", "minmax", "standard", "pca", "woe"} and len(two) == 15
+    assert two[1, "woe"] == [0.0] and two[1, "raw"] == [3.0, 1.0]
+    for at, c in ((2, "y"), (3, None)):
+        n, e = sum(r[3] == c for r in rows), sum(r[4] for r in rows if r[3] == c)
+        every = sum(r[4] for r in rows)
+        assert two[at, "woe"][0] == pytest.approx(math.log((max(n - e, 0.5) / (60 - every)) / (max(e, 0.5) / every)))
+
+
+def test_model_based_imputation_predicts_the_category(spark):
+    from tadkit.operators import quality as qu
+    rng = np.random.default_rng(15)
+    x = rng.normal(0, 1, 400)
+    truth = np.where(x > 0.8, "high", np.where(x < -0.8, "low", "mid"))
+    df = spark.createDataFrame([(i, float(v), None if i % 4 == 0 else str(t)) for i, (v, t) in enumerate(zip(x, truth))], "id int, x double, c string")
+    got = {r.id: r.c for r in qu.model_impute(df, "c", ["x"], max_iter=100).collect()}
+    assert all(got[i] == truth[i] for i in range(400) if i % 4)
+    assert np.mean([got[i] == truth[i] for i in range(0, 400, 4)]) > 0.9
