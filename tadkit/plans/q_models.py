@@ -94,6 +94,17 @@ def m4_sgd(spark, d):
     return out
 
 
+@query("m4_hinge_penalties")
+def m4_hinge(spark, d):
+    """Weights of the hinge classifier under each penalty, on standardised columns."""
+    x = fe.standardize(_orders_xy(spark, d), _OX)
+    rows = []
+    for name, ratio in (("l2", 0.0), ("elasticnet", 0.5), ("l1", 1.0)):
+        m = md.hinge_fit(x, "label", _OX, alpha=0.02, l1_ratio=ratio)
+        rows += [(name, c, float(v), m["objective"]) for c, v in zip([*_OX, "intercept"], [*m["coef"], m["intercept"]])]
+    return spark.createDataFrame(rows, "penalty string, feature string, value double, objective double")
+
+
 @query("m5_linear_svm")
 def m5_svm(spark, d):
     x = md.with_features(_orders_xy(spark, d), _OX)
