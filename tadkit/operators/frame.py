@@ -135,6 +135,13 @@ def dtype_tally(df: DataFrame) -> DataFrame:
 
 
 # F3 / F4 / F5 / F6 / F7 ------------------------------------------------------
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out where a scan has fewer partitions than there are cores (a few large row
+    groups), for work that costs more than moving them.  Other scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def key_draw(key: Sequence[str], seed: int) -> Column:
     """A draw from [0, 1) that depends on the key and the seed alone: the same in every run, plan and engine."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))), 1, 8), 16, 10).cast("double") / 2.0 ** 32

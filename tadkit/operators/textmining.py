@@ -19,7 +19,7 @@ from pyspark.ml.feature import CountVectorizer, Word2Vec
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tadkit.operators.frame import add_row_id
+from tadkit.operators.frame import add_row_id, spread
 from tadkit.session import written
 
 
@@ -80,24 +80,39 @@ def tfidf(df: DataFrame, doc: str, tokens: str, n_min: int = 1, n_max: int = 1,
           max_features: int | None = None, smooth: bool = True, norm: bool = True) -> DataFrame:
     """scikit-learn TF-IDF as DataFrame ops: idf = ln((1 + n) / (1 + df)) + 1
     (smooth), weight = tf * idf, l2-normalised per document.  Long output
-    (doc, term, weight) — the sparse matrix without a driver-side vocabulary.
-
-    Shuffles: counts by (doc, term), partial vocabulary counts by term, and
-    the weights of vocabulary terms by document; the vocabulary (<=
-    max_features rows) is broadcast."""
-    grams = df.select(doc, ngrams(tokens, n_min, n_max).alias("_g"))
-    tc = term_counts(grams, doc, "_g")
+    (doc, term, weight) — the sparse matrix without a driver-side vocabulary.  A
+    document is one row.
+
+    With ``max_features`` the vocabulary comes first: each row's sorted terms tell
+    how often it has one and that it has it, so one shuffle of partial counts by term
+    is all; then the vocabulary (max_features rows, broadcast) cuts the terms
+    before they are counted by document.  Without it all terms are counted by document."""
+    grams = spread(df).select(doc, ngrams(tokens, n_min, n_max).alias("_g"))
     n = df.agg(F.count_distinct(doc)).scalar()
-    v = vocabulary(tc, doc, max_features, min_df)
+    if max_features:
+        v = _vocabulary_of(grams, max_features, min_df)
+        kept = grams.select(doc, F.explode_outer("_g").alias("term")).join(F.broadcast(v.select("term", "df")), "term")
+        tc = kept.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("df").alias("df"))
+    else:
+        tc = term_counts(grams, doc, "_g")
+        tc = tc.join(vocabulary(tc, doc, None, min_df).select("term", "df"), "term")
     idf = (F.log((1 + n) / (1 + F.col("df"))) + 1) if smooth else (F.log(n / F.col("df")) + 1)
-    vb = v.select("term", idf.alias("idf"))
-    vb = F.broadcast(vb) if max_features else vb           # bounded by max_features
-    w = tc.join(vb, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    w = tc.withColumn("w", F.col("tf") * idf)
     if norm:
         w = w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc))))
     return w.select(doc, "term", F.col("w").alias("weight"))
 
 
+def _vocabulary_of(grams: DataFrame, max_features: int, min_df: int) -> DataFrame:
+    """``vocabulary`` of rows of terms (``_g``), without counts by document."""
+    s = F.sort_array("_g")
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(s, F.lit(1), F.greatest(F.size("_g") - 1, F.lit(0))))
+    marked = F.zip_with(s, before, lambda a, b: F.struct(a.alias("term"), (~a.eqNullSafe(b)).cast("int").alias("new")))
+    x = grams.select(F.explode_outer(marked).alias("_t")).select("_t.*").filter(F.col("term").isNotNull())
+    v = x.groupBy("term").agg(F.sum("new").alias("df"), F.count(F.lit(1)).alias("cf")).filter(F.col("df") >= min_df)
+    return v.orderBy(F.col("cf").desc(), "term").limit(max_features)
+
+
 # O3 ------------------------------------------------------------------------
 def drop_hapax(df: DataFrame, doc: str, tokens: str, out: str = "tokens") -> DataFrame:
     """Remove words seen exactly once in the whole corpus; order kept."""
