@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-A source's documents lie in shards of bounded size, in seeded order, and each
-shard is cut into blocks of equally many words (going round to its start).
+A source's documents lie in a fixed number of shards by hash, in seeded order, and
+each shard is cut into blocks of equally many words (going round to its start).
 Blocks are allotted to sources, and those of a source to its shards, by
 highest quotients weight / (2k - 1), which gives whole quotas.  A shard takes
 the first blocks of its seeded order, round and round; so what a document
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tadkit.llm.common import written
+from tadkit.operators.frame import cumulative_sum
 
 WORD = r"[^\x20\x09-\x0D]+"
 _GAP = r"[\x20\x09-\x0D]"
@@ -64,8 +65,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...], share: float, cap: int
     return s.withColumn("target", F.least(F.col("_cap"), F.col("weight") * F.col("_level"))).drop("_cap", "_all", "_level")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, cap: int = 3, block: int = 64,
-        shard_words: int = 1 << 24, shard_docs: int = 10_000, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, cap: int = 3, block: int = 1,
+        shards: int = 8, seed: int = 7) -> DataFrame:
     """doc_id, size, source_size, target, taken, source, text_hash for each row.
 
     * Null and empty texts have size 0 and give nothing.
@@ -74,30 +75,27 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.
     * Repeated rows are documents of their own; ties of the seeded order are
       broken by doc_id, size and text, so reruns agree.
     * Nothing is taken from an empty table; extra columns are ignored.
+    * Texts of any length are counted whole where they are read.  Blocks of one word let
+      every source come within a word of its target; longer ones keep passages together.
     """
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
     rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                                size.alias("size"), F.xxhash64("text").alias("text_hash")), "sizes")
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
-    sources = targets(sources, weights, share, cap)
-    sources = sources.withColumn("_shards", F.expr(f"1 + greatest(source_size div {shard_words}, _docs div {shard_docs})"))
+    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
     sources = sources.withColumn("_zero", F.lit(0))
     sources = sources.withColumn("_blocks", F.round(F.sum("target").over(Window.partitionBy("_zero")) / block).cast("long"))
     sources = apportion(sources, ["_zero"], ["source"], "target", "_blocks", "_quota")
-    sources = written(sources.select(F.col("source").alias("_source"), "source_size", "target", "_shards", "_quota"),
-                      "sources")
+    sources = written(sources.select(F.col("source").alias("_source"), "source_size", "target", "_quota"), "sources")
 
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     placed = rows.join(sources, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_draw", draw)
-    placed = placed.withColumn("_shard", F.expr("cast(conv(substring(_draw, 1, 8), 16, 10) as bigint) % _shards"))
-    shards = placed.groupBy("source", "_shard").agg(F.sum("size").alias("_words"), F.first("_quota").alias("_quota"))
-    shards = apportion(shards, ["source"], ["_shard"], "_words", "_quota", "_share") \
+    placed = placed.withColumn("_shard", F.conv(F.substring("_draw", 1, 8), 16, 10).cast("long") % shards)
+    quotas = placed.groupBy("source", "_shard").agg(F.sum("size").alias("_words"), F.first("_quota").alias("_quota"))
+    quotas = apportion(quotas, ["source"], ["_shard"], "_words", "_quota", "_share") \
         .select(F.col("source").alias("_source"), "_shard", "_words", (F.col("_share") * block).alias("_want"))
-    in_shard = Window.partitionBy("source", "_shard")
-    at = F.coalesce(F.sum("size").over(in_shard.orderBy("_draw", "doc_id", "size", "text_hash")
-                                       .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = placed.drop("_source").withColumn("_at", at) \
-        .join(shards.withColumnRenamed("_shard", "_of"),
+    placed = cumulative_sum(placed.drop("_source", "_quota"), ["source", "_shard"], ["_draw", "doc_id", "size", "text_hash"], ["size"])
+    placed = placed.withColumn("_at", F.col("size_cum") - F.col("size")) \
+        .join(quotas.withColumnRenamed("_shard", "_of"),
               F.col("source").eqNullSafe(F.col("_source")) & (F.col("_shard") == F.col("_of")))
     want = F.least(F.col("_want"), cap * F.col("_words"))
     passes = F.when(F.col("_words") > 0, F.expr("least(_want, _cap) div _words")).otherwise(F.lit(0))

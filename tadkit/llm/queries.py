@@ -103,10 +103,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 _OP2 = r"""
 with d as (
-  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-         md5('7:' || coalesce(doc_id::varchar, 'null')) as draw
-  from documents),
-s as (select source, sum(size)::bigint as source_size, count(*) as docs from d group by source),
+  select *, ('0x' || substr(draw, 1, 8))::bigint % 8 as shard from (
+    select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+           md5('7:' || coalesce(doc_id::varchar, 'null')) as draw
+    from documents)),
+s as (select source, sum(size)::bigint as source_size from d group by source),
 w as (
   select *, ([1, 2, 3])[((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::double as weight,
          3.0 * source_size as cap, sum(source_size) over () as total
@@ -115,7 +116,7 @@ l as (
   select *, (total - coalesce(sum(cap) over o, 0)) / (sum(weight) over () - coalesce(sum(weight) over o, 0)) as level
   from w window o as (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding)),
 t as (select *, least(cap, weight * max(level) over ()) as target from l),
-n as (select *, round(sum(target) over () / 64)::bigint as blocks, count(*) over () as m,
+n as (select *, round(sum(target) over ())::bigint as blocks, count(*) over () as m,
              case when sum(target) over () > 0 then target / sum(target) over () else 0 end as share from t),
 seats as (
   select source, target, blocks, unnest(generate_series(1, ceil(share * blocks + share * m / 2 + 1)::bigint + 1)) as k from n),
@@ -123,14 +124,24 @@ q as (
   select source, count(*) filter (where won and target > 0) as quota
   from (select source, target, row_number() over (order by target / (2 * k - 1) desc, source nulls last) <= blocks as won from seats)
   group by source),
+g as (
+  select d.source, shard, sum(size)::bigint as words, any_value(quota) as quota
+  from d join q on d.source is not distinct from q.source group by d.source, shard),
+h as (
+  select *, count(*) over (partition by source) as m,
+         case when sum(words) over (partition by source) > 0 then words / sum(words) over (partition by source) else 0 end as share from g),
+chairs as (select source, shard, words, quota, unnest(generate_series(1, ceil(share * quota + share * m / 2 + 1)::bigint + 1)) as k from h),
+c as (
+  select source, shard, words, least(count(*) filter (where won and words > 0), 3 * words) as want
+  from (select *, row_number() over (partition by source order by words / (2 * k - 1) desc, shard) <= quota as won from chairs)
+  group by source, shard, words),
 p as (
-  select d.doc_id, d.size, n.source_size, n.target, least(q.quota * 64, 3 * n.source_size) as want,
-         coalesce(sum(d.size) over (partition by d.source order by d.draw, d.doc_id, d.size
-                                    rows between unbounded preceding and 1 preceding), 0) as pos
-  from d join n on d.source is not distinct from n.source join q on d.source is not distinct from q.source)
+  select d.doc_id, d.size, n.source_size, n.target, c.words, c.want,
+         sum(d.size) over (partition by d.source, d.shard order by d.draw, d.doc_id, d.size rows unbounded preceding) - d.size as pos
+  from d join n on d.source is not distinct from n.source join c on d.source is not distinct from c.source and d.shard = c.shard)
 select doc_id, size, source_size, target,
-       (case when source_size > 0 then want // source_size else 0 end * size
-        + least(greatest(case when source_size > 0 then want % source_size else 0 end - pos, 0), size))::bigint as taken
+       (case when words > 0 then want // words else 0 end * size
+        + least(greatest(case when words > 0 then want % words else 0 end - pos, 0), size))::bigint as taken
 from p
 """
 

@@ -52,12 +52,18 @@ def test_targets_and_caps(spark):
 
 def test_shards_split_a_hot_source(spark):
     d = spark.range(3000).selectExpr("id as doc_id", "repeat('w ', cast(id % 17 as int)) as text", "if(id % 3 = 0, 'x', 'y') as source")
-    rows = mix(d, shard_docs=100, block=16).collect()
+    rows = mix(d, shards=32, block=16).collect()
     for s in ("x", "y"):
         own = [r for r in rows if r.source == s]
         assert abs(sum(r.taken for r in own) - own[0].target) <= 16
 
 
+def test_small_sources_get_their_target(spark):
+    rows = [(1, "a b c d e f", "tiny"), (2, "w " * 5000, "x"), (3, "w " * 5000, "y"), (4, "one", None)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id: r.taken for r in got}[1] == 18 and all(abs(r.taken - r.target) <= 2 for r in got)
+
+
 def test_take_mix(spark):
     rows = [(1, "a b  c\nd", "s", 8), (2, None, "s", None), (3, "", "t", 0), (4, "e f g h i j", "t", 11), (5, "e f g h i j", "t", 11)]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
