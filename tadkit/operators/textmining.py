@@ -12,6 +12,7 @@ of joining tables pairwise.
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -240,6 +241,47 @@ def most_similar(vectors: DataFrame, key: str, vec: str, queries: dict, top_n: i
     return top_k(scored, "query", [F.col("similarity").desc(), F.col(key)], top_n)
 
 
+def describe_items(similar: DataFrame, key: str, catalog: DataFrame, catalog_key: str, description: str) -> DataFrame:
+    """The rows with the ``description`` of their item, null where the catalog lacks it
+    (of rows that repeat a key the least description)."""
+    names = catalog.filter(F.col(catalog_key).isNotNull()).groupBy(F.col(catalog_key).alias("_key")).agg(F.min(description).alias(description))
+    return similar.join(names, F.col(key) == F.col("_key"), "left").drop("_key")
+
+
+def pair_similarities(vectors: DataFrame, key: str, vec: str, words: Sequence) -> DataFrame:
+    """Cosine of every two of the given ``words`` (a, b, similarity), in their order, with
+    known_a and known_b; a pair with an unknown word has no similarity.
+
+    The answer has a row for each pair of the list, so the list is what bounds it."""
+    spark = vectors.sparkSession
+    kind = dict(vectors.dtypes)[key]
+    found = vectors.filter(F.col(key).isin(list(words))).groupBy(F.col(key).alias("_w")).agg(F.min(F.col(vec).cast("array<double>")).alias("_v"))
+    given = list(dict.fromkeys(words))
+    pairs = spark.createDataFrame([(a, b) for i, a in enumerate(given) for b in given[i + 1:]], f"a {kind}, b {kind}")
+    for side in "ab":
+        pairs = pairs.join(found.select(F.col("_w").alias(side), F.col("_v").alias(f"_{side}")), side, "left")
+    return pairs.select("a", "b", F.col("_a").isNotNull().alias("known_a"), F.col("_b").isNotNull().alias("known_b"), cosine("_a", "_b").alias("similarity"))
+
+
+def k_best_terms(df: DataFrame, tokens: str, label: str, k: int, min_df: int = 1) -> DataFrame:
+    """K10 for text: (term, df, f) of the ``k`` terms whose counts differ most between the classes
+    of ``label`` by the ANOVA F statistic; ties go to the earlier term.
+
+    A row is a document.  Sums by term and class come from one shuffle of in-row counts; documents
+    without a term count as 0 there without being made.  Rows without label are dropped.
+    """
+    x = df.filter(F.col(label).isNotNull()).select(F.monotonically_increasing_id().alias("_d"), F.col(label).alias("_y"), F.col(tokens).alias("_t"))
+    per = x.select("_d", "_y", F.explode_outer("_t").alias("term")).filter("term is not null").groupBy("_d", "_y", "term").agg(F.count(F.lit(1)).alias("_n"))
+    cell = per.groupBy("term", "_y").agg(F.count(F.lit(1)).alias("df"), F.sum("_n").alias("s"), F.sum(F.col("_n") * F.col("_n")).alias("ss"))
+    classes = x.groupBy("_y").agg(F.count(F.lit(1)).alias("nc"))
+    n, c = classes.agg(F.sum("nc")).scalar(), classes.agg(F.count(F.lit(1))).scalar()
+    t = cell.join(classes, "_y").groupBy("term").agg(F.sum("df").alias("df"), F.sum("s").cast("double").alias("s"), F.sum("ss").cast("double").alias("ss"),
+                                                     F.sum(F.col("s") * F.col("s") / F.col("nc")).alias("b")).filter(F.col("df") >= min_df)
+    between, inside = F.col("b") - F.col("s") * F.col("s") / n, F.col("ss") - F.col("b")
+    f = F.try_divide(between / (c - 1), inside / (n - c))
+    return t.select("term", "df", f.alias("f")).orderBy(F.col("f").desc_nulls_last(), "term").limit(k)
+
+
 def basket_mean_vector(baskets: DataFrame, key: str, items: str, vectors: DataFrame) -> DataFrame:
     """Mean item vector per basket; unknown items are skipped."""
     ex = baskets.select(key, F.explode(items).alias("item")).withColumn("item", F.col("item").cast("string"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -13,6 +13,7 @@ from tadkit.functions import numeric as nu
 from tadkit.functions import strings as sx
 from tadkit.functions import text as tx
 from tadkit.operators import textmining as tm
+from tadkit.operators.frame import spread
 from tadkit.operators.segment import kmeans, knn_exact
 from tadkit.plans.registry import query
 from tadkit.session import Tables, scratch_path
@@ -363,23 +364,44 @@ def o3_hapax(spark, d):
 
 @query("o4_spam_style_job")
 def o4_spam(spark, d):
-    """Hand-made text features + TF-IDF + logistic model on documents x labels."""
+    """Hand-made text features, TF-IDF of the 1000 terms that tell the classes apart best, logistic
+    model, on documents x labels."""
     t = Tables(spark, d)
     x = t.documents.join(t.labels, "doc_id").select(
         "doc_id", F.col("toxic").cast("double").alias("label"), "text",
         F.length("text").cast("double").alias("n_chars"), sx.count_urls("text").cast("double").alias("n_urls"),
         sx.count_emails("text").cast("double").alias("n_emails"),
         F.round(sx.class_ratio("text", r"\p{Lu}", over=r"\p{L}"), 6).alias("upper_ratio"))
+    x = spread(x)
+    words = StopWordsRemover(inputCol="tok", outputCol="tok2", stopWords=_STOP).transform(
+        RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"[^\p{L}\p{N}]+", toLowercase=True).transform(x))
+    best = [r.term for r in tm.k_best_terms(words, "tok2", "label", 1000, min_df=2).collect()]
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
         StopWordsRemover(inputCol="tok", outputCol="tok2", stopWords=_STOP),
-        CountVectorizer(inputCol="tok2", outputCol="tf", vocabSize=_ALL, minDF=2.0),
+        CountVectorizerModel.from_vocabulary(best, inputCol="tok2", outputCol="tf"),
         IDF(inputCol="tf", outputCol="tfidf"),
         VectorAssembler(inputCols=["tfidf", "n_chars", "n_urls", "n_emails", "upper_ratio"], outputCol="features"),
         LogisticRegression(maxIter=30, regParam=0.01)])
     return pipe.fit(x).transform(x).select("doc_id", "label", "prediction")
 
 
+@query("o4_k_best_terms", f"""
+WITH t AS (SELECT doc_id, toxic AS y, {tok_sql('text')} AS tok FROM documents JOIN labels USING (doc_id) WHERE toxic IS NOT NULL),
+p AS (SELECT doc_id, y, term, count(*) AS n FROM (SELECT doc_id, y, unnest(tok) AS term FROM t) GROUP BY ALL),
+c AS (SELECT y, count(*)::DOUBLE AS nc FROM t GROUP BY y),
+a AS (SELECT term, y, count(*) AS df, sum(n)::DOUBLE AS s, sum(n * n)::DOUBLE AS ss FROM p GROUP BY ALL),
+g AS (SELECT term, sum(df)::BIGINT AS df, sum(s) AS s, sum(ss) AS ss, sum(s * s / nc) AS b FROM a JOIN c USING (y) GROUP BY term HAVING sum(df) >= 5),
+k AS (SELECT sum(nc) AS n, count(*) AS c FROM c)
+SELECT term, df, round(((b - s * s / n) / (c - 1)) / ((ss - b) / (n - c)), 6) AS f FROM g, k
+ORDER BY ((b - s * s / n) / (c - 1)) / ((ss - b) / (n - c)) DESC, term LIMIT 40""")
+def o4_terms(spark, d):
+    """The 40 terms whose counts differ most between clean and toxic documents."""
+    t = Tables(spark, d)
+    x = t.documents.join(t.labels, "doc_id").select("toxic", tx.tokenize("text").alias("tokens"))
+    return tm.k_best_terms(spread(x), "tokens", "toxic", 40, min_df=5).select("term", "df", F.round("f", 6).alias("f"))
+
+
 @query("o5_word_index_padded_sequences", _CONV_TOK_SQL + """,
 v AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) + 1 AS id FROM e GROUP BY term),
 s AS (SELECT doc, list(id ORDER BY pos) AS ids FROM e JOIN v USING (term) GROUP BY doc),
@@ -479,6 +501,28 @@ def o10_similar(spark, d):
     return out.select("vec_id", "query", F.round("similarity", 6).alias("similarity"), "rank")
 
 
+@query("o10_similar_items_described", _SIM_SQL + """,
+t AS (SELECT e.vec_id, q.query, list_cosine_similarity(e.x, q.qx) AS similarity,
+             row_number() OVER (PARTITION BY q.query ORDER BY list_cosine_similarity(e.x, q.qx) DESC, e.vec_id) AS rank
+      FROM e, q WHERE e.vec_id <> q.qid)
+SELECT vec_id, CAST(query AS VARCHAR) AS query, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank, p_brand
+FROM t LEFT JOIN part ON p_partkey = vec_id WHERE rank <= 5""")
+def o10_described(spark, d):
+    """Similar items with what the catalog says of them."""
+    return tm.describe_items(o10_similar(spark, d), "vec_id", Tables(spark, d).part, "p_partkey", "p_brand")
+
+
+@query("o12_pair_similarities", """
+WITH w AS (SELECT unnest([0, 1, 2, 3, -5]) AS id, generate_subscripts([0, 1, 2, 3, -5], 1) AS i),
+v AS (SELECT w.*, CAST(embedding AS DOUBLE[]) AS x FROM w LEFT JOIN embeddings ON vec_id = id)
+SELECT a.id::BIGINT AS a, b.id::BIGINT AS b, a.x IS NOT NULL AS known_a, b.x IS NOT NULL AS known_b,
+       round(list_cosine_similarity(a.x, b.x), 6) AS similarity FROM v a JOIN v b ON a.i < b.i""")
+def o12_pairs(spark, d):
+    """Similarity of every two of a list of words, one of which is unknown."""
+    t = tm.pair_similarities(Tables(spark, d).embeddings, "vec_id", "embedding", [0, 1, 2, 3, -5])
+    return t.withColumn("similarity", F.round("similarity", 6))
+
+
 @query("o11_basket_mean_vector_recommend")
 def o11_recommend(spark, d):
     """The five items nearest (cosine) to the mean item vector of every basket."""
