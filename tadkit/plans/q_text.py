@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, RegexTokenizer, StopWordsRemover, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -310,7 +310,8 @@ def h27_clip(spark, d):
 
 
 # ---------------------------------------------------------------- O ------------
-_ALL = 2**31 - 1           # no cut of the vocabulary
+_TOPIC_WORDS = 20_000      # vocabulary of a topic model, whose terms x topics the driver holds
+_HASHED = 1 << 18          # places of hashed terms, whose dictionary nobody holds
 
 
 def _docs_tok(spark, d):
@@ -430,14 +431,14 @@ def o6_doc2bow(spark, d):
 def o7_mixture(spark, d):
     """Share of each topic in each document."""
     docs = tx.drop_stop_words(_docs_tok(spark, d), "tokens", _STOP)
-    _, _, mixture = tm.lda_topics(docs, "tokens", k=4, vocab=_ALL, max_iter=10, top_n=8)
+    _, _, mixture = tm.lda_topics(docs, "tokens", k=4, vocab=_TOPIC_WORDS, max_iter=10, top_n=8)
     return mixture.select("doc_id", F.posexplode(vector_to_array("topicDistribution")).alias("topic", "share"))
 
 
 @query("o7_lda_topics")
 def o7_lda(spark, d):
     docs = tx.drop_stop_words(_docs_tok(spark, d), "tokens", _STOP)
-    _, topics, _ = tm.lda_topics(docs, "tokens", k=4, vocab=_ALL, max_iter=10, top_n=8)
+    _, topics, _ = tm.lda_topics(docs, "tokens", k=4, vocab=_TOPIC_WORDS, max_iter=10, top_n=8)
     return topics
 
 
@@ -558,8 +559,8 @@ def o12_analogy(spark, d):
 def o13_docs(spark, d):
     t = Tables(spark, d)
     docs = t.documents.select("doc_id", "n_chars", tx.tokenize("text").alias("tokens"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=_ALL, minDF=2.0)
-    tfidf = Pipeline(stages=[cv, IDF(inputCol="tf", outputCol="features")]).fit(docs).transform(docs)
+    tf = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=_HASHED)
+    tfidf = Pipeline(stages=[tf, IDF(inputCol="tf", outputCol="features", minDocFreq=2)]).fit(docs).transform(docs)
     lab = kmeans(tfidf, "features", 4).transform(tfidf)
     return tm.top_documents_per_cluster(lab.select("doc_id", "n_chars", "cluster"), "cluster", "n_chars", "doc_id", 5)
 
@@ -608,7 +609,7 @@ def o16_scoring(spark, d):
     t = Tables(spark, d)
     train = t.documents.join(t.labels, "doc_id").select("doc_id", "text", F.col("quality").cast("double").alias("label"))
     pipe = Pipeline(stages=[RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"[^\p{L}\p{N}]+"),
-                            CountVectorizer(inputCol="tok", outputCol="tf", vocabSize=_ALL), IDF(inputCol="tf", outputCol="features"),
+                            HashingTF(inputCol="tok", outputCol="tf", numFeatures=_HASHED), IDF(inputCol="tf", outputCol="features"),
                             LogisticRegression(maxIter=20)])
     path = scratch_path(spark, "text-pipeline")
     pipe.fit(train).write().overwrite().save(path)
