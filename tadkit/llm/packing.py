@@ -79,21 +79,28 @@ class WordTokenizer:
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, words: list[str]) -> None:
-        simple, hard = [], []
+        simple, runs, marks, hard = [], [], [], []
         for w in words:
             run = w.rstrip(string.punctuation)
-            # Some letters are more than letters in lower case, and their marks meet those behind.
-            if run.isalpha() and run.lower().isalpha():
-                simple.append((w, run.lower() if run.isascii() else run, w[len(run):]))
-            else:
+            if not run.isalpha():
+                hard.append(w)
+            elif run.isascii():
+                simple.append(w)
+                runs.append(run.lower())
+                marks.append(w[len(run):])
+            elif run.lower().isalpha():
+                simple.append(w)
+                runs.append(run)
+                marks.append(w[len(run):])
+            else:                                # more than letters in lower case: its marks meet those behind
                 hard.append(w)
-        for known, new, encode in ((self._parts, {r for _, r, _ in simple}, self._encode_letters),
-                                   (self._parts, {m for _, _, m in simple}, self._encode_words), (self._ids, hard, self._encode_words)):
-            new = [w for w in new if w not in known]
+        parts = self._parts
+        for known, new, encode in ((parts, set(runs).difference(parts), self._encode_letters),
+                                   (parts, set(marks).difference(parts), self._encode_words), (self._ids, hard, self._encode_words)):
+            new = list(new)
             for i in range(0, len(new), 2000):
                 known.update(zip(new[i:i + 2000], encode(new[i:i + 2000])))
-        parts = self._parts
-        self._ids.update((w, parts[run] + parts[marks]) for w, run, marks in simple)
+        self._ids.update(zip(simple, [parts[r] + parts[m] for r, m in zip(runs, marks)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
