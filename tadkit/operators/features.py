@@ -103,6 +103,16 @@ def dummies(df: DataFrame, levels: dict[str, list], drop: str | None = None, pre
     return res if keep_original else res.drop(*levels.keys())
 
 
+def dummies_long(df: DataFrame, key: str, cols: Sequence[str], prefix_sep: str = "_") -> DataFrame:
+    """L5 where levels are many: (key, feature) of every dummy that is 1, ``<column>_<level>``.
+
+    No level list is fetched, so a column may have any number of them.  Null has no dummy.
+    """
+    from tadkit.operators.aggregate import melt
+    long = melt(df, [key], cols, "_c", "_v").filter(F.col("_v").isNotNull())
+    return long.select(key, F.concat("_c", F.lit(prefix_sep), "_v").alias("feature"))
+
+
 # L6 / L7 / L8 ----------------------------------------------------------------
 def pca_fit(df: DataFrame, cols: Sequence[str], k: int | None = None, variance: float | None = None,
             standardize_first: bool = True) -> PipelineModel:

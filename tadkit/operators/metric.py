@@ -181,17 +181,12 @@ def meet(index: MetricIndex, left: DataFrame, right: DataFrame, reach: Reach, vi
     the group's) that any of them reaches, ``allowed`` telling which, and ``close()``, which
     gives the columns of ``schema``.
     """
-    first, parts = index.groups()
+    groups = first, parts = index.groups()
     blocks = 1 + left.count() // QUERY_ROWS
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = int((first + parts).max())
         for b in _slices(batches):
-            ok = reach(index, vectors(b.column("x")), b.column("bound").to_numpy())
-            met = np.zeros((b.num_rows, last), bool)
-            for c in np.flatnonzero(ok.any(axis=0)):
-                met[ok[:, c], first[c]:first[c] + parts[c]] = True
-            i, g = np.nonzero(met)
+            i, g = np.nonzero(_groups_met(groups, reach(index, vectors(b.column("x")), b.column("bound").to_numpy())))
             for at in range(0, len(i), 4096):
                 rows = pa.array(i[at:at + 4096])
                 yield pa.record_batch([*(b.column(c).take(rows) for c in ("tag", "x", "bound")), pa.array(g[at:at + 4096].astype(np.int32))],
@@ -229,13 +224,26 @@ def meet(index: MetricIndex, left: DataFrame, right: DataFrame, reach: Reach, vi
     return a.groupBy("g", "q").cogroup(b.groupBy("g", "q")).applyInArrow(run, schema)
 
 
-def comparisons(index: MetricIndex, left: DataFrame, reach: Reach = in_radius) -> int:
-    """Pairs that ``meet`` compares for ``left`` (x, bound), at most: rows of the cells that each point reaches."""
+def _groups_met(groups: tuple[np.ndarray, np.ndarray], ok: np.ndarray) -> np.ndarray:
+    """Groups (one column each) of the cells that each row reaches."""
+    first, parts = groups
+    met = np.zeros((len(ok), int((first + parts).max())), bool)
+    for c in np.flatnonzero(ok.any(axis=0)):
+        met[ok[:, c], first[c]:first[c] + parts[c]] = True
+    return met
+
+
+def effort(index: MetricIndex, left: DataFrame, reach: Reach = in_radius) -> tuple[int, int]:
+    """What ``meet`` takes for ``left`` (x, bound): rows of it shipped (one a group that a point reaches), and
+    pairs compared at most (rows of the cells that each point reaches)."""
+    groups = index.groups()
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             ok = reach(index, vectors(b.column("x")), b.column("bound").to_numpy())
-            yield pa.record_batch([pa.array([int((ok * index.rows).sum())])], names=["n"])
-    return left.select("x", "bound").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
+            yield pa.record_batch([pa.array([int(_groups_met(groups, ok).sum())]), pa.array([int((ok * index.rows).sum())])], names=["sent", "pairs"])
+    got = left.select("x", "bound").mapInArrow(count, "sent long, pairs long").agg(F.sum("sent"), F.sum("pairs")).first()
+    return got[0] or 0, got[1] or 0
 
 
 def k_nearest(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, exclude_self: bool = False) -> DataFrame:

@@ -447,6 +447,14 @@ def l5_all(spark, d):
     return fe.dummies(wide, {"big": ["false", "true"]}, drop="if_binary")
 
 
+@query("l5_dummies_long", """
+SELECT o_orderkey, 'o_orderpriority_' || o_orderpriority AS feature FROM orders WHERE o_orderpriority IS NOT NULL
+UNION ALL SELECT o_orderkey, 'o_custkey_' || o_custkey FROM orders WHERE o_custkey IS NOT NULL""")
+def l5_long(spark, d):
+    """Dummies of columns with any number of levels, as rows."""
+    return fe.dummies_long(Tables(spark, d).orders, "o_orderkey", ["o_orderpriority", "o_custkey"])
+
+
 @query("l6_l7_pca_variance_cut")
 def l6_pca(spark, d):
     """Centre/scale + PCA; the number of components reaching 90% variance."""

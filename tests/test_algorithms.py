@@ -256,23 +256,29 @@ def test_dbscan_over_many_cells(spark, small_groups, eps, p):
     assert [got[i] for i in range(len(pts))] == _dbscan_brute(pts, eps, 4, D)
 
 
-def test_the_index_skips_cells_out_of_reach(spark):
-    """On clustered points few pairs are compared and shuffled rows grow with the points; a search within reach misses none."""
+def test_the_index_skips_cells_out_of_reach(spark, monkeypatch):
+    """On clustered points few pairs are compared and the rows shipped grow with the points; a search within reach misses none."""
     from pyspark.sql import functions as F
-    from tadkit.operators.metric import build_index, comparisons, in_radius, meet
+    from tadkit.operators import metric
+    from tadkit.operators.metric import build_index, effort, in_radius, meet
+    monkeypatch.setattr(metric, "GROUP_ROWS", 200)
     rng = np.random.default_rng(8)
-    pts = rng.normal(0, 20, (30, 8))[rng.integers(0, 30, 3000)] + rng.normal(0, 0.5, (3000, 8))
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "tag long, x array<double>")
-    index, homes = build_index(df, "x", cells=40)
-    left = homes.withColumn("bound", F.lit(1.5))
-    assert comparisons(index, left) < 0.1 * 3000 ** 2
+    centres, sent = rng.normal(0, 20, (40, 8)), {}
+    for n in (1500, 3000):
+        pts = centres[rng.integers(0, 40, n)] + rng.normal(0, 0.5, (n, 8))
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "tag long, x array<double>")
+        index, homes = build_index(df, "x", cells=40)
+        left = homes.withColumn("bound", F.lit(1.5))
+        sent[n], pairs = effort(index, left)
+        assert pairs < 0.1 * n ** 2
+    assert sent[3000] <= 2.2 * sent[1500] <= 2.2 * 2 * 1500
 
     def visit(tags):
-        n = []
+        found = []
 
         def feed(own, x, bound, columns, y, allowed):
-            n.append((own, (np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2)) <= bound[:, None]).sum(axis=1)))
-        return feed, lambda: [np.concatenate([f[i] for f in n]) if n else np.array([]) for i in (0, 1)]
+            found.append((own, (np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2)) <= bound[:, None]).sum(axis=1)))
+        return feed, lambda: [np.concatenate([f[i] for f in found]) if found else np.array([]) for i in (0, 1)]
     got = dict(tuple(r) for r in meet(index, left, homes, in_radius, visit, "a long, n long").groupBy("a").agg(F.sum("n")).collect())
     D = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(axis=2))
     assert [got[i] for i in range(3000)] == (D <= 1.5).sum(axis=1).tolist()
