@@ -7,10 +7,12 @@ tables go under the folder the cluster names in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,10 +84,31 @@ def _own_folder(prefix: str) -> str:
     return path
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared checkpoint folder."""
+    """A fresh, unique location under the shared checkpoint folder; it goes with the
+    ``scratch_scope`` it is made in, if any."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tadkit-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tadkit-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, all tables made inside by :func:`written`.  What is to
+    stay must have been written elsewhere by then (results are lazy and read these tables)."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            drop_path(spark, path)
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -104,13 +127,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_path(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared storage, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`written`, which nothing reads any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        drop_path(df.sparkSession, folder)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

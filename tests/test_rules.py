@@ -338,3 +338,16 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
         conf, sparkContext = Conf(), Context()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    import os
+    from tadkit.session import scratch_scope, written
+    outside = written(spark.range(3), "kept")
+    with scratch_scope(spark):
+        inside = written(spark.range(5), "gone")
+        with scratch_scope(spark):
+            deeper = written(inside, "deeper")
+            paths = [f.removeprefix("file://").rsplit("/", 1)[0] for d in (deeper, inside) for f in d.inputFiles()]
+        assert not os.path.exists(paths[0]) and inside.count() == 5
+    assert not any(os.path.exists(p) for p in paths) and outside.count() == 3
