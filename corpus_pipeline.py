@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``documents``.  Between stages the rows are written as
 Parquet in the shared folder and read again, so a lost executor costs no more
-than the running stage.
+than the running stage; a stage's own tables, and its predecessor's rows, are then deleted.
 """
 
 from __future__ import annotations
@@ -11,13 +11,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tadkit.llm.common import prepare, table, written
+from tadkit.llm.common import prepare, table
 from tadkit.llm.mixing import take_mix
 from tadkit.llm.neardup import drop_near_duplicates
 from tadkit.llm.packing import pack
 from tadkit.llm.pii import pseudonymise
 from tadkit.llm.quality import drop_low_quality
 from tadkit.llm.queries import PII_KEY
+from tadkit.session import drop_path, scratch_path, scratch_scope
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +55,14 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):                   # what a stage writes for itself goes with it
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if last:
+            drop_path(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
