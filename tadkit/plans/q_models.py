@@ -47,14 +47,27 @@ def _emb(spark, d, dims=64):
                     *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
 
 
-@query("m1_linear_regression")
+@query("m1_linear_regression", """
+WITH x AS (SELECT l_extendedprice AS y, l_quantity AS a, l_discount AS b, l_tax AS c FROM lineitem),
+s AS (SELECT count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, covar_pop(a, a) AS aa, covar_pop(a, b) AS ab, covar_pop(a, c) AS ac,
+             covar_pop(b, b) AS bb, covar_pop(b, c) AS bc, covar_pop(c, c) AS cc, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, covar_pop(c, y) AS cy,
+             var_pop(y) AS yy FROM x),
+d AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM s),
+w AS (SELECT *, (ay * (bb * cc - bc * bc) - ab * (by_ * cc - bc * cy) + ac * (by_ * bc - bb * cy)) / det AS wa,
+             (aa * (by_ * cc - bc * cy) - ay * (ab * cc - bc * ac) + ac * (ab * cy - by_ * ac)) / det AS wb,
+             (aa * (bb * cy - by_ * bc) - ab * (ab * cy - by_ * ac) + ay * (ab * bc - bb * ac)) / det AS wc FROM d),
+f AS (SELECT *, my - wa * ma - wb * mb - wc * mc AS w0 FROM w),
+e AS (SELECT avg((y - w0 - wa * a - wb * b - wc * c) ^ 2) AS mse, avg(abs(y - w0 - wa * a - wb * b - wc * c)) AS mae FROM x, f)
+SELECT feature, round(value, 4) AS value FROM (
+  SELECT unnest(['l_quantity', 'l_discount', 'l_tax', 'intercept', 'r2', 'rmse', 'mae', 'n']) AS feature,
+         unnest([wa, wb, wc, w0, 1 - mse / yy, sqrt(mse), mae, n::DOUBLE]) AS value FROM f, e)""")
 def m1_ols(spark, d):
     """OLS coefficients and fit summary (K18 coefficient table)."""
     x = md.with_features(_lineitem_xy(spark, d), _LX)
     m = md.linear_regression().fit(x)
     s = md.regression_summary(m)
     rows = md.coefficient_table(m, _LX) + [(k, float(v)) for k, v in s.items()]
-    return spark.createDataFrame(rows, "feature string, value double")
+    return spark.createDataFrame(rows, "feature string, value double").withColumn("value", F.round("value", 4))
 
 
 @query("m2_ridge_lasso_elastic_net")

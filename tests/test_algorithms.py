@@ -461,3 +461,76 @@ def test_hinge_with_elastic_net_against_a_slow_solver(spark, ratio):
         assert (m["coef"] == 0).sum() >= 2 and m["coef"][0] > 0 > m["coef"][1]
     hits = md.hinge_predict(df.dropna(), m).selectExpr("avg(double(prediction = y))").first()[0]
     assert hits > 0.8
+
+
+def test_kmeans_rows_go_to_the_nearest_centre(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(17)
+    pts = rng.normal(size=(200, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "id int, x array<double>").withColumn("features", array_to_vector(F.col("x")))
+    m = sg.kmeans(df, "features", 5)
+    centres = np.array(m.clusterCenters())
+    want = ((pts[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+    got = {r.id: r.cluster for r in m.transform(df).collect()}
+    assert [got[i] for i in range(200)] == want.tolist()
+    for k in range(5):                                   # centres are the means of their rows
+        assert np.allclose(centres[k], pts[want == k].mean(axis=0), atol=0.05)
+    again = sg.recluster_largest(m.transform(df), "features", "cluster", 2).collect()
+    largest = str(np.bincount(want).argmax())
+    assert {r.label for r in again if r.cluster == int(largest)} == {f"{largest}.0", f"{largest}.1"}
+    assert all(r.label == str(r.cluster) for r in again if r.cluster != int(largest))
+
+
+def test_components_reach_the_wanted_variance(spark):
+    from tadkit.operators import features as fe
+    rng = np.random.default_rng(18)
+    x = rng.normal(size=(150, 5)) @ rng.normal(size=(5, 5))
+    cols = [f"x{i}" for i in range(5)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id int, " + ", ".join(f"{c} double" for c in cols))
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    share = np.sort(np.linalg.eigvalsh(np.cov(z.T)))[::-1]
+    share /= share.sum()
+    m = fe.pca_fit(df, cols, variance=0.8)
+    k = int(np.searchsorted(np.cumsum(share), 0.8) + 1)
+    assert np.allclose(fe.pca_explained(m), share[:k])
+    got = np.array([[r[f"cp_{j + 1}"] for j in range(k)] for r in fe.pca_transform(m, df, keep=["id"]).orderBy("id").collect()])
+    assert got.shape == (150, k) and np.allclose(np.var(got, axis=0, ddof=1), share[:k] * 5)
+
+
+def test_baskets_are_offered_the_items_nearest_to_their_mean(spark):
+    rng = np.random.default_rng(19)
+    items = {f"i{k:02d}": rng.normal(size=6) for k in range(40)}
+    baskets = {b: [f"i{k:02d}" for k in rng.integers(0, 45, 5)] for b in range(25)}          # items from 40 on are unknown
+    vec = spark.createDataFrame([(k, v.tolist()) for k, v in items.items()], "item string, vec array<double>")
+    df = spark.createDataFrame([(b, k) for b, k in baskets.items()], "b int, items array<string>")
+    means = {r.b: np.array(r.mean_vec) for r in tm.basket_mean_vector(df, "b", "items", vec).collect()}
+    for b, names in baskets.items():
+        known = [items[n] for n in names if n in items]
+        assert (b in means) == bool(known) and (not known or np.allclose(means[b], np.mean(known, axis=0)))
+    q = spark.createDataFrame([(str(b), v.tolist()) for b, v in means.items()], "id string, v array<double>")
+    got = {}
+    for r in sg.knn_exact(q, vec.toDF("id", "v"), "id", "v", 4).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.ref_id))
+    names, m = sorted(items), np.array([items[n] for n in sorted(items)])
+    for b, v in means.items():
+        order = np.argsort(np.linalg.norm(m - v, axis=1))[:4]
+        assert [n for _, n in sorted(got[str(b)])] == [names[i] for i in order]
+
+
+def test_best_terms_against_a_dense_table(spark):
+    rng = np.random.default_rng(20)
+    words = [f"w{i}" for i in range(12)]
+    docs = [[words[k] for k in rng.integers(0, 12 if y else 9, 15)] for y in (rng.random(60) < 0.4)]
+    label = rng.integers(0, 3, 60)
+    df = spark.createDataFrame([(d, int(y)) for d, y in zip(docs, label)] + [(["w0"], None), (None, 1), ([], 2)], "t array<string>, y int")
+    counts = np.array([[d.count(w) for w in words] for d in docs] + [[0] * 12] * 2, float)
+    y = np.append(label, [1, 2])
+    f = []
+    for j in range(12):
+        groups = [counts[y == k, j] for k in range(3)]
+        between = sum(len(g) * (g.mean() - counts[:, j].mean()) ** 2 for g in groups) / 2
+        f.append(between / (sum(((g - g.mean()) ** 2).sum() for g in groups) / (len(y) - 3)))
+    got = [(r.term, r.f) for r in tm.k_best_terms(df, "t", "y", 5).collect()]
+    want = sorted(zip(words, f), key=lambda t: (-t[1], t[0]))[:5]
+    assert [t for t, _ in got] == [t for t, _ in want] and np.allclose([v for _, v in got], [v for _, v in want])
