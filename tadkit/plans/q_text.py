@@ -165,7 +165,7 @@ def _html_sql(c: str) -> str:
 
 @query("h14_strip_html", f"SELECT page_id, {_html_sql('html')} AS visible FROM pages")
 def h14_html(spark, d):
-    return Tables(spark, d).pages.select("page_id", tx.strip_html("html").alias("visible"))
+    return spread(Tables(spark, d).pages.select("page_id", "html")).select("page_id", tx.strip_html("html").alias("visible"))
 
 
 @query("h15_punctuation_digits_quotes", f"""
