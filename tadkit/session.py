@@ -170,7 +170,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     base = os.path.dirname(root)
-    path = os.path.join(tempfile.mkdtemp(prefix="tadkit-pkg-"), "tadkit.zip")
+    path = os.path.join(_own_folder("tadkit-pkg-"), "tadkit.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for dirpath, _dirs, files in os.walk(root):
             for f in files:
