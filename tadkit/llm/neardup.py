@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tadkit.llm.bytetext import mix, shingle_sets
-from tadkit.llm.common import drop_table, prepare, written
+from tadkit.llm.common import drop_table, give_back, prepare, written
 from tadkit.operators.graph import components
 
 BINS = 1 << 20
@@ -92,6 +92,7 @@ def sketch(docs: DataFrame, width: int, bands: int, rows: int, seed: int) -> Dat
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
                                    pa.array(d2, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
                                    pa.array(low, pa.binary())], names=["doc_id", "n", "d1", "d2", "keys", "low"])
+        give_back()
     return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, keys array<long>, low binary")
 
 
@@ -121,6 +122,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
                     found_p.append(p)
                     found_i.append(i)
             yield pa.record_batch([pa.array(found_p, pa.int64()), pa.array(found_i, pa.int64())], names=["pivot", "id"])
+        own = []
+        give_back()
     return rows.mapInArrow(run, "pivot long, id long").distinct()
 
 
@@ -248,6 +251,8 @@ def across(members: DataFrame, width: int, coords: int, percent: int) -> DataFra
                 group.append(row)
         if group:
             yield done()
+        group = []
+        give_back()
     return m.mapInArrow(run, "a long, b long")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tadkit.llm.bytetext import SPACE, hash_spans, text_chunks, word_spans
-from tadkit.llm.common import prepare
+from tadkit.llm.common import give_back, prepare
 
 PASSAGE_WORDS = 64
 _GROUPS = {"lower": b"abcdefghijklmnopqrstuvwxyz", "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789",
@@ -186,6 +186,7 @@ def score_quality(docs: DataFrame, model: AttentionModel | float, out: str = "sc
             for a, rows, n in passages(batch.column("text").cast(pa.string())):
                 score[a:a + len(n)] = model.scores(rows, n) if isinstance(model, AttentionModel) else model
             yield pa.record_batch([*batch.columns, pa.array(score, pa.float64())], names=[*batch.schema.names, out])
+        give_back()
     return d.mapInArrow(run, d.withColumn(out, F.lit(0.0)).schema)
 
 
