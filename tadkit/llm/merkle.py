@@ -151,6 +151,24 @@ def _segments(nodes: DataFrame, counts: DataFrame) -> DataFrame:
     return _each(g, _build, _SEGMENT, _ARROW_SEGMENT)
 
 
+def _grow(nodes: DataFrame, counts: DataFrame, most: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Segments over nodes (lang, pos, digest), then over their tops, until one a lang is left, and the
+    numbers of nodes (lang, n) below each; ``most`` is the largest of ``counts``."""
+    store, sizes = [written(_segments(nodes, counts), "segments")], [counts]
+    while most > SPAN:
+        most = -(-most // SPAN)
+        sizes.append(sizes[-1].select("lang", F.expr(f"(n + {SPAN - 1}) div {SPAN}").alias("n")))
+        store.append(written(_segments(store[-1].select("lang", "pos", "digest"), sizes[-1]), "segments"))
+    return store, sizes
+
+
+def _descents(near: DataFrame, store: list[DataFrame], sizes: list[DataFrame]) -> DataFrame:
+    """Paths that end at tops, led down through all segments of ``store``."""
+    for segments, n in zip(store[::-1], sizes[::-1]):
+        near = written(_each(_below(near, segments, n), _walk, _DESCENT, _ARROW_DESCENT), "paths")
+    return near
+
+
 def manifest(docs: DataFrame) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of every row.
 
@@ -160,7 +178,7 @@ def manifest(docs: DataFrame) -> DataFrame:
       first in theirs and are never tampered with.  Rows that agree in doc_id are ordered by leaf.
     * Repeated rows are leaves of their own, with the same digest and each its own proof.
     * An empty table gives no rows; extra columns are ignored.
-    * One subroot a lang meets in one task for the root, as its hash asks for.
+    * The root is the top of a tree over the subroots, built like those below; a lone subroot is the root.
     """
     prepare(docs.sparkSession)
     one = leaves(docs).withColumn("_one", F.lit(1).cast("long"))
@@ -169,24 +187,20 @@ def manifest(docs: DataFrame) -> DataFrame:
     counts = written(ranked.groupBy("lang").agg(F.count("*").alias("n")), "counts")
     most = counts.agg(F.max("n")).first()[0] or 0
 
-    # Up: segments over the leaves, then over their tops, until one a lang is left.
-    store = [written(_segments(ranked.select("lang", F.col("rank").alias("pos"), F.col("leaf").alias("digest")), counts), "segments")]
-    sizes = [counts]
-    while most > SPAN:
-        most = -(-most // SPAN)
-        sizes.append(sizes[-1].select("lang", F.expr(f"(n + {SPAN - 1}) div {SPAN}").alias("n")))
-        store.append(written(_segments(store[-1].select("lang", "pos", "digest"), sizes[-1]), "segments"))
-
-    # Down: the root's record, then segment by segment.
-    tops = F.sort_array(F.collect_list(F.struct("lang", "digest")))
-    root = store[-1].agg(tops.alias("tops")).withColumn("root", F.sha2(F.array_join("tops.digest", ""), 256))
-    near = root.select("root", "tops", F.posexplode("tops").alias("i", "top")).select(
-        F.col("top.lang").alias("lang"), F.lit(0).cast("long").alias("pos"), F.col("top.digest").alias("digest"),
-        F.array(F.array_join(F.expr("slice(tops.digest, 1, i)"), "")).alias("lefts"),
-        F.array(F.array_join(F.expr("slice(tops.digest, i + 2, size(tops))"), "")).alias("rights"),
-        F.col("top.digest").alias("subroot"), "root")
-    for segments, n in zip(store[:0:-1], sizes[:0:-1]):
-        near = written(_each(_below(near, segments, n), _walk, _DESCENT, _ARROW_DESCENT), "paths")
+    # Up: the tree of each lang over its leaves, then that of the subroots.
+    store, sizes = _grow(ranked.select("lang", F.col("rank").alias("pos"), F.col("leaf").alias("digest")), counts, most)
+    subroots = written(cumulative_sum(store[-1].select("lang", F.col("digest").alias("subroot"), F.lit(1).cast("long").alias("_one")), [], ["lang"], ["_one"])
+                       .select("lang", "subroot", (F.col("_one_cum") - 1).alias("pos")), "subroots")
+    langs = subroots.count()
+    above, widths = _grow(subroots.select(F.lit("").alias("lang"), "pos", F.col("subroot").alias("digest")),
+                          subroots.groupBy(F.lit("").alias("lang")).agg(F.count("*").alias("n")), langs)
+
+    # Down: from the root to the subroots, then segment by segment.
+    near = above[-1].select("lang", "pos", "digest", *[F.array().cast("array<string>").alias(c) for c in ("lefts", "rights")],
+                            F.col("digest").alias("subroot"), F.col("digest").alias("root"))
+    near = _descents(near, above, widths).drop("lang", "digest", "subroot").join(subroots, "pos") \
+        .select("lang", F.lit(0).cast("long").alias("pos"), F.col("subroot").alias("digest"), "lefts", "rights", "subroot", "root")
+    near = _descents(near, store[1:], sizes[1:])
     requests = ranked.groupBy("lang", F.expr(f"rank div {SPAN}").alias("pos")) \
         .agg(F.sort_array(F.collect_list(F.struct("rank", "doc_id", "leaf", "changed"))).alias("requests"))
     return _each(_below(near, store[0], counts).join(requests, ["lang", "pos"]), _prove, _PROOF, _ARROW_PROOF)

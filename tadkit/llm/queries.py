@@ -225,8 +225,13 @@ tree(k, level, n, pos, digest) as (
   union all
   select k, level + 1, (n + 1) // 2, pos // 2, sha256(string_agg(digest, '' order by pos))
   from tree where n > 1 group by k, level, n, pos // 2),
-sub as (select k, digest as subroot, row_number() over (order by encode(k)) as i from tree where n = 1),
-root as (select sha256(string_agg(subroot, '' order by i)) as root from sub),
+sub as (select k, digest as subroot, row_number() over (order by encode(k)) - 1 as i, count(*) over () as m from tree where n = 1),
+high(level, n, pos, digest) as (
+  select 0, m, i, subroot from sub
+  union all
+  select level + 1, (n + 1) // 2, pos // 2, sha256(string_agg(digest, '' order by pos))
+  from high where n > 1 group by level, n, pos // 2),
+root as (select digest as root from high where n = 1),
 walk(id, k, level, pos, held, proof) as (
   select id, k, 0, rank, held, '' from r
   union all
@@ -235,10 +240,16 @@ walk(id, k, level, pos, held, proof) as (
   from walk w join tree t on t.k = w.k and t.level = w.level and t.pos = w.pos and t.n > 1
   left join tree s on s.k = w.k and s.level = w.level and s.pos = xor(w.pos, 1)),
 top as (select w.id, w.k, w.held, w.proof from walk w join tree t on t.k = w.k and t.level = w.level and t.pos = w.pos and t.n = 1),
+climb(id, level, pos, held, proof) as (
+  select top.id, 0, sub.i, top.held, top.proof from top join sub on sub.k = top.k
+  union all
+  select c.id, c.level + 1, c.pos // 2,
+         sha256(case when c.pos %% 2 = 1 then s.digest || c.held else c.held || coalesce(s.digest, '') end), c.proof || coalesce(s.digest, '')
+  from climb c join high t on t.level = c.level and t.pos = c.pos and t.n > 1
+  left join high s on s.level = c.level and s.pos = xor(c.pos, 1)),
 last as (
-  select top.id, sha256(any_value(top.proof) || coalesce(string_agg(subroot, '' order by i) filter (where sub.k <> top.k), '')) as proof_sha256,
-         sha256(string_agg(case when sub.k = top.k then top.held else subroot end, '' order by i)) as folded_root
-  from top cross join sub group by top.id)
+  select c.id, sha256(c.proof) as proof_sha256, c.held as folded_root
+  from climb c join high t on t.level = c.level and t.pos = c.pos and t.n = 1)
 select r.doc_id, r.leaf, sub.subroot, root.root, last.proof_sha256, last.folded_root, last.folded_root = root.root as verified
 from r join last on last.id = r.id join sub on sub.k = r.k cross join root
 """ % _CRC32.format("coalesce(doc_id::varchar, '1')")

@@ -31,17 +31,20 @@ def brute(rows):
             levels.append([h(levels[-1][i:i + 2]) for i in range(0, len(levels[-1]), 2)])
         trees[lang] = levels
     order = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
-    root, out = h(trees[x][-1][0] for x in order), []
+    high, out = [[trees[x][-1][0] for x in order]], []
+    while len(high[-1]) > 1:
+        high.append([h(high[-1][i:i + 2]) for i in range(0, len(high[-1]), 2)])
+    root = high[-1][0]
     for lang, rs in langs.items():
         for i, r in enumerate(rs):
             touched = r[0] is not None and crc32(str(r[0]).encode()) % 7 == 0 and r[4] is not None
             now, proof = leaf(*r[:4], r[4] + 1) if touched else leaf(*r), []
-            for level in trees[lang][:-1]:
-                other = level[i ^ 1] if i ^ 1 < len(level) else ""
-                now, i = h([other, now] if i & 1 else [now, other]), i // 2
-                proof.append(other)
-            proof += [trees[x][-1][0] for x in order if x != lang]
-            folded = h(now if x == lang else trees[x][-1][0] for x in order)
+            for part, i in ((trees[lang], i), (high, order.index(lang))):
+                for level in part[:-1]:
+                    other = level[i ^ 1] if i ^ 1 < len(level) else ""
+                    now, i = h([other, now] if i & 1 else [now, other]), i // 2
+                    proof.append(other)
+            folded = now
             out.append((r[0], leaf(*r), trees[lang][-1][0], root, h(proof), folded, folded == root))
     return out
 
@@ -70,6 +73,13 @@ def test_equal_rows_share_records(spark):
     check(spark, [(4, "same", "en", "s", 4)] * 1100)
 
 
+def test_subroots_are_put_together_two_at_a_time(spark):
+    """One lang, three and several segments of langs: the root of one is its subroot."""
+    check(spark, [(i, "t", "en", "s", i) for i in range(5)])
+    check(spark, [(i, "t", ("en", "fr", None)[i % 3], "s", i) for i in range(9)])
+    check(spark, [(i, "t", f"l{i % 300}", "s", i) for i in range(350)])
+
+
 def test_empty_table(spark):
     assert manifest(spark.createDataFrame([], SCHEMA)).count() == 0
 
