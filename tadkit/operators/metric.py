@@ -27,6 +27,7 @@ SAMPLE_ROWS = 8192           # points that pivots are chosen from
 GROUP_ROWS = 16_384          # references of a task
 QUERY_ROWS = 65_536          # queries of a task, about
 _CHUNK = 256
+_TILE = (32, 1024)
 
 
 def vectors(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -36,15 +37,27 @@ def vectors(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def distances(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
-    """Distance of each row of ``a`` to each of ``b``, coordinate by coordinate."""
+    """Distance of each row of ``a`` to each of ``b``, coordinate by coordinate, in tiles that stay in a core's cache."""
     out = np.zeros((len(a), len(b)))
-    for i in range(a.shape[1]):
-        gap = np.abs(a[:, i, None] - b[None, :, i])
-        if np.isinf(p):
-            np.maximum(out, gap, out=out)
-        else:
-            out += gap * gap if p == 2 else gap if p == 1 else gap ** p
-    return out if p == 1 or np.isinf(p) else np.sqrt(out) if p == 2 else out ** (1 / p)
+    at, bt = np.ascontiguousarray(a.T)[:, :, None], np.ascontiguousarray(b.T)
+    spare = np.empty((_TILE[0], _TILE[1]))
+    for r in range(0, len(a), _TILE[0]):
+        for c in range(0, len(b), _TILE[1]):
+            o, x, y = out[r:r + _TILE[0], c:c + _TILE[1]], at[:, r:r + _TILE[0]], bt[:, c:c + _TILE[1]]
+            gap = spare[:o.shape[0], :o.shape[1]]
+            for i in range(len(y)):
+                np.subtract(x[i], y[i], out=gap)
+                if p != 2:
+                    np.abs(gap, out=gap)
+                if np.isinf(p):
+                    np.maximum(o, gap, out=o)
+                    continue
+                if p == 2:
+                    np.multiply(gap, gap, out=gap)
+                elif p != 1:
+                    np.power(gap, p, out=gap)
+                o += gap
+    return out if p == 1 or np.isinf(p) else np.sqrt(out, out=out) if p == 2 else out ** (1 / p)
 
 
 def _squares(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
@@ -167,9 +180,9 @@ Reach = Callable[[MetricIndex, np.ndarray, np.ndarray], np.ndarray]
 Visit = Callable[[np.ndarray], tuple[Callable, Callable]]
 
 
-def in_radius(index: MetricIndex, x: np.ndarray, bound: np.ndarray) -> np.ndarray:
-    """Cells (one column each) that may hold points within ``bound`` of each row."""
-    return index.beyond(index.to_pivots(x)) <= bound[:, None]
+def in_radius(index: MetricIndex, to_pivots: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Cells (one column each) that may hold points within ``bound`` of each row, told by its distances to the pivots."""
+    return index.beyond(to_pivots) <= bound[:, None]
 
 
 def meet(index: MetricIndex, left: DataFrame, right: DataFrame, reach: Reach, visit: Visit, schema: str) -> DataFrame:
@@ -186,13 +199,15 @@ def meet(index: MetricIndex, left: DataFrame, right: DataFrame, reach: Reach, vi
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
-            i, g = np.nonzero(_groups_met(groups, reach(index, vectors(b.column("x")), b.column("bound").to_numpy())))
+            d = index.to_pivots(vectors(b.column("x")))
+            b = b.append_column("home", pa.array(d.argmin(axis=1).astype(np.int32)))
+            i, g = np.nonzero(_groups_met(groups, reach(index, d, b.column("bound").to_numpy())))
             for at in range(0, len(i), 4096):
                 rows = pa.array(i[at:at + 4096])
-                yield pa.record_batch([*(b.column(c).take(rows) for c in ("tag", "x", "bound")), pa.array(g[at:at + 4096].astype(np.int32))],
-                                      names=["tag", "x", "bound", "g"])
+                yield pa.record_batch([*(b.column(c).take(rows) for c in ("tag", "x", "bound", "home")), pa.array(g[at:at + 4096].astype(np.int32))],
+                                      names=["tag", "x", "bound", "home", "g"])
     tag = dict(left.dtypes)["tag"]
-    a = left.select("tag", "x", "bound").mapInArrow(send, f"tag {tag}, x array<double>, bound double, g int") \
+    a = left.select("tag", "x", "bound").mapInArrow(send, f"tag {tag}, x array<double>, bound double, home int, g int") \
         .withColumn("q", F.pmod(F.xxhash64("tag", "x"), F.lit(blocks)).cast("int"))
     at = F.element_at(F.lit([int(v) for v in first]), F.col("cell") + 1) \
         + F.pmod(F.xxhash64("tag", "x"), F.element_at(F.lit([int(v) for v in parts]), F.col("cell") + 1)).cast("int")
@@ -210,10 +225,10 @@ def meet(index: MetricIndex, left: DataFrame, right: DataFrame, reach: Reach, vi
         ends = np.searchsorted(cell, cells, "right")
         starts = np.searchsorted(cell, cells)
         feed, close = visit(tags)
-        order = np.argsort(index.to_pivots(xs).argmin(axis=1), kind="stable")
+        order = np.argsort(x.column("home").to_numpy(), kind="stable")
         for at in range(0, len(order), _CHUNK):
             i = order[at:at + _CHUNK]
-            ok = reach(index, xs[i], bound[i])[:, cells]
+            ok = reach(index, index.to_pivots(xs[i]), bound[i])[:, cells]
             hit = np.flatnonzero(ok.any(axis=0))
             if len(hit):
                 columns = np.concatenate([np.arange(starts[c], ends[c]) for c in hit])
@@ -240,7 +255,7 @@ def effort(index: MetricIndex, left: DataFrame, reach: Reach = in_radius) -> tup
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
-            ok = reach(index, vectors(b.column("x")), b.column("bound").to_numpy())
+            ok = reach(index, index.to_pivots(vectors(b.column("x"))), b.column("bound").to_numpy())
             yield pa.record_batch([pa.array([int(_groups_met(groups, ok).sum())]), pa.array([int((ok * index.rows).sum())])], names=["sent", "pairs"])
     got = left.select("x", "bound").mapInArrow(count, "sent long, pairs long").agg(F.sum("sent"), F.sum("pairs")).first()
     return got[0] or 0, got[1] or 0
@@ -263,16 +278,15 @@ def k_nearest(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p
     if index is None:
         return queries.sparkSession.createDataFrame([], f"{schema}, rank int")
 
-    def near(index: MetricIndex, x: np.ndarray, bound: np.ndarray) -> np.ndarray:
-        d = index.to_pivots(x)
+    def near(index: MetricIndex, d: np.ndarray, bound: np.ndarray) -> np.ndarray:
         order = np.argsort(d, axis=1, kind="stable")
         before = np.cumsum(index.rows[order], axis=1) - index.rows[order]
         ok = np.zeros(d.shape, bool)
         np.put_along_axis(ok, order, before < need, axis=1)
         return ok & (index.rows > 0)
 
-    def rest(index: MetricIndex, x: np.ndarray, bound: np.ndarray) -> np.ndarray:
-        return in_radius(index, x, bound) & ~near(index, x, bound)
+    def rest(index: MetricIndex, d: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        return in_radius(index, d, bound) & ~near(index, d, bound)
 
     def visit(tags: np.ndarray) -> tuple[Callable, Callable]:
         found: list[list] = [[], [], []]

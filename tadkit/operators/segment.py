@@ -270,7 +270,7 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5,
             pairs = pairs[:, pairs[0] != pairs[1]]
             return [pairs[0], pairs[1]]
         return feed, close
-    nodes = core.select(F.col("head").alias("tag"), "x", "cell")
+    nodes = core.select(F.col("head").alias("tag"), "x", "cell").distinct()        # points of one place are one
     comp = components(meet(index, nodes.select("tag", "x", eps_of), nodes, in_radius, links, "a long, b long"))
     label = core.join(comp.select(F.col("id").alias("head"), "comp"), "head", "left").select("id", "x", "cell", F.coalesce("comp", "head").alias("tag"))
     label = written(label, "labels")
@@ -285,7 +285,7 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5,
             found.append((own[some], low[some]))
         return feed, lambda: [np.concatenate([f[i] for f in found]) if found else np.array([]) for i in (0, 1)]
     rest = x.join(core.select("id"), "id", "left_anti").select("tag", "x", eps_of)
-    border = meet(index, rest, label.select("tag", "x", "cell"), in_radius, least, "id long, tag long").groupBy("id").agg(F.min("tag").alias("tag"))
+    border = meet(index, rest, label.select("tag", "x", "cell").distinct(), in_radius, least, "id long, tag long").groupBy("id").agg(F.min("tag").alias("tag"))
     found = label.select("id", "tag").unionByName(border)
     ids = add_row_id(found.select("tag").distinct(), ["tag"], alias="cluster").withColumn("cluster", (F.col("cluster") - 1).cast("int"))
     return x.select("id").join(found.join(ids, "tag"), "id", "left").select(F.col("id").alias(key), F.coalesce("cluster", F.lit(-1)).alias("cluster"))

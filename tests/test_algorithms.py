@@ -534,3 +534,26 @@ def test_best_terms_against_a_dense_table(spark):
     got = [(r.term, r.f) for r in tm.k_best_terms(df, "t", "y", 5).collect()]
     want = sorted(zip(words, f), key=lambda t: (-t[1], t[0]))[:5]
     assert [t for t, _ in got] == [t for t, _ in want] and np.allclose([v for _, v in got], [v for _, v in want])
+
+
+@pytest.mark.parametrize("p", [1.0, 2.0, np.inf])
+def test_distances_hold_one_matrix(p):
+    import tracemalloc
+    from tadkit.operators.metric import distances
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(1500, 8)), rng.normal(size=(1100, 8))
+    tracemalloc.start()
+    d = distances(a, b, p)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * d.nbytes                  # three times that before
+    gap = np.abs(a[1400] - b[1090])
+    assert d[1400, 1090] == pytest.approx(gap.sum() if p == 1 else gap.max() if np.isinf(p) else np.sqrt((gap * gap).sum()))
+
+
+def test_dbscan_of_copies(spark):
+    """Copies of one vector are one node of the links, however many there are."""
+    pts = [[0.0, 0.0]] * 400 + [[0.1, 0.0]] * 3 + [[5.0, 5.0]] * 2 + [[0.0, 0.6]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(pts)], "id long, x array<double>")
+    got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=0.6, min_samples=4).collect()}
+    assert [got[i] for i in range(len(pts))] == [0] * 403 + [-1] * 2 + [0]
