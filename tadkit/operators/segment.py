@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tadkit.operators.metric import build_index, in_radius, k_nearest, meet, within
+from tadkit.operators.metric import build_index, in_radius, k_nearest, meet, vectors, within
 from tadkit.session import written
 
 
@@ -164,18 +164,49 @@ def bisecting(df: DataFrame, features: str, k: int, seed: int = 42):
     return BisectingKMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
 
 
+_KNN_BLOCK = 64              # queries scored at once
+
+
 # M12 / L12 / O11 -------------------------------------------------------------------
 def _k_nearest(q_ids: Iterable, q: Iterable, ref_ids: Sequence, ref: np.ndarray, k: int, p: float, exclude_self: bool) -> pd.DataFrame:
-    """The k of ``ref`` (ids ascending) nearest to each query."""
+    """The k of ``ref`` (ids ascending) nearest to each query.
+
+    Euclidean distances of a block of queries are first had by one matrix product, which is a
+    little off; the references that may be among the k by it are then measured exactly.
+    """
     out: list[tuple] = []
     near = min(len(ref_ids), k + int(exclude_self))
-    for own, x in zip(q_ids, q) if near else ():
-        gap = np.abs(ref - np.asarray(x, float))
-        dist = np.sqrt((gap * gap).sum(axis=1)) if p == 2 else gap.max(axis=1) if np.isinf(p) else (gap ** p).sum(axis=1) ** (1 / p)
-        bound = np.partition(dist, near - 1)[near - 1]
-        at = np.flatnonzero(dist <= bound)                     # ids ascend, so ties go to the smaller
-        at = [i for i in at[np.argsort(dist[at], kind="stable")] if not (exclude_self and ref_ids[i] == own)][:k]
-        out += [(own, ref_ids[i], float(dist[i]), r) for r, i in enumerate(at, 1)]
+    own, xs = list(q_ids), [np.asarray(x, float) for x in q] if near else []
+    norms = (ref * ref).sum(axis=1)
+    fast = p == 2 and bool(np.isfinite(norms).all())
+    top, head = norms.max(initial=0), min(len(ref_ids), 32 * near)
+
+    def measured(i: int, at: np.ndarray | slice) -> np.ndarray:
+        gap = np.abs(ref[at] - xs[i])
+        return np.sqrt((gap * gap).sum(axis=1)) if p == 2 else gap.max(axis=1) if np.isinf(p) else (gap ** p).sum(axis=1) ** (1 / p)
+
+    for start in range(0, len(xs), _KNN_BLOCK):
+        block = xs[start:start + _KNN_BLOCK]
+        squares = np.array([(x * x).sum() for x in block])
+        rough = None
+        if fast and np.isfinite(squares).all():
+            rough = np.stack(block) @ ref.T
+            rough *= -2
+            rough += norms                                     # less the query's own square, the same in a row
+            off = 2e-12 * (squares + top)
+            bound = np.partition(rough[:, :head], near - 1, axis=1)[:, near - 1] + off
+        for r in range(len(block)):
+            i, among = start + r, slice(None)
+            if rough is not None:
+                among = np.flatnonzero(rough[r] <= bound[r])
+                left = rough[r, among]
+                among = among[left <= np.partition(left, near - 1)[near - 1] + off[r]]
+            dist = measured(i, among)
+            at = np.flatnonzero(dist <= np.partition(dist, near - 1)[near - 1])        # ids ascend, so ties go to the smaller
+            at = at[np.argsort(dist[at], kind="stable")]
+            ids = at if rough is None else among[at]
+            found = [(ref_ids[j], float(v)) for j, v in zip(ids, dist[at]) if not (exclude_self and ref_ids[j] == own[i])][:k]
+            out += [(own[i], j, v, n) for n, (j, v) in enumerate(found, 1)]
     return pd.DataFrame(out, columns=["query_id", "ref_id", "dist", "rank"])
 
 
@@ -196,9 +227,10 @@ def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: floa
     spark = refs.sparkSession
     train = refs.filter(F.col(key).isNotNull() & F.col(vec).isNotNull()).select(F.col(key).alias("id"), to_array(vec).alias("x")) \
         .orderBy(F.xxhash64(key, F.lit(seed)), "id").limit(max_train_rows).toArrow()
-    order = np.argsort(np.asarray(train.column("id").to_pylist()), kind="stable") if len(train) else np.zeros(0, int)
-    ids = [train.column("id")[int(i)].as_py() for i in order]
-    m = np.array([train.column("x")[int(i)].as_py() for i in order], float).reshape(len(ids), -1)
+    ids = train.column("id").to_pylist()
+    order = np.argsort(np.asarray(ids), kind="stable") if ids else np.zeros(0, int)
+    ids = [ids[i] for i in order]
+    m = vectors(train.column("x"))[order] if ids else np.zeros((0, 0))
     held = spark.sparkContext.broadcast((ids, m))
     kt, rt = dict(queries.dtypes)[key], dict(refs.dtypes)[key]
 

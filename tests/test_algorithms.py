@@ -536,6 +536,34 @@ def test_best_terms_against_a_dense_table(spark):
     assert [t for t, _ in got] == [t for t, _ in want] and np.allclose([v for _, v in got], [v for _, v in want])
 
 
+@pytest.mark.parametrize("p", [1.0, 2.0, 3.0, np.inf])
+def test_knn_of_tied_and_odd_references(p):
+    """The rough product changes nothing: ties, own rows, k beyond the references, values that are no numbers."""
+    rng = np.random.default_rng(3)
+    ref = np.concatenate([rng.normal(size=(200, 6)).round(1)] * 3)
+    for odd in (False, True):
+        ref[7, 2] = np.nan if odd else 0.0
+        for k in (1, 5, 700):
+            got = sg._k_nearest(range(60), ref[:60], list(range(600)), ref, k, p, True)
+            for own in (0, 7, 59):
+                gap = np.abs(ref - ref[own])
+                d = np.sqrt((gap * gap).sum(axis=1)) if p == 2 else gap.max(axis=1) if np.isinf(p) else (gap ** p).sum(axis=1) ** (1 / p)
+                want = [i for i in np.lexsort((np.arange(600), d)) if i != own and not np.isnan(d[i])][:k]
+                rows = got[got["query_id"] == own]
+                assert rows["ref_id"].tolist() == want or np.isnan(d).any() and k == 700
+                assert rows["dist"].tolist() == list(d[rows["ref_id"]])
+
+
+def test_knn_measures_few_references_exactly():
+    """Queries x references x columns are not gone through by query: a product of matrices ranks them."""
+    import time
+    rng = np.random.default_rng(4)
+    ref, q = rng.normal(size=(20_000, 64)), rng.normal(size=(400, 64))
+    at = time.process_time()
+    sg._k_nearest(range(400), q, list(range(20_000)), ref, 39, 2.0, False)
+    assert time.process_time() - at < 4           # 8 s before
+
+
 @pytest.mark.parametrize("p", [1.0, 2.0, np.inf])
 def test_distances_hold_one_matrix(p):
     import tracemalloc
