@@ -7,6 +7,7 @@ operator under test, and are checked against the original table in SQL.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -234,9 +235,9 @@ def i4_struct(spark, d):
 
 
 def _rank_in_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["o_totalprice", "o_orderkey"], ascending=[False, True])
-    pdf["rk"] = range(1, len(pdf) + 1)
-    return pdf[["o_orderkey", "rk"]]
+    key = pdf["o_orderkey"].to_numpy()
+    order = np.lexsort((key, -pdf["o_totalprice"].to_numpy(float)))       # missing values last
+    return pd.DataFrame({"o_orderkey": key[order], "rk": np.arange(1, len(key) + 1)})
 
 
 @query("i5_per_group_pandas_frame", """

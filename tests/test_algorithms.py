@@ -585,3 +585,27 @@ def test_dbscan_of_copies(spark):
     df = spark.createDataFrame([(i, x) for i, x in enumerate(pts)], "id long, x array<double>")
     got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=0.6, min_samples=4).collect()}
     assert [got[i] for i in range(len(pts))] == [0] * 403 + [-1] * 2 + [0]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_group_frames_share_batches(spark):
+    """Every group is seen whole and as ``applyInPandas`` shows it, also a null key, a group longer than a batch
+    and groups beside one with nulls; groups have no batch of their own."""
+    import pandas as pd
+    from tadkit.functions import udf as ud
+    rows = [(i % 300, 2**60 + i, float(i)) for i in range(900)] + [(None, 5, None), (None, None, 1.0), (7, None, 2.0)] + [(1000, i, 0.0) for i in range(700)]
+    df = spark.createDataFrame(rows, "k long, v long, x double").repartition(3)
+
+    def seen(g):
+        return pd.DataFrame({"k": g["k"][:1], "n": [len(g)], "top": g["v"].max(), "kinds": ["".join(sorted(str(t) for t in g.dtypes))], "at": [int(g.index[-1])]})
+    schema = "k long, n long, top long, kinds string, at long"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "128")
+    try:
+        got, want = ud.per_group_frame(df, ["k"], seen, schema), df.groupBy("k").applyInPandas(seen, schema)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "FlatMapGroupsInPandas" not in _plan(got)
