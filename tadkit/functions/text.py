@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from html.entities import name2codepoint
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -152,18 +152,30 @@ def alphabetic_only(tokens) -> Column:
     return F.filter(_c(tokens), lambda t: t.rlike(r"^\p{L}+$"))
 
 
+_BROADCAST_WORDS = 50_000     # words that go to every task, at most; more are joined by word
+
+
 def drop_listed_words(df: DataFrame, id_col: str, tokens: str, words: DataFrame,
                       word_col: str = "word", out: str = "tokens_kept") -> DataFrame:
-    """Remove tokens found in a (possibly large) word table via an anti join.
+    """Remove tokens found in a (possibly large) word table; the others keep their order.
 
-    Positions are kept so the surviving tokens are re-assembled in order.
+    Only a row's distinct tokens are looked up, and only those found are gathered by
+    ``id_col``; each row is filtered where it lies.  Rows that share an id have their tokens
+    put together by position; a null id has none.
     """
-    exploded = df.select(id_col, F.posexplode(tokens).alias("_pos", "_tok"))
-    kept = exploded.join(words.select(F.col(word_col).alias("_tok")), "_tok", "left_anti")
-    regrouped = kept.groupBy(id_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_tok"))), lambda s: s["_tok"]).alias(out))
-    return df.join(regrouped, id_col, "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast("array<string>")))
+    listed = words.select(F.col(word_col).alias("_tok")).distinct()
+    if listed.limit(_BROADCAST_WORDS + 1).count() <= _BROADCAST_WORDS:
+        listed = F.broadcast(listed)
+    found = df.select(F.col(id_col).alias("_id"), F.explode(F.array_distinct(tokens)).alias("_tok")).join(listed, "_tok", "left_semi") \
+        .groupBy("_id").agg(F.collect_set("_tok").alias("_listed"))
+    none = F.array().cast("array<string>")
+    x = df.join(found, F.col(id_col) == F.col("_id"), "left").withColumn("_listed", F.coalesce("_listed", none)) \
+        .withColumn("_all", F.collect_list(tokens).over(Window.partitionBy(id_col)))
+    placed = F.flatten(F.transform("_all", lambda r: F.transform(r, lambda t, i: F.struct(i.alias("_pos"), t.alias("_tok")))))
+    several = F.transform(F.array_sort(F.filter(placed, lambda s: ~F.array_contains("_listed", s["_tok"]))), lambda s: s["_tok"])
+    one = F.filter(F.element_at("_all", 1), lambda t: ~F.array_contains("_listed", t))
+    kept = F.when(F.col(id_col).isNull() | (F.size("_all") == 0), none).when(F.size("_all") == 1, one).otherwise(several)
+    return x.withColumn(out, kept).drop("_id", "_listed", "_all")
 
 
 # H18

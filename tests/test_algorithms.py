@@ -609,3 +609,14 @@ def test_group_frames_share_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert "FlatMapGroupsInPandas" not in _plan(got)
+
+
+def test_listed_words_are_looked_up_once_a_row(spark):
+    from tadkit.functions import text as tx
+    rows = [(1, ["a", "b", "a", "c"]), (2, []), (3, None), (None, ["a", "d"]), (4, ["b"]), (5, ["x", "b", "y"]), (5, ["z", "x"])]
+    df = spark.createDataFrame(rows, "id long, t array<string>")
+    words = spark.createDataFrame([("b",), ("b",), ("d",), (None,)], "word string")
+    out = tx.drop_listed_words(df, "id", "t", words)
+    got = sorted((r["id"] or 0, r["tokens_kept"]) for r in out.collect())
+    assert got == [(0, []), (1, ["a", "a", "c"]), (2, []), (3, []), (4, []), (5, ["x", "z", "x", "y"]), (5, ["x", "z", "x", "y"])]
+    assert "posexplode" not in _plan(out)
