@@ -181,9 +181,14 @@ def lda_topics(df: DataFrame, tokens: str, k: int = 5, vocab: int = 2000, max_it
 
 def topic_coherence(df: DataFrame, doc: str, tokens: str, topics: DataFrame, eps: float = 1.0) -> DataFrame:
     """UMass and NPMI coherence of each topic's top words from document
-    co-occurrence counts (only the topics' words are paired per document)."""
-    words = topics.select("term").distinct()
-    pres = df.select(doc, F.explode(tokens).alias("term")).distinct().join(words, "term")
+    co-occurrence counts (only the topics' words are paired per document).
+
+    The topics and the documents' words among theirs are each made once and kept; other
+    words are dropped where they are read."""
+    topics = written(topics, "topics")
+    words = topics.select("term").distinct()                               # topics x top_n rows
+    pres = df.select(doc, F.explode(F.array_distinct(tokens)).alias("term")).join(F.broadcast(words), "term").distinct()
+    pres = written(pres, "presence")
     n_docs = df.agg(F.count_distinct(doc)).scalar()
     dfw = pres.groupBy("term").agg(F.count(F.lit(1)).alias("d"))
     a = topics.select("topic", F.col("term").alias("wi"), F.col("rank").alias("ri"))

@@ -461,7 +461,7 @@ j AS (SELECT p.topic, coalesce(dij, 0) AS dij, di.d AS di, dj.d AS dj FROM pairs
 SELECT topic, round(sum(ln((dij + 1.0) / dj)), 6) AS umass,
        round(avg(ln((dij / n + 1e-12) / ((di / n) * (dj / n))) / (-ln(dij / n + 1e-12))), 6) AS npmi FROM j, nd GROUP BY topic""")
 def o8_coherence(spark, d):
-    docs = tx.drop_stop_words(Tables(spark, d).documents.select("doc_id", "lang", tx.tokenize("text").alias("tokens")),
+    docs = tx.drop_stop_words(spread(Tables(spark, d).documents).select("doc_id", "lang", tx.tokenize("text").alias("tokens")),
                               "tokens", _STOP)
     from tadkit.operators.windows import top_k
     cnt = docs.select("lang", F.explode("tokens").alias("term")).groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n"))

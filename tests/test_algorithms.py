@@ -620,3 +620,12 @@ def test_listed_words_are_looked_up_once_a_row(spark):
     got = sorted((r["id"] or 0, r["tokens_kept"]) for r in out.collect())
     assert got == [(0, []), (1, ["a", "a", "c"]), (2, []), (3, []), (4, []), (5, ["x", "z", "x", "y"]), (5, ["x", "z", "x", "y"])]
     assert "posexplode" not in _plan(out)
+
+
+def test_coherence_reads_documents_once(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["a", "c"]), (3, ["b", "a"]), (3, ["q"]), (4, None)], "id long, t array<string>")
+    topics = spark.createDataFrame([(0, 0, "a"), (0, 1, "b"), (1, 0, "c"), (1, 1, "b")], "topic int, rank int, term string")
+    out = tm.topic_coherence(df, "id", "t", topics)
+    got = {r["topic"]: r["umass"] for r in out.collect()}
+    assert got[0] == pytest.approx(math.log(3 / 3)) and got[1] == pytest.approx(math.log(1 / 1))
+    assert any("presence-" in f for f in out.inputFiles())
