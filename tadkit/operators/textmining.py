@@ -12,10 +12,12 @@ of joining tables pairwise.
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer, Word2Vec
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -268,16 +270,36 @@ def pair_similarities(vectors: DataFrame, key: str, vec: str, words: Sequence) -
     return pairs.select("a", "b", F.col("_a").isNotNull().alias("known_a"), F.col("_b").isNotNull().alias("known_b"), cosine("_a", "_b").alias("similarity"))
 
 
+def _term_sums(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Of rows (class, terms), by term and class: rows that have the term, the sum of their counts and of the counts' squares."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            y, t = batch.slice(at, rows).columns
+            flat = t.flatten()
+            doc = np.repeat(np.arange(len(t)), pc.fill_null(pc.list_value_length(t), 0).to_numpy(zero_copy_only=False))
+            known = pc.is_valid(flat).to_numpy(zero_copy_only=False)
+            terms, classes = flat.drop_null().dictionary_encode(), y.dictionary_encode()
+            if not len(terms):
+                continue
+            v, of = len(terms.dictionary), classes.indices.to_numpy()
+            pair, n = np.unique(doc[known].astype(np.int64) * v + terms.indices.to_numpy(), return_counts=True)
+            cell, place = np.unique(of[pair // v].astype(np.int64) * v + pair % v, return_inverse=True)
+            sums = [np.bincount(place, w, len(cell)).astype(np.int64) for w in (None, n, n * n)]
+            yield pa.record_batch([terms.dictionary.take(pa.array(cell % v)), classes.dictionary.take(pa.array(cell // v)), *map(pa.array, sums)],
+                                  names=["term", "_y", "df", "s", "ss"])
+
+
 def k_best_terms(df: DataFrame, tokens: str, label: str, k: int, min_df: int = 1) -> DataFrame:
     """K10 for text: (term, df, f) of the ``k`` terms whose counts differ most between the classes
     of ``label`` by the ANOVA F statistic; ties go to the earlier term.
 
-    A row is a document.  Sums by term and class come from one shuffle of in-row counts; documents
+    A row is a document.  Sums by term and class come from one shuffle of each batch's sums; documents
     without a term count as 0 there without being made.  Rows without label are dropped.
     """
-    x = df.filter(F.col(label).isNotNull()).select(F.monotonically_increasing_id().alias("_d"), F.col(label).alias("_y"), F.col(tokens).alias("_t"))
-    per = x.select("_d", "_y", F.explode_outer("_t").alias("term")).filter("term is not null").groupBy("_d", "_y", "term").agg(F.count(F.lit(1)).alias("_n"))
-    cell = per.groupBy("term", "_y").agg(F.count(F.lit(1)).alias("df"), F.sum("_n").alias("s"), F.sum(F.col("_n") * F.col("_n")).alias("ss"))
+    x = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("_y"), F.col(tokens).alias("_t"))
+    kind = dict(x.dtypes)["_y"]
+    cell = x.mapInArrow(_term_sums, f"term string, _y {kind}, df long, s long, ss long").groupBy("term", "_y") \
+        .agg(*[F.sum(c).alias(c) for c in ("df", "s", "ss")])
     classes = x.groupBy("_y").agg(F.count(F.lit(1)).alias("nc"))
     n, c = classes.agg(F.sum("nc")).scalar(), classes.agg(F.count(F.lit(1))).scalar()
     t = cell.join(classes, "_y").groupBy("term").agg(F.sum("df").alias("df"), F.sum("s").cast("double").alias("s"), F.sum("ss").cast("double").alias("ss"),

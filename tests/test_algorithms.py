@@ -629,3 +629,11 @@ def test_coherence_reads_documents_once(spark):
     got = {r["topic"]: r["umass"] for r in out.collect()}
     assert got[0] == pytest.approx(math.log(3 / 3)) and got[1] == pytest.approx(math.log(1 / 1))
     assert any("presence-" in f for f in out.inputFiles())
+
+
+def test_best_terms_shuffle_sums_alone(spark):
+    rows = [("x", ["a", "a", "b"]), ("x", ["a", None]), ("y", ["b"]), ("y", None), ("y", []), (None, ["a"]), ("x", ["c"] * 5)] * 300
+    out = tm.k_best_terms(spark.createDataFrame(rows, "y string, t array<string>").repartition(3), "t", "y", 9)
+    got = {r["term"]: r["df"] for r in out.collect()}
+    assert got == {"a": 600, "b": 600, "c": 300}
+    assert "_d#" not in _plan(out)
