@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizer, Word2Vec
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -211,15 +211,103 @@ def topic_coherence(df: DataFrame, doc: str, tokens: str, topics: DataFrame, eps
 
 
 # O9 - O12 ---------------------------------------------------------------------
+_BLOCK = 1 << 21             # items of baskets that are trained together, at most
+
+
+def _first_vectors(words: pa.Array, size: int, seed: int, rows: int = 1 << 16) -> np.ndarray:
+    """Where each word's vector starts: uniform in +-0.5 / size, drawn from the word and the seed alone, so that all blocks agree."""
+    out = np.empty((len(words), size), np.float32)
+    draw = (np.arange(1, size + 1, dtype=np.uint64) + np.uint64(seed % 2 ** 32 * size)) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(words), rows):
+        z = pd.util.hash_array(np.array(words.slice(at, rows).to_pylist(), dtype=object), categorize=False)[:, None] + draw
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+        out[at:at + rows] = ((z >> np.uint64(40)) / 2.0 ** 24 - 0.5) / size
+    return out
+
+
+def _move(v: np.ndarray, at: np.ndarray, by: np.ndarray, weight: np.ndarray, rate: float) -> None:
+    """Add ``rate`` times the sum of each row's steps; where a row has so many that these would be more than their mean, their mean."""
+    order = np.argsort(at, kind="stable")
+    s = at[order]
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    n = np.add.reduceat(weight[order], first)
+    v[s[first]] += np.add.reduceat(by[order], first, axis=0) * (rate / np.maximum(1, rate * n))[:, None].astype(v.dtype)
+
+
+def _skip_gram(ids: np.ndarray, basket: np.ndarray, v: np.ndarray, window: int, passes: int, rng: np.random.Generator,
+               alpha: float = 0.025, negative: int = 5, drawn: int = 32) -> None:
+    """Skip-gram with negative sampling over one block, in place: each item against those up to ``window`` places away in
+    its basket (nearer ones more often), and against ``drawn`` items a step, drawn by count ** 0.75, which weigh
+    ``negative`` together.  The rate falls to 0 in a line."""
+    n, out = len(ids), np.zeros_like(v)
+    step = min(1024, max(32, n // 128))
+    noise = np.cumsum(np.bincount(ids, minlength=len(v)) ** 0.75)
+    offset = np.array([o for o in range(-window, window + 1) if o])
+    for at in range(0, n * passes, step):
+        rate = alpha * max(1 - at / (n * passes), 1e-4)
+        i = np.arange(at, min(at + step, n * passes)) % n
+        j = i[:, None] + offset
+        near = (np.abs(offset) <= rng.integers(1, window + 1, len(i))[:, None]) & (j >= 0) & (j < n)
+        row, col = np.nonzero(near & (basket[np.clip(j, 0, n - 1)] == basket[i][:, None]))
+        if not len(row):
+            continue
+        a, b = ids[j[row, col]], ids[i[row]]
+        other = np.searchsorted(noise, rng.random(drawn) * noise[-1], side="right").clip(max=len(v) - 1)
+        x, y, z = v[a], out[b], out[other]
+        pull = (1 / (1 + np.exp((x * y).sum(axis=1))))[:, None]
+        push = np.where(b[:, None] == other, np.float32(0), -negative / drawn / (1 + np.exp(-(x @ z.T)))).astype(v.dtype)
+        one = np.ones(len(a))
+        _move(v, a, pull * y + push @ z, one, rate)
+        _move(out, np.concatenate([b, other]), np.concatenate([pull * x, push.T @ x]),
+              np.concatenate([one, np.full(drawn, len(a) * negative / drawn)]), rate)
+
+
 def item_vectors(baskets: DataFrame, items: str = "items", size: int = 32, window: int = 5, min_count: int = 1,
                  seed: int = 42, max_iter: int = 1, partitions: int | None = None) -> DataFrame:
-    """Word2Vec over ordered baskets -> (item, vector array), trained in
-    ``partitions`` tasks (the shuffle partitions unless given)."""
-    partitions = partitions or int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    m = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, seed=seed, maxIter=max_iter, numPartitions=partitions,
-                 inputCol=items, outputCol="_v").fit(baskets.select(F.transform(items, lambda x: x.cast("string")).alias(items)))
-    from pyspark.ml.functions import vector_to_array
-    return m.getVectors().select(F.col("word").alias("item"), vector_to_array("vector").alias("vec"))
+    """Word2Vec (skip-gram, negative sampling) over ordered baskets -> (item, vector array), trained in
+    ``partitions`` tasks (the shuffle partitions unless given).
+
+    A task trains blocks of some ``_BLOCK`` items, ``max_iter`` times over each, all from the same start; an item's
+    vector is the mean over the blocks it is in, by its count there.  A task holds the vectors of one block's
+    items, the driver none.  Items seen less than ``min_count`` times are left out first."""
+    partitions, block = partitions or int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions")), _BLOCK
+    rows = baskets.select(F.transform(items, lambda x: x.cast("string")).alias("_b"))
+    if min_count > 1:
+        e = written(rows.select(F.monotonically_increasing_id().alias("_id"), F.posexplode("_b").alias("_at", "item")), "basket-items")
+        known = e.groupBy("item").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_count).select("item")
+        rows = e.join(known, "item").groupBy("_id").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("_at", "item"))), lambda s: s["item"]).alias("_b")).select("_b")
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.ChunkedArray]:
+        held, n = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                held.append(batch.column(0).slice(at, 64))
+                n += pc.sum(pc.list_value_length(held[-1])).as_py() or 0
+                if n >= block:
+                    yield pa.chunked_array(held)
+                    held, n = [], 0
+        if n:
+            yield pa.chunked_array(held)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        for k, b in enumerate(blocks(batches)):
+            d = pc.dictionary_encode(pc.list_flatten(b).combine_chunks(), null_encoding="encode")
+            ids = d.indices.to_numpy()
+            v = _first_vectors(d.dictionary, size, seed)
+            rng = np.random.default_rng([seed % 2 ** 32, TaskContext.get().partitionId(), k])
+            _skip_gram(ids, np.repeat(np.arange(len(b), dtype=np.int32), pc.fill_null(pc.list_value_length(b), 0).to_numpy()), v, window, max_iter, rng)
+            n = np.bincount(ids, minlength=len(v))
+            for at in range(0, len(v), 10_000):
+                part = v[at:at + 10_000]
+                ends = pa.array(np.arange(len(part) + 1, dtype=np.int32) * size)
+                yield pa.record_batch([d.dictionary.slice(at, 10_000), pa.ListArray.from_arrays(ends, pa.array(part.ravel())), pa.array(n[at:at + 10_000])],
+                                      names=["item", "vec", "n"])
+    parts = rows.repartition(partitions).sortWithinPartitions(F.xxhash64("_b")).mapInArrow(train, "item string, vec array<float>, n long")
+    sums = parts.groupBy("item").agg(F.sum("n").alias("_n"), *[F.sum(F.col("vec")[i].cast("double") * F.col("n")).alias(f"_{i}") for i in range(size)])
+    return written(sums.select("item", F.array(*[F.col(f"_{i}") / F.col("_n") for i in range(size)]).alias("vec")), "item-vectors")
 
 
 def cosine(a, b) -> Column:
@@ -312,9 +400,9 @@ def k_best_terms(df: DataFrame, tokens: str, label: str, k: int, min_df: int = 1
 def basket_mean_vector(baskets: DataFrame, key: str, items: str, vectors: DataFrame) -> DataFrame:
     """Mean item vector per basket; unknown items are skipped."""
     ex = baskets.select(key, F.explode(items).alias("item")).withColumn("item", F.col("item").cast("string"))
-    j = ex.join(vectors, "item").select(key, F.posexplode("vec").alias("_i", "_v"))
-    g = j.groupBy(key, "_i").agg(F.avg("_v").alias("_m"))
-    return g.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_m"))), lambda s: s["_m"]).alias("mean_vec"))
+    size = vectors.agg(F.max(F.size("vec"))).first()[0] or 0
+    mean = F.array(*[F.avg(F.get("vec", F.lit(i))) for i in range(size)]).cast("array<double>")
+    return ex.join(vectors, "item").groupBy(key).agg(F.slice(mean, F.lit(1), F.max(F.size("vec"))).alias("mean_vec"))
 
 
 def analogy_vector(vectors: DataFrame, key: str, vec: str, a, b, c) -> list[float]:

@@ -16,7 +16,7 @@ from tadkit.operators import textmining as tm
 from tadkit.operators.frame import spread
 from tadkit.operators.segment import kmeans, knn_exact
 from tadkit.plans.registry import query
-from tadkit.session import Tables, scratch_path
+from tadkit.session import Tables, scratch_path, written
 
 _TOK_SQL = "list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: length(t) > 0)"
 
@@ -527,7 +527,7 @@ def o12_pairs(spark, d):
 @query("o11_basket_mean_vector_recommend")
 def o11_recommend(spark, d):
     """The five items nearest (cosine) to the mean item vector of every basket."""
-    b = _baskets(spark, d)
+    b = written(_baskets(spark, d), "baskets")
     vec = tm.item_vectors(b, size=16, seed=7)
     means = tm.basket_mean_vector(b, "o_custkey", "items", vec)
     norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, v: s + v * v))

@@ -639,3 +639,24 @@ def test_best_terms_shuffle_sums_alone(spark):
     got = {r["term"]: r["df"] for r in out.collect()}
     assert got == {"a": 600, "b": 600, "c": 300}
     assert "_d#" not in _plan(out)
+
+
+def test_item_vectors_are_trained_block_by_block(spark, monkeypatch):
+    """Items that share baskets come to lie near each other, in blocks of few baskets whose vectors are averaged; no item is lost."""
+    monkeypatch.setattr(tm, "_BLOCK", 2000)
+    rng = np.random.default_rng(3)
+    rows = [([f"{g}{k}" for k in rng.integers(0, 8, 6)],) for g in "ab" for _ in range(600)] + [(["a0"],), ([],), (["once"],), ([None, "b1"],)]
+    df = spark.createDataFrame(rows, "items array<string>").repartition(3)
+    got = {r["item"]: np.array(r.vec) for r in tm.item_vectors(df, size=8, max_iter=30, partitions=2).collect()}
+    assert set(got) == {None, "once"} | {f"{g}{k}" for g in "ab" for k in range(8)} and all(len(v) == 8 for v in got.values())
+    unit = {k: v / np.linalg.norm(v) for k, v in got.items()}
+    near = lambda g, h: np.mean([unit[f"{g}{i}"] @ unit[f"{h}{j}"] for i in range(8) for j in range(8) if (g, i) != (h, j)])
+    assert min(near("a", "a"), near("b", "b")) > near("a", "b") + 0.3
+    few = {r["item"] for r in tm.item_vectors(df, size=8, min_count=3, partitions=2).collect()}
+    assert few == {f"{g}{k}" for g in "ab" for k in range(8)}
+
+
+def test_basket_means_of_vectors_of_unlike_length(spark):
+    vec = spark.createDataFrame([("x", [1.0, 2.0]), ("y", [3.0])], "item string, vec array<double>")
+    df = spark.createDataFrame([(1, ["x", "y"]), (2, ["y", "z"]), (3, ["z"])], "b int, items array<string>")
+    assert {r.b: r.mean_vec for r in tm.basket_mean_vector(df, "b", "items", vec).collect()} == {1: [2.0, 2.0], 2: [3.0]}
