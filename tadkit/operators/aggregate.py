@@ -8,10 +8,12 @@ one window partition holding the whole group.
 
 from __future__ import annotations
 
-import functools
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -220,71 +222,90 @@ def freq_table(df: DataFrame, col: str, order: str = "value") -> DataFrame:
 DESCRIBE_PCTS = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
-_SKETCH = 10_000             # a sketched quantile is off by about n / _SKETCH ranks
-_FEW = 10_000                # values of an interval that are counted one by one
+_SKETCH = 10_000             # cells that a column's values are first counted in
+_FEW = 10_000                # cells of a part of them that is counted again
+
+
+def _flip(bits: np.ndarray) -> np.ndarray:
+    """The bits of doubles as whole numbers in the same order, and back."""
+    return np.where(bits < 0, bits ^ np.int64(2 ** 63 - 1), bits)
+
+
+def _cell_counts(x: DataFrame, spans: dict[str, list[tuple[int, int]]], cells: int) -> dict[str, pa.Table]:
+    """By column, each span (lowest and highest ordered bits) cut into ``cells``: the rows of every cell that has some, with
+    the lowest and highest bits there.  A task holds one such table of numbers a column, whatever it reads."""
+    names = list(spans)
+    lows = [np.array([lo for lo, _ in spans[c]], np.int64) for c in names]
+    highs = [np.array([hi for _, hi in spans[c]], np.int64) for c in names]
+    widths = [np.array([(hi - lo) // cells + 1 for lo, hi in spans[c]], np.uint64) for c in names]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = [np.zeros(len(lo) * cells, np.int64) for lo in lows]
+        least, most = [np.full(len(v), 2 ** 63 - 1) for v in n], [np.full(len(v), -2 ** 63) for v in n]
+        for batch in batches:
+            for c, (lo, hi, width) in enumerate(zip(lows, highs, widths)):
+                v = batch.column(c).to_numpy(zero_copy_only=False)
+                k = _flip((v[~np.isnan(v)] + 0.0).view(np.int64))
+                s = np.searchsorted(lo, k, side="right") - 1
+                inside = (s >= 0) & (k <= hi[s])
+                k, s = k[inside], s[inside]
+                cell = s * cells + ((k - lo[s]).view(np.uint64) // width[s]).astype(np.int64)
+                n[c] += np.bincount(cell, minlength=len(n[c]))
+                np.minimum.at(least[c], cell, k)
+                np.maximum.at(most[c], cell, k)
+        for c in range(len(names)):
+            at = np.flatnonzero(n[c])
+            for i in range(0, len(at), 10_000):
+                part = at[i:i + 10_000]
+                yield pa.record_batch([pa.array(np.full(len(part), c, np.int32)), *[pa.array(v) for v in (part, n[c][part], least[c][part], most[c][part])]],
+                                      names=["c", "cell", "n", "low", "high"])
+    t = x.select(*names).mapInArrow(count, "c int, cell long, n long, low long, high long").groupBy("c", "cell") \
+        .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).toArrow().sort_by([("c", "ascending"), ("cell", "ascending")])
+    return {name: t.filter(pc.equal(t["c"], c)) for c, name in enumerate(names)}
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
     """Exact linear-interpolated quantiles ``{(col, p): value}`` in passes of bounded memory.
 
-    A mergeable sketch gives two values around each wanted rank; one counting
-    pass says how many rows lie below, at and between them.  A rank at one of
-    them is found; one between them is looked up among the values there if they are
-    few, else the interval is sketched again.  Counts are exact, so the sketch decides on the
-    number of passes alone, and nothing is sorted or shuffled but counts.  Same definition as
+    The bits of doubles, ordered like them, are counted in ``_SKETCH`` equal cells between least and greatest; a cell
+    that holds a wanted rank and more than one value is cut into ``_FEW`` between its own least and greatest, and so on.
+    Two or three passes do for most columns, and nothing is sorted or shuffled but counts.  Same definition as
     pandas ``quantile`` / DuckDB ``quantile_cont``; null and NaN values are missing.
     """
     cols, probs = list(cols), [float(p) for p in probs]
     names = [f"_x{i}" for i in range(len(cols))]
-    x = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(n) for c, n in zip(cols, names)])
-    near = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 / _SKETCH, 2 / _SKETCH)})
-    if not near or not names:
+    if not probs or not names:
         return {}
-    first = x.agg(*[F.count(n).alias(f"{n}_n") for n in names], *[F.percentile_approx(n, near, _SKETCH).alias(f"{n}_q") for n in names]).first()
+    x = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(n) for c, n in zip(cols, names)])
+    first = x.agg(*[f(n).alias(f"{n}_{k}") for n in names for k, f in (("n", F.count), ("low", F.min), ("high", F.max))]).first()
     total = {n: first[f"{n}_n"] for n in names}
-    points = {n: sorted(set(first[f"{n}_q"] or [])) for n in names}
-    wanted = {(n, r) for n in names if total[n] for p in probs for r in (math.floor((total[n] - 1) * p), math.ceil((total[n] - 1) * p))}
     found: dict[tuple[str, int], float] = {}
-    while wanted:
-        # Rows by place: 2j between points j - 1 and j, 2j + 1 at point j.
-        place = {n: functools.reduce(lambda s, v: s + (F.col(n) > v).cast("int") + (F.col(n) >= v).cast("int"), points[n], F.lit(0)) for n in names}
-        at = F.explode(F.array(*[F.struct(F.lit(n).alias("c"), place[n].alias("k"), F.col(n).alias("v")) for n in names])).alias("_p")
-        rows = x.select(at).select("_p.*").filter("v is not null")
-        held: dict[str, dict[int, int]] = {n: {} for n in names}
-        for r in rows.groupBy("c", "k").count().collect():               # two rows a point at most
-            held[r.c][r.k] = r["count"]
-        few: dict[tuple[str, int], list[tuple[int, int]]] = {}
-        many: dict[tuple[str, int], list[float]] = {}
-        for n, rank in sorted(wanted):
-            below = 0
-            for k in sorted(held[n]):
-                if rank < below + held[n][k]:
-                    break
-                below += held[n][k]
-            else:
-                raise ValueError(f"{cols[names.index(n)]} has other rows in each pass")
-            if k % 2:
-                found[n, rank] = points[n][k // 2]
-            elif held[n][k] <= _FEW:
-                few.setdefault((n, k), []).append((rank, rank - below))
-            else:
-                q = (rank - below + 0.5) / held[n][k]
-                many.setdefault((n, k), []).extend([max(0.0, q - 2 / _SKETCH), min(1.0, q + 2 / _SKETCH)])
-        if few:
-            inside = functools.reduce(lambda s, t: s | t, [(F.col("c") == n) & (F.col("k") == k) for n, k in few])
-            values: dict[tuple[str, int], list] = {}
-            for r in rows.filter(inside).groupBy("c", "k", "v").count().collect():       # _FEW rows an interval at most
-                values.setdefault((r.c, r.k), []).append((r.v, r["count"]))
-            for (n, k), ranks in few.items():
-                ordered = [v for v, c in sorted(values[n, k]) for _ in range(c)]
-                found |= {(n, rank): ordered[i] for rank, i in ranks}
-        wanted -= found.keys()
-        if many:
-            def within(n: str, k: int) -> Column:
-                low, high = points[n][k // 2 - 1:k // 2], points[n][k // 2:k // 2 + 1]
-                return functools.reduce(lambda s, t: s & t, [F.col(n) > v for v in low] + [F.col(n) < v for v in high], F.lit(True))
-            sketch = x.agg(*[F.percentile_approx(F.when(within(n, k), F.col(n)), sorted(set(q)), _SKETCH).alias(f"{n}_{k}") for (n, k), q in many.items()]).first()
-            points = {n: sorted({*points[n], *(v for m, k in many if m == n for v in sketch[f"{n}_{k}"])}) for n in names}
+    # Parts of a column that hold wanted ranks: lowest and highest bits, rows, rows below, ranks.
+    parts: dict[str, list[tuple[int, int, int, int, list[int]]]] = {}
+    for n in names:
+        if total[n]:
+            low, high = _flip(np.array([first[f"{n}_low"] + 0.0, first[f"{n}_high"] + 0.0]).view(np.int64)).tolist()
+            parts[n] = [(low, high, total[n], 0, sorted({f((total[n] - 1) * p) for p in probs for f in (math.floor, math.ceil)}))]
+    cells = _SKETCH
+    while parts:
+        counted = _cell_counts(x, {n: [(low, high) for low, high, *_ in held] for n, held in parts.items()}, cells)
+        again: dict[str, list[tuple[int, int, int, int, list[int]]]] = {}
+        for n, held in parts.items():
+            cell, rows, lows, highs = (counted[n][c].to_numpy() for c in ("cell", "n", "low", "high"))
+            for i, (_, _, size, below, ranks) in enumerate(held):
+                at = slice(*np.searchsorted(cell, [i * cells, (i + 1) * cells]))
+                ends = below + np.cumsum(rows[at])
+                if not len(ends) or ends[-1] != below + size:
+                    raise ValueError(f"{cols[names.index(n)]} has other rows in each pass")
+                for j, rank in zip(np.searchsorted(ends, ranks, side="right"), ranks):
+                    low, high, within = int(lows[at][j]), int(highs[at][j]), int(rows[at][j])
+                    if low == high:
+                        found[n, rank] = float(_flip(np.array([low])).view(np.float64)[0])
+                    elif again.get(n) and again[n][-1][0] == low:
+                        again[n][-1][4].append(rank)
+                    else:
+                        again.setdefault(n, []).append((low, high, within, int(ends[j]) - within, [rank]))
+        parts, cells = again, _FEW
     out = {}
     for c, n in zip(cols, names):
         for p in probs:

@@ -351,3 +351,18 @@ def test_scratch_tables_go_with_their_scope(spark):
             paths = [f.removeprefix("file://").rsplit("/", 1)[0] for d in (deeper, inside) for f in d.inputFiles()]
         assert not os.path.exists(paths[0]) and inside.count() == 5
     assert not any(os.path.exists(p) for p in paths) and outside.count() == 3
+
+
+def test_quantiles_take_few_passes(spark, monkeypatch):
+    """Prices in cents, few distinct values and numbers of all sizes and both signs are found by two or three counts, each of bounded size."""
+    import numpy as np
+    calls, count = [], ag._cell_counts
+    monkeypatch.setattr(ag, "_cell_counts", lambda x, spans, cells: calls.append(sum(map(len, spans.values())) * cells) or count(x, spans, cells))
+    rng = np.random.default_rng(8)
+    rows = [(int(a) / 100, float(b), float(c)) for a, b, c in zip(rng.integers(90_000, 10_500_000, 4000), rng.integers(1, 51, 4000), rng.normal(size=4000) * 10.0 ** rng.integers(-9, 9, 4000))]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    got = ag.exact_quantiles(df, ["a", "b", "c"], ag.DESCRIBE_PCTS)
+    for i, c in enumerate("abc"):
+        for p in ag.DESCRIBE_PCTS:
+            assert got[c, p] == pytest.approx(np.quantile([r[i] for r in rows], p), rel=1e-12)
+    assert len(calls) <= 3 and max(calls) <= 3 * 2 * len(ag.DESCRIBE_PCTS) * 10_000
