@@ -86,18 +86,17 @@ def tfidf(df: DataFrame, doc: str, tokens: str, n_min: int = 1, n_max: int = 1,
     (doc, term, weight) — the sparse matrix without a driver-side vocabulary.  A
     document is one row.
 
-    With ``max_features`` the vocabulary comes first: each row's sorted terms tell
-    how often it has one and that it has it, so one shuffle of partial counts by term
-    is all; then the vocabulary (max_features rows, broadcast) cuts the terms
-    before they are counted by document.  Without it all terms are counted by document."""
-    grams = spread(df).select(doc, ngrams(tokens, n_min, n_max).alias("_g"))
+    With ``max_features`` the vocabulary comes first: terms are counted batch by batch, so
+    that counts by term are all that is shuffled; then the vocabulary (max_features rows, held by
+    every task) cuts each batch's counts by document.  Without it all terms are counted by document."""
     n = df.agg(F.count_distinct(doc)).scalar()
     if max_features:
-        v = _vocabulary_of(grams, max_features, min_df)
-        kept = grams.select(doc, F.explode_outer("_g").alias("term")).join(F.broadcast(v.select("term", "df")), "term")
-        tc = kept.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("df").alias("df"))
+        x = spread(df).select(doc, tokens)
+        v = _vocabulary_of(x.select(tokens), n_min, n_max, max_features, min_df).collect()
+        tc = _vocabulary_counts(x, n_min, n_max, {r.term: r.df for r in v}).repartition(doc) \
+            .groupBy(doc, "term").agg(F.sum("tf").alias("tf"), F.first("df").alias("df"))
     else:
-        tc = term_counts(grams, doc, "_g")
+        tc = term_counts(spread(df).select(doc, ngrams(tokens, n_min, n_max).alias("_g")), doc, "_g")
         tc = tc.join(vocabulary(tc, doc, None, min_df).select("term", "df"), "term")
     idf = (F.log((1 + n) / (1 + F.col("df"))) + 1) if smooth else (F.log(n / F.col("df")) + 1)
     w = tc.withColumn("w", F.col("tf") * idf)
@@ -106,14 +105,65 @@ def tfidf(df: DataFrame, doc: str, tokens: str, n_min: int = 1, n_max: int = 1,
     return w.select(doc, "term", F.col("w").alias("weight"))
 
 
-def _vocabulary_of(grams: DataFrame, max_features: int, min_df: int) -> DataFrame:
-    """``vocabulary`` of rows of terms (``_g``), without counts by document."""
-    s = F.sort_array("_g")
-    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(s, F.lit(1), F.greatest(F.size("_g") - 1, F.lit(0))))
-    marked = F.zip_with(s, before, lambda a, b: F.struct(a.alias("term"), (~a.eqNullSafe(b)).cast("int").alias("new")))
-    x = grams.select(F.explode_outer(marked).alias("_t")).select("_t.*").filter(F.col("term").isNotNull())
-    v = x.groupBy("term").agg(F.sum("new").alias("df"), F.count(F.lit(1)).alias("cf")).filter(F.col("df") >= min_df)
-    return v.orderBy(F.col("cf").desc(), "term").limit(max_features)
+def _gram_counts(t: pa.Array, n_min: int, n_max: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The ``ngrams`` of lists of tokens: distinct terms, and by row and term of it (their numbers) how often."""
+    flat = t.flatten()
+    row = np.repeat(np.arange(len(t)), pc.fill_null(pc.list_value_length(t), 0).to_numpy(zero_copy_only=False))
+    d = flat.dictionary_encode(null_encoding="encode")
+    ids = gram = d.indices.to_numpy().astype(np.int64)
+    texts, rows, grams, known = [pa.array([], flat.type)], [], [], 0
+    for n in range(1, n_max + 1):
+        if n > 1:                                # the gram before it and one token more, in the same row
+            keep = row[:max(len(row) - n + 1, 0)] == row[n - 1:]
+            at = np.flatnonzero(keep)
+            pair = gram[at] * len(d.dictionary) + ids[at + n - 1]
+        else:
+            at, pair = np.arange(len(ids)), ids
+        _, first, place = np.unique(pair, return_index=True, return_inverse=True)
+        gram = np.full(len(ids), -1)
+        gram[at] = place
+        if n >= n_min and len(first):
+            of = [flat.take(pa.array(at[first] + k)) for k in range(n)]
+            texts.append(pc.binary_join_element_wise(*of, " ", null_handling="skip") if n > 1 else of[0])
+            rows.append(row[at])
+            grams.append(place + known)
+            known += len(first)
+    one = pa.chunked_array(texts).combine_chunks().dictionary_encode()           # grams of unlike length may read alike; no null here
+    if not known:
+        return one.dictionary, *[np.zeros(0, np.int64)] * 3
+    to = pc.fill_null(one.indices, -1).to_numpy().astype(np.int64)[np.concatenate(grams)]
+    pair, tf = np.unique((np.concatenate(rows) * max(len(one.dictionary), 1) + to)[to >= 0], return_counts=True)
+    return one.dictionary, pair // max(len(one.dictionary), 1), pair % max(len(one.dictionary), 1), tf
+
+
+def _vocabulary_of(x: DataFrame, n_min: int, n_max: int, max_features: int, min_df: int, rows: int = 2048) -> DataFrame:
+    """``vocabulary`` of the n-grams of rows of tokens, without counts by document."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                terms, _, term, tf = _gram_counts(batch.column(0).slice(at, rows), n_min, n_max)
+                df, cf = np.bincount(term, minlength=len(terms)), np.bincount(term, tf, len(terms)).astype(np.int64)
+                yield pa.record_batch([terms, pa.array(df), pa.array(cf)], names=["term", "df", "cf"])
+    v = x.mapInArrow(count, "term string, df long, cf long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    return v.filter(F.col("df") >= min_df).orderBy(F.col("cf").desc(), "term").limit(max_features)
+
+
+def _vocabulary_counts(x: DataFrame, n_min: int, n_max: int, vocabulary: dict[str, int], rows: int = 2048) -> DataFrame:
+    """(doc, term, tf, df) of the n-grams of (doc, tokens) that the vocabulary (term: df) has."""
+    doc, kind = x.dtypes[0]
+    words, dfs = pa.array(vocabulary.keys(), pa.string()), pa.array(vocabulary.values(), pa.int64())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                terms, row, term, tf = _gram_counts(part.column(1), n_min, n_max)
+                place = pc.fill_null(pc.index_in(terms, words), -1).to_numpy()[term]
+                kept = np.flatnonzero(place >= 0)
+                place = pa.array(place[kept])
+                yield pa.record_batch([part.column(0).take(pa.array(row[kept])), words.take(place), pa.array(tf[kept]), dfs.take(place)],
+                                      names=[doc, "term", "tf", "df"])
+    return x.mapInArrow(count, f"`{doc}` {kind}, term string, tf long, df long")
 
 
 # O3 ------------------------------------------------------------------------

@@ -340,7 +340,8 @@ n AS (SELECT count(DISTINCT doc_id) AS n FROM documents),
 w AS (SELECT doc_id, term, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM tc JOIN v USING (term), n)
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 9) AS weight FROM w""")
 def o2_tfidf(spark, d):
-    w = tm.tfidf(_docs_tok(spark, d), "doc_id", "tokens", 1, 2, min_df=2, max_features=500)
+    docs = spread(Tables(spark, d).documents.select("doc_id", "text")).select("doc_id", tx.tokenize("text").alias("tokens"))
+    w = tm.tfidf(docs, "doc_id", "tokens", 1, 2, min_df=2, max_features=500)
     return w.withColumn("weight", F.round("weight", 9))
 
 

@@ -5,6 +5,7 @@ import os
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tadkit.operators import segment as sg
@@ -660,3 +661,23 @@ def test_basket_means_of_vectors_of_unlike_length(spark):
     vec = spark.createDataFrame([("x", [1.0, 2.0]), ("y", [3.0])], "item string, vec array<double>")
     df = spark.createDataFrame([(1, ["x", "y"]), (2, ["y", "z"]), (3, ["z"])], "b int, items array<string>")
     assert {r.b: r.mean_vec for r in tm.basket_mean_vector(df, "b", "items", vec).collect()} == {1: [2.0, 2.0], 2: [3.0]}
+
+
+def test_tfidf_of_a_vocabulary_equals_counting(spark):
+    """Words and word pairs of rows with repeats, nulls, tokens that hold spaces, and empty ones; counted batch by batch."""
+    import collections
+    rows = [(1, ["a", "b", "a", "b"]), (2, ["a b", "c", None, "c"]), (3, []), (4, None), (5, ["c"]), (6, [None]), (7, ["b", "a"]), (8, ["a", "b", "d", "d"])]
+    grams = {i: [w for w in t or [] if w is not None] + [" ".join(w for w in p if w is not None) for p in zip(t or [], (t or [])[1:])] for i, t in rows}
+    cf = collections.Counter(g for v in grams.values() for g in v)
+    df = collections.Counter(g for v in grams.values() for g in set(v))
+    words = sorted((w for w in df if df[w] >= 2), key=lambda w: (-cf[w], w))[:4]
+    want = {}
+    for i, v in grams.items():
+        w = {g: v.count(g) * (np.log((1 + len(rows)) / (1 + df[g])) + 1) for g in set(v) & set(words)}
+        want |= {(i, g): x / np.sqrt(sum(y * y for y in w.values())) for g, x in w.items()}
+    docs = spark.createDataFrame(rows, "d int, tokens array<string>").repartition(3)
+    got = {(r.d, r.term): r.weight for r in tm.tfidf(docs, "d", "tokens", 1, 2, min_df=2, max_features=4).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    t = pa.array([["a", "b", "c"], ["c", "a", "b", "c"]])
+    terms, row, term, tf = tm._gram_counts(t, 3, 3)
+    assert sorted(zip(row.tolist(), terms.take(pa.array(term)).to_pylist(), tf.tolist())) == [(0, "a b c", 1), (1, "a b c", 1), (1, "c a b", 1)]
