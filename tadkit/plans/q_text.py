@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, RegexTokenizer, StopWordsRemover, VectorAssembler
@@ -558,12 +559,13 @@ def o12_analogy(spark, d):
 
 @query("o13_cluster_documents_top_by_popularity")
 def o13_docs(spark, d):
-    t = Tables(spark, d)
-    docs = t.documents.select("doc_id", "n_chars", tx.tokenize("text").alias("tokens"))
-    tf = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=_HASHED)
-    tfidf = Pipeline(stages=[tf, IDF(inputCol="tf", outputCol="features", minDocFreq=2)]).fit(docs).transform(docs)
-    lab = kmeans(tfidf, "features", 4).transform(tfidf)
-    return tm.top_documents_per_cluster(lab.select("doc_id", "n_chars", "cluster"), "cluster", "n_chars", "doc_id", 5)
+    docs = Tables(spark, d).documents.select("doc_id", "n_chars", tx.tokenize("text").alias("tokens"))
+    tf = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=_HASHED).transform(docs).select("doc_id", "n_chars", "tf")
+    tf = tf.persist(StorageLevel.DISK_ONLY)             # each pass reads counts, not texts; same partitions, so the same clusters
+    tfidf = IDF(inputCol="tf", outputCol="features", minDocFreq=2).fit(tf).transform(tf)
+    lab = written(kmeans(tfidf, "features", 4).transform(tfidf).select("doc_id", "n_chars", "cluster"), "clusters")
+    tf.unpersist()
+    return tm.top_documents_per_cluster(lab, "cluster", "n_chars", "doc_id", 5)
 
 
 @query("o14_lag_regression_forecast")

@@ -43,3 +43,8 @@ def test_no_range_joins_or_moving_range_frames(spark, entry_module, name):
     matches = [n for n in entry_module.queries() if n.startswith(name.split("_")[0] + "_")]
     p = plan(entry_module.queries()[matches[0]](spark, SF))
     assert "NestedLoop" not in p and "RangeFrame" not in p
+
+
+def test_clustered_documents_are_tokenized_once(spark, entry_module):
+    p = plan(entry_module.queries()["o13_cluster_documents_top_by_popularity"](spark, SF))
+    assert "split(" not in p and "documents.parquet" not in p               # the labels are there; no pass reads texts again
