@@ -95,7 +95,7 @@ def m3_logit(spark, d):
 def m4_sgd(spark, d):
     """Hinge (LinearSVC) over the strength of its penalty, log loss (logistic)
     over the strength and the kind: l2, elastic net, l1."""
-    x = md.with_features(_orders_xy(spark, d), _OX).cache()
+    x = md.with_features(_orders_xy(spark, d), _OX).select("label", "features").cache()
     ev = BinaryClassificationEvaluator(labelCol="label")
     out = None
     svm, logit = md.linear_svm(maxIter=10), LogisticRegression(maxIter=10)
