@@ -136,7 +136,7 @@ def _gram_counts(t: pa.Array, n_min: int, n_max: int) -> tuple[pa.Array, np.ndar
     return one.dictionary, pair // max(len(one.dictionary), 1), pair % max(len(one.dictionary), 1), tf
 
 
-def _vocabulary_of(x: DataFrame, n_min: int, n_max: int, max_features: int, min_df: int, rows: int = 2048) -> DataFrame:
+def _vocabulary_of(x: DataFrame, n_min: int, n_max: int, max_features: int, min_df: int, rows: int = 512) -> DataFrame:
     """``vocabulary`` of the n-grams of rows of tokens, without counts by document."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +148,7 @@ def _vocabulary_of(x: DataFrame, n_min: int, n_max: int, max_features: int, min_
     return v.filter(F.col("df") >= min_df).orderBy(F.col("cf").desc(), "term").limit(max_features)
 
 
-def _vocabulary_counts(x: DataFrame, n_min: int, n_max: int, vocabulary: dict[str, int], rows: int = 2048) -> DataFrame:
+def _vocabulary_counts(x: DataFrame, n_min: int, n_max: int, vocabulary: dict[str, int], rows: int = 512) -> DataFrame:
     """(doc, term, tf, df) of the n-grams of (doc, tokens) that the vocabulary (term: df) has."""
     doc, kind = x.dtypes[0]
     words, dfs = pa.array(vocabulary.keys(), pa.string()), pa.array(vocabulary.values(), pa.int64())
