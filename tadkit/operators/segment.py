@@ -22,7 +22,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tadkit.operators.metric import build_index, in_radius, k_nearest, meet, vectors, within
+from tadkit.operators import metric
+from tadkit.operators.metric import MetricIndex, around, build_index, in_radius, k_nearest, meet, vectors, within
 from tadkit.session import written
 
 
@@ -249,89 +250,183 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5,
 
     1. Points of one small box (side eps / d**(1/p) over all d dimensions) are
        neighbours, so a box of ``min_samples`` points has core points only; the
-       others count their neighbours.
-    2. Core points of a box are one node, known by its least key.  Each task links the
-       nodes it finds to be connected by no more links than it has nodes.
+       others look for ``min_samples`` neighbours, in the nearest cells first, and
+       compare no more once they have them.
+    2. Core points of a box are one node, known by its least key.  Nodes are linked in
+       the nearest cells first; then those outside the largest component so found meet all
+       others.  A task compares no points that it knows to be connected.
     3. Components of the nodes by ``graph.components``, however many rounds that
        takes; border points take the smallest label among their core neighbours.
 
     Neighbours are found by the metric index (``metric.meet``) over all
     coordinates, of which ``cells`` is the number of cells.  Rows without key or vector are dropped.
     """
-    from tadkit.operators.frame import add_row_id
-    from tadkit.operators.graph import components
+    index, x = _indexed(df, key, vec, p, cells)
+    return _dbscan(index, x, key, eps, min_samples)
+
+
+def _indexed(df: DataFrame, key: str, vec: str, p: float, cells: int | None = None) -> tuple[MetricIndex | None, DataFrame]:
     x = df.select(F.col(key).alias("id"), to_array(vec).alias("x")).filter("id is not null and x is not null")
-    first = x.first()
-    if first is None:
-        return x.select(F.col("id").alias(key), F.lit(-1).alias("cluster"))
-    side = (eps if np.isinf(p) else eps / len(first["x"]) ** (1 / p)) * (1 - 1e-12)
-    index, x = build_index(x.withColumn("tag", F.col("id").cast("long")), "x", p, cells)
-    x = x.withColumn("box", F.transform("x", lambda v: F.floor(v / side)))
-    x = written(x.join(x.groupBy("box").agg(F.count(F.lit(1)).alias("size")), "box"), "points")
-    eps_of = F.lit(float(eps)).alias("bound")
+    return build_index(x.withColumn("tag", F.col("id").cast("long")), "x", p, cells)
+
 
-    def counts(tags: np.ndarray):
+def _passes(p: float, whole: bool) -> tuple:
+    """Whether to be quick, pass by pass; if not ``whole``, quick is all."""
+    return (False,) if p == 2 else (True, False) if whole else (True,)
+
+
+def _count_to(enough: int, p: float, whole: bool = True):
+    """Neighbours of each left point (a, n): of those that have ``enough`` not all, and if not ``whole`` perhaps too few."""
+    def visit(tags: np.ndarray):
         found: list[tuple] = []
 
         def feed(own, x, bound, columns, y, allowed):
-            found.append((own, within(x, y, bound, p).sum(axis=1)))
-        return feed, lambda: [np.concatenate([f[i] for f in found]) if found else np.array([]) for i in (0, 1)]
-    loose = meet(index, x.filter(F.col("size") < min_samples).select("tag", "x", eps_of), x, in_radius, counts, "a long, n long") \
-        .groupBy("a").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_samples).select(F.col("a").alias("id"))
-    core = x.join(x.filter(F.col("size") >= min_samples).select("id").unionByName(loose), "id", "left_semi")
-    core = written(core.join(core.groupBy("box").agg(F.min("tag").alias("head")), "box").select("id", "x", "cell", "head"), "core")
-
-    def links(tags: np.ndarray):
+            total = np.zeros(len(own), np.int64)
+            for quick in _passes(p, whole):
+                total[few := np.flatnonzero(total < enough)] = 0
+                for at in range(0, len(y), metric.TILE_ROWS):
+                    few = few[total[few] < enough]
+                    if not len(few):
+                        break
+                    i, _ = within(x[few], y[at:at + metric.TILE_ROWS], bound[few], p, quick)
+                    total[few] += np.bincount(i, minlength=len(few))
+            found.append((own, total))
+        return feed, lambda: [np.concatenate([f[i] for f in found]) if found else np.array([], np.int64) for i in (0, 1)]
+    return visit
+
+
+def _linked(p: float, whole: bool = True):
+    """Pairs (a, b) by which the left and right tags that have points in reach of each other are connected; if
+    not ``whole``, perhaps not all of them are."""
+    def visit(tags: np.ndarray):
         names, node = np.unique(tags, return_inverse=True)
-        comp = np.arange(len(names))                    # of the group's nodes, as far as linked
-        seen: list[tuple] = []
+        others: dict[int, int] = {}                      # left tags that are no right ones
+        root = np.arange(len(names))                     # of each of both, as far as linked
+
+        def numbers(own):
+            nonlocal root
+            at = np.minimum(np.searchsorted(names, own), len(names) - 1)
+            for i in np.flatnonzero(names[at] != own):
+                at[i] = others.setdefault(int(own[i]), len(names) + len(others))
+            if len(root) < len(names) + len(others):
+                root = np.concatenate([root, np.arange(len(root), len(names) + len(others))])
+            return at
+
+        def link(a, b):
+            nonlocal root
+            a, b = root[a], root[b]
+            pairs = np.unique(np.stack([a, b])[:, a != b], axis=1)
+            if not pairs.shape[1]:
+                return
+            up: dict[int, int] = {}
+
+            def top(v):
+                while (w := up.get(v, v)) != v:
+                    up[v] = up.get(w, w)
+                    v = w
+                return v
+            for v, w in pairs.T.tolist():
+                v, w = top(v), top(w)
+                if v != w:
+                    up[max(v, w)] = min(v, w)
+            to = np.arange(len(root))
+            to[list(up)] = [top(v) for v in list(up)]
+            root = to[root]
 
         def feed(own, x, bound, columns, y, allowed):
-            near, here = within(x, y, bound, p), node[columns]
-            for a, row in zip(own, near):
-                hit = here[row]
-                if len(hit):
-                    met = comp[hit]
-                    if met.min() != met.max():
-                        comp[np.isin(comp, met)] = met.min()
-                    seen.append((a, hit[0]))
+            mine, theirs = numbers(own), node[columns]
+            for quick in _passes(p, whole):
+                for at in range(0, len(y), metric.TILE_ROWS):
+                    there, other = theirs[at:at + metric.TILE_ROWS], y[at:at + metric.TILE_ROWS]
+                    a, b = root[mine], root[there]
+                    seen, n = np.unique(b, return_counts=True)
+                    most = seen[n.argmax()]               # what belongs to it already is not compared with each other
+                    for rows, some in ((a != most, np.ones(len(b), bool)), (a == most, b != most)):
+                        if rows.any() and some.any():
+                            i, j = within(x[rows], other[some], bound[rows], p, quick)
+                            link(mine[rows][i], there[some][j])
 
         def close():
-            a, at = np.array([s[0] for s in seen], np.int64), np.array([s[1] for s in seen], np.int64)
-            pairs = np.unique(np.stack([np.concatenate([a, names]), np.concatenate([names[comp[at]], names[comp]])]), axis=1)
-            pairs = pairs[:, pairs[0] != pairs[1]]
-            return [pairs[0], pairs[1]]
+            ids = np.concatenate([names, np.array(list(others), names.dtype)])
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            return [ids[moved], ids[root[moved]]]
         return feed, close
-    nodes = core.select(F.col("head").alias("tag"), "x", "cell").distinct()        # points of one place are one
-    comp = components(meet(index, nodes.select("tag", "x", eps_of), nodes, in_radius, links, "a long, b long"))
-    label = core.join(comp.select(F.col("id").alias("head"), "comp"), "head", "left").select("id", "x", "cell", F.coalesce("comp", "head").alias("tag"))
-    label = written(label, "labels")
+    return visit
+
 
-    def least(tags: np.ndarray):
+def _least(p: float):
+    """The least tag in reach of each left point (id, tag)."""
+    def visit(tags: np.ndarray):
         found: list[tuple] = []
 
         def feed(own, x, bound, columns, y, allowed):
-            near = within(x, y, bound, p)
-            some = near.any(axis=1)
-            low = np.where(near, tags[columns], np.iinfo(np.int64).max).min(axis=1)
+            low = np.full(len(own), np.iinfo(np.int64).max)
+            for at in range(0, len(y), metric.TILE_ROWS):
+                i, j = within(x, y[at:at + metric.TILE_ROWS], bound, p)
+                np.minimum.at(low, i, tags[columns[at + j]])
+            some = low < np.iinfo(np.int64).max
             found.append((own[some], low[some]))
-        return feed, lambda: [np.concatenate([f[i] for f in found]) if found else np.array([]) for i in (0, 1)]
-    rest = x.join(core.select("id"), "id", "left_anti").select("tag", "x", eps_of)
-    border = meet(index, rest, label.select("tag", "x", "cell").distinct(), in_radius, least, "id long, tag long").groupBy("id").agg(F.min("tag").alias("tag"))
+        return feed, lambda: [np.concatenate([f[i] for f in found]) if found else np.array([], np.int64) for i in (0, 1)]
+    return visit
+
+
+def _dbscan(index: MetricIndex | None, x: DataFrame, key: str, eps: float, min_samples: int) -> DataFrame:
+    """``dbscan`` of indexed points (id, x, tag, cell)."""
+    from tadkit.operators.frame import add_row_id
+    from tadkit.operators.graph import components
+    if index is None:
+        return x.select(F.col("id").alias(key), F.lit(-1).alias("cluster"))
+    p = index.p
+    side = (eps if np.isinf(p) else eps / index.pivots.shape[1] ** (1 / p)) * (1 - 1e-12)
+    box = F.transform("x", lambda v: F.floor(v / side))
+    x = x.withColumn("box", box)
+    x = written(x.join(x.groupBy("box").agg(F.count(F.lit(1)).alias("size")), "box").drop("box"), "points")
+    eps_of = F.lit(float(eps)).alias("bound")
+    near = around(metric.NEAR_ROWS)
+    staged = int(index.rows.sum()) > 8 * metric.NEAR_ROWS
+
+    def close_by(index: MetricIndex, to_pivots: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        return near(index, to_pivots, bound) & in_radius(index, to_pivots, bound)
+    left, counts = x.filter(F.col("size") < min_samples).select("tag", "x", eps_of), []
+    for reach in (close_by, in_radius) if staged else (in_radius,):
+        n = meet(index, left, x, reach, _count_to(min_samples, p, reach is in_radius), "a long, n long").groupBy("a").agg(F.sum("n").alias("n"))
+        counts.append(written(n.filter(F.col("n") >= min_samples).select(F.col("a").alias("id")), "counted"))
+        if reach is close_by:
+            left = written(left.join(counts[0].select(F.col("id").alias("tag")), "tag", "left_anti"), "left")
+    loose = functools.reduce(DataFrame.unionByName, counts)
+    core = x.join(x.filter(F.col("size") >= min_samples).select("id").unionByName(loose), "id", "left_semi")
+    core = core.withColumn("box", box)
+    core = written(core.join(core.groupBy("box").agg(F.min("tag").alias("head")), "box").select("id", "x", "cell", "head"), "core")
+
+    nodes = written(core.select(F.col("head").alias("tag"), "x", "cell").distinct(), "nodes")        # points of one place are one
+    comp = components(meet(index, nodes.select("tag", "x", eps_of), nodes, close_by if staged else in_radius, _linked(p, not staged), "a long, b long"))
+    label = core.join(comp.select(F.col("id").alias("head"), "comp"), "head", "left").select("id", "x", "cell", F.coalesce("comp", "head").alias("tag"))
+    label = written(label, "labels")
+    if staged:
+        parts = written(label.select("tag", "x", "cell").distinct(), "parts")
+        most = parts.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "tag").first()
+        some = parts.filter(F.col("tag") != F.lit(most["tag"] if most else 0)).select("tag", "x", eps_of)
+        comp = components(meet(index, some, parts, in_radius, _linked(p), "a long, b long"))
+        label = label.join(comp.select(F.col("id").alias("tag"), "comp"), "tag", "left").select("id", "x", "cell", F.coalesce("comp", "tag").alias("tag"))
+        label = written(label, "labels")
+
+    left = written(x.join(core.select("id"), "id", "left_anti").select("tag", "x", eps_of), "left")
+    border = meet(index, left, label.select("tag", "x", "cell").distinct(), in_radius, _least(p), "id long, tag long").groupBy("id").agg(F.min("tag").alias("tag"))
     found = label.select("id", "tag").unionByName(border)
     ids = add_row_id(found.select("tag").distinct(), ["tag"], alias="cluster").withColumn("cluster", (F.col("cluster") - 1).cast("int"))
     return x.select("id").join(found.join(ids, "tag"), "id", "left").select(F.col("id").alias(key), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
 
 
 def dbscan_sweep(df: DataFrame, key: str, vec: str, epss: Sequence[float], ps: Sequence[float], min_samples: int = 5) -> DataFrame:
-    """Clusters and noise rows of each eps x p: (eps, p, clusters, noise)."""
-    rows = []                                # one row each, so the plans of all the clusterings are not held at once
-    for eps in epss:
-        for p in ps:
-            r = dbscan(df, key, vec, eps, min_samples, p).agg(
+    """Clusters and noise rows of each eps x p: (eps, p, clusters, noise).  The points are indexed once a p."""
+    rows = {}                                # one row each, so the plans of all the clusterings are not held at once
+    for p in ps:
+        index, x = _indexed(df, key, vec, p)
+        for eps in epss:
+            r = _dbscan(index, x, key, eps, min_samples).agg(
                 F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("clusters"), F.count_if(F.col("cluster") < 0).alias("noise")).first()
-            rows.append((float(eps), float(p), r["clusters"], r["noise"]))
-    return df.sparkSession.createDataFrame(rows, "eps double, p double, clusters long, noise long")
+            rows[eps, p] = (float(eps), float(p), r["clusters"], r["noise"])
+    return df.sparkSession.createDataFrame([rows[eps, p] for eps in epss for p in ps], "eps double, p double, clusters long, noise long")
 
 
 # N9 ------------------------------------------------------------------------

@@ -681,3 +681,68 @@ def test_tfidf_of_a_vocabulary_equals_counting(spark):
     t = pa.array([["a", "b", "c"], ["c", "a", "b", "c"]])
     terms, row, term, tf = tm._gram_counts(t, 3, 3)
     assert sorted(zip(row.tolist(), terms.take(pa.array(term)).to_pylist(), tf.tolist())) == [(0, "a b c", 1), (1, "a b c", 1), (1, "c a b", 1)]
+
+
+@pytest.mark.parametrize("p", [1.0, 2.0, 3.0, np.inf])
+@pytest.mark.parametrize("shift", [0.0, 1e4])
+def test_pairs_within_are_those_of_the_distances(p, shift):
+    """The product in single precision leaves none out and adds none, also on ties and far from the origin."""
+    from tadkit.operators.metric import _pairs, distances, within
+    rng = np.random.default_rng(22)
+    a, b = rng.normal(size=(60, 8)).round(1) + shift, rng.normal(size=(90, 8)).round(1) + shift
+    b[:20] = a[:20]
+    i, j = (v.ravel() for v in np.indices((60, 90)))
+    d = _pairs(a, b, i, j, p).reshape(60, 90) if p == 2 else distances(a, b, p)
+    for eps in (0.0, *np.quantile(d, [0.01, 0.1, 0.5, 1.0])):
+        near = np.zeros(d.shape, bool)
+        near[within(a, b, np.full(60, eps), p)] = True
+        assert (near == (d <= eps)).all()
+        quick = within(a, b, np.full(60, eps), p, quick=True)
+        assert near[quick].all()
+    b[3, 2] = np.nan
+    near = np.zeros(d.shape, bool)
+    near[within(a, b, np.full(60, 2.0), p)] = True
+    assert not near[:, 3].any() and (near[:, 4:] == (d[:, 4:] <= 2.0)).all()
+
+
+def test_few_pairs_are_compared_in_dense_points(monkeypatch):
+    """Who has enough neighbours looks for no more, and points known to be connected are not compared."""
+    from tadkit.operators import metric
+    seen, within = [], metric.within
+
+    def counted(a, b, *rest):
+        seen.append(len(a) * len(b))
+        return within(a, b, *rest)
+    monkeypatch.setattr(sg, "within", counted)
+    monkeypatch.setattr(metric, "TILE_ROWS", 50)
+    y = np.random.default_rng(23).random((1000, 3))
+    for visit in (sg._count_to(4, 2.0), sg._linked(2.0)):
+        seen.clear()
+        feed, close = visit(np.arange(1000))
+        for at in range(0, 1000, 100):
+            feed(np.arange(at, at + 100), y[at:at + 100], np.full(100, 0.5), np.arange(1000), y, None)
+        got = close()
+        assert sum(seen) < 0.2 * 1000 ** 2                  # all of them before
+    assert set(got[1].tolist()) == {0} and len(got[0]) == 999
+
+
+@pytest.mark.parametrize(("eps", "p"), [(0.9, 2.0), (2.5, 1.0), (0.6, float("inf"))])
+def test_dbscan_in_stages(spark, small_groups, monkeypatch, eps, p):
+    """Nearest cells first, then the rest: the same clusters as by all pairs."""
+    from tadkit.operators import metric
+    for name, n in (("NEAR_ROWS", 4), ("LEAST_QUERIES", 20), ("TILE_ROWS", 7)):
+        monkeypatch.setattr(metric, name, n)
+    rng = np.random.default_rng(24)
+    pts = np.vstack([rng.normal(c, 0.5, (50, 6)) for c in (0, 1.2, 6)] + [np.full((20, 6), 3.0), rng.normal(0, 5, (20, 6))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "id long, x array<double>")
+    gap = np.abs(pts[:, None] - pts[None])
+    D = gap.max(axis=2) if np.isinf(p) else np.sqrt((gap ** 2).sum(axis=2)) if p == 2 else gap.sum(axis=2)
+    got = {r["id"]: r["cluster"] for r in sg.dbscan(df, "id", "x", eps=eps, min_samples=4, p=p).collect()}
+    assert [got[i] for i in range(len(pts))] == _dbscan_brute(pts, eps, 4, D)
+
+
+def test_groups_are_dealt_to_all_partitions(spark):
+    from pyspark.sql import functions as F
+    from tadkit.operators.metric import _slots
+    rows = spark.createDataFrame([(v,) for v in _slots(24, 12)], "s int").select(F.pmod(F.hash("s"), F.lit(12)).alias("p")).groupBy("p").count().collect()
+    assert [r["count"] for r in rows] == [2] * 12
