@@ -2,8 +2,8 @@
 
 * k-means / bisecting k-means / Gaussian mixtures are ``pyspark.ml``.
 * The kNN classifier scores queries in Arrow batches against the rows it is fitted
-  on (a documented bound); DBSCAN finds neighbours by the metric index of
-  ``operators.metric``, as does exact k nearest.  None makes a table of pairs.
+  on, or by the metric index of ``operators.metric`` if they are many; DBSCAN finds
+  neighbours by that index, as does exact k nearest.  None makes a table of pairs.
 * Isolation trees are grown one group per tree on bounded samples, which is
   that algorithm's definition.
 """
@@ -215,34 +215,45 @@ knn_exact = k_nearest           # among all references
 
 
 def knn(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, p: float = 2.0, exclude_self: bool = False,
-        max_train_rows: int = 100_000, seed: int = 42) -> DataFrame:
-    """k nearest references of every query: (query_id, ref_id, dist, rank), by
-    Minkowski distance ``p``, ties to the smaller ref_id.
-
-    The references are what a nearest-neighbour classifier is fitted on: at
-    most ``max_train_rows`` of them, chosen by a hash of the key, are held as one
-    matrix on every executor (exact if there are no more), and queries are
-    scored in Arrow batches, so the work is linear in the queries and no pair
-    table is made.
+        held_rows: int = 100_000) -> DataFrame:
+    """k nearest references of every query row, among all references: (query_id, ref_id, dist, rank),
+    by Minkowski distance ``p``, ties to the smaller ref_id.
+
+    Up to ``held_rows`` references are held as one matrix by every task, which scores queries in Arrow
+    batches; more of them are searched by the metric index (``k_nearest``).  Both are exact.
     """
     spark = refs.sparkSession
-    train = refs.filter(F.col(key).isNotNull() & F.col(vec).isNotNull()).select(F.col(key).alias("id"), to_array(vec).alias("x")) \
-        .orderBy(F.xxhash64(key, F.lit(seed)), "id").limit(max_train_rows).toArrow()
+    kt, rt = dict(queries.dtypes)[key], dict(refs.dtypes)[key]
+    q = queries.filter(F.col(vec).isNotNull()).select(F.col(key).alias("query_id"), to_array(vec).alias("x"))
+    refs = refs.filter(F.col(key).isNotNull() & F.col(vec).isNotNull()).select(F.col(key).alias("id"), to_array(vec).alias("x"))
+    if refs.count() > held_rows:
+        return _knn_searched(q, refs, k, p, exclude_self)
+    train = refs.toArrow()
     ids = train.column("id").to_pylist()
     order = np.argsort(np.asarray(ids), kind="stable") if ids else np.zeros(0, int)
     ids = [ids[i] for i in order]
     m = vectors(train.column("x"))[order] if ids else np.zeros((0, 0))
     held = spark.sparkContext.broadcast((ids, m))
-    kt, rt = dict(queries.dtypes)[key], dict(refs.dtypes)[key]
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ref_ids, ref = held.value
         for pdf in batches:
             yield _k_nearest(pdf["query_id"], pdf["x"], ref_ids, ref, k, p, exclude_self)
-    q = queries.filter(F.col(vec).isNotNull()).select(F.col(key).alias("query_id"), to_array(vec).alias("x"))
     return q.mapInPandas(search, f"query_id {kt}, ref_id {rt}, dist double, rank int")
 
 
+def _knn_searched(q: DataFrame, refs: DataFrame, k: int, p: float, exclude_self: bool) -> DataFrame:
+    """``knn`` by the metric index: a query row is known by a number, as keys may repeat or be null."""
+    q = written(q.withColumn("id", F.monotonically_increasing_id()), "query-rows")
+    own = refs.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] if exclude_self else 0      # references a query must leave out, at most
+    near = k_nearest(q.select("id", "x"), refs, "id", "x", k + own, p).withColumnRenamed("query_id", "id")
+    near = near.join(q.select("id", "query_id"), "id")
+    if exclude_self:
+        near = near.filter(~F.col("query_id").eqNullSafe(F.col("ref_id"))) \
+            .withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("dist", "ref_id"))).filter(F.col("rank") <= k)
+    return near.select("query_id", "ref_id", "dist", "rank")
+
+
 # N8 ------------------------------------------------------------------------
 def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, p: float = 2.0, cells: int | None = None) -> DataFrame:
     """DBSCAN labels (noise = -1), clusters numbered by their smallest core key

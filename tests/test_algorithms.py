@@ -683,6 +683,39 @@ def test_tfidf_of_a_vocabulary_equals_counting(spark):
     assert sorted(zip(row.tolist(), terms.take(pa.array(term)).to_pylist(), tf.tolist())) == [(0, "a b c", 1), (1, "a b c", 1), (1, "c a b", 1)]
 
 
+def test_knn_searches_all_references(spark, small_groups, monkeypatch):
+    """More references than a task holds: none is left out; rows of one key are queries of their own, also without a key."""
+    from tadkit.operators import metric
+    monkeypatch.setattr(metric, "NEAR_ROWS", 3)
+    rng = np.random.default_rng(21)
+    pts = np.concatenate([rng.normal(size=(70, 3)).round(1)] * 2)
+    refs = spark.createDataFrame([(f"k{i % 130:03d}", v.tolist()) for i, v in enumerate(pts)] + [(None, [0.0] * 3), ("none", None)], "id string, x array<double>")
+    rows = [("k003", pts[3]), ("k003", pts[50]), ("k003", pts[50]), (None, pts[9])]
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "id string, x array<double>")
+    for own in (False, True):
+        got = sg.knn(q, refs, "id", "x", 12, exclude_self=own, held_rows=20).collect()
+        want = []
+        for key, v in rows:
+            d = [(np.sqrt(((v - w) ** 2).sum()), f"k{i % 130:03d}") for i, w in enumerate(pts)]
+            want += [(key or "", i, r, round(float(s), 9)) for i, (s, r) in enumerate(sorted(t for t in d if not (own and t[1] == key))[:12], 1)]
+        assert sorted((r.query_id or "", r["rank"], r.ref_id, round(r.dist, 9)) for r in got) == sorted(want)
+    held = sg.knn(q, refs, "id", "x", 12, held_rows=1000).collect()
+    assert sorted((r.query_id or "", r["rank"], r.ref_id) for r in held) == sorted((r.query_id or "", r["rank"], r.ref_id) for r in sg.knn(q, refs, "id", "x", 12, held_rows=20).collect())
+
+
+def test_knn_queries_leave_no_reference_out(spark, monkeypatch):
+    """The nearest of every reference, also beyond what a task holds."""
+    import inspect
+    from tadkit.plans import q_models
+    assert "limit(" not in inspect.getsource(sg.knn) and "max_train_rows" not in inspect.signature(sg.knn).parameters
+    small, seen = "/root/testdata/sf0.001", {}
+    full = sg.knn
+    for name, held in (("held", 10_000), ("searched", 50)):
+        monkeypatch.setattr(q_models, "knn", lambda *a, held=held: full(*a, held_rows=held))
+        seen[name] = [sorted(map(tuple, f(spark, small).collect())) for f in (q_models.m12_knn, q_models.m12_knn_reg)]
+    assert seen["held"] == seen["searched"]
+
+
 @pytest.mark.parametrize("p", [1.0, 2.0, 3.0, np.inf])
 @pytest.mark.parametrize("shift", [0.0, 1e4])
 def test_pairs_within_are_those_of_the_distances(p, shift):
