@@ -774,6 +774,25 @@ def test_dbscan_in_stages(spark, small_groups, monkeypatch, eps, p):
     assert [got[i] for i in range(len(pts))] == _dbscan_brute(pts, eps, 4, D)
 
 
+@pytest.mark.parametrize("p", [1.0, 2.0])
+def test_nearest_in_stages(spark, small_groups, monkeypatch, p):
+    """The bound of the first stage and the bound that falls leave none of the nearest out."""
+    from tadkit.operators import metric
+    for name, n in (("NEAR_ROWS", 3), ("LEAST_QUERIES", 20), ("TILE_ROWS", 7)):
+        monkeypatch.setattr(metric, name, n)
+    pts = np.random.default_rng(25).normal(size=(120, 5)).round(1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "id long, x array<double>")
+    gap = np.abs(pts[:, None] - pts[None])
+    D = np.sqrt((gap ** 2).sum(axis=2)) if p == 2 else gap.sum(axis=2)
+    np.fill_diagonal(D, np.inf)
+    got = {}
+    for r in sg.knn_exact(df, df, "id", "x", 5, p=p, exclude_self=True).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["ref_id"], r["dist"]))
+    for q in range(120):
+        assert np.allclose([d for _, _, d in sorted(got[q])], np.sort(D[q])[:5])
+        assert len({i for _, i, _ in got[q]}) == 5 and q not in {i for _, i, _ in got[q]}
+
+
 def test_groups_are_dealt_to_all_partitions(spark):
     from pyspark.sql import functions as F
     from tadkit.operators.metric import _slots
